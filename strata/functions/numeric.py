@@ -2,8 +2,9 @@
 
 Money columns carry two decimals; averages and shares of them land exactly on
 half points (x.xx5) often enough that "round the double" differs between
-engines.  These helpers round in integer arithmetic (half away from zero),
-which is exact and identical everywhere.
+engines.  These helpers round in exact integer arithmetic (decimal(38,0) and
+integral division; half away from zero), identical everywhere and free of
+bigint overflow for lake-sized sums.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_D = "decimal(38,0)"
+
 
 def cents(c: Column) -> Column:
     """Two-decimal money value as an exact bigint number of cents."""
@@ -18,24 +21,22 @@ def cents(c: Column) -> Column:
 
 
 def ratio_round(num: Column, den: Column, scale: int) -> Column:
-    """round(num / den, scale), half away from zero, for integer num/den.
+    """round(num / den, scale), half away from zero, for integer num/den ≥ 0 den.
 
     Null when den is 0 or null.
     """
     m = 10 ** scale
-    a = F.abs(num).cast("bigint")
-    d = F.nullif(den.cast("bigint"), F.lit(0))
-    q = (a * (2 * m) + d).cast("bigint") / (d * 2)
-    return (F.signum(num) * F.floor(q)) / F.lit(float(m))
+    a = F.abs(num).cast(_D)
+    d = F.nullif(den, F.lit(0)).cast(_D)
+    q = F.call_function("div", a * F.lit(2 * m).cast(_D) + d, d * F.lit(2).cast(_D))
+    return F.signum(num) * q / F.lit(float(m))
 
 
 def money_avg(c: Column, scale: int = 2) -> Column:
-    """Exact mean of a two-decimal column rounded to ``scale`` decimals (aggregate)."""
-    # mean in units of 10^-scale: sum_cents * 10^(scale-2) / n
-    num = F.sum(cents(c))
-    if scale >= 2:
-        return ratio_round(num * (10 ** (scale - 2)), F.count(c), 0) / F.lit(float(10 ** scale))
-    raise ValueError("scale must be >= 2")
+    """Exact mean of a two-decimal column rounded to ``scale`` (≥2) decimals (aggregate)."""
+    if scale < 2:
+        raise ValueError("scale must be >= 2")
+    return ratio_round(F.sum(cents(c)), F.count(c) * 100, scale)
 
 
 def int_avg(c: Column, scale: int) -> Column:

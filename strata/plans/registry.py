@@ -48,3 +48,99 @@ def q_int_cleaned(spark, sf):
 @register("silver_job")
 def q_silver_job(spark, sf):
     return M.silver_job(B.raw_erp(spark, sf))
+
+
+# ---- rollups and KPIs -------------------------------------------------------
+from strata.operators import kpi as K  # noqa: E402
+from strata.operators import rollups as R  # noqa: E402
+from pyspark.sql import Window, functions as F  # noqa: E402
+
+
+@register("daily_rollup")
+def q_daily_rollup(spark, sf):
+    return R.aggregate_daily(B.txn(spark, sf))
+
+
+@register("weekly_rollup")
+def q_weekly_rollup(spark, sf):
+    return R.aggregate_weekly(B.txn(spark, sf))
+
+
+@register("monthly_rollup")
+def q_monthly_rollup(spark, sf):
+    return R.aggregate_monthly(B.txn(spark, sf))
+
+
+@register("dimension_rollup")
+def q_dimension_rollup(spark, sf):
+    return R.aggregate_by_dimension(B.txn(spark, sf), "country")
+
+
+@register("revenue_kpis")
+def q_revenue_kpis(spark, sf):
+    return K.revenue_kpis(B.txn(spark, sf))
+
+
+@register("revenue_by_category")
+def q_revenue_by_category(spark, sf):
+    return K.revenue_by(B.txn(spark, sf), "category", top=10)
+
+
+@register("revenue_by_country")
+def q_revenue_by_country(spark, sf):
+    return K.revenue_by(B.txn(spark, sf), "country")
+
+
+@register("customer_kpis")
+def q_customer_kpis(spark, sf):
+    return K.customer_kpis(B.txn(spark, sf))
+
+
+@register("customers_by_country")
+def q_customers_by_country(spark, sf):
+    return K.customers_by(B.txn(spark, sf), "country")
+
+
+@register("operational_kpis")
+def q_operational_kpis(spark, sf):
+    return K.operational_kpis(_silver(spark, sf))
+
+
+@register("top_products")
+def q_top_products(spark, sf):
+    return K.top_products(_silver(spark, sf))
+
+
+@register("status_distribution")
+def q_status_distribution(spark, sf):
+    return K.distribution(_silver(spark, sf), "status", pct=True)
+
+
+@register("category_distribution")
+def q_category_distribution(spark, sf):
+    return K.distribution(_silver(spark, sf), "category")
+
+
+def _year(df, y):
+    return df.where(F.year("order_date") == y)
+
+
+@register("period_growth")
+def q_period_growth(spark, sf):
+    t = B.txn(spark, sf)
+    return K.growth(_year(t, 1998), _year(t, 1997))
+
+
+@register("compare_periods")
+def q_compare_periods(spark, sf):
+    s = _silver(spark, sf)
+    return K.compare_periods(_year(s, 1998), _year(s, 1997), ["quantity", "total_amount", "unit_price"])
+
+
+@register("monthly_growth")
+def q_monthly_growth(spark, sf):
+    m = R.aggregate_monthly(B.txn(spark, sf)).select("year", "month", "total_revenue")
+    prev = F.lag("total_revenue").over(Window.orderBy("year", "month"))
+    return m.select("year", "month", "total_revenue", prev.alias("prev_revenue"),
+                    F.round((F.col("total_revenue") - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2)
+                    .alias("revenue_growth_pct"))
