@@ -103,8 +103,11 @@ def raw_erp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as CRM contacts (strings, like a JSON export) with dirt."""
-    c = customers_geo(spark, sf_dir)
+    """Customers as CRM contacts (strings, like a JSON export) with dirt; every
+    101st customer arrives twice (``_seq`` 0 then 1)."""
+    c0 = customers_geo(spark, sf_dir)
+    c = (c0.withColumn("_seq", F.lit(0))
+         .unionByName(c0.where(F.col("c_custkey") % 101 == 0).withColumn("_seq", F.lit(1))))
     k = F.col("c_custkey")
     stage = (F.when(k % 4 == 0, F.lit("lead")).when(k % 4 == 1, F.lit("Opportunity"))
              .when(k % 4 == 2, F.lit("CUSTOMER")).otherwise(F.lit("churned")))
@@ -119,6 +122,7 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "country", "region",
         F.when(k % 67 == 0, -F.col("c_acctbal")).otherwise(F.col("c_acctbal")).alias("deal_value_usd"),
         stage.alias("lifecycle_stage"),
+        "_seq",
     )
 
 
@@ -127,3 +131,23 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id"), F.col("ts").alias("timestamp"),
         F.col("user_id").alias("customer_id"), "event_type", "value", "props")
+
+
+LAKE_COMPANIES = ["OGGI_MAYOREO", "OGGI_JUNIOR", "OGGI_TEZIUTLAN", "SOF", "BLUSTER",
+                  "DYCLASS", "BUYING", "JUNIOR_NOMINA", "ACME"]
+
+
+def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as a lake invoice-line dataset (qty may be negative, some
+    negative gross amounts, one unknown company)."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    company = F.element_at(F.array(*[F.lit(x) for x in LAKE_COMPANIES]),
+                           (F.col("l_suppkey") % len(LAKE_COMPANIES) + 1).cast("int"))
+    return li.select(
+        k.alias("factura_id"), F.col("l_partkey").alias("sku_id"),
+        F.when(k % 23 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("qty"),
+        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("precio_unit"),
+        F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity"), 2).alias("costo_unit"),
+        F.when(k % 37 == 0, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("gross_amount"),
+        company.alias("company_id"))

@@ -326,3 +326,105 @@ SELECT year, month, total_revenue, LAG(total_revenue) OVER (ORDER BY year, month
   ROUND((total_revenue - LAG(total_revenue) OVER (ORDER BY year, month))
         / NULLIF(LAG(total_revenue) OVER (ORDER BY year, month), 0) * 100, 2) AS revenue_growth_pct
 FROM m""")
+
+
+# ---- validation / ingest ----------------------------------------------------
+_RAW_ORDER = ("transaction_id, " + _ARRIVAL_REST)
+
+VALIDATED_ERP = RAW_ERP + f""",
+norm AS (
+  SELECT NULLIF(TRIM(transaction_id), '') AS transaction_id, NULLIF(TRIM(order_date), '') AS order_date,
+    NULLIF(TRIM(customer_id), '') AS customer_id, NULLIF(TRIM(product_sku), '') AS product_sku,
+    NULLIF(TRIM(quantity), '') AS quantity, NULLIF(TRIM(total_amount), '') AS total_amount,
+    NULLIF(TRIM(currency), '') AS currency, NULLIF(TRIM(status), '') AS status,
+    ROW_NUMBER() OVER (PARTITION BY NULLIF(TRIM(transaction_id), '')
+                       ORDER BY {_nulls_first(_RAW_ORDER)}) AS rn
+  FROM raw_erp),
+verr AS (
+  SELECT *, NULLIF(concat_ws('; ',
+    CASE WHEN transaction_id IS NULL THEN 'Missing required field: transaction_id' END,
+    CASE WHEN order_date IS NULL THEN 'Missing required field: order_date' END,
+    CASE WHEN product_sku IS NULL THEN 'Missing required field: product_sku' END,
+    CASE WHEN quantity IS NULL THEN 'Missing required field: quantity' END,
+    CASE WHEN total_amount IS NULL THEN 'Missing required field: total_amount' END,
+    CASE WHEN transaction_id IS NOT NULL AND rn > 1 THEN 'Duplicate transaction_id: ' || transaction_id END,
+    CASE WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS INTEGER) IS NULL THEN 'Invalid quantity: ' || quantity END,
+    CASE WHEN TRY_CAST(quantity AS INTEGER) <= 0 THEN 'Non-positive quantity: ' || CAST(TRY_CAST(quantity AS INTEGER) AS VARCHAR) END,
+    CASE WHEN total_amount IS NOT NULL AND TRY_CAST(total_amount AS DOUBLE) IS NULL THEN 'Invalid total_amount: ' || total_amount END,
+    CASE WHEN TRY_CAST(total_amount AS DOUBLE) < 0 THEN 'Negative total amount: ' || CAST(TRY_CAST(total_amount AS DOUBLE) AS VARCHAR) END,
+    CASE WHEN currency IS NOT NULL AND currency NOT IN ('USD', 'MXN', 'EUR', 'CAD') THEN 'Invalid currency: ' || currency END,
+    CASE WHEN status IS NOT NULL AND status NOT IN ('Completed', 'Pending', 'Shipped', 'Processing', 'Cancelled', 'Returned')
+         THEN 'Invalid status: ' || status END,
+    CASE WHEN customer_id IS NULL THEN 'Missing customer_id' END,
+    CASE WHEN starts_with(product_sku, 'INVALID') THEN 'Invalid SKU format: ' || product_sku END), '') AS _error
+  FROM norm)"""
+
+SQL["validate_transactions"] = with_(VALIDATED_ERP, """
+SELECT transaction_id, product_sku, quantity, total_amount, _error, _error IS NULL AS _is_valid FROM verr""")
+
+SQL["ingest_metrics"] = with_(VALIDATED_ERP, f""",
+m AS (SELECT COUNT(*) AS records_read, COUNT(*) FILTER (WHERE _error IS NULL) AS records_accepted,
+        COUNT(*) FILTER (WHERE _error IS NOT NULL) AS records_rejected FROM verr)
+SELECT 'erp_transactions' AS source_name, 'erp' AS source_type, records_read, records_accepted, records_rejected,
+  CASE WHEN records_read = 0 THEN 0.0 ELSE {rr("records_rejected * 100", "records_read", 2)} END AS rejection_rate_pct,
+  CASE WHEN records_rejected = 0 THEN 'success' WHEN records_accepted > 0 THEN 'partial' ELSE 'failed' END AS status
+FROM m""")
+
+CONTACTS = CUST_GEO + """,
+c_all AS (SELECT *, 0 AS _seq FROM cust_geo UNION ALL SELECT *, 1 AS _seq FROM cust_geo WHERE c_custkey % 101 = 0),
+contacts AS (
+  SELECT CASE WHEN c_custkey % 59 = 0 THEN '' ELSE 'CRM-' || CAST(c_custkey AS VARCHAR) END AS contact_id,
+    c_name AS name,
+    CASE WHEN c_custkey % 53 = 0 THEN 'not-an-email' ELSE 'User' || CAST(c_custkey AS VARCHAR) || '@Example.COM' END AS email,
+    CASE WHEN c_custkey % 61 = 0 THEN ' ' ELSE 'Co ' || CAST(c_custkey % 97 AS VARCHAR) END AS company,
+    c_mktsegment AS industry, country, region,
+    CASE WHEN c_custkey % 67 = 0 THEN -c_acctbal ELSE c_acctbal END AS deal_value_usd,
+    CASE WHEN c_custkey % 4 = 0 THEN 'lead' WHEN c_custkey % 4 = 1 THEN 'Opportunity'
+         WHEN c_custkey % 4 = 2 THEN 'CUSTOMER' ELSE 'churned' END AS lifecycle_stage,
+    _seq
+  FROM c_all)"""
+
+SQL["validate_contacts"] = with_(CONTACTS, r""",
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY contact_id ORDER BY _seq) AS rn FROM contacts),
+e AS (SELECT contact_id, email, _seq, NULLIF(concat_ws('; ',
+    CASE WHEN contact_id IS NULL OR TRIM(contact_id) = '' THEN 'Missing or empty required field: contact_id' END,
+    CASE WHEN email IS NULL OR TRIM(email) = '' THEN 'Missing or empty required field: email' END,
+    CASE WHEN company IS NULL OR TRIM(company) = '' THEN 'Missing or empty required field: company' END,
+    CASE WHEN email IS NOT NULL AND email <> '' AND NOT regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$')
+         THEN 'Invalid email format: ' || email END,
+    CASE WHEN deal_value_usd < 0 THEN 'Negative deal value: ' || CAST(deal_value_usd AS VARCHAR) END,
+    CASE WHEN contact_id IS NOT NULL AND contact_id <> '' AND rn > 1 THEN 'Duplicate contact_id: ' || contact_id END), '') AS _error
+  FROM r)
+SELECT *, _error IS NULL AS _is_valid FROM e""")
+
+SQL["validate_events"] = """
+WITH e AS (SELECT event_id, NULLIF(concat_ws('; ',
+    CASE WHEN NOT (event_id IS NOT NULL AND event_id <> 0) THEN 'No identifier field found (event_id, id, record_id)' END,
+    CASE WHEN ts IS NULL THEN 'No timestamp field found' END,
+    CASE WHEN (CAST(event_id IS NOT NULL AS INT) + CAST(ts IS NOT NULL AS INT) + CAST(user_id IS NOT NULL AS INT)
+             + CAST(event_type IS NOT NULL AND TRIM(event_type) <> '' AS INT) + CAST(value IS NOT NULL AS INT)
+             + CAST(props IS NOT NULL AND TRIM(props) <> '' AS INT)) < 2
+         THEN 'Record has too few non-null fields' END), '') AS _error
+  FROM events)
+SELECT *, _error IS NULL AS _is_valid FROM e"""
+
+LAKE = """lake AS (
+  SELECT l_orderkey AS factura_id, l_partkey AS sku_id,
+    CASE WHEN l_orderkey % 23 = 0 THEN -l_quantity ELSE l_quantity END AS qty,
+    ROUND(l_extendedprice / l_quantity, 2) AS precio_unit,
+    ROUND(l_extendedprice * (1 - l_discount) / l_quantity, 2) AS costo_unit,
+    CASE WHEN l_orderkey % 37 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS gross_amount,
+    (['OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING',
+      'JUNIOR_NOMINA', 'ACME'])[CAST(l_suppkey % 9 + 1 AS INTEGER)] AS company_id
+  FROM lineitem)"""
+
+SQL["validate_lake_rules"] = with_(LAKE, """,
+e AS (SELECT factura_id, sku_id, company_id, NULLIF(concat_ws('; ',
+    CASE WHEN precio_unit < 0 THEN 'Negative precio_unit: ' || CAST(precio_unit AS VARCHAR) END,
+    CASE WHEN costo_unit < 0 THEN 'Negative costo_unit: ' || CAST(costo_unit AS VARCHAR) END,
+    CASE WHEN gross_amount < 0 THEN 'Negative gross_amount: ' || CAST(gross_amount AS VARCHAR) END,
+    CASE WHEN company_id IS NOT NULL AND company_id <> '' AND company_id NOT IN
+      ('OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING', 'JUNIOR_NOMINA')
+      THEN 'Unknown company_id: ' || company_id END), '') AS _error
+  FROM lake)
+SELECT *, _error IS NULL AS _is_valid FROM e""")

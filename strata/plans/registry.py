@@ -144,3 +144,41 @@ def q_monthly_growth(spark, sf):
     return m.select("year", "month", "total_revenue", prev.alias("prev_revenue"),
                     F.round((F.col("total_revenue") - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2)
                     .alias("revenue_growth_pct"))
+
+
+# ---- validation / ingest ----------------------------------------------------
+from strata.operators import rules as V  # noqa: E402
+
+
+def _erp_arrival():
+    return [F.col(c).asc_nulls_first() for c in M.RAW_COLUMNS]
+
+
+@register("validate_transactions")
+def q_validate_transactions(spark, sf):
+    v = V.validate_transactions(B.raw_erp(spark, sf), _erp_arrival())
+    return v.select("transaction_id", "product_sku", "quantity", "total_amount", "_error", "_is_valid")
+
+
+@register("validate_contacts")
+def q_validate_contacts(spark, sf):
+    v = V.validate_contacts(B.contacts(spark, sf), [F.col("_seq")])
+    return v.select("contact_id", "email", "_seq", "_error", "_is_valid")
+
+
+@register("validate_events")
+def q_validate_events(spark, sf):
+    v = V.validate_events(B.interactions(spark, sf))
+    return v.select("event_id", "_error", "_is_valid")
+
+
+@register("validate_lake_rules")
+def q_validate_lake_rules(spark, sf):
+    v = V.validate_lake(B.invoice_lines(spark, sf), "g_factura_line")
+    return v.select("factura_id", "sku_id", "company_id", "_error", "_is_valid")
+
+
+@register("ingest_metrics")
+def q_ingest_metrics(spark, sf):
+    v = V.validate_transactions(B.raw_erp(spark, sf), _erp_arrival())
+    return V.ingest_metrics(v, "erp_transactions", "erp")
