@@ -428,3 +428,150 @@ e AS (SELECT factura_id, sku_id, company_id, NULLIF(concat_ws('; ',
       THEN 'Unknown company_id: ' || company_id END), '') AS _error
   FROM lake)
 SELECT *, _error IS NULL AS _is_valid FROM e""")
+
+
+# ---- quality and schema -----------------------------------------------------
+def _rule(name, dim, col, f, d, thr, sev):
+    dd = f"GREATEST({d}, 1)"
+    colv = "NULL" if col is None else f"'{col}'"
+    return (f"SELECT 'erp_transactions' AS dataset_name, 'bronze' AS layer, '{name}' AS rule_name, "
+            f"'{dim}' AS dimension, CAST({colv} AS VARCHAR) AS \"column\", {rr(f'{dd} - {f}', dd, 4)} AS score, "
+            f"(1.0 - {f} / {dd}) >= {thr} AS passed, CAST({thr} AS DOUBLE) AS threshold, '{sev}' AS severity, "
+            f"n AS total_records, CAST({f} AS BIGINT) AS failed_records, 1.0 - {f} / {dd} AS _raw_score FROM w")
+
+
+DQ_REPORT = STG + """,
+a AS (SELECT COUNT(*) AS n,
+  COUNT(*) FILTER (WHERE customer_id IS NULL OR TRIM(customer_id) = '') AS f_cust,
+  COUNT(*) FILTER (WHERE quantity IS NOT NULL AND NOT (quantity >= 0 AND quantity <= 10000)) AS f_qty,
+  COUNT(*) FILTER (WHERE currency IS NOT NULL AND currency NOT IN ('USD', 'MXN', 'EUR', 'CAD')) AS f_cur,
+  COUNT(*) FILTER (WHERE transaction_id IS NOT NULL AND NOT regexp_matches(transaction_id, '^(?:[0-9]+-[0-9]+)')) AS f_pat,
+  COUNT(*) FILTER (WHERE TRY_CAST(order_date AS TIMESTAMP) < TIMESTAMP '1998-05-31 00:00:00') AS f_time,
+  COUNT(*) FILTER (WHERE unit_price IS NOT NULL AND total_amount IS NOT NULL AND unit_price > total_amount) AS f_cons,
+  COUNT(*) FILTER (WHERE unit_price IS NOT NULL AND total_amount IS NOT NULL) AS d_cons
+  FROM stg),
+u AS (SELECT COALESCE(SUM(k - 1), 0) AS f_uniq FROM (SELECT COUNT(*) AS k FROM stg GROUP BY transaction_id)),
+w AS (SELECT * FROM a, u),
+report AS (
+""" + "\nUNION ALL ".join([
+    _rule("completeness_customer_id", "completeness", "customer_id", "f_cust", "n", 0.95, "error"),
+    _rule("completeness_email", "completeness", "email", "n", "n", 0.95, "error"),
+    _rule("accuracy_quantity", "accuracy", "quantity", "f_qty", "n", 0.98, "error"),
+    _rule("accuracy_currency", "accuracy", "currency", "f_cur", "n", 0.98, "error"),
+    _rule("accuracy_transaction_id", "accuracy", "transaction_id", "f_pat", "n", 0.98, "error"),
+    _rule("uniqueness_transaction_id", "uniqueness", "transaction_id", "f_uniq", "n", 1.0, "error"),
+    _rule("timeliness_order_date", "timeliness", "order_date", "f_time", "n", 0.95, "warning"),
+    _rule("consistency_unit_price_vs_total_amount", "consistency", "unit_price", "f_cons", "d_cons", 0.98,
+          "warning"),
+]) + ")"
+
+SQL["dq_report"] = with_(DQ_REPORT, "SELECT * EXCLUDE (_raw_score) FROM report")
+
+SQL["dq_summary"] = with_(DQ_REPORT, """
+SELECT 'erp_transactions' AS dataset_name, 'bronze' AS layer, MAX(total_records) AS total_records,
+  ROUND(AVG(_raw_score), 4) AS overall_score, BOOL_AND(passed) AS all_passed, COUNT(*) AS rules_checked,
+  COUNT(*) FILTER (WHERE passed) AS rules_passed, COUNT(*) FILTER (WHERE NOT passed) AS rules_failed
+FROM report""")
+
+SQL["dq_dimensions"] = with_(DQ_REPORT, """
+SELECT dimension, ROUND(AVG(_raw_score), 4) AS score, COUNT(*) AS rules FROM report GROUP BY dimension""")
+
+SQL["dq_gate"] = with_(DQ_REPORT, """,
+d AS (SELECT dimension, ROUND(AVG(_raw_score), 4) AS score FROM report GROUP BY dimension),
+g AS (SELECT * FROM (VALUES ('completeness', 0.95), ('accuracy', 0.98), ('uniqueness', 1.0)) t(dim, thr))
+SELECT dimension, score, CAST(g.thr AS DOUBLE) AS gate_threshold,
+  CASE WHEN g.thr IS NULL THEN TRUE ELSE score >= g.thr END AS gate_passed, 'bronze_to_silver' AS transition
+FROM d LEFT JOIN g ON d.dimension = g.dim""")
+
+SQL["schema_violations"] = with_(RAW_ERP, """
+SELECT 'extra_columns_kept' AS type, 'payment_method,warehouse_id,ship_date' AS "column",
+  CAST(NULL AS VARCHAR) AS expected_type, CAST(NULL AS BIGINT) AS count,
+  '3 extra columns found and kept: [''payment_method'', ''warehouse_id'', ''ship_date'']' AS message
+UNION ALL
+SELECT * FROM (
+  SELECT 'type_mismatch', 'total_amount', 'float', cnt,
+    'Column ''total_amount'': ' || CAST(cnt AS VARCHAR) || ' non-numeric values'
+  FROM (SELECT COUNT(*) FILTER (WHERE total_amount IS NOT NULL AND TRY_CAST(TRIM(total_amount) AS DOUBLE) IS NULL) AS cnt
+        FROM raw_erp)) WHERE cnt > 0""")
+
+SQL["schema_strict"] = with_(RAW_ERP, """
+SELECT * FROM raw_erp
+WHERE transaction_id IS NOT NULL
+  AND NOT COALESCE(TRY_CAST(TRIM(order_date) AS TIMESTAMP) IS NULL AND order_date IS NOT NULL, FALSE)
+  AND NOT COALESCE(quantity IS NOT NULL AND TRY_CAST(TRIM(quantity) AS DOUBLE) IS NULL, FALSE)
+  AND NOT COALESCE(unit_price IS NOT NULL AND TRY_CAST(TRIM(unit_price) AS DOUBLE) IS NULL, FALSE)
+  AND NOT COALESCE(total_amount IS NOT NULL AND TRY_CAST(TRIM(total_amount) AS DOUBLE) IS NULL, FALSE)""")
+
+SQL["schema_evolve"] = with_(RAW_ERP, """
+SELECT transaction_id, TRY_CAST(order_date AS DATE) AS order_date, customer_id, product_sku, product_name,
+  category, TRY_CAST(quantity AS BIGINT) AS quantity, TRY_CAST(unit_price AS DOUBLE) AS unit_price,
+  TRY_CAST(total_amount AS DOUBLE) AS total_amount, currency, status, country,
+  COALESCE(region, 'UNASSIGNED') AS region, COALESCE(sales_channel, 'direct') AS sales_channel,
+  payment_method, warehouse_id, ship_date
+FROM (SELECT * EXCLUDE (region), CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS sales_channel
+      FROM raw_erp WHERE customer_id <> ''
+      UNION ALL
+      SELECT *, 'web' AS sales_channel FROM raw_erp WHERE customer_id = '')""")
+
+
+# ---- deduplication ----------------------------------------------------------
+_LINE_ORDER = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+
+SQL["dedup_exact_first"] = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_nulls_first(_LINE_ORDER)}) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+SQL["dedup_exact_last"] = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY {", ".join(c.strip() + " DESC NULLS LAST" for c in _LINE_ORDER.split(","))}) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+SQL["dedup_most_complete"] = with_(RAW_ERP, f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY
+    ({" + ".join(f"CAST({c} IS NULL AS INT)" for c in ["transaction_id"] + [x.strip() for x in _ARRIVAL_REST.split(",")])}) ASC,
+    {_nulls_first(_ARRIVAL_REST)}) AS rn
+  FROM raw_erp) WHERE rn = 1""")
+
+SQL["dedup_metrics"] = f"""
+WITH g AS (SELECT COUNT(*) AS k FROM lineitem GROUP BY l_orderkey, l_linenumber),
+a AS (SELECT COALESCE(SUM(CASE WHEN k > 1 THEN k ELSE 0 END), 0) AS found, SUM(k) AS input, COUNT(*) AS output FROM g)
+SELECT 'exact' AS strategy, input AS total_input, output AS total_output, found AS duplicates_found,
+  input - output AS duplicates_removed,
+  CASE WHEN input > 0 THEN {rr("(input - output) * 100", "input", 2)} ELSE 0.0 END AS dedup_rate_pct
+FROM a"""
+
+SQL["dedup_window"] = """
+WITH RECURSIVE n AS (
+  SELECT user_id, event_type, ts, MIN(event_id) AS event_id FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+chain(user_id, event_type, ts) AS (
+  SELECT user_id, event_type, MIN(ts) FROM n GROUP BY user_id, event_type
+  UNION ALL
+  SELECT c.user_id, c.event_type,
+    (SELECT MIN(m.ts) FROM n m WHERE m.user_id IS NOT DISTINCT FROM c.user_id
+       AND m.event_type IS NOT DISTINCT FROM c.event_type AND m.ts > c.ts + INTERVAL 24 HOUR)
+  FROM chain c WHERE c.ts IS NOT NULL)
+SELECT e.* FROM events e
+WHERE e.event_id IN (SELECT n.event_id FROM chain c JOIN n ON n.user_id IS NOT DISTINCT FROM c.user_id
+                       AND n.event_type IS NOT DISTINCT FROM c.event_type AND n.ts = c.ts)"""
+
+_BG = "list_distinct([substr({s}, i, 2) FOR i IN range(1, length({s}))])"
+
+
+def _sim(a: str, b: str) -> str:
+    ba, bb = _BG.format(s=a), _BG.format(s=b)
+    inter = f"length(list_intersect({ba}, {bb}))"
+    union = f"(length({ba}) + length({bb}) - {inter})"
+    return (f"CASE WHEN {a} = '' AND {b} = '' THEN 1.0 WHEN {a} = '' OR {b} = '' THEN 0.0 "
+            f"WHEN {union} = 0 THEN CASE WHEN {a} = {b} THEN 1.0 ELSE 0.0 END "
+            f"ELSE {inter} / GREATEST({union}, 1) END")
+
+
+SQL["fuzzy_pairs"] = f"""
+WITH p AS (SELECT p_partkey AS id, lower(regexp_replace(COALESCE(p_name, ''), '^\\s+|\\s+$', '', 'g')) AS s FROM part),
+b AS (SELECT *, substr(s, 1, 5) AS blk FROM p),
+pairs AS (SELECT x.id AS a_partkey, y.id AS b_partkey, {_sim("x.s", "y.s")} AS similarity
+          FROM b x JOIN b y ON x.blk = y.blk AND x.id < y.id)
+SELECT * FROM pairs WHERE similarity >= 0.5"""

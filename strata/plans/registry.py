@@ -182,3 +182,120 @@ def q_validate_lake_rules(spark, sf):
 def q_ingest_metrics(spark, sf):
     v = V.validate_transactions(B.raw_erp(spark, sf), _erp_arrival())
     return V.ingest_metrics(v, "erp_transactions", "erp")
+
+
+# ---- quality and schema -----------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from strata.operators import quality as Q  # noqa: E402
+from strata.operators import schema as S  # noqa: E402
+
+DQ_AS_OF = _dt.datetime(1998, 6, 1)
+
+
+def _dq_report(spark, sf):
+    chk = (Q.QualityChecker()
+           .add_completeness_rule("customer_id", 0.95)
+           .add_completeness_rule("email", 0.95)
+           .add_accuracy_rule("quantity", min_value=0, max_value=10000)
+           .add_accuracy_rule("currency", allowed_values=["USD", "MXN", "EUR", "CAD"])
+           .add_accuracy_rule("transaction_id", pattern="[0-9]+-[0-9]+")
+           .add_uniqueness_rule(["transaction_id"])
+           .add_timeliness_rule("order_date", max_age_hours=24)
+           .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
+    return chk.check(_stg(spark, sf), "erp_transactions", "bronze", as_of=DQ_AS_OF)
+
+
+@register("dq_report")
+def q_dq_report(spark, sf):
+    return _dq_report(spark, sf).drop("_raw_score")
+
+
+@register("dq_summary")
+def q_dq_summary(spark, sf):
+    return Q.summary(_dq_report(spark, sf))
+
+
+@register("dq_dimensions")
+def q_dq_dimensions(spark, sf):
+    return Q.dimension_scores(_dq_report(spark, sf))
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf):
+    return Q.gate(_dq_report(spark, sf), "bronze_to_silver")
+
+
+@register("schema_violations")
+def q_schema_violations(spark, sf):
+    return S.violations(B.raw_erp(spark, sf), S.ERP_SCHEMA, "permissive")
+
+
+@register("schema_strict")
+def q_schema_strict(spark, sf):
+    return S.enforce(B.raw_erp(spark, sf), S.ERP_SCHEMA, "strict")
+
+
+ERP_SCHEMA_V2 = S.TableSchema("erp_transactions", "1.1.0", "adds sales_channel; region defaulted",
+                              [c for c in S.ERP_SCHEMA.columns if c.name != "region"]
+                              + [S.ColumnSchema("region", "string", default="UNASSIGNED"),
+                                 S.ColumnSchema("sales_channel", "string", default="direct")])
+
+
+@register("schema_evolve")
+def q_schema_evolve(spark, sf):
+    raw = B.raw_erp(spark, sf)
+    v1 = raw.where(F.col("customer_id") != "").drop("region")
+    v2 = raw.where(F.col("customer_id") == "").withColumn("sales_channel", F.lit("web"))
+    return S.evolve(S.union_versions([v1, v2]), ERP_SCHEMA_V2)
+
+
+# ---- deduplication ----------------------------------------------------------
+from strata.operators import dedup as D  # noqa: E402
+from strata.sources.tables import table as _table  # noqa: E402
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("dedup_exact_first")
+def q_dedup_exact_first(spark, sf):
+    return D.dedup_exact(_table(spark, sf, "lineitem"), LINE_KEYS, LINE_ORDER, "first")
+
+
+@register("dedup_exact_last")
+def q_dedup_exact_last(spark, sf):
+    return D.dedup_exact(_table(spark, sf, "lineitem"), LINE_KEYS, LINE_ORDER, "last")
+
+
+@register("dedup_most_complete")
+def q_dedup_most_complete(spark, sf):
+    return D.dedup_exact(B.raw_erp(spark, sf), ["transaction_id"],
+                         [c for c in M.RAW_COLUMNS if c != "transaction_id"], "most_complete")
+
+
+@register("dedup_metrics")
+def q_dedup_metrics(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    return D.dedup_metrics(li, D.dedup_exact(li, LINE_KEYS, LINE_ORDER, "first"), LINE_KEYS, "exact")
+
+
+@register("dedup_window")
+def q_dedup_window(spark, sf):
+    return D.dedup_window(_table(spark, sf, "events"), ["user_id", "event_type"], "ts", "event_id", 24)
+
+
+@register("dedup_fuzzy")
+def q_dedup_fuzzy(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return D.dedup_fuzzy(docs, ["text"], "doc_id", 0.85).select("doc_id", "lang", "source")
+
+
+@register("fuzzy_pairs")
+def q_fuzzy_pairs(spark, sf):
+    from strata.functions.columns import norm_key
+    p = _table(spark, sf, "part").select(F.col("p_partkey").alias("_pos"), norm_key(F.col("p_name")).alias("_n_p_name"))
+    reps = p.withColumn("_blk", F.substring("_n_p_name", 1, 5))
+    return (D.fuzzy_candidates(reps, ["p_name"], "_pos", 0.5)
+            .select(F.col("_a").alias("a_partkey"), F.col("_b").alias("b_partkey"), "similarity"))
