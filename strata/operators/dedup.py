@@ -163,20 +163,17 @@ def _token_set(c: Column) -> Column:
             .otherwise(char_bigrams(c)))
 
 
-def fuzzy_candidates(df: DataFrame, keys: list[str], order_col: str, threshold: float,
-                     block: Column | None = None) -> DataFrame:
+def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """Exact set of pairs (a before b, same block) with mean similarity ≥ t.
 
-    ``df`` has one row per distinct normalised key tuple with ``_pos`` (order)
-    and ``_blk`` (block key)."""
+    ``reps`` has one row per distinct normalised key tuple: ``_pos`` (order),
+    ``_blk`` (block key) and ``_tk_<k>`` (token set per key column)."""
     pairs = None
     for k in keys:
-        toks = df.select("_blk", "_pos", F.explode(_token_set(F.col(f"_n_{k}"))).alias("_tok"))
+        toks = reps.select("_blk", "_pos", F.size(f"_tk_{k}").alias("_sz"), F.explode(f"_tk_{k}").alias("_tok"))
         freq = toks.groupBy("_tok").agg(F.count(F.lit(1)).alias("_f"))
-        ranked = toks.join(freq, "_tok")
         w = Window.partitionBy("_blk", "_pos").orderBy(F.col("_f"), F.col("_tok"))
-        size = F.count(F.lit(1)).over(Window.partitionBy("_blk", "_pos"))
-        pref = (ranked.withColumn("_r", F.row_number().over(w)).withColumn("_sz", size)
+        pref = (toks.join(freq, "_tok").withColumn("_r", F.row_number().over(w))
                 .where(F.col("_r") <= F.col("_sz") - F.ceil(F.col("_sz") * threshold - 1e-9) + 1)
                 .select("_blk", "_pos", "_tok"))
         p = (pref.alias("a").join(pref.alias("b"), ["_blk", "_tok"])
@@ -184,22 +181,36 @@ def fuzzy_candidates(df: DataFrame, keys: list[str], order_col: str, threshold:
              .select("_blk", F.col("a._pos").alias("_a"), F.col("b._pos").alias("_b")))
         pairs = p if pairs is None else pairs.unionByName(p)
     pairs = pairs.distinct()
-    a = df.select(*[F.col(c).alias(f"a{c}") for c in df.columns])
-    b = df.select(*[F.col(c).alias(f"b{c}") for c in df.columns])
-    j = pairs.join(a, pairs["_a"] == a["a_pos"]).join(b, pairs["_b"] == b["b_pos"])
-    sim = sum((bigram_jaccard(F.col(f"a_n_{k}"), F.col(f"b_n_{k}")) for k in keys), F.lit(0.0)) / len(keys)
+    tk = [f"_tk_{k}" for k in keys]
+    a = reps.select(F.col("_pos").alias("_a"), *[F.col(c).alias("a" + c) for c in tk])
+    b = reps.select(F.col("_pos").alias("_b"), *[F.col(c).alias("b" + c) for c in tk])
+    j = pairs.join(a, "_a").join(b, "_b")
+
+    def jac(x: Column, y: Column) -> Column:
+        inter = F.size(F.array_intersect(x, y))
+        return inter / (F.size(x) + F.size(y) - inter)
+    sim = sum((jac(F.col("a" + c), F.col("b" + c)) for c in tk), F.lit(0.0)) / len(keys)
     return j.select("_blk", "_a", "_b", sim.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def fuzzy_reps(df: DataFrame, keys: list[str], order_col: str, collapse: bool = True) -> DataFrame:
+    """Rows prepared for matching: block key and token sets per key column,
+    checkpointed for reuse.  ``collapse`` keeps one row per distinct normalised
+    key tuple (its first arrival)."""
+    norm = df.select(F.col(order_col).alias("_pos"), *[norm_key(F.col(k)).alias(f"_n_{k}") for k in keys])
+    if collapse:
+        norm = norm.groupBy(*[f"_n_{k}" for k in keys]).agg(F.min("_pos").alias("_pos"))
+    blk = F.concat_ws("|", *[F.substring(F.col(f"_n_{k}"), 1, 5) for k in keys])
+    reps = norm.select("_pos", blk.alias("_blk"),
+                       *[_token_set(F.col(f"_n_{k}")).alias(f"_tk_{k}") for k in keys])
+    return cut_lineage(reps)
+
+
 def dedup_fuzzy(df: DataFrame, keys: list[str], order_col: str, threshold: float = 0.85,
                 max_rounds: int = 200) -> DataFrame:
     """Greedy fuzzy dedup; returns the kept rows of ``df``."""
-    norm = df.select(order_col, *[norm_key(F.col(k)).alias(f"_n_{k}") for k in keys])
-    blk = F.concat_ws("|", *[F.substring(F.col(f"_n_{k}"), 1, 5) for k in keys])
-    reps = (norm.groupBy(*[f"_n_{k}" for k in keys]).agg(F.min(order_col).alias("_pos"))
-            .withColumn("_blk", blk))
-    reps = cut_lineage(reps)
-    edges = cut_lineage(fuzzy_candidates(reps, keys, order_col, threshold).select("_a", "_b"))
+    reps = fuzzy_reps(df, keys, order_col)
+    edges = cut_lineage(fuzzy_candidates(reps, keys, threshold).select("_a", "_b"))
     status = reps.select("_pos", F.lit(None).cast("boolean").alias("_kept"))
     for _ in range(max_rounds):
         und = status.where(F.col("_kept").isNull())

@@ -294,8 +294,6 @@ def q_dedup_fuzzy(spark, sf):
 
 @register("fuzzy_pairs")
 def q_fuzzy_pairs(spark, sf):
-    from strata.functions.columns import norm_key
-    p = _table(spark, sf, "part").select(F.col("p_partkey").alias("_pos"), norm_key(F.col("p_name")).alias("_n_p_name"))
-    reps = p.withColumn("_blk", F.substring("_n_p_name", 1, 5))
-    return (D.fuzzy_candidates(reps, ["p_name"], "_pos", 0.5)
+    reps = D.fuzzy_reps(_table(spark, sf, "part"), ["p_name"], "p_partkey", collapse=False)
+    return (D.fuzzy_candidates(reps, ["p_name"], 0.5)
             .select(F.col("_a").alias("a_partkey"), F.col("_b").alias("b_partkey"), "similarity"))
