@@ -575,3 +575,100 @@ b AS (SELECT *, substr(s, 1, 5) AS blk FROM p),
 pairs AS (SELECT x.id AS a_partkey, y.id AS b_partkey, {_sim("x.s", "y.s")} AS similarity
           FROM b x JOIN b y ON x.blk = y.blk AND x.id < y.id)
 SELECT * FROM pairs WHERE similarity >= 0.5"""
+
+
+# ---- silver transforms, flattening, joins -----------------------------------
+_TOKENS = "('', 'NULL', 'null', 'None', 'none', 'N/A', 'n/a', 'NA', '#N/A')"
+
+
+def _clean(c: str) -> str:
+    return f"CASE WHEN TRIM({c}) IN {_TOKENS} THEN NULL ELSE TRIM({c}) END"
+
+
+SQL["silver_contacts"] = with_(CONTACTS, f"""
+SELECT {_clean("contact_id")} AS contact_id, {_clean("name")} AS name, lower({_clean("email")}) AS email,
+  {_clean("company")} AS company, {_clean("industry")} AS industry, {_clean("country")} AS country,
+  {_clean("region")} AS region, deal_value_usd,
+  COALESCE(CASE lower({_clean("lifecycle_stage")}) WHEN 'lead' THEN 'Lead' WHEN 'opportunity' THEN 'Opportunity'
+    WHEN 'customer' THEN 'Customer' WHEN 'churned' THEN 'Churned' END, {_clean("lifecycle_stage")}) AS lifecycle_stage,
+  _seq, COALESCE(deal_value_usd > 0, FALSE) AS has_deal,
+  2024 AS _partition_year, '01' AS _partition_month, '31' AS _partition_day,
+  'silver' AS _layer, '1.0.0' AS _transformation_version
+FROM contacts""")
+
+SQL["silver_events"] = f"""
+SELECT event_id, ts AS "timestamp", user_id AS customer_id, replace(lower({_clean("event_type")}), ' ', '_') AS event_type,
+  value, {_clean("props")} AS props,
+  YEAR(ts) AS _partition_year, lpad(CAST(MONTH(ts) AS VARCHAR), 2, '0') AS _partition_month,
+  lpad(CAST(DAY(ts) AS VARCHAR), 2, '0') AS _partition_day, 'silver' AS _layer, '1.0.0' AS _transformation_version
+FROM events"""
+
+SQL["flatten_events"] = """
+SELECT event_id, event_type AS metadata_event_type,
+  TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS metadata_detail_k, value AS metadata_detail_value
+FROM events"""
+
+SQL["flatten_contacts"] = """
+SELECT c_custkey AS contact_id, c_acctbal AS cf_annual_revenue, c_nationkey AS cf_employee_count,
+  c_mktsegment AS cf_subscription_tier,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE
+    array_to_string(list_sort([lower(c_mktsegment), 'n' || CAST(c_nationkey AS VARCHAR)]), ',') END AS tags
+FROM customer"""
+
+LOADS = """o1 AS (SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
+                CAST(o_orderdate AS DATE) AS odate FROM orders),
+o2 AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN price + 1 ELSE price END AS price, odate
+       FROM o1 WHERE o_orderkey % 11 <> 0
+       UNION ALL SELECT o_orderkey + 10000000, o_orderstatus, price, odate FROM o1 WHERE o_orderkey % 13 = 0),
+o3 AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, price, odate
+       FROM o2)"""
+
+
+def _h(t: str) -> str:
+    return (f"md5(concat_ws(chr(1), COALESCE(CAST({t}.o_orderstatus AS VARCHAR), ''), "
+            f"COALESCE(CAST({t}.price AS VARCHAR), ''), COALESCE(CAST({t}.odate AS VARCHAR), '')))")
+
+
+SQL["change_detection"] = with_(LOADS, f"""
+SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+  CASE WHEN a.o_orderkey IS NULL THEN 'new' WHEN b.o_orderkey IS NULL THEN 'deleted'
+       WHEN {_h("a")} <> {_h("b")} THEN 'changed' ELSE 'unchanged' END AS change_type,
+  CASE WHEN a.o_orderkey IS NOT NULL THEN {_h("a")} END AS old_hash,
+  CASE WHEN b.o_orderkey IS NOT NULL THEN {_h("b")} END AS new_hash
+FROM o1 a FULL OUTER JOIN o2 b ON a.o_orderkey = b.o_orderkey""")
+
+SQL["scd2_history"] = with_(LOADS, f""",
+hist AS (SELECT *, DATE '2024-01-01' AS load_date FROM o1 UNION ALL SELECT *, DATE '2024-01-02' FROM o2
+         UNION ALL SELECT *, DATE '2024-01-03' FROM o3),
+hh AS (SELECT *, {_h("hist")} AS h FROM hist),
+v AS (SELECT * FROM (SELECT *, LAG(h) OVER (PARTITION BY o_orderkey ORDER BY load_date) AS prev FROM hh)
+      WHERE prev IS NULL OR prev <> h),
+loads AS (SELECT load_date AS l, LEAD(load_date) OVER (ORDER BY load_date) AS after
+          FROM (SELECT DISTINCT load_date FROM hist)),
+close AS (SELECT s.o_orderkey, loads.after FROM (SELECT o_orderkey, MAX(load_date) AS last FROM hist GROUP BY 1) s
+          LEFT JOIN loads ON s.last = loads.l),
+vv AS (SELECT v.*, LEAD(load_date) OVER (PARTITION BY o_orderkey ORDER BY load_date) AS nxt FROM v)
+SELECT vv.o_orderkey, o_orderstatus, price, odate, load_date AS valid_from, COALESCE(nxt, close.after) AS valid_to,
+  (nxt IS NULL AND close.after IS NULL) AS is_current
+FROM vv LEFT JOIN close ON vv.o_orderkey = close.o_orderkey""")
+
+SQL["anti_dimension"] = """
+SELECT * FROM orders o WHERE NOT EXISTS (
+  SELECT 1 FROM customer c WHERE c.c_custkey % 10 <> 0 AND c.c_custkey = o.o_custkey)"""
+
+SQL["customer_360"] = with_(TXN, f""",
+t AS (SELECT customer_id, COUNT(*) AS order_count, SUM({cents("total_amount")}) / 100.0 AS lifetime_revenue,
+        MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date FROM txn GROUP BY 1),
+e AS (SELECT user_id AS customer_id, COUNT(*) AS interaction_count, COUNT(DISTINCT event_type) AS interaction_types,
+        MAX(ts) AS last_interaction FROM events GROUP BY 1)
+SELECT c.c_custkey AS customer_id, c.c_name, c.c_acctbal, c.c_mktsegment, c.country, c.region,
+  COALESCE(t.order_count, 0) AS order_count, COALESCE(t.lifetime_revenue, 0.0) AS lifetime_revenue,
+  t.first_order_date, t.last_order_date,
+  COALESCE(e.interaction_count, 0) AS interaction_count, e.interaction_types, e.last_interaction
+FROM cust_geo c LEFT JOIN t ON c.c_custkey = t.customer_id LEFT JOIN e ON c.c_custkey = e.customer_id""")
+
+SQL["window_pairs"] = """
+SELECT e.event_id, e.user_id, e.ts,
+  (SELECT COUNT(*) FROM events f WHERE f.user_id = e.user_id AND f.ts >= e.ts - INTERVAL 24 HOUR AND f.ts < e.ts)
+    AS neighbors_within
+FROM events e"""

@@ -297,3 +297,90 @@ def q_fuzzy_pairs(spark, sf):
     reps = D.fuzzy_reps(_table(spark, sf, "part"), ["p_name"], "p_partkey", collapse=False)
     return (D.fuzzy_candidates(reps, ["p_name"], 0.5)
             .select(F.col("_a").alias("a_partkey"), F.col("_b").alias("b_partkey"), "similarity"))
+
+
+# ---- silver transforms, flattening, joins -----------------------------------
+from strata.operators import joins as J  # noqa: E402
+from strata.operators import silver as SV  # noqa: E402
+
+SILVER_AS_OF = _dt.datetime(2024, 1, 31, 12, 0, 0)
+
+
+@register("silver_contacts")
+def q_silver_contacts(spark, sf):
+    return SV.transform(B.contacts(spark, sf), "crm", SILVER_AS_OF).drop("_processed_at")
+
+
+@register("silver_events")
+def q_silver_events(spark, sf):
+    return SV.transform(B.interactions(spark, sf), "api", SILVER_AS_OF).drop("_processed_at")
+
+
+@register("flatten_events")
+def q_flatten_events(spark, sf):
+    e = _table(spark, sf, "events")
+    nested = e.select("event_id", F.struct(
+        "event_type",
+        F.struct(F.from_json("props", "k bigint").getField("k").alias("k"), "value").alias("detail")
+    ).alias("metadata"))
+    return SV.flatten_struct(nested)
+
+
+@register("flatten_contacts")
+def q_flatten_contacts(spark, sf):
+    c = _table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    nested = c.select(
+        k.alias("contact_id"),
+        F.struct(F.col("c_acctbal").alias("annual_revenue"), F.col("c_nationkey").alias("employee_count"),
+                 F.col("c_mktsegment").alias("subscription_tier")).alias("custom_fields"),
+        F.when(k % 7 == 0, F.array().cast("array<string>"))
+         .otherwise(F.array(F.lower("c_mktsegment"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))))
+         .alias("tags"))
+    return SV.flatten_contact(nested)
+
+
+def _loads(spark, sf):
+    o = _table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.to_date("o_orderdate").alias("odate"))
+    k = F.col("o_orderkey")
+    cur = (o.where(k % 11 != 0)
+           .withColumn("price", F.when(k % 7 == 0, F.col("price") + 1).otherwise(F.col("price")))
+           .unionByName(o.where(k % 13 == 0).withColumn("o_orderkey", k + 10_000_000)))
+    third = cur.withColumn("o_orderstatus", F.when(k % 5 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    return o, cur, third
+
+
+@register("change_detection")
+def q_change_detection(spark, sf):
+    prev, cur, _ = _loads(spark, sf)
+    return J.change_detection(prev, cur, "o_orderkey", ["o_orderstatus", "price", "odate"])
+
+
+@register("scd2_history")
+def q_scd2_history(spark, sf):
+    a, b, c = _loads(spark, sf)
+    hist = (a.withColumn("load_date", F.lit(_dt.date(2024, 1, 1)))
+            .unionByName(b.withColumn("load_date", F.lit(_dt.date(2024, 1, 2))))
+            .unionByName(c.withColumn("load_date", F.lit(_dt.date(2024, 1, 3)))))
+    return J.scd2(hist, "o_orderkey", ["o_orderstatus", "price", "odate"], "load_date")
+
+
+@register("anti_dimension")
+def q_anti_dimension(spark, sf):
+    valid = _table(spark, sf, "customer").where(F.col("c_custkey") % 10 != 0)
+    return J.not_in_dimension(_table(spark, sf, "orders"), valid, "o_custkey", "c_custkey")
+
+
+@register("customer_360")
+def q_customer_360(spark, sf):
+    contacts = B.customers_geo(spark, sf).withColumnRenamed("c_custkey", "customer_id")
+    ev = _table(spark, sf, "events").withColumnRenamed("user_id", "customer_id")
+    return J.customer_360(contacts, B.txn(spark, sf), ev)
+
+
+@register("window_pairs")
+def q_window_pairs(spark, sf):
+    e = _table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return J.window_neighbors(e, ["user_id"], "ts", "event_id", 24)
