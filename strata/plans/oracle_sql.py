@@ -672,3 +672,130 @@ SELECT e.event_id, e.user_id, e.ts,
   (SELECT COUNT(*) FROM events f WHERE f.user_id = e.user_id AND f.ts >= e.ts - INTERVAL 24 HOUR AND f.ts < e.ts)
     AS neighbors_within
 FROM events e"""
+
+
+# ---- profiles, reports, catalog ---------------------------------------------
+def _median(t: str, x: str) -> str:
+    return (f"(SELECT AVG(v) FROM (SELECT v, ROW_NUMBER() OVER (ORDER BY v) AS rn, COUNT(*) OVER () AS n "
+            f"FROM (SELECT CAST({x} AS DOUBLE) AS v FROM {t} WHERE {x} IS NOT NULL)) "
+            f"WHERE rn = (n + 1) // 2 OR rn = n // 2 + 1)")
+
+
+def _prof(t: str, c: str, dtype: str, numeric: bool, median: bool = True) -> str:
+    stats = (f"ROUND(AVG({c}), 2), ROUND(STDDEV_SAMP({c}), 2), CAST(MIN({c}) AS DOUBLE), CAST(MAX({c}) AS DOUBLE)"
+             + (f", {_median(t, c)}" if median else "")) if numeric else \
+        ("CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)"
+         + (", CAST(NULL AS DOUBLE)" if median else ""))
+    return (f"SELECT '{c}' AS \"column\", '{dtype}' AS dtype, COUNT(*) - COUNT({c}) AS null_count, "
+            f"COUNT(DISTINCT {c}) AS unique_count, {rr(f'(COUNT(*) - COUNT({c})) * 100', 'COUNT(*)', 2)} AS null_pct, "
+            f"{stats} FROM {t}")
+
+
+_PROFILE_COLS = ' AS mean, '  # placeholder for readability
+
+SQL["profile_columns"] = "SELECT * FROM (" + " UNION ALL ".join([
+    _prof("customer", "c_custkey", "bigint", True), _prof("customer", "c_name", "string", False),
+    _prof("customer", "c_nationkey", "int", True), _prof("customer", "c_acctbal", "double", True),
+    _prof("customer", "c_mktsegment", "string", False)]) + ") t(\"column\", dtype, null_count, unique_count, " \
+    "null_pct, mean, std, min, max, median)"
+
+SQL["top_values"] = """
+SELECT "column", value, count, rank FROM (
+  SELECT "column", value, count, ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS rank
+  FROM (SELECT "column", value, COUNT(*) AS count FROM (
+          SELECT 'p_name' AS "column", p_name AS value FROM part UNION ALL
+          SELECT 'p_brand', p_brand FROM part UNION ALL SELECT 'p_type', p_type FROM part)
+        WHERE value IS NOT NULL GROUP BY 1, 2))
+WHERE rank <= 5"""
+
+
+def _quart(c: str, dtype: str, numeric: bool) -> str:
+    stats = (f"ROUND(AVG({c}), 2), ROUND(STDDEV_SAMP({c}), 2), CAST(MIN({c}) AS DOUBLE), CAST(MAX({c}) AS DOUBLE), "
+             f"quantile_cont(CAST({c} AS DOUBLE), 0.25), quantile_cont(CAST({c} AS DOUBLE), 0.75)") if numeric else \
+        "NULL, NULL, NULL, NULL, NULL, NULL"
+    return (f"SELECT '{c}', '{dtype}', COUNT(*) - COUNT({c}), COUNT(DISTINCT {c}), {stats} FROM part")
+
+
+SQL["column_quartiles"] = "SELECT * FROM (" + " UNION ALL ".join([
+    _quart("p_partkey", "bigint", True), _quart("p_size", "int", True),
+    _quart("p_retailprice", "double", True), _quart("p_brand", "string", False)]) + \
+    ") t(\"column\", dtype, null_count, unique_count, mean, std, min, max, q25, q75)"
+
+SQL["outliers_iqr"] = """
+WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
+f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT l.*, f.lo AS lower_fence, f.hi AS upper_fence,
+  CASE WHEN l.l_extendedprice < f.lo THEN 'low' ELSE 'high' END AS outlier_side
+FROM lineitem l, f WHERE l.l_extendedprice < f.lo OR l.l_extendedprice > f.hi"""
+
+SQL["numeric_summary"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", ROUND(CAST(SUM({c}) AS DOUBLE), 2) AS sum, ROUND(AVG({c}), 2) AS mean, "
+    f"CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM lineitem"
+    for c in ["l_quantity", "l_discount", "l_tax"])
+
+_STG_COLS = ["transaction_id", "order_date", "customer_id", "product_sku", "product_name", "category", "quantity",
+             "unit_price", "total_amount", "currency", "payment_method", "status", "warehouse_id", "ship_date",
+             "country", "region", "_source_file", "_row_hash"]
+_NULLS = " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in _STG_COLS)
+
+SQL["completeness_report"] = with_(STG, f""",
+per AS (SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, {rr(f'COUNT(*) FILTER (WHERE {c} IS NULL) * 100', 'COUNT(*)', 2)} AS value FROM stg"
+    for c in _STG_COLS if not c.startswith("_")) + f""") WHERE value > 0)
+SELECT 'overall_completeness_pct' AS metric, CAST(NULL AS VARCHAR) AS "column",
+  {rr(f"(COUNT(*) * {len(_STG_COLS)} - ({_NULLS})) * 100", f"(COUNT(*) * {len(_STG_COLS)})", 2)} AS value FROM stg
+UNION ALL SELECT 'null_pct', col, value FROM per""")
+
+SQL["trend"] = with_(TXN, """,
+d AS (SELECT order_date AS date, ROUND(COALESCE(SUM(total_amount), 0), 2) AS total_revenue
+      FROM txn WHERE order_date IS NOT NULL GROUP BY 1),
+r AS (SELECT *, ROW_NUMBER() OVER (ORDER BY date) AS rn, COUNT(*) OVER () AS n FROM d),
+h AS (SELECT AVG(CASE WHEN rn <= n // 2 THEN total_revenue END) AS f,
+             AVG(CASE WHEN rn > n // 2 THEN total_revenue END) AS s FROM r),
+p AS (SELECT (s - f) / GREATEST(f, 1.0) * 100 AS pct FROM h)
+SELECT CASE WHEN pct > 5 THEN 'increasing' WHEN pct < -5 THEN 'decreasing' ELSE 'stable' END AS trend,
+  ROUND(pct, 4) AS change_pct FROM p""")
+
+SQL["report_sections"] = with_(TXN, f""",
+x AS (SELECT * FROM txn WHERE total_amount IS NOT NULL),
+r AS (SELECT total_amount, ROW_NUMBER() OVER (ORDER BY transaction_id) AS rn, COUNT(*) OVER () AS n FROM x),
+h AS (SELECT (AVG(CASE WHEN rn > n // 2 THEN total_amount END) - AVG(CASE WHEN rn <= n // 2 THEN total_amount END))
+          / GREATEST(AVG(CASE WHEN rn <= n // 2 THEN total_amount END), 1.0) * 100 AS pct FROM r),
+t AS (SELECT CASE WHEN pct > 5 THEN 'increasing' WHEN pct < -5 THEN 'decreasing' ELSE 'stable' END AS trend FROM h),
+s AS (SELECT ROUND(SUM(total_amount), 2) AS total, {money_avg("total_amount")} AS average,
+        ROUND(MEDIAN({cents("total_amount")})) / 100.0 AS median FROM x),
+d AS (SELECT CAST(MIN(order_date) AS VARCHAR) AS a, CAST(MAX(order_date) AS VARCHAR) AS b, COUNT(*) AS n FROM txn)
+SELECT 'revenue_summary' AS section, 'total' AS metric, total AS num_value, CAST(NULL AS VARCHAR) AS text_value FROM s
+UNION ALL SELECT 'revenue_summary', 'average', average, NULL FROM s
+UNION ALL SELECT 'revenue_summary', 'median', median, NULL FROM s
+UNION ALL SELECT 'revenue_summary', 'trend', NULL, trend FROM t
+UNION ALL SELECT 'volume_metrics', 'total_records', CAST(n AS DOUBLE), NULL FROM d
+UNION ALL SELECT 'volume_metrics', 'date_range_start', NULL, a FROM d
+UNION ALL SELECT 'volume_metrics', 'date_range_end', NULL, b FROM d
+UNION ALL SELECT 'narrative', 'summary', NULL,
+  'Total revenue for the period: $' || format('{{:,.2f}}', total) || ' (average: $' || format('{{:,.2f}}', average)
+  || '). Trend: ' || trend || '. Total records processed: ' || format('{{:,d}}', n) || '.' FROM s, t, d
+UNION ALL SELECT * FROM (SELECT 'top_categories', category, ROUND(SUM(total_amount), 2), NULL FROM txn
+  GROUP BY category ORDER BY 3 DESC, category LIMIT 5)""")
+
+_LAYERS = {"bronze": ["orders", "lineitem", "events", "documents", "pages", "conversations"],
+           "silver": ["customer", "supplier", "part", "labels", "embeddings", "benchmark"],
+           "gold": ["nation", "region"]}
+_NCOLS = {"orders": 6, "lineitem": 11, "events": 6, "documents": 5, "pages": 3, "conversations": 4,
+          "customer": 5, "supplier": 4, "part": 6, "labels": 3, "embeddings": 3, "benchmark": 2,
+          "nation": 3, "region": 2}
+
+SQL["list_datasets"] = " UNION ALL ".join(
+    f"SELECT '{ly}' AS layer, '{n}' AS name, '{n} table' AS description, COUNT(*) AS row_count, "
+    f"{_NCOLS[n]} AS column_count FROM {n}" for ly, ns in _LAYERS.items() for n in ns)
+
+SQL["select_datasets"] = " UNION ALL ".join(
+    f"SELECT 'bronze' AS layer, '{n}' AS name, '{n} table' AS description, COUNT(*) AS row_count, "
+    f"{_NCOLS[n]} AS column_count FROM {n}" for n in ["orders", "events"])
+
+SQL["get_schema"] = """
+SELECT column_name, CAST(ordinal_position AS INTEGER) AS ordinal_position, data_type, is_nullable = 'YES' AS is_nullable
+FROM information_schema.columns WHERE table_name = 'lineitem'"""
+
+SQL["adhoc_sql"] = ("SELECT o_orderpriority, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS revenue "
+                    "FROM orders GROUP BY o_orderpriority ORDER BY n DESC, o_orderpriority LIMIT 100")

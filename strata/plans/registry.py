@@ -384,3 +384,84 @@ def q_customer_360(spark, sf):
 def q_window_pairs(spark, sf):
     e = _table(spark, sf, "events").select("event_id", "user_id", "ts")
     return J.window_neighbors(e, ["user_id"], "ts", "event_id", 24)
+
+
+# ---- profiles, reports, catalog ---------------------------------------------
+from strata.operators import profile as P  # noqa: E402
+from strata.plans.catalog import Catalog  # noqa: E402
+
+
+@register("profile_columns")
+def q_profile_columns(spark, sf):
+    return P.profile_columns(_table(spark, sf, "customer"))
+
+
+@register("top_values")
+def q_top_values(spark, sf):
+    return P.top_values(_table(spark, sf, "part"))
+
+
+@register("column_quartiles")
+def q_column_quartiles(spark, sf):
+    return P.column_quartiles(_table(spark, sf, "part"), ["p_partkey", "p_size", "p_retailprice", "p_brand"])
+
+
+@register("outliers_iqr")
+def q_outliers_iqr(spark, sf):
+    return P.iqr_outliers(_table(spark, sf, "lineitem"), "l_extendedprice")
+
+
+@register("numeric_summary")
+def q_numeric_summary(spark, sf):
+    return P.numeric_summary(_table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax"))
+
+
+@register("completeness_report")
+def q_completeness_report(spark, sf):
+    return P.completeness_report(_stg(spark, sf).drop("_loaded_at"))
+
+
+@register("trend")
+def q_trend(spark, sf):
+    daily = R.aggregate_daily(B.txn(spark, sf)).select("date", "total_revenue")
+    return P.trend(daily, "total_revenue", "date")
+
+
+@register("report_sections")
+def q_report_sections(spark, sf):
+    return P.business_report(B.txn(spark, sf), "total_amount", "transaction_id", "order_date", "category")
+
+
+def _catalog(spark, sf):
+    cat = Catalog(spark)
+    layers = {"bronze": ["orders", "lineitem", "events", "documents", "pages", "conversations"],
+              "silver": ["customer", "supplier", "part", "labels", "embeddings", "benchmark"],
+              "gold": ["nation", "region"]}
+    for ly, names in layers.items():
+        for n in names:
+            cat.register(ly, n, _table(spark, sf, n), f"{n} table")
+    return cat
+
+
+@register("list_datasets")
+def q_list_datasets(spark, sf):
+    return _catalog(spark, sf).list_datasets()
+
+
+@register("select_datasets")
+def q_select_datasets(spark, sf):
+    return _catalog(spark, sf).list_datasets(layer="bronze", names=["orders", "events"])
+
+
+@register("get_schema")
+def q_get_schema(spark, sf):
+    return _catalog(spark, sf).get_schema("lineitem")
+
+
+ADHOC_SQL = ("SELECT o_orderpriority, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS revenue "
+             "FROM orders GROUP BY o_orderpriority ORDER BY n DESC, o_orderpriority")
+
+
+@register("adhoc_sql")
+def q_adhoc_sql(spark, sf):
+    return _catalog(spark, sf).query(ADHOC_SQL, limit=100)
