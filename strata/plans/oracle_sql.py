@@ -799,3 +799,55 @@ FROM information_schema.columns WHERE table_name = 'lineitem'"""
 
 SQL["adhoc_sql"] = ("SELECT o_orderpriority, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS revenue "
                     "FROM orders GROUP BY o_orderpriority ORDER BY n DESC, o_orderpriority LIMIT 100")
+
+
+# ---- file sources and sinks -------------------------------------------------
+SQL["read_transactions_csv"] = with_(RAW_ERP, "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM raw_erp")
+
+SQL["read_events_envelope"] = """
+SELECT event_id, ts, user_id, event_type, value, props, '2.1' AS api_version,
+  CAST(floor(event_id / 500) AS BIGINT) AS page FROM events"""
+
+SQL["read_contacts_json"] = """
+SELECT 'CRM-' || CAST(c_custkey AS VARCHAR) AS contact_id, c_name AS first_name,
+  'user' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, 'Co ' || CAST(c_custkey % 97 AS VARCHAR) AS company,
+  CAST(ROUND(c_acctbal * 1000) AS BIGINT) AS cf_annual_revenue, CAST(c_nationkey AS BIGINT) AS cf_employee_count,
+  c_mktsegment AS cf_subscription_tier,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE
+    array_to_string(list_sort([lower(c_mktsegment), 'n' || CAST(c_nationkey AS VARCHAR)]), ',') END AS tags
+FROM customer"""
+
+
+def _infer(c: str, t: str) -> str:
+    v = f"NULLIF(TRIM(CAST({c} AS VARCHAR)), '')"
+    return (f"SELECT '{c}' AS \"column\", '{t}' AS inferred_type, COUNT({v}) AS non_null, "
+            f"COUNT(*) FILTER (WHERE regexp_matches({v}, '^[+-]?[0-9]+$')) AS int_values, COUNT(TRY_CAST({v} AS DOUBLE)) AS numeric_values, "
+            f"COUNT(*) FILTER (WHERE lower({v}) IN ('true', 'yes', 'false', 'no')) AS bool_values FROM customer")
+
+
+SQL["infer_types"] = " UNION ALL ".join([
+    _infer("c_custkey", "bigint"), _infer("c_name", "string"), _infer("c_nationkey", "bigint"),
+    _infer("c_acctbal", "double"), _infer("c_mktsegment", "string")])
+
+SQL["detect_delimiter"] = ("SELECT * FROM (VALUES ('comma', ','), ('semicolon', ';'), ('tab', chr(9)), "
+                           "('pipe', '|')) t(dataset, delimiter)")
+
+SQL["detect_encoding"] = "SELECT * FROM (VALUES ('utf8', 'utf-8'), ('latin1', 'latin-1')) t(dataset, encoding)"
+
+SQL["snapshot_latest"] = "SELECT *, DATE '2024-03-01' AS _snapshot FROM orders"
+
+SQL["list_snapshots"] = "SELECT * FROM (VALUES ('2024-01-01'), ('2024-02-01'), ('2024-03-01')) t(snapshot)"
+
+SQL["sink_partitioned"] = with_(INT_CLEANED, "SELECT * FROM int_cleaned")
+
+SQL["dead_letter"] = with_(VALIDATED_ERP, """
+SELECT transaction_id, _error AS error, DATE '2024-01-31' AS reject_date FROM verr WHERE _error IS NOT NULL""")
+
+SQL["quality_history"] = with_(DQ_REPORT.replace("1998-05-31", "1998-12-31"), "SELECT * EXCLUDE (_raw_score) FROM report")
+
+SQL["run_metrics_json"] = SQL["ingest_metrics"]
+
+SQL["register_table"] = """
+SELECT 1 AS batch, COUNT(*) AS n, 0 AS n_priority, 0 AS n_channel FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL
+SELECT 2, COUNT(*), COUNT(o_orderpriority), COUNT(*) FROM orders WHERE o_orderkey % 2 = 1"""

@@ -465,3 +465,179 @@ ADHOC_SQL = ("SELECT o_orderpriority, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2)
 @register("adhoc_sql")
 def q_adhoc_sql(spark, sf):
     return _catalog(spark, sf).query(ADHOC_SQL, limit=100)
+
+
+# ---- file sources and sinks -------------------------------------------------
+from strata.session import scratch_path  # noqa: E402
+from strata.sources import files as FS  # noqa: E402
+from strata.sources import sinks as SK  # noqa: E402
+
+
+@register("read_transactions_csv")
+def q_read_transactions_csv(spark, sf):
+    path = scratch_path(spark, "erp_csv")
+    FS.write_csv(B.raw_erp(spark, sf), path, sep=";")
+    sep = FS.detect_delimiter(spark, path).select("delimiter").distinct().first()[0]
+    return FS.read_csv_raw(spark, path, M.RAW_COLUMNS, sep=sep)
+
+
+EVENT_ENVELOPE = ("api_version string, request_id string, status string, "
+                  "pagination struct<page:bigint, per_page:int>, "
+                  "data array<struct<event_id:bigint, ts:timestamp_ntz, user_id:bigint, event_type:string, "
+                  "value:double, props:string>>")
+
+
+@register("read_events_envelope")
+def q_read_events_envelope(spark, sf):
+    e = _table(spark, sf, "events")
+    page = F.floor(F.col("event_id") / 500)
+    env = (e.groupBy(page.alias("page"))
+           .agg(F.sort_array(F.collect_list(F.struct("event_id", "ts", "user_id", "event_type", "value", "props")))
+                .alias("data"))
+           .select(F.lit("2.1").alias("api_version"), F.concat(F.lit("req-"), F.col("page").cast("string")).alias("request_id"),
+                   F.lit("success").alias("status"),
+                   F.struct(F.col("page").cast("bigint").alias("page"), F.lit(500).alias("per_page")).alias("pagination"),
+                   "data"))
+    path = scratch_path(spark, "events_env")
+    env.write.mode("overwrite").options(**FS.TS_OPTS).json(path)
+    rows = FS.read_envelope(spark, path, "data", EVENT_ENVELOPE)
+    return rows.select("event_id", "ts", "user_id", "event_type", "value", "props",
+                       F.col("api_metadata.api_version").alias("api_version"),
+                       F.col("api_metadata.pagination.page").alias("page"))
+
+
+CONTACT_JSON = ("contact_id string, first_name string, email string, company string, "
+                "custom_fields struct<annual_revenue:bigint, employee_count:bigint, subscription_tier:string>, "
+                "tags array<string>")
+
+
+@register("read_contacts_json")
+def q_read_contacts_json(spark, sf):
+    c = _table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    rec = F.struct(
+        F.concat(F.lit("CRM-"), k.cast("string")).alias("contact_id"), F.col("c_name").alias("first_name"),
+        F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("Co "), (k % 97).cast("string")).alias("company"),
+        F.struct(F.round(F.col("c_acctbal") * 1000).cast("bigint").alias("annual_revenue"),
+                 F.col("c_nationkey").cast("bigint").alias("employee_count"),
+                 F.col("c_mktsegment").alias("subscription_tier")).alias("custom_fields"),
+        F.when(k % 7 == 0, F.array().cast("array<string>"))
+         .otherwise(F.array(F.lower("c_mktsegment"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))))
+         .alias("tags"))
+    docs = c.groupBy(F.floor(k / 100).alias("_g")).agg(F.to_json(F.collect_list(rec)).alias("value"))
+    path = scratch_path(spark, "contacts_json")
+    docs.select("value").write.mode("overwrite").text(path)
+    return SV.flatten_contact(FS.read_json_array(spark, path, CONTACT_JSON))
+
+
+@register("infer_types")
+def q_infer_types(spark, sf):
+    path = scratch_path(spark, "customer_csv")
+    c = _table(spark, sf, "customer")
+    FS.write_csv(c, path)
+    raw = FS.read_csv_raw(spark, path, c.columns).drop("_corrupt_record")
+    return FS.infer_types(raw)
+
+
+@register("detect_delimiter")
+def q_detect_delimiter(spark, sf):
+    o = _table(spark, sf, "orders")
+    out = None
+    for name, sep in [("comma", ","), ("semicolon", ";"), ("tab", "\t"), ("pipe", "|")]:
+        path = scratch_path(spark, f"orders_{name}")
+        FS.write_csv(o, path, sep=sep)
+        d = FS.detect_delimiter(spark, path).select(F.lit(name).alias("dataset"), "delimiter").distinct()
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@register("detect_encoding")
+def q_detect_encoding(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    out = None
+    for name, enc in [("utf8", "UTF-8"), ("latin1", "ISO-8859-1")]:
+        path = scratch_path(spark, f"docs_{name}")
+        FS.write_csv(docs, path, encoding=enc)
+        d = FS.detect_encoding(spark, path).select(F.lit(name).alias("dataset"), "encoding").distinct()
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def _snapshots(spark, sf):
+    o = _table(spark, sf, "orders")
+    path = scratch_path(spark, "orders_snapshots")
+    snaps = (o.where(F.year("o_orderdate") < 1997).withColumn("snapshot", F.lit("2024-01-01"))
+             .unionByName(o.where(F.year("o_orderdate") < 1999).withColumn("snapshot", F.lit("2024-02-01")))
+             .unionByName(o.withColumn("snapshot", F.lit("2024-03-01"))))
+    SK.write_partitioned(snaps, path, ["snapshot"])
+    return path
+
+
+@register("snapshot_latest")
+def q_snapshot_latest(spark, sf):
+    return FS.read_snapshot(spark, _snapshots(spark, sf))
+
+
+@register("list_snapshots")
+def q_list_snapshots(spark, sf):
+    return FS.list_snapshots(spark, _snapshots(spark, sf))
+
+
+@register("sink_partitioned")
+def q_sink_partitioned(spark, sf):
+    path = scratch_path(spark, "silver_erp")
+    SK.write_partitioned(_silver(spark, sf), path, ["year", "month", "day"])
+    return spark.read.parquet(path)
+
+
+@register("dead_letter")
+def q_dead_letter(spark, sf):
+    v = V.validate_transactions(B.raw_erp(spark, sf), _erp_arrival())
+    _, rejected = V.split(v)
+    path = scratch_path(spark, "rejected")
+    SK.write_dead_letter(rejected, path, _dt.datetime(2024, 1, 31, 12, 0, 0))
+    back = spark.read.parquet(path)
+    return back.select(F.get_json_object("record", "$.transaction_id").alias("transaction_id"), "error", "reject_date")
+
+
+def _dq_checker():
+    return (Q.QualityChecker()
+            .add_completeness_rule("customer_id", 0.95)
+            .add_completeness_rule("email", 0.95)
+            .add_accuracy_rule("quantity", min_value=0, max_value=10000)
+            .add_accuracy_rule("currency", allowed_values=["USD", "MXN", "EUR", "CAD"])
+            .add_accuracy_rule("transaction_id", pattern="[0-9]+-[0-9]+")
+            .add_uniqueness_rule(["transaction_id"])
+            .add_timeliness_rule("order_date", max_age_hours=24)
+            .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
+
+
+@register("quality_history")
+def q_quality_history(spark, sf):
+    path = scratch_path(spark, "quality_reports")
+    stg = _stg(spark, sf)
+    for as_of in (_dt.datetime(1998, 6, 1), _dt.datetime(1999, 1, 1)):
+        rep = _dq_checker().check(stg, "erp_transactions", "bronze", as_of=as_of).drop("_raw_score")
+        SK.append_quality_report(rep, path, as_of)
+    return SK.latest_quality(spark, path).drop("run_ts")
+
+
+@register("run_metrics_json")
+def q_run_metrics_json(spark, sf):
+    v = V.validate_transactions(B.raw_erp(spark, sf), _erp_arrival())
+    path = scratch_path(spark, "run_metrics")
+    m = V.ingest_metrics(v, "erp_transactions", "erp")
+    SK.write_run_metrics(m, path)
+    return spark.read.schema(m.schema).json(path)
+
+
+@register("register_table")
+def q_register_table(spark, sf):
+    o = _table(spark, sf, "orders")
+    path = scratch_path(spark, "orders_batches")
+    o.where(F.col("o_orderkey") % 2 == 0).drop("o_orderpriority").write.parquet(f"{path}/batch=1")
+    o.where(F.col("o_orderkey") % 2 == 1).withColumn("o_channel", F.lit("web")).write.parquet(f"{path}/batch=2")
+    SK.register_table(spark, path, "orders_registered")
+    return spark.sql("SELECT batch, COUNT(*) AS n, COUNT(o_orderpriority) AS n_priority, COUNT(o_channel) AS n_channel "
+                     "FROM orders_registered GROUP BY batch")
