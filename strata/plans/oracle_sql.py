@@ -851,3 +851,41 @@ SQL["register_table"] = """
 SELECT 1 AS batch, COUNT(*) AS n, 0 AS n_priority, 0 AS n_channel FROM orders WHERE o_orderkey % 2 = 0
 UNION ALL
 SELECT 2, COUNT(*), COUNT(o_orderpriority), COUNT(*) FROM orders WHERE o_orderkey % 2 = 1"""
+
+
+# ---- streaming --------------------------------------------------------------
+SQL["stream_ingest_split"] = """
+SELECT * FROM events WHERE event_id IS NOT NULL AND event_id <> 0 AND ts IS NOT NULL"""
+
+SQL["stream_dedup"] = SQL["dedup_window"]
+
+SQL["stream_daily"] = """
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+  event_type, COUNT(*) AS events, SUM(CAST(ROUND(value * 100) AS BIGINT)) / 100.0 AS value_sum
+FROM events GROUP BY 1, 2, 3"""
+
+SQL["stream_sliding"] = """
+WITH s AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS window_start
+           FROM events, UNNEST(range(4)) AS r(k))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, COUNT(*) AS events FROM s GROUP BY 1, 2"""
+
+SQL["stream_session"] = """
+WITH l AS (SELECT user_id, ts, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+f AS (SELECT *, SUM(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM l)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS events
+FROM f GROUP BY user_id, sid"""
+
+SQL["stream_reject_alarm"] = """
+WITH c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, COUNT(*) AS events
+           FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT c.window_start, c.events, p.events AS prev_events
+FROM c JOIN c p ON p.window_start + INTERVAL 5 MINUTE = c.window_start
+WHERE c.events > 1 AND p.events > 1"""
+
+SQL["stream_layers"] = """
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+  replace(lower(CASE WHEN TRIM(event_type) IN ('', 'NULL', 'null', 'None', 'none', 'N/A', 'n/a', 'NA', '#N/A')
+                     THEN NULL ELSE TRIM(event_type) END), ' ', '_') AS event_type,
+  COUNT(*) AS events, SUM(CAST(ROUND(value * 100) AS BIGINT)) / 100.0 AS value_sum
+FROM events GROUP BY 1, 2, 3"""

@@ -641,3 +641,94 @@ def q_register_table(spark, sf):
     SK.register_table(spark, path, "orders_registered")
     return spark.sql("SELECT batch, COUNT(*) AS n, COUNT(o_orderpriority) AS n_priority, COUNT(o_channel) AS n_channel "
                      "FROM orders_registered GROUP BY batch")
+
+
+# ---- streaming --------------------------------------------------------------
+from strata.streaming import streams as ST  # noqa: E402
+
+
+def _event_files(spark, sf):
+    """Events landed as time-ordered file batches (5 days each) for the file source."""
+    e = _table(spark, sf, "events")
+    path = scratch_path(spark, "events_landing")
+    lo = e.agg(F.min("ts"), F.max("ts")).first()
+    n_batches = (lo[1] - lo[0]).days // 5 + 1
+    day = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(lo[0]).cast("timestamp")))
+                  / (5 * 86400 * 1_000_000))
+    for b in range(n_batches):
+        e.where(day == b).write.mode("append").parquet(path)
+    return path, e.schema
+
+
+@register("stream_ingest_split")
+def q_stream_ingest_split(spark, sf):
+    src, schema = _event_files(spark, sf)
+    acc, rej = scratch_path(spark, "stream_acc"), scratch_path(spark, "stream_rej")
+
+    def validate(df):
+        return V.validate_events(df.withColumnRenamed("ts", "timestamp")).withColumnRenamed("timestamp", "ts")
+    ST.ingest_split(spark, src, schema, validate, acc, rej)
+    return spark.read.parquet(acc)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    src, schema = _event_files(spark, sf)
+    out = scratch_path(spark, "stream_dedup")
+    ST.dedup_within(spark, src, schema, ["user_id", "event_type"], "ts", "event_id", 24, out, max_files=1)
+    return spark.read.parquet(out)
+
+
+@register("stream_daily")
+def q_stream_daily(spark, sf):
+    src, schema = _event_files(spark, sf)
+    out = scratch_path(spark, "stream_daily")
+    ST.windowed_counts(spark, src, schema, "ts", "1 day", None, ["event_type"], "value", out)
+    return spark.read.parquet(out)
+
+
+@register("stream_sliding")
+def q_stream_sliding(spark, sf):
+    src, schema = _event_files(spark, sf)
+    out = scratch_path(spark, "stream_sliding")
+    ST.windowed_counts(spark, src, schema, "ts", "1 hour", "15 minutes", [], None, out)
+    return spark.read.parquet(out)
+
+
+@register("stream_session")
+def q_stream_session(spark, sf):
+    src, schema = _event_files(spark, sf)
+    out = scratch_path(spark, "stream_session")
+    ST.session_counts(spark, src, schema, "ts", "30 minutes", ["user_id"], out)
+    return spark.read.parquet(out)
+
+
+@register("stream_reject_alarm")
+def q_stream_reject_alarm(spark, sf):
+    src, schema = _event_files(spark, sf)
+    out = scratch_path(spark, "stream_errors")
+    errors = scratch_path(spark, "stream_error_src")
+    # rejected stand-in: error events, routed by a stateless hop
+    ST.layer_hop(spark, src, schema, lambda s: s.where(F.col("event_type") == "error"), errors)
+    ST.windowed_counts(spark, errors, schema, "ts", "5 minutes", None, [], None, out)
+    return ST.consecutive_alarm(spark.read.parquet(out), threshold=1, period_seconds=300)
+
+
+@register("stream_quality")
+def q_stream_quality(spark, sf):
+    src, schema = _event_files(spark, sf)
+    out = scratch_path(spark, "stream_dq")
+    chk = (Q.QualityChecker().add_completeness_rule("event_type")
+           .add_accuracy_rule("value", min_value=0).add_uniqueness_rule(["event_id"]))
+    ST.quality_per_batch(spark, src, schema, chk, "events", out, max_files=8)
+    return spark.read.parquet(out)
+
+
+@register("stream_layers")
+def q_stream_layers(spark, sf):
+    src, schema = _event_files(spark, sf)
+    silver = scratch_path(spark, "stream_silver")
+    gold = scratch_path(spark, "stream_gold")
+    ST.layer_hop(spark, src, schema, lambda s: SV.transform_api(SV.clean_strings(s)), silver)
+    ST.windowed_counts(spark, silver, schema, "ts", "1 day", None, ["event_type"], "value", gold)
+    return spark.read.parquet(gold)
