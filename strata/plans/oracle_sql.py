@@ -889,3 +889,53 @@ SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 D
                      THEN NULL ELSE TRIM(event_type) END), ' ', '_') AS event_type,
   COUNT(*) AS events, SUM(CAST(ROUND(value * 100) AS BIGINT)) / 100.0 AS value_sum
 FROM events GROUP BY 1, 2, 3"""
+
+
+# ---- pipeline jobs ----------------------------------------------------------
+SQL["bronze_metrics"] = with_(VALIDATED_ERP, f""",
+{CONTACTS.replace(CUST_GEO + ",", "", 1)},
+cr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY contact_id ORDER BY _seq) AS rn FROM contacts),
+cv AS (SELECT (contact_id IS NULL OR TRIM(contact_id) = '') OR (email IS NULL OR TRIM(email) = '')
+          OR (company IS NULL OR TRIM(company) = '')
+          OR (email IS NOT NULL AND email <> '' AND NOT regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}$'))
+          OR COALESCE(deal_value_usd < 0, FALSE)
+          OR (contact_id IS NOT NULL AND contact_id <> '' AND rn > 1) AS bad FROM cr),
+ev AS (SELECT NOT (event_id IS NOT NULL AND event_id <> 0) OR ts IS NULL AS bad FROM events),
+m AS (
+  SELECT 'erp_transactions' AS source_name, 'erp' AS source_type, COUNT(*) AS records_read,
+    COUNT(*) FILTER (WHERE _error IS NULL) AS records_accepted, COUNT(*) FILTER (WHERE _error IS NOT NULL) AS records_rejected FROM verr
+  UNION ALL SELECT 'crm_contacts', 'crm', COUNT(*), COUNT(*) FILTER (WHERE NOT bad), COUNT(*) FILTER (WHERE bad) FROM cv
+  UNION ALL SELECT 'api_events', 'api', COUNT(*), COUNT(*) FILTER (WHERE NOT bad), COUNT(*) FILTER (WHERE bad) FROM ev)
+SELECT source_name, source_type, records_read, records_accepted, records_rejected,
+  CASE WHEN records_read = 0 THEN 0.0 ELSE {rr("records_rejected * 100", "records_read", 2)} END AS rejection_rate_pct,
+  CASE WHEN records_rejected = 0 THEN 'success' WHEN records_accepted > 0 THEN 'partial' ELSE 'failed' END AS status
+FROM m""")
+
+SQL["bronze_to_gold"] = with_(VALIDATED_ERP, f""",
+acc AS (SELECT TRY_CAST(total_amount AS DOUBLE) AS v, TRY_CAST(quantity AS DOUBLE) AS q, customer_id
+        FROM verr WHERE _error IS NULL),
+x AS (SELECT v, {cents("v")} AS c FROM acc WHERE v IS NOT NULL),
+per AS (SELECT customer_id, COALESCE(SUM({cents("v")}), 0) AS c FROM acc WHERE customer_id IS NOT NULL GROUP BY 1),
+ranked AS (SELECT c, ROW_NUMBER() OVER (ORDER BY c DESC) AS rn, COUNT(*) OVER () AS n FROM per)
+SELECT 'revenue' AS kpi_group, 'total_revenue' AS kpi, ROUND(SUM(v), 2) AS value FROM x
+UNION ALL SELECT 'revenue', 'avg_order_value', {money_avg("v")} FROM x
+UNION ALL SELECT 'revenue', 'median_order_value', ROUND(MEDIAN(c)) / 100.0 FROM x
+UNION ALL SELECT 'revenue', 'max_order_value', ROUND(MAX(v), 2) FROM x
+UNION ALL SELECT 'revenue', 'min_order_value', ROUND(MIN(v), 2) FROM x
+UNION ALL SELECT 'revenue', 'std_dev', CASE WHEN COUNT(*) > 1 THEN ROUND(STDDEV_SAMP(v), 2) ELSE 0.0 END FROM x
+UNION ALL SELECT 'revenue', 'total_transactions', CAST(COUNT(*) AS DOUBLE) FROM x
+UNION ALL SELECT 'customer', 'total_unique_customers', CAST(COUNT(*) AS DOUBLE) FROM ranked
+UNION ALL SELECT 'customer', 'avg_revenue_per_customer', {rr("SUM(c)", "(COUNT(*) * 100)", 2)} FROM ranked
+UNION ALL SELECT 'customer', 'max_revenue_customer', MAX(c) / 100.0 FROM ranked
+UNION ALL SELECT 'customer', 'top_10pct_revenue_share',
+  {rr("SUM(CASE WHEN rn <= GREATEST(1, FLOOR(n * 0.1)) THEN c ELSE 0 END) * 100", "GREATEST(SUM(c), 100)", 2)} FROM ranked
+UNION ALL SELECT 'operational', 'avg_quantity_per_order', {rr(f"SUM({cents('q')})", "(COUNT(q) * 100)", 2)} FROM acc
+UNION ALL SELECT 'operational', 'total_units_sold', CAST(CAST(SUM(q) AS BIGINT) AS DOUBLE) FROM acc
+UNION ALL SELECT 'summary', 'record_count', CAST(COUNT(*) AS DOUBLE) FROM acc""")
+
+SQL["union_sources"] = """
+SELECT DISTINCT * FROM (
+  SELECT o_orderkey AS record_id, o_custkey AS customer_id, o_totalprice AS amount, CAST(NULL AS VARCHAR) AS event_type,
+    CAST(NULL AS VARCHAR) AS name, 'orders' AS _source_system FROM orders
+  UNION ALL SELECT event_id, user_id, value, event_type, NULL, 'events' FROM events
+  UNION ALL SELECT NULL, c_custkey, NULL, NULL, c_name, 'customer' FROM customer)"""

@@ -732,3 +732,40 @@ def q_stream_layers(spark, sf):
     ST.layer_hop(spark, src, schema, lambda s: SV.transform_api(SV.clean_strings(s)), silver)
     ST.windowed_counts(spark, silver, schema, "ts", "1 day", None, ["event_type"], "value", gold)
     return spark.read.parquet(gold)
+
+
+# ---- pipeline jobs ----------------------------------------------------------
+from strata.plans import jobs as JB  # noqa: E402
+
+
+def _specs(sf):
+    return [
+        JB.SourceSpec("erp_transactions", "erp", lambda s: B.raw_erp(s, sf),
+                      lambda d: V.validate_transactions(d, _erp_arrival())),
+        JB.SourceSpec("crm_contacts", "crm", lambda s: B.contacts(s, sf),
+                      lambda d: V.validate_contacts(d, [F.col("_seq")])),
+        JB.SourceSpec("api_events", "api", lambda s: B.interactions(s, sf), V.validate_events),
+    ]
+
+
+@register("bronze_metrics")
+def q_bronze_metrics(spark, sf):
+    return JB.bronze(spark, _specs(sf), "run-0001", SILVER_AS_OF).metrics
+
+
+@register("bronze_to_gold")
+def q_bronze_to_gold(spark, sf):
+    br = JB.bronze(spark, _specs(sf)[:1], "run-0001", SILVER_AS_OF)
+    s = JB.silver(br.accepted["erp_transactions"], "erp", SILVER_AS_OF, M.RAW_COLUMNS)
+    return JB.calculate_all(s)
+
+
+@register("union_sources")
+def q_union_sources(spark, sf):
+    o = _table(spark, sf, "orders").select(F.col("o_orderkey").alias("record_id"),
+                                            F.col("o_custkey").alias("customer_id"),
+                                            F.col("o_totalprice").alias("amount"))
+    e = _table(spark, sf, "events").select(F.col("event_id").alias("record_id"), F.col("user_id").alias("customer_id"),
+                                            F.col("value").alias("amount"), "event_type")
+    c = _table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
+    return JB.union_sources({"orders": o, "events": e, "customer": c})
