@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import bindings as B
 from strata.plans import medallion as M
+from strata.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +33,8 @@ def _silver(spark, sf):
 
 @register("fct_daily_metrics")
 def q_fct_daily_metrics(spark, sf):
-    return M.fct_daily_metrics(_silver(spark, sf))
+    # silver is a table by design: written once, read by the three gold aggregates
+    return M.fct_daily_metrics(materialize(_silver(spark, sf), "silver_erp"))
 
 
 @register("stg_transactions")
