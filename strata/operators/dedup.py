@@ -84,6 +84,15 @@ def dedup_metrics(df: DataFrame, deduped: DataFrame, keys: list[str] | None, str
                     .otherwise(F.lit(0.0)).alias("dedup_rate_pct"))
 
 
+def dedup_samples(df: DataFrame, keys: list[str] | None, k: int = 3, per_group: int = 2) -> DataFrame:
+    """Up to ``k`` duplicate groups (smallest keys first) with their size and
+    ``per_group`` sample rows of key values — the report's sample section."""
+    ks = _default_keys(df, keys)
+    groups = (df.groupBy(*ks).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+              .orderBy(*[F.col(c).asc_nulls_first() for c in ks]).limit(k))
+    return groups.select(*ks, "count", F.least(F.col("count"), F.lit(per_group)).alias("sample_rows"))
+
+
 # --------------------------------------------------------------------------
 # anchored time-window dedup
 # --------------------------------------------------------------------------

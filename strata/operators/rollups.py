@@ -86,3 +86,27 @@ def aggregate_by_dimension(df: DataFrame, dimension_col: str, amount_col: str =
     return (g.withColumn("revenue_pct", share).drop("_c")
             .withColumn("_aggregation_type", F.lit(f"by_{dimension_col}"))
             .orderBy(F.col("total_revenue").desc(), F.col(dimension_col)))
+
+
+def interaction_daily(events: DataFrame, ts_col: str = "ts", customer_col: str = "user_id",
+                      type_col: str = "event_type", response_col: str = "value",
+                      conversion_type: str = "purchase") -> DataFrame:
+    """Per day: interactions, active customers, new customers (first touch that
+    day), conversions and conversion rate (%), mean response time in minutes.
+
+    First touch is a per-customer minimum (partial aggregation), joined back on
+    the day — no per-customer sort."""
+    d = events.withColumn("date", F.to_date(F.col(ts_col)))
+    first = (d.groupBy(customer_col).agg(F.min("date").alias("date"))
+             .groupBy("date").agg(F.count(F.lit(1)).alias("new_customers")))
+    conv = F.count_if(F.col(type_col) == conversion_type)
+    daily = d.groupBy("date").agg(
+        F.count(F.lit(1)).alias("customer_interactions"),
+        F.count_distinct(customer_col).alias("active_customers"),
+        conv.alias("conversions"),
+        ratio_round(conv * 100, F.count(F.lit(1)), 2).alias("conversion_rate"),
+        (money_avg(F.col(response_col), 4) / 60.0).alias("_resp"))
+    return (daily.join(first, "date", "left")
+            .select("date", "customer_interactions", "active_customers",
+                    F.coalesce("new_customers", F.lit(0)).alias("new_customers"), "conversions",
+                    "conversion_rate", F.round("_resp", 2).alias("avg_response_time_minutes")))

@@ -939,3 +939,21 @@ SELECT DISTINCT * FROM (
     CAST(NULL AS VARCHAR) AS name, 'orders' AS _source_system FROM orders
   UNION ALL SELECT event_id, user_id, value, event_type, NULL, 'events' FROM events
   UNION ALL SELECT NULL, c_custkey, NULL, NULL, c_name, 'customer' FROM customer)"""
+
+
+SQL["interaction_daily"] = f"""
+WITH d AS (SELECT *, CAST(ts AS DATE) AS date FROM events),
+f AS (SELECT date, COUNT(*) AS new_customers FROM (SELECT user_id, MIN(date) AS date FROM d GROUP BY 1) GROUP BY 1),
+g AS (SELECT date, COUNT(*) AS customer_interactions, COUNT(DISTINCT user_id) AS active_customers,
+        COUNT(*) FILTER (WHERE event_type = 'purchase') AS conversions,
+        {rr("COUNT(*) FILTER (WHERE event_type = 'purchase') * 100", "COUNT(*)", 2)} AS conversion_rate,
+        {money_avg("value", 4)} / 60.0 AS resp
+      FROM d GROUP BY date)
+SELECT g.date, customer_interactions, active_customers, COALESCE(new_customers, 0) AS new_customers, conversions,
+  conversion_rate, ROUND(resp, 2) AS avg_response_time_minutes
+FROM g LEFT JOIN f ON g.date = f.date"""
+
+SQL["dedup_sample_groups"] = """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS count, LEAST(COUNT(*), 2) AS sample_rows
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+ORDER BY l_orderkey, l_linenumber LIMIT 3"""

@@ -771,3 +771,13 @@ def q_union_sources(spark, sf):
                                             F.col("value").alias("amount"), "event_type")
     c = _table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
     return JB.union_sources({"orders": o, "events": e, "customer": c})
+
+
+@register("interaction_daily")
+def q_interaction_daily(spark, sf):
+    return R.interaction_daily(_table(spark, sf, "events"))
+
+
+@register("dedup_sample_groups")
+def q_dedup_sample_groups(spark, sf):
+    return D.dedup_samples(_table(spark, sf, "lineitem"), LINE_KEYS, 3)

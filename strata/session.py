@@ -59,10 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
+    """Cut lineage through a table written in the shared checkpoint folder.
+
+    Reliable like ``checkpoint()`` (survives executor loss; never
+    localCheckpoint), but the plan runs once — an eager ``checkpoint()`` of an
+    unpersisted frame computes it twice — and the result is columnar."""
+    return materialize(df, name)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
