@@ -34,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import bigram_jaccard, char_bigrams, norm_key
+from strata.functions.columns import bigram_jaccard, char_bigrams, norm_key, with_scalars
 from strata.session import cut_lineage
 
 
@@ -74,7 +74,7 @@ def dedup_metrics(df: DataFrame, deduped: DataFrame, keys: list[str] | None, str
     else:
         found = df.agg(F.count(F.lit(1)).alias("input")).withColumn("found", F.lit(None).cast("bigint"))
     out = deduped.agg(F.count(F.lit(1)).alias("output"))
-    j = found.crossJoin(out)
+    j = with_scalars(found, out)
     removed = F.col("input") - F.col("output")
     return j.select(F.lit(strategy).alias("strategy"), F.col("input").alias("total_input"),
                     F.col("output").alias("total_output"),

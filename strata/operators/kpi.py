@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import AMOUNT_CANDIDATES, CUSTOMER_CANDIDATES, first_present
+from strata.functions.columns import AMOUNT_CANDIDATES, CUSTOMER_CANDIDATES, first_present, with_scalars
 from strata.functions.numeric import cents, money_avg, ratio_round
 from strata.operators.stats import kth_values
 
@@ -46,7 +46,7 @@ def revenue_kpis(df: DataFrame, amount_col: str | None = None) -> DataFrame:
         F.round(F.min("v"), 2).alias("min_order_value"),
         F.when(F.count(F.lit(1)) > 1, F.round(F.stddev_samp("v"), 2)).otherwise(F.lit(0.0)).alias("std_dev"),
         F.count(F.lit(1)).alias("total_transactions"))
-    return agg.crossJoin(med).select("total_revenue", "avg_order_value", "median_order_value",
+    return with_scalars(agg, med).select("total_revenue", "avg_order_value", "median_order_value",
                                      "max_order_value", "min_order_value", "std_dev", "total_transactions")
 
 
@@ -104,7 +104,8 @@ def distribution(df: DataFrame, col: str, pct: bool = False) -> DataFrame:
     """Value counts (nulls excluded); ``pct`` → share of non-null rows (2 dp)."""
     g = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if pct:
-        g = g.withColumn("pct", ratio_round(F.col("count") * 100, F.sum("count").over(Window.partitionBy()), 2))
+        g = with_scalars(g, g.agg(F.sum("count").alias("_total")))
+        g = g.withColumn("pct", ratio_round(F.col("count") * 100, F.col("_total"), 2)).drop("_total")
     return g.orderBy(F.col("count").desc(), F.col(col))
 
 
@@ -115,7 +116,7 @@ def growth(current: DataFrame, previous: DataFrame, amount_col: str | None = Non
     def side(df: DataFrame, tag: str) -> DataFrame:
         return df.agg(F.coalesce(F.sum(cents(F.col(a).try_cast("double"))), F.lit(0)).alias(f"{tag}_c"),
                       F.count(F.lit(1)).alias(f"{tag}_n"))
-    j = side(current, "cur").crossJoin(side(previous, "prev"))
+    j = with_scalars(side(current, "cur"), side(previous, "prev"))
     cur_c, prev_c, cur_n, prev_n = F.col("cur_c"), F.col("prev_c"), F.col("cur_n"), F.col("prev_n")
     return j.select(
         (cur_c / 100.0).alias("current_period_revenue"),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import with_scalars
 from strata.functions.numeric import ratio_round
 
 # fixed values: layer gates (bronze→silver, silver→gold)
@@ -128,7 +129,7 @@ class QualityChecker:
                      .agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias(f"_uf{j}")))
             else:
                 u = df.agg(F.count(F.lit(1)).alias(f"_uf{j}"))
-            wide = wide.crossJoin(u)
+            wide = with_scalars(wide, u)
             structs.append(self._result(r, F.col(f"_uf{j}"), F.col("_n")))
         order = {id(r): k for k, r in enumerate(self.rules)}
         structs = [s for _, s in sorted(zip([order[id(r)] for r in plain] +

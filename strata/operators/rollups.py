@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import as_date
+from strata.functions.columns import as_date, with_scalars
 from strata.functions.numeric import cents, money_avg, ratio_round
 
 
@@ -77,13 +77,14 @@ def aggregate_monthly(df: DataFrame, date_col: str = "order_date", amount_col: s
 def aggregate_by_dimension(df: DataFrame, dimension_col: str, amount_col: str = "total_amount") -> DataFrame:
     """Revenue per dimension value with its share of the grand total (2 dp).
 
-    The share's denominator is a window over the already aggregated groups
-    (one row per dimension value)."""
+    The share's denominator is a one-row total broadcast to the groups (no
+    single-partition window, however many dimension values there are)."""
     amount = F.col(amount_col).try_cast("double")
     g = (df.where(F.col(dimension_col).isNotNull()).groupBy(dimension_col)
          .agg(*_amount_aggs(amount), F.sum(cents(amount)).alias("_c")))
-    share = ratio_round(F.col("_c") * 100, F.sum("_c").over(Window.partitionBy()), 2)
-    return (g.withColumn("revenue_pct", share).drop("_c")
+    g = with_scalars(g, g.agg(F.sum("_c").alias("_total")))
+    share = ratio_round(F.col("_c") * 100, F.col("_total"), 2)
+    return (g.withColumn("revenue_pct", share).drop("_c", "_total")
             .withColumn("_aggregation_type", F.lit(f"by_{dimension_col}"))
             .orderBy(F.col("total_revenue").desc(), F.col(dimension_col)))
 

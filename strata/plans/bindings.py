@@ -46,8 +46,14 @@ def customers_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "country", "region"))
 
 
-def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+def txn(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
+    """Orders as transactions; an optional [since, until) period is applied to
+    the raw order timestamp so it reaches the Parquet scan (row-group skipping)."""
     o = table(spark, sf_dir, "orders")
+    if since is not None:
+        o = o.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        o = o.where(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
     cg = customers_geo(spark, sf_dir)
     return (o.join(cg, o.o_custkey == cg.c_custkey)
             .select(F.col("o_orderkey").alias("transaction_id"),

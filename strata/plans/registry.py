@@ -4,6 +4,7 @@ group of the inventory.  Clock columns (``_loaded_at`` ...) are pinned by an
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,8 +130,9 @@ def _year(df, y):
 
 @register("period_growth")
 def q_period_growth(spark, sf):
-    t = B.txn(spark, sf)
-    return K.growth(_year(t, 1998), _year(t, 1997))
+    cur = B.txn(spark, sf, _dt.date(1998, 1, 1), _dt.date(1999, 1, 1))
+    prev = B.txn(spark, sf, _dt.date(1997, 1, 1), _dt.date(1998, 1, 1))
+    return K.growth(cur, prev)
 
 
 @register("compare_periods")

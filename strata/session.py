@@ -26,6 +26,14 @@ DEFAULT_CONF = {
 }
 
 
+# cluster defaults (no master given): wide shuffles that AQE coalesces down —
+# 200 partitions would mean ~500 GB per shuffle partition at 100 TB
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "strata") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -33,6 +41,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if master is None:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
