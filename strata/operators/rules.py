@@ -3,9 +3,8 @@
 A source's rules become ``_errors array<string>`` (messages of the rules that
 fail, in a fixed rule order), so accept/reject is a single projection: no
 per-row Python, one pass, and the rejected side keeps its reasons for the
-dead-letter table.  The only shuffle is the duplicate-id rule, a
-``row_number`` over the id (map-side WindowGroupLimit is not applicable here
-because every row is kept, so the id shuffle is the one exchange).
+dead-letter table.  The only shuffle is the duplicate-id rule: the first
+arrival per id is a partially aggregated ``min`` joined back on the id.
 """
 
 from __future__ import annotations
@@ -54,11 +53,23 @@ def truthy(df: DataFrame, name: str) -> Column:
     return c.isNotNull()
 
 
-def duplicate_flag(key: str, order: list[Column]) -> Column:
-    """True for every arrival of a non-empty key after its first one — also when
-    the first arrival is itself rejected for other reasons."""
-    rn = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return F.col(key).isNotNull() & (_s(F.col(key)) != "") & (rn > 1)
+def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_dup") -> DataFrame:
+    """``out`` is true for every arrival of a non-empty key after its first one
+    — also when the first arrival is itself rejected for other reasons.
+
+    Skew-safe: the first arrival per key is a ``min`` over (order columns, row
+    tag) with map-side partial aggregation, joined back on the key (AQE splits
+    a hot key in the join); no window has to hold all rows of one key.  The
+    row tag only separates rows that are identical in every order column, so
+    the result does not depend on which of them is tagged first."""
+    tag = "_row_tag"
+    d = df.withColumn(tag, F.monotonically_increasing_id())
+    probe = F.struct(*[F.col(c) for c in order], F.col(tag))
+    firsts = (d.where(F.col(key).isNotNull() & (_s(F.col(key)) != ""))
+              .groupBy(key).agg(F.min(probe).alias("_first")))
+    j = d.join(firsts, key, "left")
+    return (j.withColumn(out, F.coalesce(probe != F.col("_first"), F.lit(False)))
+            .drop("_first", tag))
 
 
 def with_errors(df: DataFrame, checks: list[tuple[Column, Column]]) -> DataFrame:
@@ -74,7 +85,7 @@ def normalize_erp(raw: DataFrame) -> DataFrame:
                         for c, t in raw.dtypes])
 
 
-def validate_transactions(raw: DataFrame, arrival: list[Column]) -> DataFrame:
+def validate_transactions(raw: DataFrame, arrival: list[str]) -> DataFrame:
     d = normalize_erp(raw)
     q_int = F.col("quantity").try_cast("int")
     amt = F.col("total_amount").try_cast("double")
@@ -93,11 +104,11 @@ def validate_transactions(raw: DataFrame, arrival: list[Column]) -> DataFrame:
         (blank_str(F.col("customer_id")), F.lit("Missing customer_id")),
         (F.col("product_sku").startswith("INVALID"), F.concat(F.lit("Invalid SKU format: "), F.col("product_sku"))),
     ]
-    d = d.withColumn("_dup", duplicate_flag("transaction_id", arrival))
+    d = with_duplicate_flag(d, "transaction_id", arrival)
     return with_errors(d, checks).drop("_dup")
 
 
-def validate_contacts(df: DataFrame, arrival: list[Column]) -> DataFrame:
+def validate_contacts(df: DataFrame, arrival: list[str]) -> DataFrame:
     checks = [(blank_str(F.col(f)), F.lit(f"Missing or empty required field: {f}")) for f in CRM_REQUIRED]
     email = F.col("email")
     checks += [
@@ -106,7 +117,7 @@ def validate_contacts(df: DataFrame, arrival: list[Column]) -> DataFrame:
         (F.col("deal_value_usd") < 0, F.concat(F.lit("Negative deal value: "), _s(F.col("deal_value_usd")))),
         (F.col("_dup"), F.concat(F.lit("Duplicate contact_id: "), F.col("contact_id"))),
     ]
-    d = df.withColumn("_dup", duplicate_flag("contact_id", arrival))
+    d = with_duplicate_flag(df, "contact_id", arrival)
     return with_errors(d, checks).drop("_dup")
 
 

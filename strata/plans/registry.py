@@ -155,7 +155,7 @@ from strata.operators import rules as V  # noqa: E402
 
 
 def _erp_arrival():
-    return [F.col(c).asc_nulls_first() for c in M.RAW_COLUMNS]
+    return list(M.RAW_COLUMNS)
 
 
 @register("validate_transactions")
@@ -166,7 +166,7 @@ def q_validate_transactions(spark, sf):
 
 @register("validate_contacts")
 def q_validate_contacts(spark, sf):
-    v = V.validate_contacts(B.contacts(spark, sf), [F.col("_seq")])
+    v = V.validate_contacts(B.contacts(spark, sf), ["_seq"])
     return v.select("contact_id", "email", "_seq", "_error", "_is_valid")
 
 
@@ -747,7 +747,7 @@ def _specs(sf):
         JB.SourceSpec("erp_transactions", "erp", lambda s: B.raw_erp(s, sf),
                       lambda d: V.validate_transactions(d, _erp_arrival())),
         JB.SourceSpec("crm_contacts", "crm", lambda s: B.contacts(s, sf),
-                      lambda d: V.validate_contacts(d, [F.col("_seq")])),
+                      lambda d: V.validate_contacts(d, ["_seq"])),
         JB.SourceSpec("api_events", "api", lambda s: B.interactions(s, sf), V.validate_events),
     ]
 

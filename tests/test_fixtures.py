@@ -69,7 +69,7 @@ def test_quality_empty_input(spark):
 def test_duplicate_contact_rejected(spark):
     df = spark.createDataFrame([("CRM-001", "a@b.com", "Acme", 10.0, 0), ("CRM-001", "a@b.com", "Acme", 10.0, 1)],
                                "contact_id string, email string, company string, deal_value_usd double, _seq int")
-    v = V.validate_contacts(df, [F.col("_seq")]).orderBy("_seq").collect()
+    v = V.validate_contacts(df, ["_seq"]).orderBy("_seq").collect()
     assert v[0]._is_valid and not v[1]._is_valid
     assert v[1]._error == "Duplicate contact_id: CRM-001"
 
@@ -78,7 +78,7 @@ def test_negative_quantity_and_missing_customer(spark):
     raw = spark.createDataFrame([("T1", "2024-01-01", "", "SKU-1", "-2", "10.0", "USD", "Completed")],
                                 "transaction_id string, order_date string, customer_id string, product_sku string, "
                                 "quantity string, total_amount string, currency string, status string")
-    r = V.validate_transactions(raw, [F.col("transaction_id")]).first()
+    r = V.validate_transactions(raw, ["transaction_id"]).first()
     assert r._error == "Non-positive quantity: -2; Missing customer_id"
 
 
@@ -196,8 +196,7 @@ def test_schema_strict_and_drop(spark):
 def test_accept_plus_reject_equals_read(spark):
     from strata.plans import bindings as B
     from strata.plans import medallion as M
-    v = V.validate_transactions(B.raw_erp(spark, "/root/testdata/sf0.001"),
-                                [F.col(c).asc_nulls_first() for c in M.RAW_COLUMNS])
+    v = V.validate_transactions(B.raw_erp(spark, "/root/testdata/sf0.001"), list(M.RAW_COLUMNS))
     a, r = V.split(v)
     assert a.count() + r.count() == v.count()
 
