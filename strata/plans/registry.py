@@ -760,7 +760,8 @@ def q_bronze_metrics(spark, sf):
 @register("bronze_to_gold")
 def q_bronze_to_gold(spark, sf):
     br = JB.bronze(spark, _specs(sf)[:1], "run-0001", SILVER_AS_OF)
-    s = JB.silver(br.accepted["erp_transactions"], "erp", SILVER_AS_OF, M.RAW_COLUMNS)
+    # silver is a table: written once, read by every KPI group
+    s = materialize(JB.silver(br.accepted["erp_transactions"], "erp", SILVER_AS_OF, M.RAW_COLUMNS), "silver_erp")
     return JB.calculate_all(s)
 
 
