@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,24 +87,22 @@ def dedup_within(spark: SparkSession, src: str, schema: T.StructType, keys: list
 
     def fold(key, pdfs, state):
         last = state.get[0] if state.exists else None
-        kept = []
-        for pdf in pdfs:
-            kept.append(pdf)
-        if not kept:
+        pdf = pd.concat(list(pdfs))
+        if pdf.empty:
             return
-        pdf = pd.concat(kept).sort_values([ts_col, id_col], kind="mergesort")
-        t = pdf[ts_col].astype("int64") // 1000  # ns → µs
-        mask = []
-        for v in t.tolist():
-            if last is None or v > last + win:
-                mask.append(True)
-                last = v
-            else:
-                mask.append(False)
-        state.update((int(last),))
-        res = pdf[mask]
-        if len(res):
-            yield res
+        pdf = pdf.sort_values([ts_col, id_col], kind="mergesort")
+        t = pdf[ts_col].to_numpy(dtype="datetime64[us]").astype(np.int64)
+        # greedy anchored walk: jump straight to the first event after anchor + N
+        keep = np.zeros(len(t), dtype=bool)
+        i = 0 if last is None else int(np.searchsorted(t, last + win, side="right"))
+        while i < len(t):
+            keep[i] = True
+            last = int(t[i])
+            i = int(np.searchsorted(t, last + win, side="right"))
+        if last is not None:
+            state.update((last,))
+        if keep.any():
+            yield pdf[keep]
 
     s = file_stream(spark, src, schema, max_files=max_files)
     deduped = s.groupBy(*keys).applyInPandasWithState(
