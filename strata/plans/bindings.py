@@ -81,9 +81,10 @@ def raw_erp(spark: SparkSession, sf_dir: str) -> DataFrame:
     cg = customers_geo(spark, sf_dir).select("c_custkey", "c_mktsegment", "country", "region")
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("int")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(cg, F.col("o_custkey") == cg.c_custkey)
-         .join(p, li.l_partkey == p.p_partkey))
+    # orders ⋈ customer first (the smaller pair), so the lineitem-sized side is
+    # shuffled once, for the order key — not a second time for the customer key
+    oc = o.join(cg, o.o_custkey == cg.c_custkey)
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return j.select(
         F.concat(_s(k), F.lit("-"), _s(F.col("l_linenumber"))).alias("transaction_id"),
         _s(F.to_date("o_orderdate")).alias("order_date"),
