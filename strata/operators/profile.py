@@ -176,3 +176,22 @@ def business_report(df: DataFrame, amount_col: str, order_col: str, date_col: st
                         "num_value", F.lit(None).cast("string").alias("text_value")))
         head = head.unionByName(cats)
     return head
+
+
+def schema_info(df: DataFrame, samples: int = 3) -> DataFrame:
+    """Per column: dtype, non-null and null counts, distinct count and the
+    first ``samples`` distinct non-null values in ascending order."""
+    cols = list(df.columns)
+    spark = df.sparkSession
+    per_value = _long(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_value.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("v").alias("unique_count"))
+    w = Window.partitionBy("column").orderBy(F.col("v"))
+    firsts = (per_value.where(F.col("v").isNotNull()).withColumn("_r", F.row_number().over(w))
+              .where(F.col("_r") <= samples)
+              .groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("v")), " | ").alias("sample_values")))
+    meta = spark.createDataFrame([(c, i + 1, df.schema[c].dataType.simpleString()) for i, c in enumerate(cols)],
+                                 "column string, position int, dtype string")
+    return meta.join(counts, "column").join(firsts, "column", "left")

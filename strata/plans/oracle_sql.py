@@ -957,3 +957,23 @@ SQL["dedup_sample_groups"] = """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS count, LEAST(COUNT(*), 2) AS sample_rows
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
 ORDER BY l_orderkey, l_linenumber LIMIT 3"""
+
+
+def _info(c: str, pos: int, dtype: str) -> str:
+    v = f"CAST({c} AS VARCHAR)"
+    return (f"SELECT '{c}' AS \"column\", {pos} AS position, '{dtype}' AS dtype, COUNT({c}) AS non_null, "
+            f"COUNT(*) - COUNT({c}) AS null_count, COUNT(DISTINCT {v}) AS unique_count, "
+            f"(SELECT array_to_string(list_sort(list(v)), ' | ') FROM (SELECT DISTINCT {v} AS v FROM supplier "
+            f"WHERE {c} IS NOT NULL ORDER BY v LIMIT 3)) AS sample_values FROM supplier")
+
+
+SQL["schema_info"] = " UNION ALL ".join([
+    _info("s_suppkey", 1, "bigint"), _info("s_name", 2, "string"), _info("s_nationkey", 3, "int"),
+    _info("s_acctbal", 4, "double")])
+
+SQL["validate_csv_rows"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS col_0,
+  CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderstatus END AS col_1, o_orderpriority AS col_2,
+  CASE WHEN o_orderkey % 19 = 0 THEN 'Missing required column: col_1' END AS _error,
+  o_orderkey % 19 <> 0 AS _is_valid
+FROM orders"""

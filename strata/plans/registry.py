@@ -784,3 +784,33 @@ def q_interaction_daily(spark, sf):
 @register("dedup_sample_groups")
 def q_dedup_sample_groups(spark, sf):
     return D.dedup_samples(_table(spark, sf, "lineitem"), LINE_KEYS, 3)
+
+
+@register("schema_info")
+def q_schema_info(spark, sf):
+    return P.schema_info(_table(spark, sf, "supplier"))
+
+
+@register("validate_csv_rows")
+def q_validate_csv_rows(spark, sf):
+    """Headerless CSV with two preamble lines per file: skip them, parse, and
+    apply the generic CSV rules (required columns, not-all-blank)."""
+    o = _table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("a"),
+        F.when(F.col("o_orderkey") % 19 == 0, F.lit("")).otherwise(F.col("o_orderstatus")).alias("b"),
+        F.col("o_orderpriority").alias("c"))
+    path = scratch_path(spark, "orders_headerless")
+    n_files = 8
+    # every output file starts with its own two preamble lines: rows are spread
+    # over n_files partition directories, each task sorts preamble (seq 0, 1) first
+    body = o.select(F.pmod(F.xxhash64("a"), F.lit(n_files)).alias("p"), F.lit(2).alias("seq"),
+                    F.concat_ws(",", "a", "b", "c").alias("value"))
+    pre = (spark.range(n_files * 2)
+           .select(F.floor(F.col("id") / 2).alias("p"), (F.col("id") % 2).cast("int").alias("seq"))
+           .select("p", "seq", F.concat(F.lit("# export line "), F.col("seq").cast("string")).alias("value")))
+    (pre.unionByName(body).repartition(n_files, "p").sortWithinPartitions("p", "seq").select("p", "value")
+     .write.mode("overwrite").partitionBy("p").text(path))
+    lines = FS.skip_rows(spark, path, 2)
+    parsed = lines.select(F.from_csv("value", "col_0 string, col_1 string, col_2 string").alias("r")).select("r.*")
+    v = V.validate_csv(parsed, ["col_0", "col_1"])
+    return v.select("col_0", "col_1", "col_2", "_error", "_is_valid")

@@ -215,3 +215,26 @@ def test_dedup_idempotent(spark):
     keys, order = ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     once = D.dedup_exact(li, keys, order)
     assert D.dedup_exact(once, keys, order).count() == once.count()
+
+
+def test_snapshot_json_fallback_and_gzip_csv(spark):
+    import gzip
+    import os
+    base = scratch_path(spark, "lake-json")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.json(base)
+    assert FS.read_snapshot(spark, base).count() == 2          # no parquet → JSON lines
+    gz = scratch_path(spark, "csv-gz")
+    os.makedirs(gz)
+    with gzip.open(os.path.join(gz, "x.csv.gz"), "wt") as f:
+        f.write("a,b\n1,2\n3,4\n")
+    assert FS.read_csv_raw(spark, gz, ["a", "b"]).count() == 2  # .gz read natively
+
+
+def test_skip_rows_headerless(spark):
+    import os
+    path = scratch_path(spark, "skip")
+    os.makedirs(path)
+    with open(os.path.join(path, "f.csv"), "w") as f:
+        f.write("# meta\n# meta2\n1,x\n2,y\n")
+    lines = FS.skip_rows(spark, path, 2)
+    assert sorted(r.value for r in lines.collect()) == ["1,x", "2,y"]
