@@ -43,8 +43,9 @@ def main() -> None:
     spark = get_spark("local[8]", 8)
     lines = ["# Physical plans of the headline queries", "",
              f"Generated by `tools/plan_report.py` on `{sf}` (local[8], AQE on; sizes there decide broadcasts — at",
-             "lake scale the same plans use sort-merge joins where the probes fail). Single-partition exchanges only",
-             "appear over already aggregated per-day frames (day-over-day `lag`).", ""]
+             "lake scale the same plans use sort-merge joins where the probes fail). Single-partition exchanges are",
+             "final merges of global aggregates (one partial row per map task) or the day-over-day `lag` over",
+             "per-day frames — never raw rows.", ""]
     skip = {"dedup_window", "dedup_fuzzy", "stream_daily", "customer_kpis", "revenue_kpis", "profile_columns"}
     for name in HEADLINE:
         if name in skip:      # iterative / eager operators: their plans are a series of jobs
