@@ -145,12 +145,16 @@ def dedup_window(df: DataFrame, keys: list[str], ts_col: str, id_col: str, hours
         tables.append(cut_lineage(
             a.join(b, (F.col("a._key") == F.col("b._key")) & (F.col("a._j") == F.col("b._t")), "left")
              .select(F.col("a._key").alias("_key"), F.col("a._t").alias("_t"), F.col("b._j").alias("_j"))))
-    kept = cut_lineage(nodes.groupBy("_key").agg(F.min("_t").alias("_t")))
-    for lvl in reversed(range(levels)):
+    # the kept set is small (≤ one node per key per window); it is cut every
+    # few levels only, the jump tables (one row per node) are cut at each level
+    kept = nodes.groupBy("_key").agg(F.min("_t").alias("_t"))
+    for i, lvl in enumerate(reversed(range(levels))):
         s, t = kept.alias("s"), tables[lvl].alias("t")
         step = (s.join(t, (F.col("s._key") == F.col("t._key")) & (F.col("s._t") == F.col("t._t")))
                 .select(F.col("s._key").alias("_key"), F.col("t._j").alias("_t")).where(F.col("_t").isNotNull()))
-        kept = cut_lineage(kept.unionByName(step).distinct())
+        kept = kept.unionByName(step).distinct()
+        if i % 4 == 3:
+            kept = cut_lineage(kept)
     kept_ids = kept.join(nodes, ["_key", "_t"]).select("_id")
     # null timestamps: kept only when the key has no timestamped event, and only the first
     first = base.withColumn("_r", F.row_number().over(
