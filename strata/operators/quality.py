@@ -140,6 +140,69 @@ class QualityChecker:
         return wide.select(F.inline(F.array(*structs))).select(
             F.lit(dataset_name).alias("dataset_name"), F.lit(layer).alias("layer"), "*")
 
+    def row_failures(self, df: DataFrame, as_of: _dt.datetime, arrival: list[str] | None = None) -> DataFrame:
+        """Row-level routing for the layer gate: ``_dq_failures`` lists the rules a
+        row fails (rule order), ``_dq_passed`` is true when it fails none.
+
+        The same predicates as ``check``; a uniqueness rule fails every arrival
+        of a key after the first (``arrival`` orders them, skew-safe flag);
+        a rule on a missing column fails every row."""
+        from strata.operators.rules import with_duplicate_flag
+        cols = set(df.columns)
+        out = df
+        checks: list[tuple[Column, str]] = []
+        for i, r in enumerate(self.rules):
+            if r.dimension == "uniqueness":
+                keys = [k for k in r.params["keys"] if k in cols]
+                if not keys:
+                    checks.append((F.lit(True), r.name))
+                    continue
+                flag = f"_uq{i}"
+                key_col = f"_uqk{i}"
+                out = out.withColumn(key_col, F.to_json(F.struct(*[F.col(k) for k in keys])))
+                out = with_duplicate_flag(out, key_col, arrival or list(df.columns), out=flag).drop(key_col)
+                checks.append((F.col(flag), r.name))
+                continue
+            checks.append((self._row_predicate(df, r, as_of), r.name))
+        fails = F.filter(F.array(*[F.when(p, F.lit(n)) for p, n in checks]), lambda x: x.isNotNull())
+        flags = [c for c in out.columns if c.startswith("_uq")]
+        return out.withColumns({"_dq_failures": fails, "_dq_passed": F.size(fails) == 0}).drop(*flags)
+
+    def _row_predicate(self, df: DataFrame, r: Rule, as_of: _dt.datetime) -> Column:
+        cols = set(df.columns)
+        if r.dimension == "consistency":
+            a, b = r.params["a"], r.params["b"]
+            if a not in cols or b not in cols:
+                return F.lit(True)
+            x, y = F.col(a).try_cast("double"), F.col(b).try_cast("double")
+            bad = {"a_lte_b": x > y, "a_gte_b": x < y, "a_equals_b": x != y}.get(r.params["rel"], F.lit(False))
+            return F.coalesce(x.isNotNull() & y.isNotNull() & bad, F.lit(False))
+        if r.column not in cols:
+            return F.lit(True)
+        c = F.col(r.column)
+        if r.dimension == "completeness":
+            return c.isNull() | (F.trim(c.cast("string")) == "")
+        if r.dimension == "accuracy":
+            p = r.params
+            ok = F.lit(True)
+            num = c.try_cast("double")
+            if p.get("min_value") is not None:
+                ok = ok & F.coalesce(num >= F.lit(p["min_value"]), F.lit(False))
+            if p.get("max_value") is not None:
+                ok = ok & F.coalesce(num <= F.lit(p["max_value"]), F.lit(False))
+            if p.get("allowed_values"):
+                ok = ok & F.coalesce(c.isin(list(p["allowed_values"])), F.lit(False))
+            if p.get("pattern"):
+                ok = ok & F.coalesce(c.cast("string").rlike("^(?:" + p["pattern"] + ")"), F.lit(False))
+            return c.isNotNull() & ~ok
+        if r.dimension == "timeliness":
+            t = df.schema[r.column].dataType
+            ts = F.try_to_timestamp(c) if isinstance(t, T.StringType) else c.cast("timestamp")
+            cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(
+                F.lit(0), F.lit(0), F.lit(0), F.lit(float(r.params["max_age_hours"]) * 3600))
+            return F.coalesce(ts < cutoff, F.lit(False))
+        raise ValueError(r.dimension)
+
     @staticmethod
     def _result(r: Rule, failed: Column, den: Column) -> Column:
         d = F.greatest(den, F.lit(1))

@@ -978,3 +978,15 @@ SELECT CAST(o_orderkey AS VARCHAR) AS col_0,
   CASE WHEN o_orderkey % 19 = 0 THEN 'Missing required column: col_1' END AS _error,
   o_orderkey % 19 <> 0 AS _is_valid
 FROM orders"""
+
+SQL["dq_route"] = with_(STG, f""",
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id ORDER BY {_nulls_first(_RAW_ORDER)}) AS rn FROM stg),
+f AS (SELECT transaction_id, concat_ws('; ',
+    CASE WHEN customer_id IS NULL OR TRIM(customer_id) = '' THEN 'completeness_customer_id' END,
+    CASE WHEN quantity IS NOT NULL AND NOT (quantity >= 0 AND quantity <= 10000) THEN 'accuracy_quantity' END,
+    CASE WHEN currency IS NOT NULL AND currency NOT IN ('USD', 'MXN', 'EUR', 'CAD') THEN 'accuracy_currency' END,
+    CASE WHEN rn > 1 THEN 'uniqueness_transaction_id' END,
+    CASE WHEN TRY_CAST(order_date AS TIMESTAMP) < TIMESTAMP '1998-05-31 00:00:00' THEN 'timeliness_order_date' END,
+    CASE WHEN unit_price IS NOT NULL AND total_amount IS NOT NULL AND unit_price > total_amount
+         THEN 'consistency_unit_price_vs_total_amount' END) AS failed_rules FROM r)
+SELECT transaction_id, failed_rules, failed_rules = '' AS _dq_passed FROM f""")

@@ -814,3 +814,17 @@ def q_validate_csv_rows(spark, sf):
     parsed = lines.select(F.from_csv("value", "col_0 string, col_1 string, col_2 string").alias("r")).select("r.*")
     v = V.validate_csv(parsed, ["col_0", "col_1"])
     return v.select("col_0", "col_1", "col_2", "_error", "_is_valid")
+
+
+@register("dq_route")
+def q_dq_route(spark, sf):
+    """Layer-gate routing: every staged row with the quality rules it fails."""
+    chk = (Q.QualityChecker()
+           .add_completeness_rule("customer_id", 0.95)
+           .add_accuracy_rule("quantity", min_value=0, max_value=10000)
+           .add_accuracy_rule("currency", allowed_values=["USD", "MXN", "EUR", "CAD"])
+           .add_uniqueness_rule(["transaction_id"])
+           .add_timeliness_rule("order_date", max_age_hours=24)
+           .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
+    routed = chk.row_failures(_stg(spark, sf), DQ_AS_OF, arrival=list(M.RAW_COLUMNS))
+    return routed.select("transaction_id", F.array_join("_dq_failures", "; ").alias("failed_rules"), "_dq_passed")
