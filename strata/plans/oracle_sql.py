@@ -990,3 +990,5 @@ f AS (SELECT transaction_id, concat_ws('; ',
     CASE WHEN unit_price IS NOT NULL AND total_amount IS NOT NULL AND unit_price > total_amount
          THEN 'consistency_unit_price_vs_total_amount' END) AS failed_rules FROM r)
 SELECT transaction_id, failed_rules, failed_rules = '' AS _dq_passed FROM f""")
+
+SQL["gold_partitioned"] = SQL["fct_daily_metrics"]

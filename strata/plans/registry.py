@@ -828,3 +828,11 @@ def q_dq_route(spark, sf):
            .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
     routed = chk.row_failures(_stg(spark, sf), DQ_AS_OF, arrival=list(M.RAW_COLUMNS))
     return routed.select("transaction_id", F.array_join("_dq_failures", "; ").alias("failed_rules"), "_dq_passed")
+
+
+@register("gold_partitioned")
+def q_gold_partitioned(spark, sf):
+    """Gold fact written as a year/month-partitioned table and read back."""
+    path = scratch_path(spark, "gold_daily")
+    SK.write_partitioned(q_fct_daily_metrics(spark, sf), path, ["year", "month"])
+    return spark.read.parquet(path)
