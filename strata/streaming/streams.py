@@ -63,8 +63,10 @@ def overwrite_each_batch(path: str) -> Callable[[DataFrame, int], None]:
 
 # --------------------------------------------------------------------------
 def ingest_split(spark: SparkSession, src: str, schema: T.StructType,
-                 validate: Callable[[DataFrame], DataFrame], accepted: str, rejected: str) -> None:
-    """Validate every micro-batch once; write both sides."""
+                 validate: Callable[[DataFrame], DataFrame], accepted: str, rejected: str,
+                 checkpoint: str | None = None) -> None:
+    """Validate every micro-batch once; write both sides.  Re-running with the
+    same ``checkpoint`` processes only files that arrived since."""
     def sink(batch: DataFrame, epoch: int) -> None:
         v = validate(batch).persist()
         v.where("_is_valid").drop("_errors", "_error", "_is_valid").write.mode("append").parquet(accepted)
@@ -72,7 +74,7 @@ def ingest_split(spark: SparkSession, src: str, schema: T.StructType,
                                              F.col("_error").alias("error"), F.lit(epoch).alias("batch_id"))
          .write.mode("append").parquet(rejected))
         v.unpersist()
-    run_available_now(file_stream(spark, src, schema), sink, scratch_path(spark, "ckpt-ingest"))
+    run_available_now(file_stream(spark, src, schema), sink, checkpoint or scratch_path(spark, "ckpt-ingest"))
 
 
 def dedup_within(spark: SparkSession, src: str, schema: T.StructType, keys: list[str], ts_col: str,
