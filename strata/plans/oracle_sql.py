@@ -992,3 +992,18 @@ f AS (SELECT transaction_id, concat_ws('; ',
 SELECT transaction_id, failed_rules, failed_rules = '' AS _dq_passed FROM f""")
 
 SQL["gold_partitioned"] = SQL["fct_daily_metrics"]
+
+SQL["weekly_rollup_iso"] = with_(TXN, f"""
+SELECT CAST(isoyear(order_date) AS INTEGER) AS year, CAST(weekofyear(order_date) AS INTEGER) AS week, {_PERIOD_AGGS},
+  'weekly' AS _aggregation_type, 'gold' AS _layer
+FROM txn WHERE order_date IS NOT NULL GROUP BY 1, 2""")
+
+SQL["validate_company_dim"] = """
+WITH d AS (SELECT (['OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING',
+                    'JUNIOR_NOMINA', 'ACME'])[CAST(s_suppkey % 9 + 1 AS INTEGER)] AS company_id,
+                  s_name AS company_name FROM supplier),
+e AS (SELECT company_id, company_name,
+        CASE WHEN company_id IS NOT NULL AND company_id <> '' AND company_id NOT IN
+          ('OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING', 'JUNIOR_NOMINA')
+          THEN 'Unknown company_id: ' || company_id END AS _error FROM d)
+SELECT *, _error IS NULL AS _is_valid FROM e"""

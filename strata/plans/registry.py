@@ -836,3 +836,21 @@ def q_gold_partitioned(spark, sf):
     path = scratch_path(spark, "gold_daily")
     SK.write_partitioned(q_fct_daily_metrics(spark, sf), path, ["year", "month"])
     return spark.read.parquet(path)
+
+
+@register("weekly_rollup_iso")
+def q_weekly_rollup_iso(spark, sf):
+    """Weekly rollup keyed by the ISO week-numbering year (option of AGG-02)."""
+    return R.aggregate_weekly(B.txn(spark, sf), iso_year=True)
+
+
+@register("validate_company_dim")
+def q_validate_company_dim(spark, sf):
+    """Lake company dimension (from suppliers) checked against the allowed company ids."""
+    s = _table(spark, sf, "supplier")
+    company = F.element_at(F.array(*[F.lit(x) for x in B.LAKE_COMPANIES]),
+                           (F.col("s_suppkey") % len(B.LAKE_COMPANIES) + 1).cast("int"))
+    dim = s.select(company.alias("company_id"), F.col("s_name").alias("company_name"),
+                   (F.col("s_acctbal") > 0).alias("is_revenue_company"))
+    v = V.validate_lake(dim, "dim_company")
+    return v.select("company_id", "company_name", "_error", "_is_valid")
