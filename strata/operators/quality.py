@@ -10,6 +10,7 @@ The wide one-row result is exploded into one report row per rule.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -96,6 +97,7 @@ class QualityChecker:
             if p.get("allowed_values"):
                 ok = ok & F.coalesce(c.isin(list(p["allowed_values"])), F.lit(False))
             if p.get("pattern"):
+                re.compile(p["pattern"])        # invalid pattern → rule error (isolated by check)
                 ok = ok & F.coalesce(c.cast("string").rlike("^(?:" + p["pattern"] + ")"), F.lit(False))
             return F.count_if(c.isNotNull() & ~ok), None
         if r.dimension == "timeliness":
@@ -115,7 +117,10 @@ class QualityChecker:
         plain = [r for r in self.rules if r.dimension != "uniqueness"]
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, r in enumerate(plain):
-            failed, den = self._failed_expr(df, r, as_of)
+            try:
+                failed, den = self._failed_expr(df, r, as_of)
+            except Exception:  # noqa: BLE001 — a broken rule scores 0, the others still run
+                failed, den = F.count(F.lit(1)), None
             aggs.append(failed.alias(f"_f{i}"))
             aggs.append((den if den is not None else F.count(F.lit(1))).alias(f"_d{i}"))
         wide = df.agg(*aggs)

@@ -258,3 +258,11 @@ def test_stream_ingest_restarts_from_checkpoint(spark):
     expected = ev.where((F.col("event_id") != 0) & F.col("ts").isNotNull()).count()
     assert n1 < got.count() == expected                # nothing reprocessed, nothing lost
     assert got.select("event_id").distinct().count() == expected
+
+
+def test_broken_rule_is_isolated(spark):
+    chk = (Q.QualityChecker().add_accuracy_rule("transaction_id", pattern="([unclosed")
+           .add_completeness_rule("customer_id"))
+    rep = {r.rule_name: r for r in chk.check(_dirty(spark), "erp", as_of=dt.datetime(2024, 1, 1)).collect()}
+    assert rep["accuracy_transaction_id"].score == 0.0 and not rep["accuracy_transaction_id"].passed
+    assert rep["completeness_customer_id"].score == 0.6
