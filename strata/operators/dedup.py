@@ -241,3 +241,28 @@ def dedup_fuzzy(df: DataFrame, keys: list[str], order_col: str, threshold: float
         status = cut_lineage(new)
     keep = status.where("_kept").select(F.col("_pos").alias(order_col))
     return df.join(keep, order_col, "left_semi")
+
+
+# fixed values: timestamp columns the window strategy looks for, first present wins
+WINDOW_TS_CANDIDATES = ["timestamp", "_ingested_at", "created_at", "event_time"]
+
+
+def deduplicate(df: DataFrame, strategy: str = "exact", key_columns: list[str] | None = None,
+                order: list[str] | None = None, keep: str = "first", window_hours: float = 24.0,
+                similarity_threshold: float = 0.85, id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Strategy dispatch → (deduplicated rows, one-row metrics).
+
+    fuzzy without usable key columns and window without a timestamp column fall
+    back to exact; ``order`` (arrival order) and ``id_col`` (unique row id) make
+    the order-dependent strategies reproducible."""
+    order = order or [c for c in df.columns if not c.startswith("_")]
+    keys = [k for k in (key_columns or []) if k in df.columns]
+    ts = next((c for c in WINDOW_TS_CANDIDATES if c in df.columns), None)
+    if strategy == "fuzzy" and keys and id_col:
+        out = dedup_fuzzy(df, keys, id_col, similarity_threshold)
+    elif strategy == "window" and ts and id_col:
+        out = dedup_window(df, keys or [c for c in df.columns if not c.startswith("_") and c != id_col],
+                           ts, id_col, window_hours)
+    else:
+        strategy, out = "exact", dedup_exact(df, keys or None, order, keep)
+    return out, dedup_metrics(df, out, keys or None, strategy)

@@ -266,3 +266,12 @@ def test_broken_rule_is_isolated(spark):
     rep = {r.rule_name: r for r in chk.check(_dirty(spark), "erp", as_of=dt.datetime(2024, 1, 1)).collect()}
     assert rep["accuracy_transaction_id"].score == 0.0 and not rep["accuracy_transaction_id"].passed
     assert rep["completeness_customer_id"].score == 0.6
+
+
+def test_deduplicate_dispatch_fallbacks(spark):
+    df = spark.createDataFrame([(1, "A", 5), (2, "A", 5), (3, "B", 1)], "id int, k string, v int")
+    out, m = D.deduplicate(df, "window", ["k"], order=["id"], id_col="id")   # no timestamp column
+    r = m.first()
+    assert r.strategy == "exact" and out.count() == 2 and r.duplicates_found == 2 and r.duplicates_removed == 1
+    out, m = D.deduplicate(df, "fuzzy", [], order=["id"], id_col="id")      # no key columns
+    assert m.first().strategy == "exact" and out.count() == 3
