@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,7 +97,7 @@ def chunks(batch: pa.RecordBatch, text: str, chunk_bytes: int) -> Iterator[pa.Re
     n = batch.num_rows
     if not n:
         return
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0)).astype(np.int64) + 64
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0)).astype(np.int64) + 64
     ends = np.cumsum(sizes)
     start = 0
     while start < n:

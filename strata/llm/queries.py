@@ -19,8 +19,30 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_hex().alias("fingerprint"), "component_id")
 
 
+def op2_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          end_id=1, capacity=2048)
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from strata.llm.bpe import encode_decode
+    from strata.llm.common import ship
+
+    ship(spark)
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                         public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op2_slack_packing": op2_slack_packing,
+    "op3_byte_bpe": op3_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
