@@ -39,10 +39,26 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.PATTERN)
 
 
+def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.sharding import shard_documents
+
+    out = shard_documents(table(spark, sf_dir, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.merkle import compare_edits
+
+    return compare_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_kd_sharding": op4_kd_sharding,
+    "op5_merkle_fingerprints": op5_merkle_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {}
