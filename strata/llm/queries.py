@@ -53,12 +53,19 @@ def op5_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.recompress import repeats
+
+    return repeats(table(spark, sf_dir, "documents"), window=20)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_kd_sharding": op4_kd_sharding,
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
+    "op6_recompression_dedup": op6_recompression_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
