@@ -59,6 +59,16 @@ def op6_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"), window=20)
 
 
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op7_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"), held_out=_remainder(4) == 2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
@@ -66,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_kd_sharding": op4_kd_sharding,
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_recompression_dedup": op6_recompression_dedup,
+    "op7_hyperdimensional_langid": op7_hyperdimensional_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {}
