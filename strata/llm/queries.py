@@ -69,6 +69,12 @@ def op7_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), held_out=_remainder(4) == 2)
 
 
+def op10_rp_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.rpforest import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_recompression_dedup": op6_recompression_dedup,
     "op7_hyperdimensional_langid": op7_hyperdimensional_langid,
+    "op10_rp_forest_dedup": op10_rp_forest_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
