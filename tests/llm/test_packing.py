@@ -45,6 +45,17 @@ def test_plan_uses_every_piece_once():
     assert plan({}) == []
 
 
+def test_ids_are_those_of_the_tokenizers_library():
+    from test_bpe import ODD
+
+    from strata.llm.packing import _encoder
+    t, encode, rnd = Tokenizer.from_file(PATH), _encoder(PATH), random.Random(9)
+    texts = ODD + ["<|endoftext|>", "a <|endoftext|>b", "<|endoftext| >"]
+    texts += ["".join(rnd.choice(" \n\tabthe 'sé1.日  ") for _ in range(rnd.randrange(80))) for _ in range(500)]
+    for x in texts:
+        assert encode(x).tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
 def check_cover(rows, texts):
     t = Tokenizer.from_file(PATH)
     by_doc, by_seq = defaultdict(list), defaultdict(list)
