@@ -69,6 +69,13 @@ def op7_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), held_out=_remainder(4) == 2)
 
 
+def op9_knn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=_remainder(3) == 1,
+                    threshold=0.7)
+
+
 def op10_rp_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.rpforest import near_duplicates
 
@@ -83,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_recompression_dedup": op6_recompression_dedup,
     "op7_hyperdimensional_langid": op7_hyperdimensional_langid,
+    "op9_knn_toxicity": op9_knn_toxicity,
     "op10_rp_forest_dedup": op10_rp_forest_dedup,
 }
 
