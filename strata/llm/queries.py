@@ -69,6 +69,12 @@ def op7_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), held_out=_remainder(4) == 2)
 
 
+def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
 def op9_knn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.toxicity import toxicity
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op5_merkle_fingerprints": op5_merkle_fingerprints,
     "op6_recompression_dedup": op6_recompression_dedup,
     "op7_hyperdimensional_langid": op7_hyperdimensional_langid,
+    "op8_boosted_pii": op8_boosted_pii,
     "op9_knn_toxicity": op9_knn_toxicity,
     "op10_rp_forest_dedup": op10_rp_forest_dedup,
 }
