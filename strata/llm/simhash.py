@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,5 +158,21 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The documents without near-duplicates: of each group the one of smallest doc_id stays.
+    Rows that share a doc_id count as one document, of which the first text stays."""
+    own = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    kept = simhash_groups(docs, shingle, radius).select(own.alias("_id"), "component_id").filter(
+        F.col("_id") == F.col("component_id"))
+    kept = kept.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    scratch = Scratch(docs.sparkSession)
+    kept = scratch.write(kept, "kept")
+    out = docs.withColumn("_id", own).join(kept.select("_id").hint("shuffle_hash"), "_id", "left_semi")
+    if kept.filter("_n > 1").limit(1).count():
+        first = Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_first())
+        out = out.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
+    return out.select(*docs.columns)
+
+
 def simhash_hex(c: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(c)), 16, "0"))

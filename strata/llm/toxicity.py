@@ -27,6 +27,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -238,32 +239,35 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS, evidence: int = 3)
     index_b = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the vocabulary
 
     def run(cols: dict) -> dict:
-        index = index_b.value
-        hot, cold, known = _MEMO.setdefault(id(index), ({}, set(), {}))
-        if len(cold) > 500_000:
-            cold.clear()
-        scores, why = [], []
-        for text in cols["text"]:
-            c = _counts(text, index.terms, hot, cold)
-            if not c or not index.ids:
-                scores.append(index.no_term)
-                why.append([])
-                continue
-            key = tuple(sorted(c.items()))
-            if key not in known:
-                vote, near = index.vote(*index.vector(c), k)
-                if len(known) > 100_000:
-                    known.clear()
-                known[key] = index.calibrated(vote), [i for n in near[:evidence] for i in index.ids[n]][:evidence]
-            s, e = known[key]
-            scores.append(s)
-            why.append(e)
-        return {"doc_id": cols["doc_id"], "held_out": cols["held_out"], "score": scores, "evidence": why}
+        told = scores(index_b.value, cols["text"], k)
+        return {"doc_id": cols["doc_id"], "held_out": cols["held_out"], "score": [s for s, _ in told],
+                "evidence": [e[:evidence] for _, e in told]}
 
     return map_columns(docs.select("doc_id", "held_out", "text"), run,
                        "doc_id long, held_out boolean, score double, evidence array<long>")
 
 
+def scores(index: Index, texts: list, k: int) -> list[tuple[float, list[int]]]:
+    """Score and evidence of each text; a worker keeps what it knows of parts and vectors."""
+    hot, cold, known = _MEMO.setdefault(id(index), ({}, set(), {}))
+    if len(cold) > 500_000:
+        cold.clear()
+    out = []
+    for text in texts:
+        c = _counts(text, index.terms, hot, cold)
+        if not c or not index.ids:
+            out.append((index.no_term, []))
+            continue
+        key = tuple(sorted(c.items()))
+        if key not in known:
+            vote, near = index.vote(*index.vector(c), k)
+            if len(known) > 100_000:
+                known.clear()
+            known[key] = index.calibrated(vote), [i for n in near[:8] for i in index.ids[n][:8]]
+        out.append(known[key])
+    return out
+
+
 _MEMO: dict[int, tuple] = {}
 
 
@@ -274,3 +278,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: fl
     out = score(docs.withColumn("held_out", held), index, bounds.get("k", NEIGHBOURS))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
                       "evidence")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, k: int = NEIGHBOURS,
+               **bounds) -> DataFrame:
+    """The documents whose score is under `threshold`, with all their columns."""
+    spark = docs.sparkSession
+    index = fit(Scratch(spark), docs, labels, ~F.coalesce(held_out, F.lit(False)), k=k, **bounds)
+    index_b = spark.sparkContext.broadcast(index)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([s for s, _ in scores(index_b.value, list(texts), k)], dtype="float64")
+
+    return docs.filter(F.pandas_udf(run, "double")("text") < threshold)
