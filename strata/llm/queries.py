@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_boosted_pii": op8_boosted_pii,
     "op9_knn_toxicity": op9_knn_toxicity,
     "op10_rp_forest_dedup": op10_rp_forest_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}

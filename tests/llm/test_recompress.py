@@ -13,8 +13,8 @@ from strata.llm.recompress import anchors, remove_repeats, repeats, rounds
 from llm_helpers import SF_SMALL
 
 
-def brute(docs, w=20):
-    """docs: (doc_id, text) in order; {doc_id: (n_words, n_removed, kept)}."""
+def brute(docs, w=20, keep=False):
+    """docs: (doc_id, text) in order; {doc_id: (n_words, n_removed, kept)}; keep: the new text, None if unchanged."""
     seen, out = {}, {}
     for i, t in docs:
         words = (t or "").encode().split()
@@ -24,6 +24,8 @@ def brute(docs, w=20):
                 cut.update(range(s, s + w))
         kept = b" ".join(x for k, x in enumerate(words) if k not in cut)
         out[i] = (len(words), len(cut), hashlib.sha256(kept).hexdigest())
+        if keep:
+            out[i] = kept.decode() if cut else None
     return out
 
 
