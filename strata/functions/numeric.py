@@ -3,8 +3,8 @@
 Money columns carry two decimals; averages and shares of them land exactly on
 half points (x.xx5) often enough that "round the double" differs between
 engines.  These helpers round in exact integer arithmetic (decimal(38,0) and
-integral division; half away from zero), identical everywhere and free of
-bigint overflow for lake-sized sums.
+integral division; half away from zero), identical everywhere.  Sums of cents are
+decimal(38,0), so they neither overflow a bigint nor depend on the order of rows.
 """
 
 from __future__ import annotations
@@ -15,9 +15,18 @@ from pyspark.sql import functions as F
 _D = "decimal(38,0)"
 
 
+#: type of cent amounts and of their sums
+CENTS = "decimal(38,0)"
+
+
 def cents(c: Column) -> Column:
-    """Two-decimal money value as an exact bigint number of cents."""
-    return F.round(c * 100).cast("bigint")
+    """Two-decimal money value as an exact whole number of cents."""
+    return F.round(c * 100).cast("decimal(28,0)")
+
+
+def money_sum(c: Column) -> Column:
+    """Exact sum of a two-decimal column (aggregate); null without values."""
+    return F.sum(cents(c)).cast("double") / F.lit(100.0)
 
 
 def ratio_round(num: Column, den: Column, scale: int) -> Column:
@@ -42,8 +51,3 @@ def money_avg(c: Column, scale: int = 2) -> Column:
 def int_avg(c: Column, scale: int) -> Column:
     """Exact mean of an integer column rounded to ``scale`` decimals (aggregate)."""
     return ratio_round(F.sum(c.cast("bigint")), F.count(c), scale)
-
-
-def half_cents_round(v_cents: Column) -> Column:
-    """A value in cents that is an exact integer or .5 → two-decimal money."""
-    return F.round(v_cents, 0) / F.lit(100.0)

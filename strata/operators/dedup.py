@@ -31,11 +31,12 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import bigram_jaccard, char_bigrams, norm_key, with_scalars
-from strata.session import cut_lineage
+from strata.session import cut_lineage, drop_table
 
 
 def _default_keys(df: DataFrame, keys: list[str] | None) -> list[str]:
@@ -188,9 +189,11 @@ def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float) -> Data
         w = Window.partitionBy("_blk", "_pos").orderBy(F.col("_f"), F.col("_tok"))
         pref = (toks.join(freq, "_tok").withColumn("_r", F.row_number().over(w))
                 .where(F.col("_r") <= F.col("_sz") - F.ceil(F.col("_sz") * threshold - 1e-9) + 1)
-                .select("_blk", "_pos", "_tok"))
+                .select("_blk", "_pos", "_tok", "_sz"))
+        # sets of similarity t differ in size by a factor of t at most
         p = (pref.alias("a").join(pref.alias("b"), ["_blk", "_tok"])
-             .where(F.col("a._pos") < F.col("b._pos"))
+             .where((F.col("a._pos") < F.col("b._pos"))
+                    & (F.least("a._sz", "b._sz") >= F.greatest("a._sz", "b._sz") * threshold - 1e-9))
              .select("_blk", F.col("a._pos").alias("_a"), F.col("b._pos").alias("_b")))
         pairs = p if pairs is None else pairs.unionByName(p)
     pairs = pairs.distinct()
@@ -219,27 +222,47 @@ def fuzzy_reps(df: DataFrame, keys: list[str], order_col: str, collapse: bool =
     return cut_lineage(reps)
 
 
+def _settle_alone(edges: DataFrame) -> DataFrame:
+    """Removed rows of a small graph, decided one after the other in one task."""
+    def run(batches):
+        kept: dict = {}
+        rows = sorted((b, a) for batch in batches for a, b in zip(batch["_a"], batch["_b"]))
+        for b, a in rows:  # all edges of b follow one another, and every a < b is decided
+            kept[b] = kept.get(b, True) and not kept.setdefault(a, True)
+        yield pd.DataFrame({"_b": [k for k, v in kept.items() if not v]})
+
+    return edges.coalesce(1).mapInPandas(run, f"_b {edges.schema['_b'].dataType.simpleString()}")
+
+
 def dedup_fuzzy(df: DataFrame, keys: list[str], order_col: str, threshold: float = 0.85,
-                max_rounds: int = 200) -> DataFrame:
-    """Greedy fuzzy dedup; returns the kept rows of ``df``."""
+                alone: int = 100_000) -> DataFrame:
+    """Greedy fuzzy dedup; returns the kept rows of ``df``.
+
+    Rows without an earlier similar row are kept, which removes their neighbours,
+    and so on until no edge between undecided rows is left; each round decides the
+    earliest rows of every group, so none is left over.  A remainder of at most
+    ``alone`` edges (long chains decide one link a round) is settled in one task."""
     reps = fuzzy_reps(df, keys, order_col)
     edges = cut_lineage(fuzzy_candidates(reps, keys, threshold).select("_a", "_b"))
-    status = reps.select("_pos", F.lit(None).cast("boolean").alias("_kept"))
-    for _ in range(max_rounds):
-        und = status.where(F.col("_kept").isNull())
-        if und.limit(1).count() == 0:
-            break
-        st_a = status.select(F.col("_pos").alias("_a"), F.col("_kept").alias("_ka"))
-        inc = edges.join(st_a, "_a").groupBy("_b").agg(
-            F.max(F.col("_ka").cast("int")).alias("_any_kept"),
-            F.max(F.col("_ka").isNull().cast("int")).alias("_any_und"))
-        new = (status.join(inc, status["_pos"] == inc["_b"], "left")
-               .select("_pos", F.when(F.col("_kept").isNotNull(), F.col("_kept"))
-                       .when(F.col("_any_kept") == 1, F.lit(False))
-                       .when(F.coalesce(F.col("_any_und"), F.lit(0)) == 0, F.lit(True))
-                       .otherwise(F.lit(None).cast("boolean")).alias("_kept")))
-        status = cut_lineage(new)
-    keep = status.where("_kept").select(F.col("_pos").alias(order_col))
+    removed = []
+    left = edges.count()
+    while left > alone:
+        later = edges.select(F.col("_b").alias("_a")).distinct()
+        heads = edges.select("_a").distinct().join(later, "_a", "left_anti")
+        gone = cut_lineage(edges.join(heads, "_a", "left_semi").select("_b").distinct())
+        removed.append(gone)
+        rest = cut_lineage(edges.join(heads, "_a", "left_anti").join(gone, "_b", "left_anti")
+                           .join(gone.select(F.col("_b").alias("_a")), "_a", "left_anti"))
+        drop_table(edges)
+        before, left, edges = left, rest.count(), rest
+        if left >= before:
+            raise RuntimeError("fuzzy dedup made no progress")
+    removed.append(_settle_alone(edges))
+    gone = removed[0]
+    for r in removed[1:]:
+        gone = gone.unionByName(r)
+    keep = reps.select(F.col("_pos").alias(order_col)).join(
+        gone.select(F.col("_b").alias(order_col)), order_col, "left_anti")
     return df.join(keep, order_col, "left_semi")
 
 

@@ -2,8 +2,8 @@
 
 Scalar KPI groups are single global aggregations (partial aggregation on
 every map task, one tiny merge).  Order statistics (median, the Pareto
-head) use the exact bracket-refinement in ``strata.operators.stats`` instead
-of a global sort or an exact percentile map.
+head) come from distributed value counts (``strata.operators.stats``); nothing
+is read on the driver.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import AMOUNT_CANDIDATES, CUSTOMER_CANDIDATES, first_present, with_scalars
-from strata.functions.numeric import cents, money_avg, ratio_round
-from strata.operators.stats import kth_values
+from strata.functions.numeric import CENTS, cents, money_avg, money_sum, ratio_round
+from strata.operators.stats import MEDIAN, one_row, ranked, value_counts
 
 
 def _amount(df: DataFrame, amount_col: str | None) -> str:
@@ -25,62 +25,60 @@ def _amount(df: DataFrame, amount_col: str | None) -> str:
 
 def revenue_kpis(df: DataFrame, amount_col: str | None = None) -> DataFrame:
     """total/avg/median/max/min/std (0 when n ≤ 1)/count of non-null amounts."""
-    spark = df.sparkSession
     a = _amount(df, amount_col)
     x = df.select(cents(F.col(a).try_cast("double")).alias("c"), F.col(a).try_cast("double").alias("v")) \
         .where(F.col("v").isNotNull())
-    row = x.agg(F.count(F.lit(1)).alias("n")).first()
-    n = row["n"]
-    median = None
-    if n:
-        lo_r, hi_r = (n + 1) // 2, n // 2 + 1
-        v = kth_values(x, "c", [lo_r, hi_r], n=n)
-        two = v[lo_r] + v[hi_r]                      # twice the median, in cents
-        half = (abs(two) + 1) // 2                   # half away from zero
-        median = (half if two >= 0 else -half) / 100.0
-    med = spark.range(1).select(F.lit(median).cast("double").alias("median_order_value"))
+    middle = one_row(ranked(value_counts(x, ["c"]), MEDIAN), list(MEDIAN))
+    twice = F.col("low") + F.col("high")                     # twice the median, in cents
+    half = F.signum(twice) * F.floor((F.abs(twice) + 1) / 2)  # half away from zero
     agg = x.agg(
-        F.round(F.sum("v"), 2).alias("total_revenue"),
+        money_sum(F.col("v")).alias("total_revenue"),
         money_avg(F.col("v")).alias("avg_order_value"),
         F.round(F.max("v"), 2).alias("max_order_value"),
         F.round(F.min("v"), 2).alias("min_order_value"),
         F.when(F.count(F.lit(1)) > 1, F.round(F.stddev_samp("v"), 2)).otherwise(F.lit(0.0)).alias("std_dev"),
         F.count(F.lit(1)).alias("total_transactions"))
-    return with_scalars(agg, med).select("total_revenue", "avg_order_value", "median_order_value",
-                                     "max_order_value", "min_order_value", "std_dev", "total_transactions")
+    return with_scalars(agg, middle).select(
+        "total_revenue", "avg_order_value", (half.cast("double") / 100.0).alias("median_order_value"),
+        "max_order_value", "min_order_value", "std_dev", "total_transactions")
 
 
 def revenue_by(df: DataFrame, dim: str, amount_col: str | None = None, top: int | None = None) -> DataFrame:
     """Revenue per ``dim`` sorted descending (ties by name); ``top`` keeps the head."""
     a = _amount(df, amount_col)
-    out = (df.groupBy(dim).agg(F.round(F.sum(F.col(a).try_cast("double")), 2).alias("revenue"))
+    out = (df.groupBy(dim).agg(money_sum(F.col(a).try_cast("double")).alias("revenue"))
            .orderBy(F.col("revenue").desc_nulls_last(), F.col(dim).asc_nulls_first()))
     return out.limit(top) if top else out
 
 
 def customer_kpis(df: DataFrame, customer_col: str | None = None, amount_col: str | None = None) -> DataFrame:
     """Distinct customers, mean / max revenue per customer and the share of
-    revenue held by the top max(1, ⌊n/10⌋) customers (denominator max(total, 1))."""
-    spark = df.sparkSession
+    revenue held by the top max(1, ⌊n/10⌋) customers (denominator max(total, 1)).
+
+    Customers with equal revenue collapse into (revenue, customers) rows, which all
+    figures are read from."""
     cc = customer_col or first_present(df, CUSTOMER_CANDIDATES)
     a = _amount(df, amount_col)
     per = (df.where(F.col(cc).isNotNull()).groupBy(cc)
-           .agg(F.coalesce(F.sum(cents(F.col(a).try_cast("double"))), F.lit(0)).alias("c")))
-    s = per.agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("total_c"), F.max("c").alias("max_c")).first()
-    n, total_c = s["n"], s["total_c"] or 0
-    top_c = 0
-    if n:
-        k = max(1, int(n * 0.1))
-        rank = n - k + 1                      # ascending rank of the k-th largest
-        thr = kth_values(per, "c", [rank], n=n)[rank]
-        above = per.where(F.col("c") > thr).agg(F.count(F.lit(1)).alias("m"), F.sum("c").alias("s")).first()
-        top_c = (above["s"] or 0) + (k - above["m"]) * thr
-    den = max(total_c, 100)                   # max(total, 1) in cents
-    return spark.range(1).select(
-        F.lit(n).cast("bigint").alias("total_unique_customers"),
-        ratio_round(F.lit(total_c), F.lit(n * 100), 2).alias("avg_revenue_per_customer"),
-        (F.lit(s["max_c"]).cast("double") / 100.0).alias("max_revenue_customer"),
-        ratio_round(F.lit(top_c * 100), F.lit(den), 2).alias("top_10pct_revenue_share"))
+           .agg(F.coalesce(F.sum(cents(F.col(a).try_cast("double"))), F.lit(0)).cast(CENTS).alias("c")))
+    counts = value_counts(per, ["c"])
+    top = lambda n: F.greatest(F.lit(1), F.floor(n * 0.1))
+    head = ranked(counts, {"least": lambda n: n - top(n) + 1}).agg(
+        F.max("value").alias("least"), F.max(top(F.col("total"))).alias("k"))
+    x, n = F.col("x"), F.col("n")
+    rows = with_scalars(counts, head)
+    above = F.col("x") > F.col("least")
+    s = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(x * n), F.lit(0)).alias("total"),
+                 F.max("x").alias("most"),
+                 F.coalesce(F.sum(F.when(above, x * n)), F.lit(0)).alias("above"),
+                 F.coalesce(F.sum(F.when(above, n)), F.lit(0)).alias("m"),
+                 F.max("least").alias("least"), F.max("k").alias("k"))
+    share = F.coalesce(F.col("above") + (F.col("k") - F.col("m")) * F.col("least"), F.lit(0))
+    return s.select(
+        F.col("n").cast("bigint").alias("total_unique_customers"),
+        ratio_round(F.col("total"), F.col("n") * 100, 2).alias("avg_revenue_per_customer"),
+        (F.col("most").cast("double") / 100.0).alias("max_revenue_customer"),
+        ratio_round(share * 100, F.greatest(F.col("total"), F.lit(100)), 2).alias("top_10pct_revenue_share"))
 
 
 def customers_by(df: DataFrame, dim: str = "country", customer_col: str | None = None) -> DataFrame:
@@ -119,8 +117,8 @@ def growth(current: DataFrame, previous: DataFrame, amount_col: str | None = Non
     j = with_scalars(side(current, "cur"), side(previous, "prev"))
     cur_c, prev_c, cur_n, prev_n = F.col("cur_c"), F.col("prev_c"), F.col("cur_n"), F.col("prev_n")
     return j.select(
-        (cur_c / 100.0).alias("current_period_revenue"),
-        (prev_c / 100.0).alias("previous_period_revenue"),
+        (cur_c.cast("double") / 100.0).alias("current_period_revenue"),
+        (prev_c.cast("double") / 100.0).alias("previous_period_revenue"),
         F.when(prev_c > 0, ratio_round((cur_c - prev_c) * 100, F.greatest(prev_c, F.lit(100)), 2))
          .otherwise(F.lit(0.0)).alias("revenue_growth_pct"),
         cur_n.alias("current_transactions"), prev_n.alias("previous_transactions"),

@@ -4,7 +4,7 @@ Per-column statistics are computed long-format: the frame is unpivoted to
 (column, value) and aggregated twice (per value, then per column) with
 partial aggregation, so distinct counts and top values never need a
 per-column in-memory set and a hot value is combined map-side.  Exact
-medians/quartiles use the bracket refinement in ``stats``.
+medians/quartiles use the value counts of ``stats``.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.numeric import ratio_round
-from strata.operators.stats import exact_quantiles, kth_values
+from strata.functions.columns import with_scalars
+from strata.functions.numeric import cents, money_avg, money_sum, ratio_round
+from strata.operators.stats import MEDIAN, medians, one_row, quantiles, ranked, value_counts
 
 
 def _numeric(df: DataFrame, cols: list[str]) -> list[str]:
@@ -48,16 +49,7 @@ def profile_columns(df: DataFrame, include_medians: bool = True) -> DataFrame:
             F.lit(c).alias("column"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
             F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in nums])))
         if include_medians:
-            med_rows = []
-            for c in nums:
-                x = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-                n = x.count()
-                if n:
-                    v = kth_values(x, "x", [(n + 1) // 2, n // 2 + 1], n=n)
-                    med_rows.append((c, (v[(n + 1) // 2] + v[n // 2 + 1]) / 2.0))
-                else:
-                    med_rows.append((c, None))
-            stats = stats.join(spark.createDataFrame(med_rows, "column string, median double"), "column", "left")
+            stats = stats.join(medians(df, nums), "column", "left")
         out = out.join(stats, "column", "left")
     return out
 
@@ -71,30 +63,27 @@ def top_values(df: DataFrame, k: int = 5) -> DataFrame:
             .select("column", F.col("v").alias("value"), "count", "rank"))
 
 
-def column_quartiles(df: DataFrame, columns: list[str] | None = None, limit: int = 10) -> DataFrame:
-    """Anomaly context for (up to ``limit``) columns: nulls, distinct, mean/std
+def column_quartiles(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Anomaly context for all (or the named) columns: nulls, distinct, mean/std
     (2 dp), min/max and exact linear-interpolation q25/q75 for numeric ones."""
-    spark = df.sparkSession
-    cols = (columns or [c for c in df.columns if not c.startswith("_")])[:limit]
-    rows = []
-    for c in _numeric(df, cols):
-        q = exact_quantiles(df, c, [0.25, 0.75])
-        rows.append((c, q[0], q[1]))
-    qs = spark.createDataFrame(rows, "column string, q25 double, q75 double")
+    cols = columns or [c for c in df.columns if not c.startswith("_")]
     prof = profile_columns(df.select(*cols), include_medians=False).drop("null_pct")
-    return prof.join(qs, "column", "left")
+    nums = _numeric(df, cols)
+    if not nums:
+        return prof.withColumns({"q25": F.lit(None).cast("double"), "q75": F.lit(None).cast("double")})
+    return prof.join(quantiles(df, nums, {"q25": 0.25, "q75": 0.75}), "column", "left")
 
 
 def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """Rows outside [q1 - k·IQR, q3 + k·IQR] of ``column``, with the fences."""
-    q1, q3 = exact_quantiles(df, column, [0.25, 0.75])
-    if q1 is None:
-        return df.limit(0)
-    lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+    q = quantiles(df, [column], {"_q1": 0.25, "_q3": 0.75}).select("_q1", "_q3")
+    d = with_scalars(df, q.agg(F.max("_q1").alias("_q1"), F.max("_q3").alias("_q3")))
+    iqr = F.col("_q3") - F.col("_q1")
+    d = d.withColumns({"lower_fence": F.col("_q1") - k * iqr, "upper_fence": F.col("_q3") + k * iqr})
     c = F.col(column).cast("double")
-    return df.where((c < lo) | (c > hi)).withColumns(
-        {"lower_fence": F.lit(lo), "upper_fence": F.lit(hi),
-         "outlier_side": F.when(c < lo, F.lit("low")).otherwise(F.lit("high"))})
+    low, high = c < F.col("lower_fence"), c > F.col("upper_fence")
+    return (d.where(low | high).drop("_q1", "_q3")
+            .withColumn("outlier_side", F.when(low, F.lit("low")).otherwise(F.lit("high"))))
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:
@@ -129,48 +118,52 @@ def trend(df: DataFrame, value_col: str, order_col: str) -> DataFrame:
     (unique); > +5 % increasing, < -5 % decreasing, else stable; < 2 rows →
     insufficient_data.  The split point is an exact order statistic, so no
     global sort or single-partition window is needed."""
-    x = df.where(F.col(value_col).isNotNull())
-    n = x.count()
-    spark = df.sparkSession
-    if n < 2:
-        return spark.createDataFrame([("insufficient_data", None)], "trend string, change_pct double")
-    mid = n // 2
-    split = kth_values(x, order_col, [mid], n=n)[mid]
-    first = F.col(order_col) <= F.lit(split)
-    a = x.agg(F.avg(F.when(first, F.col(value_col))).alias("f"), F.avg(F.when(~first, F.col(value_col))).alias("s"))
-    pct = (F.col("s") - F.col("f")) / F.greatest(F.col("f"), F.lit(1.0)) * 100
-    return a.select(F.when(pct > 5, "increasing").when(pct < -5, "decreasing").otherwise("stable").alias("trend"),
+    x = df.where(F.col(value_col).isNotNull()).select(F.col(value_col).alias("_v"), F.col(order_col).alias("_o"))
+    split = one_row(ranked(value_counts(x, ["_o"]), {"_split": lambda n: F.greatest(F.floor(n / 2), F.lit(1))}),
+                    ["_split"])
+    first = F.col("_o") <= F.col("_split")
+    a = with_scalars(x, split).agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(first, F.col("_v"))).alias("f"),
+                                   F.avg(F.when(~first, F.col("_v"))).alias("s"))
+    pct = F.when(F.col("n") > 1, (F.col("s") - F.col("f")) / F.greatest(F.col("f"), F.lit(1.0)) * 100)
+    return a.select(F.when(F.col("n") < 2, "insufficient_data").when(pct > 5, "increasing")
+                    .when(pct < -5, "decreasing").otherwise("stable").alias("trend"),
                     F.round(pct, 4).alias("change_pct"))
 
 
 def business_report(df: DataFrame, amount_col: str, order_col: str, date_col: str,
                     category_col: str | None = "category", top: int = 5) -> DataFrame:
     """Long-format daily-business report: (section, metric, num_value, text_value)
-    plus the template narrative."""
-    from strata.functions.numeric import cents, money_avg
-    spark = df.sparkSession
-    x = df.where(F.col(amount_col).isNotNull())
-    n = x.count()
-    med = None
-    if n:
-        cc = x.select(cents(F.col(amount_col)).alias("c"))
-        v = kth_values(cc, "c", [(n + 1) // 2, n // 2 + 1], n=n)
-        two = v[(n + 1) // 2] + v[n // 2 + 1]
-        med = ((abs(two) + 1) // 2 * (1 if two >= 0 else -1)) / 100.0
-    tr = trend(df, amount_col, order_col).first()["trend"]
-    s = x.agg(F.round(F.sum(amount_col), 2).alias("total"), money_avg(F.col(amount_col)).alias("average")).first()
-    d = df.agg(F.min(date_col).cast("string").alias("a"), F.max(date_col).cast("string").alias("b")).first()
-    total_records = df.count()
-    rows = [("revenue_summary", "total", s["total"], None), ("revenue_summary", "average", s["average"], None),
-            ("revenue_summary", "median", med, None), ("revenue_summary", "trend", None, tr),
-            ("volume_metrics", "total_records", float(total_records), None),
-            ("volume_metrics", "date_range_start", None, d["a"]), ("volume_metrics", "date_range_end", None, d["b"])]
-    narrative = (f"Total revenue for the period: ${s['total'] or 0:,.2f} (average: ${s['average'] or 0:,.2f}). "
-                 f"Trend: {tr}. Total records processed: {total_records:,}.")
-    rows.append(("narrative", "summary", None, narrative))
-    head = spark.createDataFrame(rows, "section string, metric string, num_value double, text_value string")
+    plus the template narrative.  One aggregation, the order statistics and the
+    trend are one-row frames; nothing is read on the driver."""
+    amount = F.col(amount_col)
+    s = df.agg(money_sum(amount).alias("total"), money_avg(amount).alias("average"),
+               F.count(F.lit(1)).alias("records"), F.min(date_col).cast("string").alias("from_"),
+               F.max(date_col).cast("string").alias("to_"))
+    middle = one_row(ranked(value_counts(df.select(cents(amount).alias("c")), ["c"]), MEDIAN), list(MEDIAN))
+    s = with_scalars(with_scalars(s, middle), trend(df, amount_col, order_col).select("trend"))
+    twice = F.col("low") + F.col("high")
+    median = (F.signum(twice) * F.floor((F.abs(twice) + 1) / 2)).cast("double") / 100.0
+    money = lambda c: F.format_number(F.coalesce(F.col(c), F.lit(0.0)), 2)
+    narrative = F.concat(
+        F.lit("Total revenue for the period: $"), money("total"), F.lit(" (average: $"), money("average"),
+        F.lit("). Trend: "), F.col("trend"), F.lit(". Total records processed: "), F.format_number("records", 0),
+        F.lit("."))
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def row(section: str, metric: str, num: Column, txt: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), num.alias("num_value"),
+                        txt.alias("text_value"))
+    head = s.select(F.inline(F.array(
+        row("revenue_summary", "total", F.col("total"), text),
+        row("revenue_summary", "average", F.col("average"), text),
+        row("revenue_summary", "median", median, text),
+        row("revenue_summary", "trend", none, F.col("trend")),
+        row("volume_metrics", "total_records", F.col("records").cast("double"), text),
+        row("volume_metrics", "date_range_start", none, F.col("from_")),
+        row("volume_metrics", "date_range_end", none, F.col("to_")),
+        row("narrative", "summary", none, narrative))))
     if category_col and category_col in df.columns:
-        cats = (df.groupBy(category_col).agg(F.round(F.sum(amount_col), 2).alias("num_value"))
+        cats = (df.groupBy(category_col).agg(money_sum(amount).alias("num_value"))
                 .orderBy(F.col("num_value").desc(), F.col(category_col)).limit(top)
                 .select(F.lit("top_categories").alias("section"), F.col(category_col).alias("metric"),
                         "num_value", F.lit(None).cast("string").alias("text_value")))

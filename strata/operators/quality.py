@@ -1,10 +1,11 @@
 """Data-quality rules compiled into a single aggregation pass.
 
-Rules are declared with a fluent builder; ``check`` turns every rule except
-uniqueness into one ``count_if`` inside **one** global aggregation (partial
-aggregation per map task), and each uniqueness rule into its own
-``groupBy(keys).count()`` (map-side combine; skew-safe) reduced to one row.
-The wide one-row result is exploded into one report row per rule.
+Rules are declared with a fluent builder.  One predicate per rule says whether a
+row fails; ``check`` counts it with ``count_if`` and ``row_failures`` lists it.  All
+counts are taken per key of the first uniqueness rule and then summed, so one scan
+and one shuffle give them together (partial aggregation; skew-safe); each further
+uniqueness rule is its own ``groupBy(keys).count()``.  The wide one-row result is
+exploded into one report row per rule.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import with_scalars
+from strata.functions.columns import blank, with_scalars
 from strata.functions.numeric import ratio_round
 
 # fixed values: layer gates (bronze→silver, silver→gold)
@@ -70,26 +71,26 @@ class QualityChecker:
         return self
 
     # ------------------------------------------------------------------
-    def _failed_expr(self, df: DataFrame, r: Rule, as_of: _dt.datetime) -> tuple[Column, Column | None]:
-        """(failed-count aggregate, denominator aggregate or None → row count)."""
-        cols = set(df.columns)
+    def _predicate(self, df: DataFrame, r: Rule, as_of: _dt.datetime,
+                   hours: float | None = None) -> tuple[Column, Column | None]:
+        """(row fails the rule, row counts for it or None: every row); never null.
+
+        Report and row routing both read it.  A missing column or a rule that does
+        not compile fails every row."""
+        fails = F.lit(True)
+        needed = [r.params["a"], r.params["b"]] if r.dimension == "consistency" else [r.column]
+        if any(c not in df.columns for c in needed):
+            return fails, None
+        c = F.col(needed[0])
         if r.dimension == "consistency":
-            a, b = r.params["a"], r.params["b"]
-            if a not in cols or b not in cols:
-                return F.count(F.lit(1)), None
-            x, y = F.col(a).try_cast("double"), F.col(b).try_cast("double")
-            both = x.isNotNull() & y.isNotNull()
+            x, y = c.try_cast("double"), F.col(needed[1]).try_cast("double")
             bad = {"a_lte_b": x > y, "a_gte_b": x < y, "a_equals_b": x != y}.get(r.params["rel"], F.lit(False))
-            return F.count_if(both & bad), F.count_if(both)
-        if r.column not in cols:
-            return F.count(F.lit(1)), None
-        c = F.col(r.column)
+            both = x.isNotNull() & y.isNotNull()
+            return F.coalesce(both & bad, F.lit(False)), both
         if r.dimension == "completeness":
-            return F.count_if(c.isNull() | (F.trim(c.cast("string")) == "")), None
+            return blank(c), None
         if r.dimension == "accuracy":
-            p = r.params
-            ok = F.lit(True)
-            num = c.try_cast("double")
+            p, ok, num = r.params, F.lit(True), c.try_cast("double")
             if p.get("min_value") is not None:
                 ok = ok & F.coalesce(num >= F.lit(p["min_value"]), F.lit(False))
             if p.get("max_value") is not None:
@@ -97,54 +98,82 @@ class QualityChecker:
             if p.get("allowed_values"):
                 ok = ok & F.coalesce(c.isin(list(p["allowed_values"])), F.lit(False))
             if p.get("pattern"):
-                re.compile(p["pattern"])        # invalid pattern → rule error (isolated by check)
+                try:
+                    re.compile(p["pattern"])
+                except re.error:
+                    return fails, None
                 ok = ok & F.coalesce(c.cast("string").rlike("^(?:" + p["pattern"] + ")"), F.lit(False))
-            return F.count_if(c.isNotNull() & ~ok), None
+            return c.isNotNull() & ~ok, None
         if r.dimension == "timeliness":
-            t = df.schema[r.column].dataType
-            ts = F.try_to_timestamp(c) if isinstance(t, T.StringType) else c.cast("timestamp")
-            cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), F.lit(float(r.params["max_age_hours"]) * 3600))
-            return F.count_if(ts.isNotNull() & (ts < cutoff)), None
+            cutoff = _cutoff(as_of, hours or r.params["max_age_hours"])
+            return F.coalesce(_timestamp(df, r.column) < cutoff, F.lit(False)), None
         raise ValueError(r.dimension)
 
+    def _broken(self, df: DataFrame, r: Rule) -> bool:
+        """The rule's column is missing or its pattern does not compile: score 0, also on empty input."""
+        if r.dimension == "uniqueness":
+            return not [k for k in r.params["keys"] if k in df.columns]
+        needed = [r.params["a"], r.params["b"]] if r.dimension == "consistency" else [r.column]
+        if any(c not in df.columns for c in needed):
+            return True
+        try:
+            re.compile(r.params.get("pattern") or "")
+        except re.error:
+            return True
+        return False
+
     def check(self, df: DataFrame, dataset_name: str, layer: str = "silver",
-              as_of: _dt.datetime | None = None) -> DataFrame:
+              as_of: _dt.datetime | None = None, transition: str | None = None) -> DataFrame:
         """One row per rule: rule_name, dimension, column, score (4 dp), passed,
         threshold, severity, total_records, failed_records (+ dataset, layer)."""
         as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         spark = df.sparkSession
-        plain = [r for r in self.rules if r.dimension != "uniqueness"]
+        hours = LAYER_GATES[transition]["timeliness_hours"] if transition else None
+        if not self.rules:
+            return spark.createDataFrame([], "rule_name string")
+        # with one uniqueness rule every rule's counts are first taken per key, then
+        # summed: one scan and one shuffle serve all of them
+        unique = [r for r in self.rules if r.dimension == "uniqueness" and not self._broken(df, r)]
         aggs = [F.count(F.lit(1)).alias("_n")]
-        for i, r in enumerate(plain):
-            try:
-                failed, den = self._failed_expr(df, r, as_of)
-            except Exception:  # noqa: BLE001 — a broken rule scores 0, the others still run
-                failed, den = F.count(F.lit(1)), None
-            aggs.append(failed.alias(f"_f{i}"))
-            aggs.append((den if den is not None else F.count(F.lit(1))).alias(f"_d{i}"))
-        wide = df.agg(*aggs)
-        structs = []
-        for i, r in enumerate(plain):
-            structs.append(self._result(r, F.col(f"_f{i}"), F.col(f"_d{i}")))
-        for j, r in enumerate(r for r in self.rules if r.dimension == "uniqueness"):
+        for i, r in enumerate(self.rules):
+            if r.dimension == "uniqueness":
+                continue
+            failed, counts = self._predicate(df, r, as_of, hours)
+            aggs += [F.count_if(failed).alias(f"_f{i}"),
+                     (F.count_if(counts) if counts is not None else F.count(F.lit(1))).alias(f"_d{i}")]
+        if unique:
+            keys = [k for k in unique[0].params["keys"] if k in df.columns]
+            per = df.groupBy(*keys).agg(*aggs)
+            again = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in per.columns[len(keys):]]
+            wide = per.agg(*again, F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"_f{self.rules.index(unique[0])}"))
+        else:
+            wide = df.agg(*aggs)
+        for r in unique[1:]:
+            i = self.rules.index(r)
             keys = [k for k in r.params["keys"] if k in df.columns]
-            if keys:
-                u = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"))
-                     .agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias(f"_uf{j}")))
-            else:
-                u = df.agg(F.count(F.lit(1)).alias(f"_uf{j}"))
-            wide = with_scalars(wide, u)
-            structs.append(self._result(r, F.col(f"_uf{j}"), F.col("_n")))
-        order = {id(r): k for k, r in enumerate(self.rules)}
-        structs = [s for _, s in sorted(zip([order[id(r)] for r in plain] +
-                                            [order[id(r)] for r in self.rules if r.dimension == "uniqueness"],
-                                            structs), key=lambda t: t[0])]
-        if not structs:
-            return spark.createDataFrame([], "rule_name string")
+            per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"))
+            wide = with_scalars(wide, per.agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias(f"_f{i}")))
+        structs = []
+        for i, r in enumerate(self.rules):
+            have = wide.columns
+            failed = F.col(f"_f{i}") if f"_f{i}" in have else F.col("_n")
+            den = F.col(f"_d{i}") if f"_d{i}" in have else F.col("_n")
+            structs.append(self._result(r, failed, den, self._broken(df, r)))
         return wide.select(F.inline(F.array(*structs))).select(
             F.lit(dataset_name).alias("dataset_name"), F.lit(layer).alias("layer"), "*")
 
+    def sample_failures(self, df: DataFrame, k: int = 5) -> DataFrame:
+        """For each uniqueness rule the k smallest repeated keys (JSON) with their row counts."""
+        out = df.sparkSession.createDataFrame([], "rule_name string, key string, rows bigint")
+        for r in self.rules:
+            if r.dimension == "uniqueness" and not self._broken(df, r):
+                keys = [c for c in r.params["keys"] if c in df.columns]
+                out = out.unionByName(
+                    df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+                    .select(F.lit(r.name).alias("rule_name"), F.to_json(F.struct(*keys)).alias("key"), "rows")
+                    .orderBy("key").limit(k))
+        return out
+
     def row_failures(self, df: DataFrame, as_of: _dt.datetime, arrival: list[str] | None = None) -> DataFrame:
         """Row-level routing for the layer gate: ``_dq_failures`` lists the rules a
         row fails (rule order), ``_dq_passed`` is true when it fails none.
@@ -168,60 +197,34 @@ class QualityChecker:
                 out = with_duplicate_flag(out, key_col, arrival or list(df.columns), out=flag).drop(key_col)
                 checks.append((F.col(flag), r.name))
                 continue
-            checks.append((self._row_predicate(df, r, as_of), r.name))
+            checks.append((self._predicate(df, r, as_of)[0], r.name))
         fails = F.filter(F.array(*[F.when(p, F.lit(n)) for p, n in checks]), lambda x: x.isNotNull())
         flags = [c for c in out.columns if c.startswith("_uq")]
         return out.withColumns({"_dq_failures": fails, "_dq_passed": F.size(fails) == 0}).drop(*flags)
 
-    def _row_predicate(self, df: DataFrame, r: Rule, as_of: _dt.datetime) -> Column:
-        cols = set(df.columns)
-        if r.dimension == "consistency":
-            a, b = r.params["a"], r.params["b"]
-            if a not in cols or b not in cols:
-                return F.lit(True)
-            x, y = F.col(a).try_cast("double"), F.col(b).try_cast("double")
-            bad = {"a_lte_b": x > y, "a_gte_b": x < y, "a_equals_b": x != y}.get(r.params["rel"], F.lit(False))
-            return F.coalesce(x.isNotNull() & y.isNotNull() & bad, F.lit(False))
-        if r.column not in cols:
-            return F.lit(True)
-        c = F.col(r.column)
-        if r.dimension == "completeness":
-            return c.isNull() | (F.trim(c.cast("string")) == "")
-        if r.dimension == "accuracy":
-            p = r.params
-            ok = F.lit(True)
-            num = c.try_cast("double")
-            if p.get("min_value") is not None:
-                ok = ok & F.coalesce(num >= F.lit(p["min_value"]), F.lit(False))
-            if p.get("max_value") is not None:
-                ok = ok & F.coalesce(num <= F.lit(p["max_value"]), F.lit(False))
-            if p.get("allowed_values"):
-                ok = ok & F.coalesce(c.isin(list(p["allowed_values"])), F.lit(False))
-            if p.get("pattern"):
-                ok = ok & F.coalesce(c.cast("string").rlike("^(?:" + p["pattern"] + ")"), F.lit(False))
-            return c.isNotNull() & ~ok
-        if r.dimension == "timeliness":
-            t = df.schema[r.column].dataType
-            ts = F.try_to_timestamp(c) if isinstance(t, T.StringType) else c.cast("timestamp")
-            cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), F.lit(float(r.params["max_age_hours"]) * 3600))
-            return F.coalesce(ts < cutoff, F.lit(False))
-        raise ValueError(r.dimension)
-
     @staticmethod
-    def _result(r: Rule, failed: Column, den: Column) -> Column:
+    def _result(r: Rule, failed: Column, den: Column, broken: bool) -> Column:
         d = F.greatest(den, F.lit(1))
-        raw = 1.0 - failed / d
-        n = F.col("_n")
+        raw = F.lit(0.0) if broken else 1.0 - failed / d
         return F.struct(F.lit(r.name).alias("rule_name"), F.lit(r.dimension).alias("dimension"),
                         F.lit(r.column).cast("string").alias("column"),
-                        ratio_round(d - failed, d, 4).alias("score"),
+                        (F.lit(0.0) if broken else ratio_round(d - failed, d, 4)).alias("score"),
                         (raw >= F.lit(r.threshold)).alias("passed"),
                         F.lit(float(r.threshold)).alias("threshold"), F.lit(r.severity).alias("severity"),
-                        n.alias("total_records"), failed.cast("bigint").alias("failed_records"),
+                        F.col("_n").alias("total_records"), failed.cast("bigint").alias("failed_records"),
                         raw.alias("_raw_score"))
 
 
+def _timestamp(df: DataFrame, column: str) -> Column:
+    t = df.schema[column].dataType
+    return F.try_to_timestamp(F.col(column)) if isinstance(t, T.StringType) else F.col(column).cast("timestamp")
+
+
+def _cutoff(as_of: _dt.datetime, hours: float) -> Column:
+    return F.lit(as_of).cast("timestamp") - F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.lit(float(hours) * 3600))
+
+
 def summary(report: DataFrame) -> DataFrame:
     """overall (unweighted mean, 0.0 with no rules), all_passed, rule counts."""
     return report.agg(
@@ -240,12 +243,13 @@ def dimension_scores(report: DataFrame) -> DataFrame:
 
 
 def gate(report: DataFrame, transition: str = "bronze_to_silver") -> DataFrame:
-    """Dimension scores against the layer gate thresholds."""
-    g = LAYER_GATES[transition]
-    thr = F.create_map(*[x for k, v in g.items() if k != "timeliness_hours"
-                         for x in (F.lit(k), F.lit(float(v)))])
-    d = dimension_scores(report)
-    t = F.element_at(thr, F.col("dimension"))
-    return d.select("dimension", "score", t.alias("gate_threshold"),
-                    F.when(t.isNull(), F.lit(True)).otherwise(F.col("score") >= t).alias("gate_passed"),
-                    F.lit(transition).alias("transition"))
+    """Dimension scores against the layer gate.  A dimension without a share in the
+    gate (consistency; timeliness, whose gate is an age) must reach its rules' own
+    threshold; ``check(transition=...)`` judges row ages by the gate's hours."""
+    shares = {k: v for k, v in LAYER_GATES[transition].items() if k != "timeliness_hours"}
+    known = F.element_at(F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(float(v)))]),
+                         F.col("dimension"))
+    d = report.groupBy("dimension").agg(F.round(F.avg("_raw_score"), 4).alias("score"), F.max("threshold").alias("own"))
+    least = F.coalesce(known, F.col("own"))
+    return d.select("dimension", "score", least.alias("gate_threshold"),
+                    (F.col("score") >= least).alias("gate_passed"), F.lit(transition).alias("transition"))

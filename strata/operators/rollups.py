@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import as_date, with_scalars
-from strata.functions.numeric import cents, money_avg, ratio_round
+from strata.functions.numeric import cents, money_avg, money_sum, ratio_round
 
 
 def top_value(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -24,7 +24,7 @@ def top_value(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame
 
 
 def _amount_aggs(amount: Column) -> list[Column]:
-    return [F.round(F.coalesce(F.sum(amount), F.lit(0.0)), 2).alias("total_revenue"),
+    return [F.coalesce(money_sum(amount), F.lit(0.0)).alias("total_revenue"),
             F.count(amount).alias("transaction_count"),
             money_avg(amount).alias("avg_order_value")]
 
@@ -38,7 +38,7 @@ def aggregate_daily(df: DataFrame, date_col: str = "order_date", amount_col: str
     d = df.withColumn("date", as_date(df, date_col)).where(F.col("date").isNotNull())
     amount = F.col(amount_col).try_cast("double")
     keys = ["date"] + group_cols
-    aggs = [F.round(F.coalesce(F.sum(amount), F.lit(0.0)), 2).alias("total_revenue"),
+    aggs = [F.coalesce(money_sum(amount), F.lit(0.0)).alias("total_revenue"),
             money_avg(amount).alias("avg_order_value"),
             F.min(amount).alias("min_order_value"),
             F.max(amount).alias("max_order_value"),

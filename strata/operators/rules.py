@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import error_list
+from strata.functions.columns import error_list, py_strip
+from strata.session import materialize
 
-# fixed values: rule vocabularies of the connectors
+# fixed values: rule vocabularies of the connectors; the rules' messages below are fixed values too
 ERP_REQUIRED = ["transaction_id", "order_date", "product_sku", "quantity", "total_amount"]
 ERP_STATUSES = ["Completed", "Pending", "Shipped", "Processing", "Cancelled", "Returned"]
 ERP_CURRENCIES = ["USD", "MXN", "EUR", "CAD"]
@@ -25,8 +26,6 @@ CRM_REQUIRED = ["contact_id", "email", "company"]
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 EVENT_ID_FIELDS = ["event_id", "id", "record_id", "transaction_id"]
 EVENT_TIME_FIELDS = ["timestamp", "created_at", "event_time", "date"]
-LAKE_COMPANY_IDS = ["OGGI_MAYOREO", "OGGI_JUNIOR", "OGGI_TEZIUTLAN", "SOF", "BLUSTER",
-                    "DYCLASS", "BUYING", "JUNIOR_NOMINA"]
 LAKE_AMOUNT_FIELDS = ["gross_amount", "precio_unit", "costo_unit", "qty"]
 
 
@@ -35,7 +34,7 @@ def _s(c: Column) -> Column:
 
 
 def blank_str(c: Column) -> Column:
-    return c.isNull() | (F.trim(_s(c)) == "")
+    return c.isNull() | (py_strip(_s(c)) == "")
 
 
 def truthy(df: DataFrame, name: str) -> Column:
@@ -57,19 +56,22 @@ def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_
     """``out`` is true for every arrival of a non-empty key after its first one
     — also when the first arrival is itself rejected for other reasons.
 
-    Skew-safe: the first arrival per key is a ``min`` over (order columns, row
-    tag) with map-side partial aggregation, joined back on the key (AQE splits
-    a hot key in the join); no window has to hold all rows of one key.  The
-    row tag only separates rows that are identical in every order column, so
-    the result does not depend on which of them is tagged first."""
+    The rows are written once with a row number, and both branches read that
+    table, so the source plan runs once and the flag depends on no later plan.
+    The first arrival per key is a ``min`` over the order columns, then all other
+    columns, then the row number, which so only tells identical rows apart: of n
+    copies exactly n - 1 are flagged.  It is partially aggregated and joined back
+    on the key (AQE splits a hot key); no window holds all rows of one key."""
     tag = "_row_tag"
-    d = df.withColumn(tag, F.monotonically_increasing_id())
-    probe = F.struct(*[F.col(c) for c in order], F.col(tag))
-    firsts = (d.where(F.col(key).isNotNull() & (_s(F.col(key)) != ""))
-              .groupBy(key).agg(F.min(probe).alias("_first")))
-    j = d.join(firsts, key, "left")
-    return (j.withColumn(out, F.coalesce(probe != F.col("_first"), F.lit(False)))
-            .drop("_first", tag))
+    d = materialize(df.withColumn(tag, F.monotonically_increasing_id()), "arrivals")
+    rest = [f.name for f in df.schema.fields if f.name not in order
+            and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    probe = F.struct(*[F.col(c) for c in [*order, *rest]], F.col(tag))
+    named = F.col(key).isNotNull() & (_s(F.col(key)) != "")
+    firsts = d.where(named).groupBy(key).agg(F.min(probe).getField(tag).alias("_first"))
+    return (d.join(firsts, key, "left")
+            .withColumn(out, F.coalesce(F.col(tag) != F.col("_first"), F.lit(False)))
+            .select(*df.columns, out))
 
 
 def with_errors(df: DataFrame, checks: list[tuple[Column, Column]]) -> DataFrame:
@@ -81,7 +83,7 @@ def with_errors(df: DataFrame, checks: list[tuple[Column, Column]]) -> DataFrame
 
 def normalize_erp(raw: DataFrame) -> DataFrame:
     """Trim strings and turn blanks into null (quantity/amount typed beside the raw text)."""
-    return raw.select(*[F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) if t == "string" else F.col(c)
+    return raw.select(*[F.nullif(py_strip(F.col(c)), F.lit("")).alias(c) if t == "string" else F.col(c)
                         for c, t in raw.dtypes])
 
 
@@ -125,7 +127,7 @@ def _present_nonblank(df: DataFrame, name: str) -> Column:
     t = df.schema[name].dataType
     c = F.col(name)
     if isinstance(t, T.StringType):
-        return c.isNotNull() & (F.trim(c) != "")
+        return c.isNotNull() & (py_strip(c) != "")
     return c.isNotNull()
 
 
@@ -154,11 +156,12 @@ def validate_csv(df: DataFrame, required: list[str]) -> DataFrame:
     return with_errors(df, checks)
 
 
-def validate_lake(df: DataFrame, dataset: str, company_ids: list[str] = LAKE_COMPANY_IDS) -> DataFrame:
-    """Lake dataset rules; quantities may be negative (returns), other amounts not."""
+def validate_lake(df: DataFrame, dataset: str, company_ids: list[str]) -> DataFrame:
+    """Lake dataset rules; quantities may be negative (returns), other amounts not,
+    and a company must be one of ``company_ids``."""
     def nullish(c: str) -> Column:
         s = _s(F.col(c))
-        return F.col(c).isNull() | (F.trim(s) == "") | (s == "nan") | (s == "NaN")
+        return F.col(c).isNull() | (py_strip(s) == "") | (s == "nan") | (s == "NaN")
     all_null = F.lit(True)
     for c in df.columns:
         all_null = all_null & nullish(c)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import NULL_TOKENS, snake_case
+from strata.functions.columns import NULL_TOKENS, py_strip, snake_case
 
 # fixed values
 DATE_NAME_TOKENS = {"date", "time", "created", "updated", "timestamp"}
@@ -42,7 +42,7 @@ def clean_strings(df: DataFrame, tokens: list[str] = NULL_TOKENS) -> DataFrame:
     for c in df.columns:
         col = F.col(c)
         if _is_str(df, c):
-            v = col if c.startswith("_") else F.trim(col)
+            v = col if c.startswith("_") else py_strip(col)
             v = F.when(v.isin(tokens), F.lit(None).cast("string")).otherwise(v)
             if "email" in c.lower() and not c.startswith("_"):
                 v = F.lower(v)
@@ -78,7 +78,7 @@ def transform_erp(df: DataFrame) -> DataFrame:
     cols = {c: F.col(c).try_cast("double") for c in ("quantity", "unit_price", "total_amount") if c in df.columns}
     out = df.withColumns(cols) if cols else df
     if "currency" in df.columns:
-        out = out.withColumn("currency", F.upper(F.trim("currency")))
+        out = out.withColumn("currency", F.upper(py_strip(F.col("currency"))))
     if all(c in df.columns for c in ("quantity", "unit_price", "total_amount")):
         out = out.withColumn("_amount_validated", F.coalesce(
             F.abs(F.col("quantity") * F.col("unit_price") - F.col("total_amount")) < 0.01, F.lit(False)))
@@ -94,17 +94,17 @@ def transform_api(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def add_partition_columns(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
+def add_partition_columns(df: DataFrame, as_of: _dt.datetime, clock_for_null: bool = False) -> DataFrame:
+    """Year, month and day of the first present source column.  The processing
+    clock stands in when there is no such column, and with ``clock_for_null`` also
+    for rows whose value is missing or does not parse (null partitions otherwise)."""
     src = next((c for c in PARTITION_SOURCES if c in df.columns), None)
     now = F.lit(as_of).cast("timestamp")
     if src is None:
         ts = now
     else:
         t = F.try_to_timestamp(F.col(src)) if _is_str(df, src) else F.col(src).cast("timestamp")
-        # the processing clock only when the column holds no value at all
-        # (bounded probe: stops at the first non-null value)
-        has_any = df.where(t.isNotNull()).limit(1).count() > 0
-        ts = t if has_any else now
+        ts = F.coalesce(t, now) if clock_for_null else t
     return df.withColumns({
         "_partition_year": F.year(ts),
         "_partition_month": F.lpad(F.month(ts).cast("string"), 2, "0"),

@@ -1,96 +1,99 @@
-"""Exact order statistics without sending a column through one task.
-
-``percentile``/``median`` keep a value→count map per group and merge it in
-one final task; for a global statistic over a lake table that map can be as
-large as the column's distinct values.  Here the k-th value is found by
-bracket refinement: ``percentile_approx`` (bounded sketch) narrows a value
-range that must contain the wanted ranks, exact counts verify it, and only
-when fewer than ``collect_limit`` rows are left inside the bracket are those
-rows sorted and read.  Each round shrinks the bracket by ~accuracy/6, so even
-10^12 rows need three rounds.
+"""Exact order statistics as DataFrames: nothing is collected.
+
+All columns and ranks of a call share one pass over the source, which counts rows
+per distinct value (ties collapse before the shuffle) into a table.  Approximate
+quantiles of the distinct values cut each column into up to ``BUCKETS`` value
+ranges; exact counts per range say in which one a wanted rank lies, and only there
+a running sum over (value, count) rows finds it.  A range holds about a
+``BUCKETS``-th of a column's distinct values, so no task sorts a column, and a
+column of one tied value is a single row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
+#: value ranges per column; a multiple of the square of the search step
+BUCKETS, STEP = 1024, 32
+
+
+def value_counts(df: DataFrame, cols: list[str], as_type: str | None = None) -> DataFrame:
+    """(column, x, n): rows per distinct non-null value, stored.  ``as_type`` casts
+    the values; columns must then, or anyway, be of one type."""
+    value = (lambda c: F.col(c).cast(as_type)) if as_type else F.col
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), value(c).alias("x")) for c in cols])
+    counts = (df.select(F.inline(pairs)).where(F.col("x").isNotNull())
+              .groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")))
+    return materialize(counts, "value_counts")
+
+
+def _range_of(x: Column, edges: Column) -> Column:
+    """How many of the sorted edges lie below x, by two short scans."""
+    coarse = F.size(F.filter(F.sequence(F.lit(1), F.floor(F.size(edges) / STEP).cast("int"), F.lit(1)),
+                             lambda i: F.element_at(edges, i * STEP) < x))
+    coarse = F.when(F.size(edges) < STEP, F.lit(0)).otherwise(coarse)
+    return coarse * STEP + F.size(F.filter(F.slice(edges, coarse * STEP + 1, STEP), lambda e: e < x))
+
+
+def ranked(counts: DataFrame, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """(column, label, rank, total, value): for each column of ``counts`` and each
+    label the value at the 1-based ascending rank that the label's function makes of
+    the number of rows."""
+    edges = counts.groupBy("column").agg(F.percentile_approx(
+        "x", [i / BUCKETS for i in range(1, BUCKETS)], F.lit(4 * BUCKETS)).alias("edges"))
+    edges = edges.select("column", F.array_distinct("edges").alias("edges"))
+    ranged = counts.join(F.broadcast(edges), "column").select(
+        "column", "x", "n", _range_of(F.col("x"), F.col("edges")).alias("r"))
+    sums = ranged.groupBy("column", "r").agg(F.sum("n").alias("rows"))
+    by = Window.partitionBy("column")
+    upto = by.orderBy("r").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most BUCKETS rows
+    sums = sums.withColumns({"upto": F.sum("rows").over(upto), "total": F.sum("rows").over(by)})
+    wanted = F.array(*[F.struct(F.lit(k).alias("label"), f(F.col("total")).cast("bigint").alias("rank"))
+                       for k, f in ranks.items()])
+    sums = (sums.select("column", "r", "rows", "upto", "total", F.inline(wanted))
+            .where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("rows"))))
+    inside = ranged.join(F.broadcast(sums), ["column", "r"])
+    run = Window.partitionBy("column", "label").orderBy("x").rowsBetween(Window.unboundedPreceding,
+                                                                         Window.currentRow)
+    at = F.col("upto") - F.col("rows") + F.sum("n").over(run)
+    return (inside.withColumn("_at", at)
+            .where((F.col("rank") <= F.col("_at")) & (F.col("rank") > F.col("_at") - F.col("n")))
+            .select("column", "label", "rank", "total", F.col("x").alias("value")))
+
+
+def one_row(found: DataFrame, labels: list[str]) -> DataFrame:
+    """The values of one column as a row with a field for each label (null if the column is empty)."""
+    return found.agg(*[F.max(F.when(F.col("label") == k, F.col("value"))).alias(k) for k in labels])
+
+
+MEDIAN = {"low": lambda n: F.floor((n + 1) / 2), "high": lambda n: F.floor(n / 2) + 1}
+
+
+def medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, median): the mean of the two middle values; columns without values are absent."""
+    found = ranked(value_counts(df, cols, "double"), MEDIAN)
+    pick = lambda k: F.max(F.when(F.col("label") == k, F.col("value")))
+    return found.groupBy("column").agg(((pick("low") + pick("high")) / 2).alias("median"))
+
 
-def kth_values(df: DataFrame, col: str, ranks: list[int], accuracy: int = 10_000,
-               collect_limit: int = 50_000, n: int | None = None) -> dict[int, object]:
-    """Exact values at 1-based ascending ``ranks`` of non-null ``col``."""
-    x = F.col(col)
-    base = df.select(col).where(x.isNotNull())
-    if n is None:
-        n = base.count()
-    ranks = sorted(set(ranks))
-    if not ranks or n == 0:
-        return {}
-    if ranks[0] < 1 or ranks[-1] > n:
-        raise ValueError("rank out of range")
-    lo: object = None
-    hi: object = None
-    below = 0          # rows strictly below the bracket
-    inside = n         # rows inside the bracket
-    for _ in range(8):
-        cur = _bracket(base, x, lo, hi)
-        if inside <= collect_limit:
-            vals = [r[0] for r in cur.orderBy(x).collect()]
-            return {r: vals[r - below - 1] for r in ranks}
-        eps = 3.0 / accuracy
-        p_lo = max(0.0, (ranks[0] - below) / inside - eps)
-        p_hi = min(1.0, (ranks[-1] - below) / inside + eps)
-        q = cur.agg(F.percentile_approx(x, [p_lo, p_hi], accuracy).alias("q")).first()["q"]
-        qlo, qhi = q[0], q[1]
-        c = cur.agg(F.count_if(x < qlo).alias("lt"),
-                    F.count_if((x >= qlo) & (x <= qhi)).alias("inn")).first()
-        if below + c["lt"] < ranks[0] and below + c["lt"] + c["inn"] >= ranks[-1]:
-            below, inside, lo, hi = below + c["lt"], c["inn"], qlo, qhi
-        else:   # sketch missed: keep the side that is still valid, try again wider
-            if below + c["lt"] < ranks[0]:
-                below, lo = below + c["lt"], qlo
-                inside = inside - c["lt"]
-            accuracy *= 4
-    vals = [r[0] for r in _bracket(base, x, lo, hi).orderBy(x).collect()]
-    return {r: vals[r - below - 1] for r in ranks}
-
-
-def _bracket(base: DataFrame, x: Column, lo, hi) -> DataFrame:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (x >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (x <= F.lit(hi))
-    return base.where(cond)
-
-
-def exact_median(df: DataFrame, col: str, n: int | None = None) -> float | None:
-    x = df.select(col).where(F.col(col).isNotNull())
-    if n is None:
-        n = x.count()
-    if n == 0:
-        return None
-    lo_r, hi_r = (n + 1) // 2, n // 2 + 1
-    v = kth_values(x, col, [lo_r, hi_r], n=n)
-    return (v[lo_r] + v[hi_r]) / 2
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
-    """Linear-interpolation quantiles (pandas/numpy default), exact."""
-    x = df.select(col).where(F.col(col).isNotNull())
-    n = x.count()
-    if n == 0:
-        return [None for _ in probs]
-    need: list[int] = []
-    pos = []
-    for p in probs:
-        h = (n - 1) * p
-        lo = int(h)
-        pos.append((lo, h - lo))
-        need += [lo + 1, min(lo + 2, n)]
-    v = kth_values(x, col, need, n=n)
+def quantiles(df: DataFrame, cols: list[str], probs: dict[str, float]) -> DataFrame:
+    """One row per column with a field for each named probability, interpolated
+    linearly between neighbouring ranks; columns without values are absent."""
+    ranks: dict[str, Callable[[Column], Column]] = {}
+    for name, p in probs.items():
+        ranks[f"{name}|low"] = lambda n, p=p: F.floor((n - 1) * p) + 1
+        ranks[f"{name}|high"] = lambda n, p=p: F.least(F.floor((n - 1) * p) + 2, n)
+    found = ranked(value_counts(df, cols, "double"), ranks)
+    pick = lambda k: F.max(F.when(F.col("label") == k, F.col("value")))
+    total = F.max("total")
     out = []
-    for lo, frac in pos:
-        a, b = v[lo + 1], v[min(lo + 2, n)]
-        out.append(a + (b - a) * frac)
-    return out
+    for name, p in probs.items():
+        low, high = pick(f"{name}|low"), pick(f"{name}|high")
+        h = (total - 1) * F.lit(p)
+        out.append((low + (high - low) * (h - F.floor(h))).alias(name))
+    return found.groupBy("column").agg(*out)

@@ -140,8 +140,9 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("customer_id"), "event_type", "value", "props")
 
 
-LAKE_COMPANIES = ["OGGI_MAYOREO", "OGGI_JUNIOR", "OGGI_TEZIUTLAN", "SOF", "BLUSTER",
-                  "DYCLASS", "BUYING", "JUNIOR_NOMINA", "ACME"]
+# company ids of the test binding; ACME stands for one that is not allowed
+LAKE_COMPANY_IDS = ["NORTH", "SOUTH", "EAST", "WEST", "CENTRAL", "COAST", "HILL", "LAKE"]
+LAKE_COMPANIES = [*LAKE_COMPANY_IDS, "ACME"]
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

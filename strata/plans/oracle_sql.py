@@ -414,8 +414,8 @@ LAKE = """lake AS (
     ROUND(l_extendedprice / l_quantity, 2) AS precio_unit,
     ROUND(l_extendedprice * (1 - l_discount) / l_quantity, 2) AS costo_unit,
     CASE WHEN l_orderkey % 37 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS gross_amount,
-    (['OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING',
-      'JUNIOR_NOMINA', 'ACME'])[CAST(l_suppkey % 9 + 1 AS INTEGER)] AS company_id
+    (['NORTH', 'SOUTH', 'EAST', 'WEST', 'CENTRAL', 'COAST', 'HILL',
+      'LAKE', 'ACME'])[CAST(l_suppkey % 9 + 1 AS INTEGER)] AS company_id
   FROM lineitem)"""
 
 SQL["validate_lake_rules"] = with_(LAKE, """,
@@ -424,7 +424,7 @@ e AS (SELECT factura_id, sku_id, company_id, NULLIF(concat_ws('; ',
     CASE WHEN costo_unit < 0 THEN 'Negative costo_unit: ' || CAST(costo_unit AS VARCHAR) END,
     CASE WHEN gross_amount < 0 THEN 'Negative gross_amount: ' || CAST(gross_amount AS VARCHAR) END,
     CASE WHEN company_id IS NOT NULL AND company_id <> '' AND company_id NOT IN
-      ('OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING', 'JUNIOR_NOMINA')
+      ('NORTH', 'SOUTH', 'EAST', 'WEST', 'CENTRAL', 'COAST', 'HILL', 'LAKE')
       THEN 'Unknown company_id: ' || company_id END), '') AS _error
   FROM lake)
 SELECT *, _error IS NULL AS _is_valid FROM e""")
@@ -478,10 +478,19 @@ SELECT dimension, ROUND(AVG(_raw_score), 4) AS score, COUNT(*) AS rules FROM rep
 
 SQL["dq_gate"] = with_(DQ_REPORT, """,
 d AS (SELECT dimension, ROUND(AVG(_raw_score), 4) AS score FROM report GROUP BY dimension),
-g AS (SELECT * FROM (VALUES ('completeness', 0.95), ('accuracy', 0.98), ('uniqueness', 1.0)) t(dim, thr))
+g AS (SELECT * FROM (VALUES ('completeness', 0.95), ('accuracy', 0.98), ('uniqueness', 1.0),
+                            ('timeliness', 0.95), ('consistency', 0.98)) t(dim, thr))
 SELECT dimension, score, CAST(g.thr AS DOUBLE) AS gate_threshold,
-  CASE WHEN g.thr IS NULL THEN TRUE ELSE score >= g.thr END AS gate_passed, 'bronze_to_silver' AS transition
-FROM d LEFT JOIN g ON d.dimension = g.dim""")
+  score >= g.thr AS gate_passed, 'bronze_to_silver' AS transition
+FROM d JOIN g ON d.dimension = g.dim""")
+
+SQL["dq_samples"] = with_(STG, """,
+a AS (SELECT 'uniqueness_product_sku_order_date' AS rule_name,
+        '{"product_sku":"' || product_sku || '","order_date":"' || order_date || '"}' AS key, COUNT(*) AS rows
+      FROM stg GROUP BY product_sku, order_date HAVING COUNT(*) > 1 ORDER BY 2 LIMIT 5),
+b AS (SELECT 'uniqueness_customer_id' AS rule_name, '{"customer_id":"' || customer_id || '"}' AS key, COUNT(*) AS rows
+      FROM stg GROUP BY customer_id HAVING COUNT(*) > 1 ORDER BY 2 LIMIT 5)
+SELECT * FROM a UNION ALL SELECT * FROM b""")
 
 SQL["schema_violations"] = with_(RAW_ERP, """
 SELECT 'extra_columns_kept' AS type, 'payment_method,warehouse_id,ship_date' AS "column",
@@ -723,11 +732,12 @@ SQL["column_quartiles"] = "SELECT * FROM (" + " UNION ALL ".join([
     ") t(\"column\", dtype, null_count, unique_count, mean, std, min, max, q25, q75)"
 
 SQL["outliers_iqr"] = """
-WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
+WITH q AS (SELECT quantile_cont(CAST(n_chars AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(n_chars AS DOUBLE), 0.75) AS q3
+           FROM documents),
 f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
-SELECT l.*, f.lo AS lower_fence, f.hi AS upper_fence,
-  CASE WHEN l.l_extendedprice < f.lo THEN 'low' ELSE 'high' END AS outlier_side
-FROM lineitem l, f WHERE l.l_extendedprice < f.lo OR l.l_extendedprice > f.hi"""
+SELECT d.doc_id, d.lang, d.source, d.n_chars, f.lo AS lower_fence, f.hi AS upper_fence,
+  CASE WHEN d.n_chars < f.lo THEN 'low' ELSE 'high' END AS outlier_side
+FROM documents d, f WHERE d.n_chars < f.lo OR d.n_chars > f.hi"""
 
 SQL["numeric_summary"] = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", ROUND(CAST(SUM({c}) AS DOUBLE), 2) AS sum, ROUND(AVG({c}), 2) AS mean, "
@@ -999,11 +1009,40 @@ SELECT CAST(isoyear(order_date) AS INTEGER) AS year, CAST(weekofyear(order_date)
 FROM txn WHERE order_date IS NOT NULL GROUP BY 1, 2""")
 
 SQL["validate_company_dim"] = """
-WITH d AS (SELECT (['OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING',
-                    'JUNIOR_NOMINA', 'ACME'])[CAST(s_suppkey % 9 + 1 AS INTEGER)] AS company_id,
+WITH d AS (SELECT (['NORTH', 'SOUTH', 'EAST', 'WEST', 'CENTRAL', 'COAST', 'HILL',
+                    'LAKE', 'ACME'])[CAST(s_suppkey % 9 + 1 AS INTEGER)] AS company_id,
                   s_name AS company_name FROM supplier),
 e AS (SELECT company_id, company_name,
         CASE WHEN company_id IS NOT NULL AND company_id <> '' AND company_id NOT IN
-          ('OGGI_MAYOREO', 'OGGI_JUNIOR', 'OGGI_TEZIUTLAN', 'SOF', 'BLUSTER', 'DYCLASS', 'BUYING', 'JUNIOR_NOMINA')
+          ('NORTH', 'SOUTH', 'EAST', 'WEST', 'CENTRAL', 'COAST', 'HILL', 'LAKE')
           THEN 'Unknown company_id: ' || company_id END AS _error FROM d)
 SELECT *, _error IS NULL AS _is_valid FROM e"""
+
+
+# Greedy near-duplicate removal: the similarity graph of each block, then one row
+# after the other in order, each kept unless an earlier kept row is its neighbour.
+SQL["dedup_fuzzy"] = r"""
+WITH RECURSIVE n AS (
+  SELECT doc_id, lang, source,
+    lower(regexp_replace(regexp_replace(COALESCE(text, ''), '^\s+', ''), '\s+$', '')) AS t
+  FROM documents),
+firsts AS (SELECT t, MIN(doc_id) AS doc_id FROM n GROUP BY t),
+letters AS (SELECT doc_id, t, substr(t, 1, 5) AS blk, regexp_extract_all(t, '(?s).') AS c FROM firsts),
+grams AS (SELECT doc_id, t, blk, CASE WHEN len(c) < 2 THEN [t] ELSE
+    list_distinct([c[i] || c[i + 1] for i in range(1, len(c))]) END AS g FROM letters),
+near AS (
+  SELECT a.doc_id AS earlier, b.doc_id AS later
+  FROM grams a JOIN grams b ON a.blk = b.blk AND a.doc_id < b.doc_id
+  WHERE len(list_intersect(a.g, b.g)) >= 0.85 * (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))),
+seq AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY doc_id) AS i
+        FROM (SELECT earlier AS doc_id FROM near UNION SELECT later FROM near)),
+nb AS (SELECT s.i, s.doc_id, list(x.earlier) FILTER (WHERE x.earlier IS NOT NULL) AS ns
+       FROM seq s LEFT JOIN near x ON x.later = s.doc_id GROUP BY s.i, s.doc_id),
+walk(i, kept) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT w.i + 1, CASE WHEN list_has_any(COALESCE(nb.ns, []), w.kept) THEN w.kept ELSE list_append(w.kept, nb.doc_id) END
+  FROM walk w JOIN nb ON nb.i = w.i + 1),
+chosen AS (SELECT unnest(kept) AS doc_id FROM walk WHERE i = (SELECT MAX(i) FROM walk))
+SELECT n.doc_id, n.lang, n.source FROM n JOIN firsts f ON n.doc_id = f.doc_id
+WHERE n.doc_id NOT IN (SELECT doc_id FROM seq) OR n.doc_id IN (SELECT doc_id FROM chosen)"""

@@ -178,7 +178,7 @@ def q_validate_events(spark, sf):
 
 @register("validate_lake_rules")
 def q_validate_lake_rules(spark, sf):
-    v = V.validate_lake(B.invoice_lines(spark, sf), "g_factura_line")
+    v = V.validate_lake(B.invoice_lines(spark, sf), "g_factura_line", B.LAKE_COMPANY_IDS)
     return v.select("factura_id", "sku_id", "company_id", "_error", "_is_valid")
 
 
@@ -197,17 +197,20 @@ from strata.operators import schema as S  # noqa: E402
 DQ_AS_OF = _dt.datetime(1998, 6, 1)
 
 
-def _dq_report(spark, sf):
-    chk = (Q.QualityChecker()
-           .add_completeness_rule("customer_id", 0.95)
-           .add_completeness_rule("email", 0.95)
-           .add_accuracy_rule("quantity", min_value=0, max_value=10000)
-           .add_accuracy_rule("currency", allowed_values=["USD", "MXN", "EUR", "CAD"])
-           .add_accuracy_rule("transaction_id", pattern="[0-9]+-[0-9]+")
-           .add_uniqueness_rule(["transaction_id"])
-           .add_timeliness_rule("order_date", max_age_hours=24)
-           .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
-    return chk.check(_stg(spark, sf), "erp_transactions", "bronze", as_of=DQ_AS_OF)
+def _dq_checker():
+    return (Q.QualityChecker()
+            .add_completeness_rule("customer_id", 0.95)
+            .add_completeness_rule("email", 0.95)
+            .add_accuracy_rule("quantity", min_value=0, max_value=10000)
+            .add_accuracy_rule("currency", allowed_values=["USD", "MXN", "EUR", "CAD"])
+            .add_accuracy_rule("transaction_id", pattern="[0-9]+-[0-9]+")
+            .add_uniqueness_rule(["transaction_id"])
+            .add_timeliness_rule("order_date", max_age_hours=24)
+            .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
+
+
+def _dq_report(spark, sf, transition=None):
+    return _dq_checker().check(_stg(spark, sf), "erp_transactions", "bronze", as_of=DQ_AS_OF, transition=transition)
 
 
 @register("dq_report")
@@ -227,7 +230,13 @@ def q_dq_dimensions(spark, sf):
 
 @register("dq_gate")
 def q_dq_gate(spark, sf):
-    return Q.gate(_dq_report(spark, sf), "bronze_to_silver")
+    return Q.gate(_dq_report(spark, sf, "bronze_to_silver"), "bronze_to_silver")
+
+
+@register("dq_samples")
+def q_dq_samples(spark, sf):
+    return (Q.QualityChecker().add_uniqueness_rule(["product_sku", "order_date"]).add_uniqueness_rule(["customer_id"])
+            .sample_failures(_stg(spark, sf)))
 
 
 @register("schema_violations")
@@ -412,7 +421,7 @@ def q_column_quartiles(spark, sf):
 
 @register("outliers_iqr")
 def q_outliers_iqr(spark, sf):
-    return P.iqr_outliers(_table(spark, sf, "lineitem"), "l_extendedprice")
+    return P.iqr_outliers(_table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars"), "n_chars")
 
 
 @register("numeric_summary")
@@ -605,18 +614,6 @@ def q_dead_letter(spark, sf):
     return back.select(F.get_json_object("record", "$.transaction_id").alias("transaction_id"), "error", "reject_date")
 
 
-def _dq_checker():
-    return (Q.QualityChecker()
-            .add_completeness_rule("customer_id", 0.95)
-            .add_completeness_rule("email", 0.95)
-            .add_accuracy_rule("quantity", min_value=0, max_value=10000)
-            .add_accuracy_rule("currency", allowed_values=["USD", "MXN", "EUR", "CAD"])
-            .add_accuracy_rule("transaction_id", pattern="[0-9]+-[0-9]+")
-            .add_uniqueness_rule(["transaction_id"])
-            .add_timeliness_rule("order_date", max_age_hours=24)
-            .add_consistency_rule("unit_price", "total_amount", "a_lte_b"))
-
-
 @register("quality_history")
 def q_quality_history(spark, sf):
     path = scratch_path(spark, "quality_reports")
@@ -852,5 +849,5 @@ def q_validate_company_dim(spark, sf):
                            (F.col("s_suppkey") % len(B.LAKE_COMPANIES) + 1).cast("int"))
     dim = s.select(company.alias("company_id"), F.col("s_name").alias("company_name"),
                    (F.col("s_acctbal") > 0).alias("is_revenue_company"))
-    v = V.validate_lake(dim, "dim_company")
+    v = V.validate_lake(dim, "dim_company", B.LAKE_COMPANY_IDS)
     return v.select("company_id", "company_name", "_error", "_is_valid")

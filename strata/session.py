@@ -8,9 +8,13 @@ fall back to a fresh folder under /tmp.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,11 +57,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Only a local session may do without ``spark.checkpoint.dir``: a folder under
+    /tmp then serves, and is removed when the process ends.  On a cluster the
+    executors could not see such a folder, so that raises."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
         conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(conf_dir)
@@ -65,18 +76,59 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path inside the shared checkpoint folder."""
+    """A fresh, unique path inside the shared checkpoint folder; an open scope removes it."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch tables made inside when the block ends.
+
+    Results are lazy frames over such tables: write or collect them inside.  Calls
+    of ``scratch_path`` between the block's start and end count, in this process."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_table(table: DataFrame) -> None:
+    """Delete a table of ``materialize`` or ``cut_lineage`` that nothing reads any more."""
+    path = _PATHS.pop(id(table), (None, None))[1]
+    if path:
+        remove_path(table.sparkSession, path)
+
+
+#: path of each live frame that reads a scratch table, by identity
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
 
 
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     """Cut lineage through a table written in the shared checkpoint folder.
 
-    Reliable like ``checkpoint()`` (survives executor loss; never
-    localCheckpoint), but the plan runs once — an eager ``checkpoint()`` of an
-    unpersisted frame computes it twice — and the result is columnar."""
-    return materialize(df, name)
+    Reliable like ``checkpoint()`` (survives executor loss), but the plan runs
+    once — an eager ``checkpoint()`` of an unpersisted frame computes it twice —
+    and the result is columnar.  Iterative operators drop the table of a round
+    with ``drop_table`` once the next is written."""
+    out = materialize(df, name)
+    _PATHS[id(out)] = (out, out._strata_path)
+    return out
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -88,4 +140,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._strata_path = path
+    return out

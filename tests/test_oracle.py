@@ -32,7 +32,7 @@ def _bag(cols, rows):
 
 def test_every_query_has_oracle_or_is_iterative():
     missing = set(registry.QUERIES) - set(ORACLE)
-    assert missing <= {"dedup_fuzzy", "stream_quality"}
+    assert missing <= {"stream_quality"}
 
 
 def test_entry_smoke(spark):
