@@ -18,7 +18,8 @@ equal symbols wherever that stretch lies inside them.
    hold sends one copy a batch, not one a document.
 3. In a bucket, shared names reveal repeats and the windows' own 64-bit hashes,
    together with 32 bits of the anchor's name, verify them; the earliest
-   occurrence is told from later ones, whose places go back to their documents.
+   occurrence is told from later ones. A bucket packs the later ones' places by
+   groups of documents, and a group unpacks them to one row per document.
 4. The documents, joined with their places, lose the covered words.
 
 Nothing is dropped or capped: every window of every text is compared. Equality is
@@ -44,8 +45,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch, map_columns, mix64
 
 ROUNDS = 4
-#: text bytes for each bucket of windows
-BUCKET_BYTES = 16 << 20
+#: text bytes for each bucket of windows, and of a task's batch; words whose hash a worker keeps
+BUCKET_BYTES, BATCH_BYTES, KEPT_WORDS = 16 << 20, 2 << 20, 250_000
 _INDEX = np.uint64((1 << 28) - 1)
 _P = np.uint64(0x9E3779B97F4A7C55)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
@@ -179,7 +180,7 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int) -> Ite
     first = end - sizes
     n = int(end[-1])
     h = np.fromiter((_HASHES[w] for i in use for w in words[i]), np.uint64, n)
-    if len(_HASHES) > 1_000_000:
+    if len(_HASHES) > KEPT_WORDS:
         _HASHES.clear()
     del words
     doc_id, tag = np.array([ids[i] for i in use], np.int64), np.array([tags[i] for i in use], np.int32)
@@ -199,7 +200,7 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int) -> Ite
     new = np.concatenate(([True], (k[0][1:] != k[0][:-1]) | (k[1][1:] != k[1][:-1]) | (k[2][1:] != k[2][:-1])))
     lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
     later = (doc_id[d[order]] != doc_id[d[lead]]) | (tag[d[order]] != tag[d[lead]]) | (at[order] != at[lead])
-    yield from _places(doc_id, tag, d[order[later]], at[order[later]], count[order[later]])
+    yield from _places(doc_id[d[order[later]]], tag[d[order[later]]], at[order[later]], count[order[later]], buckets)
     # the earliest of each kind goes to its bucket
     sent = order[new]
     hashes = window_hashes(h, starts, starts + window)
@@ -209,31 +210,38 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int) -> Ite
     edges = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket))
     for i, j in zip(edges[:-1], edges[1:]):
         r = sent[i:j]
-        yield {"bucket": int(bucket[i]), "doc_id": None, "tag": None, "places": None, "blob": b"".join((
+        yield {"group": int(bucket[i]), "blob": b"".join((
             np.int64(len(r)).tobytes(), _packed(doc_id[d[r]]), _packed(tag[d[r]]),
             _packed(at[r].astype(np.int32)), count[r].astype(np.uint8).tobytes(),
             _packed((run_name[r] >> np.uint64(32)).astype(np.uint32)), hashes[_spans(head[r], count[r])].tobytes()))}
 
 
-def _places(doc_id, tag, d, at, count) -> Iterator[dict]:
-    """One row per document: window starts [at, at + count) that repeat, as pairs."""
-    order = np.lexsort((at, d))
-    d, at, count = d[order], at[order], count[order]
-    edges = np.append(np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1]))), len(d)) if len(d) else [0]
-    pairs = np.stack((at, at + count), axis=1).astype(np.int32)
+def _places(doc_id, tag, at, count, buckets: int) -> Iterator[dict]:
+    """Repeated window starts [at, at + count), packed by groups of documents (-1 and below)."""
+    group = -1 - (mix64(doc_id.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((at, tag, doc_id, group))
+    doc_id, tag, at, count, group = (x[order] for x in (doc_id, tag, at, count, group))
+    edges = np.append(np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))), len(group)) if len(group) else [0]
     for i, j in zip(edges[:-1], edges[1:]):
-        yield {"bucket": None, "doc_id": int(doc_id[d[i]]), "tag": int(tag[d[i]]), "places": pairs[i:j].tobytes(),
-               "blob": None}
+        yield {"group": int(group[i]), "blob": b"".join((
+            np.int64(j - i).tobytes(), _packed(doc_id[i:j]), _packed(tag[i:j]), _packed(at[i:j].astype(np.int32)),
+            _packed(count[i:j].astype(np.int32))))}
 
 
-def later_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_id, tag and start of the windows of a bucket that an earlier one equals."""
-    cols = [[] for _ in range(6)]
+def _fields(blobs: list[bytes], widths: tuple[int, ...]) -> list[list[bytes]]:
+    """The packed columns of each blob; a width of 0 takes the rest."""
+    cols: list[list[bytes]] = [[] for _ in widths]
     for blob in blobs:
         n, at = int(np.frombuffer(blob, np.int64, 1)[0]), 8
-        for c, width in zip(cols, (8, 4, 4, 1, 4, 0)):
+        for c, width in zip(cols, widths):
             c.append(blob[at:at + n * width] if width else blob[at:])
             at += n * width
+    return cols
+
+
+def later_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, tag and start of the windows of a bucket that an earlier one equals."""
+    cols = _fields(blobs, (8, 4, 4, 1, 4, 0))
     doc_id, tag, start = _unpacked(cols[0], "i8"), _unpacked(cols[1], "i4"), _unpacked(cols[2], "i4")
     count, name = _unpacked(cols[3], "u1").astype(np.int64), _unpacked(cols[4], "u4")
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in cols[5]])
@@ -256,44 +264,58 @@ def later_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return doc_id[r[later]], tag[r[later]], p[later]
 
 
+def _runs(doc_id, tag, at) -> tuple[np.ndarray, ...]:
+    """Neighbouring starts of one document as (doc_id, tag, first, count)."""
+    order = np.lexsort((at, tag, doc_id))
+    doc_id, tag, at = doc_id[order], tag[order], at[order]
+    if not len(at):
+        return doc_id, tag, at, at
+    new = np.concatenate(([True], (doc_id[1:] != doc_id[:-1]) | (tag[1:] != tag[:-1]) | (at[1:] - at[:-1] > 1)))
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(at)) - 1
+    return doc_id[head], tag[head], at[head], at[last] + 1 - at[head]
+
+
+def _by_document(blobs: list[bytes]) -> pd.DataFrame:
+    """One row per document with its places as pairs (first, end) of window starts."""
+    cols = _fields(blobs, (8, 4, 4, 4))
+    doc_id, tag, at, count = (_unpacked(c, t) for c, t in zip(cols, ("i8", "i4", "i4", "i4")))
+    order = np.lexsort((at, tag, doc_id))
+    doc_id, tag = doc_id[order], tag[order]
+    pairs = np.stack((at[order], at[order] + count[order]), axis=1).astype(np.int32)
+    head = np.flatnonzero(np.concatenate(([True], (doc_id[1:] != doc_id[:-1]) | (tag[1:] != tag[:-1]))))
+    edges = np.append(head, len(doc_id))
+    return pd.DataFrame({"doc_id": doc_id[head], "tag": tag[head],
+                         "places": [pairs[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]})
+
+
 def repeat_places(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, tag, places): the starts of repeated windows of each document that has some.
 
     doc_id is never null here (the smallest long stands for null); tag tells texts of one doc_id apart."""
     d = keyed(docs).select("_id", "_tag", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spark = docs.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
-    schema = "bucket int, doc_id long, tag int, places binary, blob binary"
-    names = ("bucket", "doc_id", "tag", "places", "blob")
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
+    schema = "group int, blob binary"
+
+    def packed(rows: Iterator[dict]) -> dict:
+        rows = list(rows)
+        return {"group": [r["group"] for r in rows], "blob": [r["blob"] for r in rows]}
 
     def run(cols: dict) -> dict:
-        rows = list(_batch(cols["_id"], cols["_tag"], cols["text"], window, buckets))
-        return {k: [r[k] for r in rows] for k in names}
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        doc_id, tag, start = later_windows(list(pdf["blob"]))
-        order = np.lexsort((start, tag, doc_id))
-        doc_id, tag, start = doc_id[order], tag[order], start[order]
-        same = (doc_id[1:] == doc_id[:-1]) & (tag[1:] == tag[:-1])
-        joined = np.concatenate(([True], ~(same & (start[1:] - start[:-1] <= 1)))) if len(start) else np.zeros(0, bool)
-        head = np.flatnonzero(joined)
-        stop = start[np.append(head[1:], len(start)) - 1] + 1 if len(start) else start
-        key, d = np.zeros(len(head), np.int64), head
-        if len(head):
-            new = np.concatenate(([True], (doc_id[head][1:] != doc_id[head][:-1]) | (tag[head][1:] != tag[head][:-1])))
-            key, d = np.cumsum(new) - 1, head[new]
-        rows = list(_places(doc_id[d], tag[d], key, start[head], stop - start[head]))
-        return pd.DataFrame([(r["doc_id"], r["tag"], r["places"]) for r in rows], columns=["doc_id", "tag", "places"])
-
-    # one pass: the batches' own findings and the buckets' rows part by the bucket column
-    found = map_columns(d, run, schema).groupBy(F.coalesce("bucket", -1 - F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")).alias("b"))
-
-    def either(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return settle(pdf) if key[0] >= 0 else pdf[["doc_id", "tag", "places"]]
-
-    places = found.applyInPandas(either, "doc_id long, tag int, places binary")
-    return scratch.write(places, "places").groupBy("doc_id", "tag").agg(F.collect_list("places").alias("places"))
+        return packed(_batch(cols["_id"], cols["_tag"], cols["text"], window, buckets))
+
+    def settle(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] < 0:  # what a batch settled itself goes on as it is
+            return pdf
+        return pd.DataFrame(packed(_places(*_runs(*later_windows(list(pdf["blob"]))), buckets)))
+
+    def unpack(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _by_document(list(pdf["blob"]))
+
+    found = map_columns(d, run, schema, chunk_bytes=BATCH_BYTES).groupBy("group").applyInPandas(settle, schema)
+    places = scratch.write(found, "places")
+    return places.groupBy("group").applyInPandas(unpack, "doc_id long, tag int, places binary")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -301,11 +323,11 @@ def keyed(docs: DataFrame) -> DataFrame:
                              "_tag": F.xxhash64("text").bitwiseAND(0x7FFFFFFF).cast("int")})
 
 
-def _kept(text: str | None, places: list[bytes] | None, window: int) -> tuple[list[bytes], int]:
+def _kept(text: str | None, places: bytes | None, window: int) -> tuple[list[bytes], int]:
     words = (text or "").encode("utf-8", "surrogatepass").split()
     if not places:
         return words, 0
-    pairs = np.concatenate([np.frombuffer(p, np.int32).reshape(-1, 2) for p in places])
+    pairs = np.frombuffer(places, np.int32).reshape(-1, 2)
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, pairs[:, 0], 1)
     np.add.at(edge, np.minimum(pairs[:, 1] + window - 1, len(words)), -1)
@@ -337,7 +359,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """The documents without their repeated words. A text that loses words becomes its kept words
     joined by one space, other texts stay as they are; n_chars follows the text."""
     cut = F.pandas_udf(lambda t, p: pd.Series([
-        x if p_ is None else b" ".join(_kept(x, list(p_), window)[0]).decode("utf-8", "surrogatepass")
+        x if p_ is None else b" ".join(_kept(x, p_, window)[0]).decode("utf-8", "surrogatepass")
         for x, p_ in zip(t, p)], dtype=object), "string")
     joined = _joined(docs, window)
     out = joined.withColumn("text", F.when(F.col("_places").isNull(), F.col("text")).otherwise(
