@@ -162,6 +162,45 @@ class QualityChecker:
         return wide.select(F.inline(F.array(*structs))).select(
             F.lit(dataset_name).alias("dataset_name"), F.lit(layer).alias("layer"), "*")
 
+    def partial_counts(self, df: DataFrame, as_of: _dt.datetime) -> DataFrame:
+        """(rule, key, failed, counted): what a part of a dataset adds to the report; a
+        uniqueness rule gives one row per key, whose ``counted`` are its rows."""
+        schema = "rule int, key string, failed bigint, counted bigint"
+        aggs, rows, parts = [F.count(F.lit(1)).alias("_n")], [], []
+        for i, r in enumerate(self.rules):
+            if r.dimension == "uniqueness" and not self._broken(df, r):
+                keys = [c for c in r.params["keys"] if c in df.columns]
+                parts.append(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("counted")).select(
+                    F.lit(i).alias("rule"), F.to_json(F.struct(*keys)).alias("key"),
+                    F.lit(0).cast("bigint").alias("failed"), "counted"))
+                continue
+            failed, counts = (F.lit(True), None) if r.dimension == "uniqueness" else self._predicate(df, r, as_of)
+            aggs += [F.count_if(failed).alias(f"_f{i}"),
+                     (F.count_if(counts) if counts is not None else F.count(F.lit(1))).alias(f"_d{i}")]
+            rows.append(F.struct(F.lit(i).alias("rule"), F.lit("rule").alias("key"), F.col(f"_f{i}").alias("failed"),
+                                 F.col(f"_d{i}").alias("counted")))
+        rows.append(F.struct(F.lit(-1).alias("rule"), F.lit("rows").alias("key"), F.lit(0).cast("bigint").alias("failed"),
+                             F.col("_n").alias("counted")))
+        out = df.agg(*aggs).select(F.inline(F.array(*rows)))
+        for p in parts:
+            out = out.unionByName(p)
+        return out.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")])
+
+    def report_of(self, partials: DataFrame, columns: list[str], dataset_name: str, layer: str) -> DataFrame:
+        """The report from the rows of ``partial_counts`` of all parts."""
+        shape = partials.sparkSession.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        per_key = partials.groupBy("rule", "key").agg(F.sum("failed").alias("failed"), F.sum("counted").alias("counted"))
+        per_rule = per_key.groupBy("rule").agg(F.sum("failed").alias("failed"), F.sum("counted").alias("counted"),
+                                               F.sum(F.col("counted") - 1).alias("repeats"))
+        pick = lambda i, c: F.coalesce(F.max(F.when(F.col("rule") == i, F.col(c))), F.lit(0))
+        aggs, structs = [pick(-1, "counted").alias("_n")], []
+        for i, r in enumerate(self.rules):
+            unique = r.dimension == "uniqueness" and not self._broken(shape, r)
+            aggs += [pick(i, "repeats" if unique else "failed").alias(f"_f{i}"), pick(i, "counted").alias(f"_d{i}")]
+            structs.append(self._result(r, F.col(f"_f{i}"), F.col(f"_d{i}"), self._broken(shape, r)))
+        return per_rule.agg(*aggs).select(F.inline(F.array(*structs))).select(
+            F.lit(dataset_name).alias("dataset_name"), F.lit(layer).alias("layer"), "*")
+
     def sample_failures(self, df: DataFrame, k: int = 5) -> DataFrame:
         """For each uniqueness rule the k smallest repeated keys (JSON) with their row counts."""
         out = df.sparkSession.createDataFrame([], "rule_name string, key string, rows bigint")

@@ -868,6 +868,27 @@ SELECT 2, COUNT(*), COUNT(o_orderpriority), COUNT(*) FROM orders WHERE o_orderke
 SQL["stream_ingest_split"] = """
 SELECT * FROM events WHERE event_id IS NOT NULL AND event_id <> 0 AND ts IS NOT NULL"""
 
+SQL["stream_rejects"] = """
+SELECT event_id, concat_ws('; ', CASE WHEN event_type = 'error' THEN 'Error event of user ' || CAST(user_id AS VARCHAR) END,
+  CASE WHEN value > 400 THEN 'Value above 400' END) AS error
+FROM events WHERE event_type = 'error' OR value > 400"""
+
+SQL["stream_quality"] = f"""
+WITH n AS (SELECT COUNT(*) AS n,
+    COUNT(*) FILTER (WHERE event_type IS NULL OR TRIM(event_type) = '') AS blank,
+    COUNT(*) FILTER (WHERE value < 0) AS negative FROM events),
+u AS (SELECT SUM(k - 1) AS repeats FROM (SELECT COUNT(*) AS k FROM events GROUP BY user_id, event_type)),
+r AS (
+  SELECT 'completeness_event_type' AS rule_name, 'completeness' AS dimension, 'event_type' AS "column", blank AS failed,
+    0.95 AS threshold, n FROM n
+  UNION ALL SELECT 'accuracy_value', 'accuracy', 'value', negative, 0.98, n FROM n
+  UNION ALL SELECT 'uniqueness_user_id_event_type', 'uniqueness', 'user_id,event_type', CAST(repeats AS BIGINT), 1.0, n FROM n, u
+  UNION ALL SELECT 'completeness_channel', 'completeness', 'channel', n, 0.95, n FROM n)
+SELECT 'events' AS dataset_name, 'stream' AS layer, rule_name, dimension, "column",
+  {rr("(n - failed)", "n", 4)} AS score, 1.0 - failed / n >= threshold AS passed, CAST(threshold AS DOUBLE) AS threshold,
+  'error' AS severity, n AS total_records, CAST(failed AS BIGINT) AS failed_records
+FROM r"""
+
 SQL["stream_dedup"] = SQL["dedup_window"]
 
 SQL["stream_daily"] = """

@@ -669,7 +669,22 @@ def q_stream_ingest_split(spark, sf):
     def validate(df):
         return V.validate_events(df.withColumnRenamed("ts", "timestamp")).withColumnRenamed("timestamp", "ts")
     ST.ingest_split(spark, src, schema, validate, acc, rej)
-    return spark.read.parquet(acc)
+    return spark.read.parquet(acc).drop("batch_id")
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf):
+    """The rejected side of the streaming ingest; events without a value are invalid here too."""
+    src, schema = _event_files(spark, sf)
+    acc, rej = scratch_path(spark, "stream_acc"), scratch_path(spark, "stream_rej")
+
+    def validate(df):
+        late = F.col("event_type") == "error"
+        return V.with_errors(df, [(late, F.concat(F.lit("Error event of user "), F.col("user_id").cast("string"))),
+                                  (F.col("value") > 400, F.lit("Value above 400"))])
+    ST.ingest_split(spark, src, schema, validate, acc, rej)
+    return spark.read.parquet(rej).select(
+        F.get_json_object("record", "$.event_id").cast("bigint").alias("event_id"), "error")
 
 
 @register("stream_dedup")
@@ -684,24 +699,21 @@ def q_stream_dedup(spark, sf):
 def q_stream_daily(spark, sf):
     src, schema = _event_files(spark, sf)
     out = scratch_path(spark, "stream_daily")
-    ST.windowed_counts(spark, src, schema, "ts", "1 day", None, ["event_type"], "value", out)
-    return spark.read.parquet(out)
+    return ST.windowed_counts(spark, src, schema, "ts", "1 day", None, ["event_type"], "value", out)
 
 
 @register("stream_sliding")
 def q_stream_sliding(spark, sf):
     src, schema = _event_files(spark, sf)
     out = scratch_path(spark, "stream_sliding")
-    ST.windowed_counts(spark, src, schema, "ts", "1 hour", "15 minutes", [], None, out)
-    return spark.read.parquet(out)
+    return ST.windowed_counts(spark, src, schema, "ts", "1 hour", "15 minutes", [], None, out)
 
 
 @register("stream_session")
 def q_stream_session(spark, sf):
     src, schema = _event_files(spark, sf)
     out = scratch_path(spark, "stream_session")
-    ST.session_counts(spark, src, schema, "ts", "30 minutes", ["user_id"], out)
-    return spark.read.parquet(out)
+    return ST.session_counts(spark, src, schema, "ts", "30 minutes", ["user_id"], out)
 
 
 @register("stream_reject_alarm")
@@ -711,8 +723,8 @@ def q_stream_reject_alarm(spark, sf):
     errors = scratch_path(spark, "stream_error_src")
     # rejected stand-in: error events, routed by a stateless hop
     ST.layer_hop(spark, src, schema, lambda s: s.where(F.col("event_type") == "error"), errors)
-    ST.windowed_counts(spark, errors, schema, "ts", "5 minutes", None, [], None, out)
-    return ST.consecutive_alarm(spark.read.parquet(out), threshold=1, period_seconds=300)
+    counts = ST.windowed_counts(spark, errors, schema, "ts", "5 minutes", None, [], None, out)
+    return ST.consecutive_alarm(counts, threshold=1, period_seconds=300)
 
 
 @register("stream_quality")
@@ -720,9 +732,9 @@ def q_stream_quality(spark, sf):
     src, schema = _event_files(spark, sf)
     out = scratch_path(spark, "stream_dq")
     chk = (Q.QualityChecker().add_completeness_rule("event_type")
-           .add_accuracy_rule("value", min_value=0).add_uniqueness_rule(["event_id"]))
-    ST.quality_per_batch(spark, src, schema, chk, "events", out, max_files=8)
-    return spark.read.parquet(out)
+           .add_accuracy_rule("value", min_value=0).add_uniqueness_rule(["user_id", "event_type"])
+           .add_completeness_rule("channel"))
+    return ST.quality_stream(spark, src, schema, chk, "events", out, max_files=8).drop("_raw_score")
 
 
 @register("stream_layers")
@@ -731,8 +743,7 @@ def q_stream_layers(spark, sf):
     silver = scratch_path(spark, "stream_silver")
     gold = scratch_path(spark, "stream_gold")
     ST.layer_hop(spark, src, schema, lambda s: SV.transform_api(SV.clean_strings(s)), silver)
-    ST.windowed_counts(spark, silver, schema, "ts", "1 day", None, ["event_type"], "value", gold)
-    return spark.read.parquet(gold)
+    return ST.windowed_counts(spark, silver, schema, "ts", "1 day", None, ["event_type"], "value", gold)
 
 
 # ---- pipeline jobs ----------------------------------------------------------

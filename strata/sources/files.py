@@ -2,11 +2,10 @@
 snapshot-partitioned Parquet lake datasets — plus delimiter, encoding and
 column-type detection.
 
-Everything is a distributed read: detection runs as aggregations over the
-first split of every file (``_metadata.file_block_start = 0``), never by
-pulling file contents to the driver; snapshot selection is a partition
-filter (pruned at planning time); the latest snapshot is a partition-only
-aggregate.
+Everything is a distributed read: detection aggregates all lines of every file,
+never a prefix and never on the driver; lines are numbered across the splits of a
+file; snapshots are found by listing their partition folders, and reading one is a
+partition filter (pruned at planning time).
 """
 
 from __future__ import annotations
@@ -15,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.columns import py_strip
+from strata.session import materialize
+
 # fixed values
 DELIMITERS = [",", ";", "\t", "|"]
 BOOL_TOKENS_TRUE = ["true", "yes"]
@@ -44,45 +46,40 @@ def read_csv_raw(spark: SparkSession, path: str, columns: list[str], sep: str =
             .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
 
 
-def read_csv_headerless(spark: SparkSession, path: str, n_cols: int, sep: str = ",") -> DataFrame:
-    """No header: columns are named col_0 … col_{n-1}."""
-    return read_csv_raw(spark, path, [f"col_{i}" for i in range(n_cols)], sep, header=False)
-
+def numbered_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """Lines of every file with file path and line number (from 0, across all splits).
 
-def first_split_lines(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """Lines of the first split of every file, with file path and line index."""
-    r = spark.read
-    if encoding:
-        r = r.option("encoding", encoding)
-    t = (r.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                             F.col("_metadata.file_block_start").alias("_blk"))
-         .where(F.col("_blk") == 0)
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    first = F.min("_mid").over(Window.partitionBy("file"))
-    return t.withColumn("line_no", F.col("_mid") - first).drop("_mid", "_blk")
+    The lines are stored once with a row id; a split's first number is the number of
+    lines in the file's splits before it, so no window holds more than a file's splits."""
+    r = spark.read.option("encoding", encoding) if encoding else spark.read
+    lines = materialize(r.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_id")), "lines")
+    splits = lines.groupBy("file", "_blk").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    return lines.join(splits, ["file", "_blk"]).select(
+        "value", "file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"))
 
 
 def skip_rows(spark: SparkSession, path: str, n: int) -> DataFrame:
     """Text lines of every file without its first ``n`` lines (feed to from_csv)."""
-    lines = first_split_lines(spark, path)
-    rest = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
-                                         F.col("_metadata.file_block_start").alias("_blk"))
-            .where(F.col("_blk") > 0).drop("_blk"))
-    return lines.where(F.col("line_no") >= n).select("value", "file").unionByName(rest)
+    return numbered_lines(spark, path).where(F.col("line_no") >= n).select("value", "file")
 
 
-def detect_delimiter(spark: SparkSession, path: str, sample_lines: int = 200) -> DataFrame:
+def detect_delimiter(spark: SparkSession, path: str) -> DataFrame:
     """Per file: the delimiter (of , ; tab |) whose per-line field count is the
-    most stable non-trivial value over the sampled lines; comma by default."""
-    lines = first_split_lines(spark, path).where(F.col("line_no") < sample_lines)
+    most stable non-trivial value over all lines; comma by default."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     per = lines.select("file", F.inline(F.array(*[
         F.struct(F.lit(i).alias("pref"), F.lit(d).alias("delimiter"),
                  (F.size(F.split(F.col("value"), _re(d))) - 1).alias("n")) for i, d in enumerate(DELIMITERS)])))
-    counts = per.where(F.col("n") > 0).groupBy("file", "pref", "delimiter", "n").agg(F.count(F.lit(1)).alias("freq"))
-    w = Window.partitionBy("file").orderBy(F.col("freq").desc(), F.col("n").desc(), F.col("pref"))
-    best = counts.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("file", "delimiter")
-    files = lines.select("file").distinct()
-    return files.join(best, "file", "left").select("file", F.coalesce("delimiter", F.lit(",")).alias("delimiter"))
+    # a row (n = 0) per line and delimiter also tells the files without any
+    counts = per.groupBy("file", "pref", "delimiter", "n").agg(F.count(F.lit(1)).alias("freq"))
+    w = Window.partitionBy("file").orderBy((F.col("n") > 0).desc(), F.col("freq").desc(), F.col("n").desc(),
+                                           F.col("pref"))
+    return (counts.withColumn("_r", F.row_number().over(w)).where("_r = 1")
+            .select("file", F.when(F.col("n") > 0, F.col("delimiter")).otherwise(F.lit(",")).alias("delimiter")))
 
 
 def _re(d: str) -> str:
@@ -90,12 +87,11 @@ def _re(d: str) -> str:
 
 
 def detect_encoding(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: utf-8 when every line of the first split is valid UTF-8,
-    otherwise latin-1 (which decodes any byte string)."""
-    lines = first_split_lines(spark, path)
-    bad = F.max((~F.is_valid_utf8(F.col("value"))).cast("int"))
-    return lines.groupBy("file").agg(bad.alias("_bad")).select(
-        "file", F.when(F.col("_bad") == 1, F.lit("latin-1")).otherwise(F.lit("utf-8")).alias("encoding"))
+    """Per file: utf-8 when every line is valid UTF-8, otherwise latin-1 (which
+    decodes any byte string)."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return lines.groupBy("file").agg(F.count_if(~F.is_valid_utf8(F.col("value"))).alias("_bad")).select(
+        "file", F.when(F.col("_bad") > 0, F.lit("latin-1")).otherwise(F.lit("utf-8")).alias("encoding"))
 
 
 def infer_types(df: DataFrame) -> DataFrame:
@@ -104,7 +100,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if not c.startswith("_")]
     aggs = []
     for i, c in enumerate(cols):
-        v = F.nullif(F.trim(F.col(c)), F.lit(""))
+        v = F.nullif(py_strip(F.col(c)), F.lit(""))
         aggs += [F.count(v).alias(f"n{i}"), F.count(v.try_cast("bigint")).alias(f"i{i}"),
                  F.count(v.try_cast("double")).alias(f"d{i}"),
                  F.count_if(F.lower(v).isin(BOOL_TOKENS_TRUE + BOOL_TOKENS_FALSE)).alias(f"b{i}")]
@@ -122,7 +118,7 @@ def infer_types(df: DataFrame) -> DataFrame:
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     out: list[Column] = []
     for c in df.columns:
-        v = F.nullif(F.trim(F.col(c)), F.lit(""))
+        v = F.nullif(py_strip(F.col(c)), F.lit(""))
         t = types.get(c, "string")
         if t == "boolean":
             v = F.when(F.lower(v).isin(BOOL_TOKENS_TRUE), F.lit(True)).when(F.lower(v).isin(BOOL_TOKENS_FALSE),
@@ -155,30 +151,58 @@ def read_envelope(spark: SparkSession, path: str, data_key: str = "data",
     return env.select(meta.alias("api_metadata"), F.explode(F.col(data_key)).alias("_r")).select("_r.*", "api_metadata")
 
 
-def read_snapshot(spark: SparkSession, base: str, snapshot: str | None = None,
-                  fallback_json: bool = True) -> DataFrame:
-    """Snapshot-partitioned dataset (``snapshot=`` first, ``dt=`` fallback).
-
-    ``snapshot=None`` selects the latest one (a partition-only aggregate); the
-    equality filter on the partition column prunes every other directory.
-    Unreadable files are skipped; a dataset with JSON files only is read as
-    JSON lines."""
-    try:
-        df = spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", True).parquet(base)
-    except Exception:  # noqa: BLE001 — no parquet under the prefix
-        if not fallback_json:
-            raise
-        df = spark.read.option("ignoreCorruptFiles", True).json(base)
-    part = "snapshot" if "snapshot" in df.columns else "dt" if "dt" in df.columns else None
+def _listing(spark: SparkSession, base: str) -> tuple[list[str], list[str]]:
+    """(partition folder names, file names) right under ``base``; file names include those of the folders."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s for s in fs.listStatus(root) if s.isDirectory()]
+    files = [s.getPath().getName() for s in fs.listStatus(root) if s.isFile()]
+    for folder in folders:
+        files += [s.getPath().getName() for s in fs.listStatus(folder.getPath()) if s.isFile()]
+    return [s.getPath().getName() for s in folders], files
+
+
+def snapshot_names(spark: SparkSession, base: str) -> tuple[str | None, list[str]]:
+    """The snapshot partition column (``snapshot`` first, ``dt`` otherwise) and its values, from the folder names."""
+    folders, _ = _listing(spark, base)
+    for part in ("snapshot", "dt"):
+        values = sorted(f.split("=", 1)[1] for f in folders if f.startswith(f"{part}="))
+        if values:
+            return part, values
+    return None, []
+
+
+def read_snapshot(spark: SparkSession, base: str, snapshot: str | None = None, fmt: str | None = None,
+                  skip_corrupt: bool = False) -> DataFrame:
+    """Snapshot-partitioned dataset; ``snapshot=None`` selects the latest one.
+
+    The format is Parquet where the folder holds such files, else JSON lines, unless
+    given.  Any other trouble (permissions, a broken footer) raises, but with
+    ``skip_corrupt`` unreadable files are left out; ``skipped_files`` names them."""
+    part, values = snapshot_names(spark, base)
+    if fmt is None:
+        _, files = _listing(spark, base)
+        fmt = "parquet" if any(f.endswith(".parquet") for f in files) else "json"
+    r = spark.read.option("ignoreCorruptFiles", skip_corrupt)
+    df = r.option("mergeSchema", True).parquet(base) if fmt == "parquet" else r.json(base)
     if part is None:
         return df
-    if snapshot is None:
-        snapshot = df.agg(F.max(part)).first()[0]
-    out = df.where(F.col(part) == F.lit(snapshot).cast(df.schema[part].dataType))
+    out = df.where(F.col(part) == F.lit(snapshot or values[-1]).cast(df.schema[part].dataType))
     return out.withColumnRenamed(part, f"_{part}")
 
 
+def skipped_files(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """(file) under ``base`` that hold bytes but gave no row when corrupt files are skipped."""
+    have = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", f"*.{fmt}").load(base)
+            .where("length > 0").select(F.col("path").alias("file")))
+    r = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    df = r.option("pathGlobFilter", f"*.{fmt}").format(fmt).load(base)
+    name = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    read = df.select(name(F.col("_metadata.file_path")).alias("file")).distinct()
+    return have.select(name(F.col("file")).alias("file")).join(read, "file", "left_anti")
+
+
 def list_snapshots(spark: SparkSession, base: str) -> DataFrame:
-    df = spark.read.parquet(base)
-    part = "snapshot" if "snapshot" in df.columns else "dt"
-    return df.select(F.col(part).cast("string").alias("snapshot")).distinct().orderBy("snapshot")
+    """The snapshots of a dataset, from its folder names."""
+    return spark.createDataFrame([(v,) for v in snapshot_names(spark, base)[1]], "snapshot string").orderBy("snapshot")

@@ -2,10 +2,11 @@
 
 All queries use a file source with an explicit schema, ``trigger(availableNow)``
 (process what has arrived, then stop — restartable from the checkpoint),
-checkpoints under the shared ``spark.checkpoint.dir`` and distributed sinks
-(parquet, or ``foreachBatch`` writing parquet).  Aggregations whose result is
-replaced each batch (complete mode) are written by ``foreachBatch`` with
-overwrite, so nothing is collected on the driver.
+checkpoints under the shared ``spark.checkpoint.dir`` and distributed sinks.  A
+``foreachBatch`` sink writes the partition ``batch_id=<id>`` and replaces it when a
+batch is run again, so a replay leaves the tables as they were.  Windowed results
+run in update mode: a batch writes the windows it changed, state older than the
+watermark goes, and a reader takes each window's latest version (``current``).
 
 * ingest_split        validation inside foreachBatch → accepted / rejected sinks
 * dedup_within        exact anchored N-hour dedup per key with keyed state
@@ -15,7 +16,7 @@ overwrite, so nothing is collected on the driver.
 * windowed_counts     tumbling / sliding windows with a watermark
 * session_counts      session windows per key
 * reject_alarm        windowed reject counts; consecutive-period alarm
-* quality_per_batch   compiled DQ report per micro-batch, appended
+* quality_stream      rule counts per micro-batch, one report over the whole stream
 * layer hops          raw → silver → gold as chained availableNow queries
 """
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from strata.functions.columns import with_scalars
 from strata.session import scratch_path
 
 
@@ -55,24 +57,36 @@ def run_available_now(stream: DataFrame, sink: Callable | str, checkpoint: str,
         raise q.exception()
 
 
-def overwrite_each_batch(path: str) -> Callable[[DataFrame, int], None]:
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def by_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink that writes the partition of the batch, replacing it on a replay."""
+    def sink(batch: DataFrame, epoch: int) -> None:
+        write_batch(batch, path, epoch)
     return sink
 
 
+def write_batch(batch: DataFrame, path: str, epoch: int) -> None:
+    (batch.withColumn("batch_id", F.lit(epoch).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def current(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Latest version of each key from a table of updates (``batch_id`` tells them apart)."""
+    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    return (updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
+            .select(*keys, "_v.*"))
+
+
 # --------------------------------------------------------------------------
 def ingest_split(spark: SparkSession, src: str, schema: T.StructType,
                  validate: Callable[[DataFrame], DataFrame], accepted: str, rejected: str,
                  checkpoint: str | None = None) -> None:
-    """Validate every micro-batch once; write both sides.  Re-running with the
-    same ``checkpoint`` processes only files that arrived since."""
+    """Validate every micro-batch once; write both sides by batch.  Re-running with
+    the same ``checkpoint`` processes only files that arrived since."""
     def sink(batch: DataFrame, epoch: int) -> None:
         v = validate(batch).persist()
-        v.where("_is_valid").drop("_errors", "_error", "_is_valid").write.mode("append").parquet(accepted)
-        (v.where(~F.col("_is_valid")).select(F.to_json(F.struct(*batch.columns)).alias("record"),
-                                             F.col("_error").alias("error"), F.lit(epoch).alias("batch_id"))
-         .write.mode("append").parquet(rejected))
+        write_batch(v.where("_is_valid").drop("_errors", "_error", "_is_valid"), accepted, epoch)
+        write_batch(v.where(~F.col("_is_valid")).select(F.to_json(F.struct(*batch.columns)).alias("record"),
+                                                        F.col("_error").alias("error")), rejected, epoch)
         v.unpersist()
     run_available_now(file_stream(spark, src, schema), sink, checkpoint or scratch_path(spark, "ckpt-ingest"))
 
@@ -115,7 +129,8 @@ def dedup_within(spark: SparkSession, src: str, schema: T.StructType, keys: list
 
 def windowed_counts(spark: SparkSession, src: str, schema: T.StructType, ts_col: str, duration: str,
                     slide: str | None, group_cols: list[str], value_col: str | None, out: str,
-                    watermark: str = "1 day") -> None:
+                    watermark: str = "1 day") -> DataFrame:
+    """Counts (and sums) per tumbling or sliding window, the latest version of each."""
     s = file_stream(spark, src, schema).withColumn("_ts", F.col(ts_col).cast("timestamp"))
     w = F.window("_ts", duration, slide) if slide else F.window("_ts", duration)
     aggs = [F.count(F.lit(1)).alias("events")]
@@ -126,17 +141,23 @@ def windowed_counts(spark: SparkSession, src: str, schema: T.StructType, ts_col:
            F.col("w.end").cast("timestamp_ntz").alias("window_end"), *group_cols, "events"]
     if value_col:
         sel.append((F.col("_cents") / 100.0).alias("value_sum"))
-    run_available_now(agg.select(*sel), overwrite_each_batch(out), scratch_path(spark, "ckpt-window"), "complete")
+    run_available_now(agg.select(*sel), by_batch(out), scratch_path(spark, "ckpt-window"), "update")
+    return current(spark.read.parquet(out), ["window_start", "window_end", *group_cols])
 
 
 def session_counts(spark: SparkSession, src: str, schema: T.StructType, ts_col: str, gap: str,
-                   keys: list[str], out: str) -> None:
+                   keys: list[str], out: str) -> DataFrame:
+    """Session counts.  Session windows have no update mode: each batch writes the
+    whole result as its partition, and the last one is the result."""
     s = file_stream(spark, src, schema).withColumn("_ts", F.col(ts_col).cast("timestamp"))
     agg = (s.withWatermark("_ts", "1 day").groupBy(F.session_window("_ts", gap).alias("s"), *keys)
            .agg(F.count(F.lit(1)).alias("events")))
     sel = agg.select(*keys, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
                      F.col("s.end").cast("timestamp_ntz").alias("session_end"), "events")
-    run_available_now(sel, overwrite_each_batch(out), scratch_path(spark, "ckpt-session"), "complete")
+    run_available_now(sel, by_batch(out), scratch_path(spark, "ckpt-session"), "complete")
+    table = spark.read.parquet(out)
+    return with_scalars(table, table.agg(F.max("batch_id").alias("_last"))).where("batch_id = _last").drop(
+        "batch_id", "_last")
 
 
 def consecutive_alarm(counts: DataFrame, threshold: int, period_seconds: int) -> DataFrame:
@@ -149,12 +170,19 @@ def consecutive_alarm(counts: DataFrame, threshold: int, period_seconds: int) ->
             .select("window_start", "events", "prev_events"))
 
 
-def quality_per_batch(spark: SparkSession, src: str, schema: T.StructType, checker, dataset: str, out: str,
-                      max_files: int = 1) -> None:
+def quality_stream(spark: SparkSession, src: str, schema: T.StructType, checker, dataset: str, out: str,
+                   as_of: _dt.datetime | None = None, max_files: int | None = None) -> DataFrame:
+    """The quality report of everything that the stream has brought so far.
+
+    A batch stores its rule counts and, for uniqueness rules, its counts per key; the
+    report sums them over all batches, so it does not depend on how rows fell into
+    batches.  Row ages are taken at ``as_of`` (default: now, once per run)."""
+    as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
     def sink(batch: DataFrame, epoch: int) -> None:
-        rep = checker.check(batch, dataset, "stream", as_of=_dt.datetime(2024, 2, 1)).drop("_raw_score")
-        rep.withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(out)
+        write_batch(checker.partial_counts(batch, as_of), out, epoch)
     run_available_now(file_stream(spark, src, schema, max_files=max_files), sink, scratch_path(spark, "ckpt-dq"))
+    return checker.report_of(spark.read.parquet(out).drop("batch_id"), schema.names, dataset, "stream")
 
 
 def layer_hop(spark: SparkSession, src: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame],
