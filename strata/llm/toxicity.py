@@ -3,7 +3,7 @@
 1. Fit, on a bounded sample of labelled rows (`positives` and `negatives`, the
    smallest hashes of their ids): document frequencies of words and word starts per
    label choose the vocabulary, terms whose share differs by `least_z` standard
-   errors; examples become unit TF-IDF vectors over it. Equal vectors are kept once
+   errors and by the factor LIFT; examples become unit TF-IDF vectors over it. Equal vectors are kept once
    with the weight of their labels, which also undoes the sample's label shares.
 2. The examples form an inverted index in blocks with each term's largest weight
    per block. A query takes blocks by descending bound and stops when the bound is
@@ -35,7 +35,7 @@ from strata.llm.common import Scratch, map_columns
 
 #: bounds of the sample, of the vocabulary, and the neighbours that vote
 POSITIVES, NEGATIVES, VOCABULARY, NEIGHBOURS = 6_000, 12_000, 8_192, 15
-LEAST_Z, LEAST_DF, BLOCK, START, REPEATS, POWER = 5.0, 3, 64, 4, (2, 4), 4
+LEAST_Z, LEAST_DF, LIFT, BLOCK, START, REPEATS, POWER = 5.0, 3, 3.0, 64, 4, (2, 4), 4
 #: weight of the overall share of toxic rows in a vote
 PRIOR_WEIGHT = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -62,11 +62,11 @@ class Index:
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))   # weights of each distinct vector
     clean: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: list = field(default_factory=list)                          # example ids of each distinct vector
-    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
+    size: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    blocks: list = field(default_factory=list)   # terms of a block, and their postings as rows over its vectors
     peaks: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: tuple = ((), ())
+    memo: tuple = field(default_factory=lambda: ({}, set(), {}))     # filled in the workers
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         t = np.array(sorted(counts), np.int64)
@@ -75,57 +75,54 @@ class Index:
 
     def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Postings by term in blocks of BLOCK vectors, with the largest weight in each."""
-        blocks = -(-len(vectors) // BLOCK)
-        row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-        term = np.concatenate([t for t, _ in vectors])
-        weight = np.concatenate([w for _, w in vectors])
-        order = np.lexsort((row, term))
-        self.rows, self.weights = row[order], weight[order]
-        cell = term[order] * blocks + self.rows // BLOCK
-        edges = np.searchsorted(cell, np.arange(len(self.idf) * blocks + 1))
-        self.starts = np.stack((edges[:-1], edges[1:])).T.reshape(len(self.idf), blocks, 2)
-        peaks = np.zeros(len(self.idf) * blocks)
-        np.maximum.at(peaks, cell, self.weights)
-        self.peaks = peaks.reshape(len(self.idf), blocks)
+        self.size = np.array([len(x) for x in self.ids], np.int64) if self.ids else np.ones(len(vectors), np.int64)
+        self.peaks = np.zeros((len(self.idf), -(-len(vectors) // BLOCK)))
+        self.blocks = []
+        for b in range(self.peaks.shape[1]):
+            own = vectors[b * BLOCK:(b + 1) * BLOCK]
+            terms = np.unique(np.concatenate([t for t, _ in own]))
+            postings = np.zeros((len(terms), len(own)))
+            for i, (t, w) in enumerate(own):
+                postings[np.searchsorted(terms, t), i] = w
+            self.blocks.append((terms, postings))
+            self.peaks[terms, b] = postings.max(axis=1)
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Vectors by descending cosine that together hold at least k examples, and their cosines."""
+        """Vectors by descending cosine that together hold at least k examples (with all of the last
+        cosine), and their cosines. Blocks are read while their bound reaches the last one's."""
         bound = w @ self.peaks[t]
-        order = np.argsort(-bound, kind="stable")
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for n, b in enumerate(order):
-            if bound[b] <= 0:
+        found, scores, last = np.zeros(0, np.int64), np.zeros(0), -1.0
+        for b in np.argsort(-bound, kind="stable"):
+            if bound[b] <= 0 or bound[b] < last - 1e-12:
                 break
-            if n and len(found):
-                by = np.argsort(-scores, kind="stable")
-                reach = np.cumsum(size[found[by]])
-                if reach[-1] >= k and bound[b] < scores[by[np.searchsorted(reach, k)]] - 1e-12:
-                    break
-            dense = np.zeros(BLOCK)
-            for term, q in zip(t, w):
-                i, j = self.starts[term, b]
-                dense[self.rows[i:j] - b * BLOCK] += q * self.weights[i:j]
-            hit = np.flatnonzero(dense)
-            found, scores = np.concatenate((found, hit + b * BLOCK)), np.concatenate((scores, dense[hit]))
-        by = np.lexsort((found, -scores))
-        found, scores = found[by], scores[by]
-        if len(found):
-            last = scores[min(len(found) - 1, int(np.searchsorted(np.cumsum(size[found]), k)))]
-            keep = scores >= last - 1e-12
-            found, scores = found[keep], scores[keep]
+            terms, postings = self.blocks[b]
+            at = np.minimum(np.searchsorted(terms, t), len(terms) - 1)
+            here = terms[at] == t
+            cosine = w[here] @ postings[at[here]]
+            hit = np.flatnonzero(cosine > max(0.0, last - 1e-12))
+            if not len(hit):
+                continue
+            found, scores = np.concatenate((found, hit + b * BLOCK)), np.concatenate((scores, cosine[hit]))
+            by = np.lexsort((found, -scores))
+            found, scores = found[by], scores[by]
+            reach = np.cumsum(size[found])
+            if reach[-1] >= k:
+                last = scores[np.searchsorted(reach, k)]
+                keep = scores >= last - 1e-12
+                found, scores = found[keep], scores[keep]
         return found, scores
 
     def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None):
-        toxic, clean, size = self.toxic, self.clean, np.array([len(x) for x in self.ids])
+        size = self.size
         if without:
-            at, less_toxic, less_clean = without
-            toxic, clean, size = toxic.copy(), clean.copy(), size.copy()
-            toxic[at] -= less_toxic
-            clean[at] -= less_clean
-            size[at] -= 1
+            size = size.copy()
+            size[without[0]] -= 1
         near, cosine = self.nearest(t, w, k, size)
-        s = cosine ** POWER
-        up, all_ = float(s @ toxic[near]), float(s @ (toxic[near] + clean[near]))
+        s, toxic, clean = cosine ** POWER, self.toxic[near], self.clean[near]
+        if without:
+            own = near == without[0]
+            toxic, clean = toxic - own * without[1], clean - own * without[2]
+        up, all_ = float(s @ toxic), float(s @ (toxic + clean))
         return (up + PRIOR_WEIGHT * self.prior) / (all_ + PRIOR_WEIGHT), near
 
     def calibrated(self, vote: float) -> float:
@@ -180,9 +177,10 @@ def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, pos
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("d1"),
         F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("d0"))
     share = (F.col("d1") + F.col("d0")) / (s1 + s0)
-    z = (F.col("d1") / s1 - F.col("d0") / s0) / F.sqrt(share * (1 - share) * (1 / s1 + 1 / s0))
+    a, b = F.col("d1") / s1, F.col("d0") / s0
+    z = (a - b) / F.sqrt(share * (1 - share) * (1 / s1 + 1 / s0))
     chosen = (df.filter((F.col("d1") + F.col("d0") >= LEAST_DF) & (share < 1)).withColumn("z", z)
-              .filter(F.abs("z") >= least_z).orderBy(F.abs("z").desc(), "term").limit(vocabulary).collect())
+              .filter((F.abs("z") >= least_z) & (F.greatest(a, b) >= LIFT * F.least(a, b))).orderBy(F.abs("z").desc(), "term").limit(vocabulary).collect())
     index.terms = {r["term"]: i for i, r in enumerate(chosen)}
     index.idf = np.log((s1 + s0 + 1) / (np.array([r["d1"] + r["d0"] for r in chosen]) + 1)) + 1
     terms = index.terms
@@ -249,7 +247,7 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS, evidence: int = 3)
 
 def scores(index: Index, texts: list, k: int) -> list[tuple[float, list[int]]]:
     """Score and evidence of each text; a worker keeps what it knows of parts and vectors."""
-    hot, cold, known = _MEMO.setdefault(id(index), ({}, set(), {}))
+    hot, cold, known = index.memo
     if len(cold) > 500_000:
         cold.clear()
     out = []
@@ -268,9 +266,6 @@ def scores(index: Index, texts: list, k: int) -> list[tuple[float, list[int]]]:
     return out
 
 
-_MEMO: dict[int, tuple] = {}
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, **bounds) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence of every document; labels of held-out rows are not read."""
     held = F.coalesce(held_out, F.lit(False))

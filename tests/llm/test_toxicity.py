@@ -29,11 +29,13 @@ def test_nearest_is_exact():
     index = Index(idf=rng.random(30) + 1)
     vectors = [index.vector({int(t): int(rng.integers(1, 4)) for t in rng.choice(30, rng.integers(1, 5), False)})
                for _ in range(5 * BLOCK + 7)]
+    size = rng.integers(1, 4, len(vectors))
+    index.ids = [[0] * n for n in size]
     index.build(vectors)
     dense = np.zeros((len(vectors), 30))
     for i, (t, w) in enumerate(vectors):
         dense[i, t] = w
-    size = rng.integers(1, 4, len(vectors))
+    assert (index.size == size).all()
     for q in vectors[::7]:
         near, cosine = index.nearest(*q, 10, size)
         full = np.zeros(30)
