@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import as_date, with_scalars
 from strata.functions.numeric import cents, money_avg, money_sum, ratio_round
+from strata.session import materialize
 
 
-def top_value(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Most frequent non-null ``value`` per ``keys``; ties → smallest value."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+def top_value(df: DataFrame, keys: list[str], value: str, out: str, rows: str | None = None) -> DataFrame:
+    """Most frequent non-null ``value`` per ``keys`` (weighted by ``rows``); ties → smallest value."""
+    n = F.sum(rows) if rows else F.count(F.lit(1))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_n"))
     w = Window.partitionBy(*keys).orderBy(F.col("_n").desc(), F.col(value).asc())
     return (counts.withColumn("_rk", F.row_number().over(w)).where("_rk = 1")
             .select(*keys, F.col(value).alias(out)))
@@ -33,24 +35,29 @@ def aggregate_daily(df: DataFrame, date_col: str = "order_date", amount_col: str
                     group_cols: list[str] | None = None) -> DataFrame:
     """Per day (and optional group columns): revenue sum/mean/min/max/count,
     distinct customers / SKUs, most frequent category and country.  Rows
-    whose date does not parse are dropped."""
-    group_cols = list(group_cols or [])
-    d = df.withColumn("date", as_date(df, date_col)).where(F.col("date").isNotNull())
+    whose date does not parse are dropped.
+
+    The source runs once: rows are first aggregated per day and dimension values into
+    a stored table, which all figures read."""
+    keys = ["date", *(group_cols or [])]
     amount = F.col(amount_col).try_cast("double")
-    keys = ["date"] + group_cols
-    aggs = [F.coalesce(money_sum(amount), F.lit(0.0)).alias("total_revenue"),
-            money_avg(amount).alias("avg_order_value"),
-            F.min(amount).alias("min_order_value"),
-            F.max(amount).alias("max_order_value"),
-            F.count(amount).alias("transaction_count")]
-    if "customer_id" in df.columns:
-        aggs.append(F.count_distinct("customer_id").alias("unique_customer_ids"))
-    if "product_sku" in df.columns:
-        aggs.append(F.count_distinct("product_sku").alias("unique_product_skus"))
-    out = d.groupBy(*keys).agg(*aggs)
+    dims = [c for c in ("customer_id", "product_sku", "category", "country") if c in df.columns and c not in keys]
+    d = df.withColumn("date", as_date(df, date_col)).where(F.col("date").isNotNull())
+    part = materialize(d.groupBy(*keys, *dims).agg(
+        F.sum(cents(amount)).alias("_c"), F.count(amount).alias("_n"), F.min(amount).alias("_min"),
+        F.max(amount).alias("_max"), F.count(F.lit(1)).alias("_rows")), "daily")
+    total = F.sum("_c")
+    aggs = [F.coalesce(total.cast("double") / 100.0, F.lit(0.0)).alias("total_revenue"),
+            ratio_round(total, F.sum("_n") * 100, 2).alias("avg_order_value"),
+            F.min("_min").alias("min_order_value"), F.max("_max").alias("max_order_value"),
+            F.sum("_n").alias("transaction_count")]
+    for src, name in (("customer_id", "unique_customer_ids"), ("product_sku", "unique_product_skus")):
+        if src in dims:
+            aggs.append(F.count_distinct(src).alias(name))
+    out = part.groupBy(*keys).agg(*aggs)
     for src, name in (("category", "top_category"), ("country", "top_country")):
-        if src in df.columns:
-            out = out.join(top_value(d, keys, src, name), keys, "left")
+        if src in dims:
+            out = out.join(top_value(part, keys, src, name, "_rows"), keys, "left")
     return out.withColumns({"_aggregation_type": F.lit("daily"), "_layer": F.lit("gold")})
 
 
@@ -77,11 +84,12 @@ def aggregate_monthly(df: DataFrame, date_col: str = "order_date", amount_col: s
 def aggregate_by_dimension(df: DataFrame, dimension_col: str, amount_col: str = "total_amount") -> DataFrame:
     """Revenue per dimension value with its share of the grand total (2 dp).
 
-    The share's denominator is a one-row total broadcast to the groups (no
-    single-partition window, however many dimension values there are)."""
+    The source runs once, into a stored row per value; the share's denominator is a
+    one-row total of that table (no single-partition window)."""
     amount = F.col(amount_col).try_cast("double")
     g = (df.where(F.col(dimension_col).isNotNull()).groupBy(dimension_col)
          .agg(*_amount_aggs(amount), F.sum(cents(amount)).alias("_c")))
+    g = materialize(g, "dimension")
     g = with_scalars(g, g.agg(F.sum("_c").alias("_total")))
     share = ratio_round(F.col("_c") * 100, F.col("_total"), 2)
     return (g.withColumn("revenue_pct", share).drop("_c", "_total")

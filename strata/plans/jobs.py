@@ -1,10 +1,10 @@
 """Pipeline jobs: Bronze (ingest + validate + split + metrics per source),
-Silver (standardise + dedup + quality), Gold (rollups, KPIs, report).
+Silver (schema, standardise, dedup, quality), Gold (daily rollup, KPIs, report).
 
-Each layer is a function returning DataFrames; a source that fails while its
-plan is built is isolated (its metrics row says ``failed``) and the other
-sources continue.  Single-layer runs read the previous layer from storage
-instead of receiving empty inputs.
+Each layer is a function returning DataFrames; a source that fails, while its plan
+is built or when it runs, is isolated (its metrics row says ``failed``) and the
+other sources continue.  ``Lake`` keeps the layers as tables under one folder, and
+``run_layer`` runs a single layer from the tables of the one before it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,10 @@ from strata.operators import kpi as K
 from strata.operators import rules as V
 from strata.operators import silver as SV
 from strata.operators.dedup import dedup_exact
+from strata.operators.profile import business_report
 from strata.operators.quality import QualityChecker
+from strata.operators.rollups import aggregate_daily
+from strata.operators.schema import TableSchema, enforce
 
 
 @dataclass
@@ -82,14 +85,28 @@ def silver_quality(df: DataFrame, dataset: str, as_of: _dt.datetime) -> DataFram
 
 
 def calculate_all(df: DataFrame) -> DataFrame:
-    """Every KPI group as one long table (kpi_group, kpi, value)."""
+    """Every KPI group as one long table (kpi_group, kpi, value); grouped figures
+    (revenue and customers by dimension, products, status) name the member in kpi."""
     def long(group: str, wide: DataFrame) -> DataFrame:
         cols = [c for c in wide.columns]
         return wide.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
             .unpivot([], cols, "kpi", "value").select(F.lit(group).alias("kpi_group"), "kpi", "value")
+
+    def by_member(group: str, frame: DataFrame, member: str, value: str) -> DataFrame:
+        return frame.select(F.lit(group).alias("kpi_group"), F.col(member).cast("string").alias("kpi"),
+                            F.col(value).cast("double").alias("value"))
     parts = [long("revenue", K.revenue_kpis(df)), long("customer", K.customer_kpis(df))]
     if "quantity" in df.columns:
         parts.append(long("operational", K.operational_kpis(df)))
+    for dim in ("category", "country"):
+        if dim in df.columns:
+            parts.append(by_member(f"revenue_by_{dim}", K.revenue_by(df, dim), dim, "revenue"))
+    if "country" in df.columns:
+        parts.append(by_member("customers_by_country", K.customers_by(df, "country"), "country", "customers"))
+    if "product_sku" in df.columns:
+        parts.append(by_member("top_products", K.top_products(df), "product_sku", "count"))
+    if "status" in df.columns:
+        parts.append(by_member("status_distribution", K.distribution(df, "status"), "status", "count"))
     parts.append(df.agg(F.count(F.lit(1)).cast("double").alias("value"))
                  .select(F.lit("summary").alias("kpi_group"), F.lit("record_count").alias("kpi"), "value"))
     out = parts[0]
@@ -98,6 +115,74 @@ def calculate_all(df: DataFrame) -> DataFrame:
     return out
 
 
+@dataclass
+class Lake:
+    """Layer tables as Parquet under one folder that all executors share."""
+    spark: SparkSession
+    root: str
+
+    def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.root}/{layer}/{name}")
+        return self.read(layer, name)
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{layer}/{name}")
+
+
+def run_bronze(lake: Lake, spec: SourceSpec, run_id: str, as_of: _dt.datetime) -> DataFrame:
+    """Validate one source once; store the accepted and rejected rows; metrics.
+    An error anywhere in the source's plan gives a ``failed`` row."""
+    try:
+        raw = spec.read(lake.spark)
+        v = lake.write("bronze", f"{spec.name}_validated", spec.validate(spec.flatten(raw) if spec.flatten else raw))
+        accepted, rejected = V.split(v)
+        lake.write("bronze", spec.name, SV.add_ingestion_metadata(accepted, spec.name, spec.source_type, run_id, as_of))
+        lake.write("bronze", f"{spec.name}_rejected", rejected)
+        return V.ingest_metrics(v, spec.name, spec.source_type)
+    except Exception as e:  # noqa: BLE001 — per-source isolation
+        print(f"bronze source {spec.name} failed: {e}")
+        return lake.spark.createDataFrame(
+            [(spec.name, spec.source_type, 0, 0, 0, 0.0, "failed")],
+            "source_name string, source_type string, records_read bigint, records_accepted bigint, "
+            "records_rejected bigint, rejection_rate_pct double, status string")
+
+
+def run_silver(lake: Lake, name: str, source_type: str, as_of: _dt.datetime, order: list[str],
+               schema: TableSchema | None = None) -> DataFrame:
+    """Bronze table → silver table and its quality report; the rows after each step
+    as (step, rows)."""
+    b = lake.read("bronze", name)
+    kept = enforce(b, schema, "permissive") if schema else b
+    s = lake.write("silver", name, silver(kept, source_type, as_of, order))
+    report = lake.write("silver", f"{name}_quality", silver_quality(s, name, as_of).drop("_raw_score"))
+    count = lambda step, df: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(step).alias("step"), "rows")
+    return (count("bronze", b).unionByName(count("silver", s))
+            .unionByName(count("quality_rules", report)).unionByName(count("quality_failed", report.where("NOT passed"))))
+
+
+def run_gold(lake: Lake, name: str, date_col: str, amount_col: str, order_col: str) -> dict[str, DataFrame]:
+    """Silver table → daily rollup, KPIs and report tables."""
+    s = lake.read("silver", name)
+    return {"daily": lake.write("gold", f"{name}_daily", aggregate_daily(s, date_col, amount_col)),
+            "kpis": lake.write("gold", f"{name}_kpis", calculate_all(s)),
+            "report": lake.write("gold", f"{name}_report", business_report(s, amount_col, order_col, date_col))}
+
+
+def run_layer(lake: Lake, layer: str, **args) -> DataFrame | dict[str, DataFrame]:
+    """One layer alone, from the stored tables of the one before it."""
+    return {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}[layer](lake, **args)
+
+
+def pipeline_report(metrics: DataFrame, report: DataFrame) -> DataFrame:
+    """The run as (section, metric, value): ingestion per source, quality per rule."""
+    ingest = metrics.unpivot(["source_name"], ["records_read", "records_accepted", "records_rejected"],
+                             "metric", "value").select(
+        F.concat(F.lit("ingest:"), F.col("source_name")).alias("section"), "metric", F.col("value").cast("double"))
+    quality = report.select(F.concat(F.lit("quality:"), F.col("dataset_name")).alias("section"),
+                            F.col("rule_name").alias("metric"), F.col("score").alias("value"))
+    return ingest.unionByName(quality)
+
+
 def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
     """All sources in one frame (missing columns → null), tagged by source, distinct."""
     out = None

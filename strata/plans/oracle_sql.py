@@ -337,6 +337,7 @@ norm AS (
     NULLIF(TRIM(customer_id), '') AS customer_id, NULLIF(TRIM(product_sku), '') AS product_sku,
     NULLIF(TRIM(quantity), '') AS quantity, NULLIF(TRIM(total_amount), '') AS total_amount,
     NULLIF(TRIM(currency), '') AS currency, NULLIF(TRIM(status), '') AS status,
+    NULLIF(TRIM(category), '') AS category, NULLIF(TRIM(country), '') AS country,
     ROW_NUMBER() OVER (PARTITION BY NULLIF(TRIM(transaction_id), '')
                        ORDER BY {_nulls_first(_RAW_ORDER)}) AS rn
   FROM raw_erp),
@@ -943,8 +944,16 @@ SELECT source_name, source_type, records_read, records_accepted, records_rejecte
   CASE WHEN records_rejected = 0 THEN 'success' WHEN records_accepted > 0 THEN 'partial' ELSE 'failed' END AS status
 FROM m""")
 
+GROUPED_KPIS = """UNION ALL SELECT 'revenue_by_category', category, ROUND(SUM(v), 2) FROM acc GROUP BY category
+UNION ALL SELECT 'revenue_by_country', country, ROUND(SUM(v), 2) FROM acc GROUP BY country
+UNION ALL SELECT 'customers_by_country', country, CAST(COUNT(DISTINCT customer_id) AS DOUBLE) FROM acc GROUP BY country
+UNION ALL SELECT 'top_products', product_sku, n FROM (SELECT product_sku, CAST(COUNT(*) AS DOUBLE) AS n FROM acc
+  GROUP BY product_sku ORDER BY n DESC, product_sku LIMIT 5)
+UNION ALL SELECT 'status_distribution', status, CAST(COUNT(*) AS DOUBLE) FROM acc GROUP BY status"""
+
 SQL["bronze_to_gold"] = with_(VALIDATED_ERP, f""",
-acc AS (SELECT TRY_CAST(total_amount AS DOUBLE) AS v, TRY_CAST(quantity AS DOUBLE) AS q, customer_id
+acc AS (SELECT TRY_CAST(total_amount AS DOUBLE) AS v, TRY_CAST(quantity AS DOUBLE) AS q, customer_id,
+          category, country, product_sku, status, TRY_CAST(order_date AS DATE) AS day
         FROM verr WHERE _error IS NULL),
 x AS (SELECT v, {cents("v")} AS c FROM acc WHERE v IS NOT NULL),
 per AS (SELECT customer_id, COALESCE(SUM({cents("v")}), 0) AS c FROM acc WHERE customer_id IS NOT NULL GROUP BY 1),
@@ -963,6 +972,7 @@ UNION ALL SELECT 'customer', 'top_10pct_revenue_share',
   {rr("SUM(CASE WHEN rn <= GREATEST(1, FLOOR(n * 0.1)) THEN c ELSE 0 END) * 100", "GREATEST(SUM(c), 100)", 2)} FROM ranked
 UNION ALL SELECT 'operational', 'avg_quantity_per_order', {rr(f"SUM({cents('q')})", "(COUNT(q) * 100)", 2)} FROM acc
 UNION ALL SELECT 'operational', 'total_units_sold', CAST(CAST(SUM(q) AS BIGINT) AS DOUBLE) FROM acc
+{GROUPED_KPIS}
 UNION ALL SELECT 'summary', 'record_count', CAST(COUNT(*) AS DOUBLE) FROM acc""")
 
 SQL["union_sources"] = """
@@ -1067,3 +1077,83 @@ walk(i, kept) AS (
 chosen AS (SELECT unnest(kept) AS doc_id FROM walk WHERE i = (SELECT MAX(i) FROM walk))
 SELECT n.doc_id, n.lang, n.source FROM n JOIN firsts f ON n.doc_id = f.doc_id
 WHERE n.doc_id NOT IN (SELECT doc_id FROM seq) OR n.doc_id IN (SELECT doc_id FROM chosen)"""
+
+
+# ---- layers from storage, options of earlier operators ----------------------
+ACCEPTED = VALIDATED_ERP + """,
+acc AS (SELECT TRY_CAST(total_amount AS DOUBLE) AS v, TRY_CAST(quantity AS DOUBLE) AS q, customer_id,
+          category, country, product_sku, status, TRY_CAST(order_date AS DATE) AS day
+        FROM verr WHERE _error IS NULL)"""
+
+SQL["gold_layer_kpis"] = with_(ACCEPTED, "\n" + GROUPED_KPIS.replace(
+    "UNION ALL SELECT 'revenue_by_category', category, ROUND(SUM(v), 2)",
+    "SELECT 'revenue_by_category' AS kpi_group, category AS kpi, ROUND(SUM(v), 2) AS value", 1))
+
+SQL["silver_layer"] = with_(ACCEPTED, """
+SELECT 'bronze' AS step, COUNT(*) AS rows FROM acc UNION ALL SELECT 'silver', COUNT(*) FROM acc
+UNION ALL SELECT 'quality_rules', 3
+UNION ALL SELECT 'quality_failed', CAST(AVG(CASE WHEN q BETWEEN 0 AND 10000 THEN 1 ELSE 0 END) < 0.98 AS INT)
+  + CAST(AVG(CASE WHEN customer_id IS NULL THEN 0 ELSE 1 END) < 0.95 AS INT) FROM acc""")
+
+SQL["gold_layer_daily"] = with_(ACCEPTED, f""",
+base AS (SELECT day AS date, ROUND(SUM(v), 2) AS total_revenue, COUNT(v) AS transaction_count,
+    COUNT(DISTINCT customer_id) AS unique_customer_ids, COUNT(DISTINCT product_sku) AS unique_product_skus
+  FROM acc GROUP BY day)
+SELECT base.*, tc.top_category, tco.top_country FROM base
+LEFT JOIN {_top("acc", "day", "category", "top_category")} tc ON base.date = tc.date
+LEFT JOIN {_top("acc", "day", "country", "top_country")} tco ON base.date = tco.date""")
+
+SQL["pipeline_run_report"] = with_(VALIDATED_ERP, """,
+m AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE _error IS NULL) AS ok FROM verr)
+SELECT 'ingest:erp_transactions' AS section, 'records_read' AS metric, CAST(n AS DOUBLE) AS value FROM m
+UNION ALL SELECT 'ingest:erp_transactions', 'records_accepted', ok FROM m
+UNION ALL SELECT 'ingest:erp_transactions', 'records_rejected', n - ok FROM m
+UNION ALL SELECT 'quality:erp_transactions', 'completeness_customer_id',
+  CAST(COUNT(customer_id) AS DOUBLE) / COUNT(*) FROM verr WHERE _error IS NULL
+UNION ALL SELECT 'quality:erp_transactions', 'accuracy_quantity',
+  CAST(COUNT(*) FILTER (WHERE TRY_CAST(quantity AS DOUBLE) BETWEEN 0 AND 10000) AS DOUBLE) / COUNT(*) FROM verr WHERE _error IS NULL
+UNION ALL SELECT 'quality:erp_transactions', 'uniqueness_transaction_id',
+  CAST(COUNT(DISTINCT transaction_id) AS DOUBLE) / COUNT(*) FROM verr WHERE _error IS NULL""")
+
+SQL["weekly_growth"] = with_(TXN, """,
+m AS (SELECT CAST(isoyear(order_date) AS INTEGER) AS year, CAST(weekofyear(order_date) AS INTEGER) AS week,
+        ROUND(COALESCE(SUM(total_amount), 0), 2) AS total_revenue
+      FROM txn WHERE order_date IS NOT NULL GROUP BY 1, 2)
+SELECT year, week, total_revenue, LAG(total_revenue) OVER (ORDER BY year, week) AS prev_revenue,
+  ROUND((total_revenue - LAG(total_revenue) OVER (ORDER BY year, week))
+        / NULLIF(LAG(total_revenue) OVER (ORDER BY year, week), 0) * 100, 2) AS revenue_growth_pct
+FROM m""")
+
+SQL["typed_projection"] = """
+SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier"""
+
+SQL["read_gzip_csv"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders"
+
+SQL["snapshot_json"] = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, '2024-01-02' AS dt FROM nation"
+
+SQL["schema_row_tags"] = with_(RAW_ERP, """
+SELECT *, list_filter([
+  CASE WHEN transaction_id IS NULL THEN 'null:transaction_id' END,
+  CASE WHEN order_date IS NOT NULL AND TRY_CAST(TRIM(order_date) AS TIMESTAMP) IS NULL THEN 'type:order_date' END,
+  CASE WHEN quantity IS NOT NULL AND TRY_CAST(TRIM(quantity) AS DOUBLE) IS NULL THEN 'type:quantity' END,
+  CASE WHEN unit_price IS NOT NULL AND TRY_CAST(TRIM(unit_price) AS DOUBLE) IS NULL THEN 'type:unit_price' END,
+  CASE WHEN total_amount IS NOT NULL AND TRY_CAST(TRIM(total_amount) AS DOUBLE) IS NULL THEN 'type:total_amount' END
+  ], lambda x: x IS NOT NULL) AS _schema_violations
+FROM raw_erp""")
+
+SQL["schema_drop"] = with_(RAW_ERP, "SELECT * EXCLUDE (payment_method, warehouse_id, ship_date) FROM raw_erp")
+
+_STRATEGY = f"""input AS total_input, output AS total_output, found AS duplicates_found,
+  input - output AS duplicates_removed,
+  CASE WHEN input > 0 THEN {rr("(input - output) * 100", "input", 2)} ELSE 0.0 END AS dedup_rate_pct"""
+
+SQL["dedup_dispatch"] = f"""
+WITH g AS (SELECT COUNT(*) AS k FROM lineitem GROUP BY l_orderkey, l_linenumber),
+a AS (SELECT CAST(COALESCE(SUM(CASE WHEN k > 1 THEN k ELSE 0 END), 0) AS BIGINT) AS found,
+        CAST(SUM(k) AS BIGINT) AS input, COUNT(*) AS output FROM g),
+kept AS ({SQL["dedup_window"]}),
+w AS (SELECT i AS input, o AS output, i - o AS found
+      FROM (SELECT (SELECT COUNT(*) FROM events) AS i, (SELECT COUNT(*) FROM kept) AS o))
+SELECT 'exact' AS strategy, {_STRATEGY} FROM a
+UNION ALL SELECT 'window->exact', {_STRATEGY} FROM a
+UNION ALL SELECT 'window', {_STRATEGY} FROM w"""

@@ -862,3 +862,109 @@ def q_validate_company_dim(spark, sf):
                    (F.col("s_acctbal") > 0).alias("is_revenue_company"))
     v = V.validate_lake(dim, "dim_company", B.LAKE_COMPANY_IDS)
     return v.select("company_id", "company_name", "_error", "_is_valid")
+
+
+# ---- layers from storage ----------------------------------------------------
+def _lake(spark, sf):
+    """Bronze of the ERP export in a lake folder, metrics included."""
+    lake = JB.Lake(spark, scratch_path(spark, "lake"))
+    return lake, JB.run_layer(lake, "bronze", spec=_specs(sf)[0], run_id="run-0001", as_of=SILVER_AS_OF)
+
+
+def _silver_layer(lake):
+    return JB.run_layer(lake, "silver", name="erp_transactions", source_type="erp", as_of=SILVER_AS_OF,
+                        order=M.RAW_COLUMNS)
+
+
+@register("silver_layer")
+def q_silver_layer(spark, sf):
+    """The silver layer alone, from the stored bronze table: rows after each step."""
+    lake, _ = _lake(spark, sf)
+    return _silver_layer(lake)
+
+
+@register("gold_layer_kpis")
+def q_gold_layer_kpis(spark, sf):
+    """The gold layer alone, from the stored silver table: every KPI group."""
+    lake, _ = _lake(spark, sf)
+    _silver_layer(lake)
+    gold = JB.run_layer(lake, "gold", name="erp_transactions", date_col="order_date", amount_col="total_amount",
+                        order_col="order_date")
+    return gold["kpis"].where("kpi_group LIKE '%by_%' OR kpi_group = 'status_distribution' OR kpi_group = 'top_products'")
+
+
+@register("gold_layer_daily")
+def q_gold_layer_daily(spark, sf):
+    lake, _ = _lake(spark, sf)
+    _silver_layer(lake)
+    gold = JB.run_layer(lake, "gold", name="erp_transactions", date_col="order_date", amount_col="total_amount",
+                        order_col="order_date")
+    return gold["daily"].select("date", "total_revenue", "transaction_count", "unique_customer_ids",
+                                "unique_product_skus", "top_category", "top_country")
+
+
+@register("pipeline_run_report")
+def q_pipeline_run_report(spark, sf):
+    lake, metrics = _lake(spark, sf)
+    _silver_layer(lake)
+    return JB.pipeline_report(metrics, lake.read("silver", "erp_transactions_quality"))
+
+
+# ---- options of earlier operators -------------------------------------------
+@register("weekly_growth")
+def q_weekly_growth(spark, sf):
+    m = R.aggregate_weekly(B.txn(spark, sf), iso_year=True).select("year", "week", "total_revenue")
+    prev = F.lag("total_revenue").over(Window.orderBy("year", "week"))
+    return m.select("year", "week", "total_revenue", prev.alias("prev_revenue"),
+                    F.round((F.col("total_revenue") - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2)
+                    .alias("revenue_growth_pct"))
+
+
+@register("typed_projection")
+def q_typed_projection(spark, sf):
+    """CSV strings cast to the types that all their values allow."""
+    path = scratch_path(spark, "supplier_csv")
+    c = _table(spark, sf, "supplier")
+    FS.write_csv(c, path)
+    raw = FS.read_csv_raw(spark, path, c.columns).drop("_corrupt_record")
+    types = {r["column"]: r["inferred_type"] for r in FS.infer_types(raw).collect()}  # a row per column
+    return FS.apply_types(raw, types).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
+@register("read_gzip_csv")
+def q_read_gzip_csv(spark, sf):
+    path = scratch_path(spark, "orders_gz")
+    o = _table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
+    o.write.options(**FS.CSV_OPTS).option("header", True).option("compression", "gzip").csv(path)
+    return FS.read_csv_raw(spark, path, o.columns).drop("_corrupt_record")
+
+
+@register("snapshot_json")
+def q_snapshot_json(spark, sf):
+    """A dataset with JSON files only and ``dt=`` folders: the latest is read as JSON lines."""
+    path = scratch_path(spark, "nations_json")
+    n = _table(spark, sf, "nation").select("n_nationkey", "n_name")
+    for day in ("2024-01-01", "2024-01-02"):
+        (n.where(F.col("n_nationkey") < (10 if day.endswith("1") else 99)).write.json(f"{path}/dt={day}"))
+    return FS.read_snapshot(spark, path).select("n_nationkey", "n_name", F.col("_dt").cast("string").alias("dt"))
+
+
+@register("schema_drop")
+def q_schema_drop(spark, sf):
+    return S.enforce(B.raw_erp(spark, sf), S.ERP_SCHEMA, "drop")
+
+
+@register("schema_row_tags")
+def q_schema_row_tags(spark, sf):
+    return S.enforce(B.raw_erp(spark, sf), S.ERP_SCHEMA, "permissive")
+
+
+@register("dedup_dispatch")
+def q_dedup_dispatch(spark, sf):
+    """The dispatcher's metrics for all three strategies, window falling back to exact without a timestamp."""
+    li = _table(spark, sf, "lineitem")
+    e = _table(spark, sf, "events").withColumnRenamed("ts", "timestamp")
+    parts = [D.deduplicate(li, "exact", LINE_KEYS, LINE_ORDER)[1],
+             D.deduplicate(li.select(*LINE_KEYS), "window", LINE_KEYS)[1].withColumn("strategy", F.lit("window->exact")),
+             D.deduplicate(e, "window", ["user_id", "event_type"], id_col="event_id")[1]]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
