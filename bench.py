@@ -14,13 +14,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata.plans.registry import QUERIES  # noqa: E402
-from strata.session import get_spark  # noqa: E402
+from strata.session import get_spark, scratch_scope  # noqa: E402
 
 HEADLINE = [
     "fct_daily_metrics", "int_cleaned", "silver_job", "daily_rollup", "dimension_rollup",
     "revenue_kpis", "customer_kpis", "validate_transactions", "dq_report", "schema_violations",
     "dedup_exact_first", "dedup_window", "dedup_fuzzy", "change_detection", "customer_360",
     "window_pairs", "profile_columns", "silver_contacts", "stream_daily",
+    "outliers_iqr", "column_quartiles", "report_sections", "trend", "fuzzy_pairs", "stream_dedup", "bronze_to_gold",
 ]
 
 
@@ -35,9 +36,10 @@ def main() -> None:
         QUERIES["fct_daily_metrics"](spark, warm).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        with scratch_scope(spark):  # what the query stored goes after its result is read
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf}))

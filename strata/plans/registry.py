@@ -911,6 +911,17 @@ def q_pipeline_run_report(spark, sf):
 
 
 # ---- options of earlier operators -------------------------------------------
+@register("daily_quality_counts")
+def q_daily_quality_counts(spark, sf):
+    """Spread of order values and counts of bad rows per day, before the silver filter drops them."""
+    s = _stg(spark, sf).where(~F.col("product_sku").startswith("INVALID") & (F.col("status") != "Error"))
+    return s.groupBy(F.to_date(F.try_to_timestamp(F.col("order_date"))).alias("date")).agg(
+        F.round(F.stddev_samp("total_amount"), 2).alias("stddev_order_value_usd"),
+        F.count_if(F.col("quantity").isNull() | (F.col("quantity") <= 0)).alias("invalid_quantity_count"),
+        F.count_if(F.abs(F.col("quantity") * F.col("unit_price") - F.col("total_amount")) > 0.01)
+        .alias("amount_mismatch_count"))
+
+
 @register("weekly_growth")
 def q_weekly_growth(spark, sf):
     m = R.aggregate_weekly(B.txn(spark, sf), iso_year=True).select("year", "week", "total_revenue")

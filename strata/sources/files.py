@@ -192,7 +192,7 @@ def read_snapshot(spark: SparkSession, base: str, snapshot: str | None = None, f
 
 
 def skipped_files(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """(file) under ``base`` that hold bytes but gave no row when corrupt files are skipped."""
+    """(file) under ``base`` that gave no row when corrupt files are skipped: unreadable or without rows."""
     have = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", f"*.{fmt}").load(base)
             .where("length > 0").select(F.col("path").alias("file")))
