@@ -73,6 +73,12 @@ class Catalog:
         return self.spark.createDataFrame(rows, "column_name string, ordinal_position int, data_type string, "
                                                 "is_nullable boolean")
 
-    def query(self, sql: str, limit: int = 100) -> DataFrame:
-        """Ad-hoc SQL over the registered views, capped at ``limit`` rows."""
-        return self.spark.sql(sql).limit(limit)
+    def query(self, sql: str, limit: int | None = None, layer: str | None = None) -> DataFrame:
+        """Ad-hoc SQL over the registered views, all rows unless ``limit`` is given.
+        ``layer`` lets the names stand for that layer's datasets, also where another
+        layer has one of the same name."""
+        for (ly, name), e in self.entries.items():
+            if layer is None or ly == layer:
+                e.df.createOrReplaceTempView(name)
+        out = self.spark.sql(sql)
+        return out.limit(limit) if limit else out

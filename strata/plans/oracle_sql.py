@@ -1152,3 +1152,8 @@ SELECT date, ROUND(STDDEV_SAMP(total_amount), 2) AS stddev_order_value_usd,
   COUNT(*) FILTER (WHERE quantity IS NULL OR quantity <= 0) AS invalid_quantity_count,
   COUNT(*) FILTER (WHERE ABS(quantity * unit_price - total_amount) > 0.01) AS amount_mismatch_count
 FROM silver GROUP BY date""")
+
+SQL["bronze_view"] = with_(STG, "SELECT status, COUNT(*) AS n, COUNT(total_amount) AS n_amount FROM stg GROUP BY status")
+
+SQL["adhoc_sql_layers"] = """
+SELECT COUNT(*) AS n, 'bronze' AS layer FROM orders UNION ALL SELECT COUNT(*), 'gold' FROM orders WHERE o_orderstatus = 'F'"""

@@ -922,6 +922,25 @@ def q_daily_quality_counts(spark, sf):
         .alias("amount_mismatch_count"))
 
 
+@register("bronze_view")
+def q_bronze_view(spark, sf):
+    """The staged export as a view, read by SQL."""
+    SK.bronze_view(_stg(spark, sf).drop("_loaded_at"), "stg_transactions_view")
+    return spark.sql("SELECT status, COUNT(*) AS n, COUNT(total_amount) AS n_amount FROM stg_transactions_view GROUP BY status")
+
+
+@register("adhoc_sql_layers")
+def q_adhoc_sql_layers(spark, sf):
+    """One name in two layers: the layer argument says which is meant."""
+    cat = Catalog(spark)
+    o = _table(spark, sf, "orders")
+    cat.register("bronze", "orders", o, "all orders")
+    cat.register("gold", "orders", o.where("o_orderstatus = 'F'"), "finished orders")
+    sql = "SELECT COUNT(*) AS n FROM orders"
+    return (cat.query(sql, layer="bronze").withColumn("layer", F.lit("bronze"))
+            .unionByName(cat.query(sql, layer="gold").withColumn("layer", F.lit("gold"))))
+
+
 @register("weekly_growth")
 def q_weekly_growth(spark, sf):
     m = R.aggregate_weekly(B.txn(spark, sf), iso_year=True).select("year", "week", "total_revenue")

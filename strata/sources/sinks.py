@@ -47,7 +47,15 @@ def write_run_metrics(metrics: DataFrame, path: str) -> None:
 
 
 def register_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Expose a Parquet folder (compatible schemas merged) as a queryable view."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    """A Parquet folder (compatible schemas merged) as an external table of the
+    session catalog, its partitions included; an older table of the name is replaced."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    schema = spark.read.option("mergeSchema", True).parquet(path).schema
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema, mergeSchema="true")
+    return spark.table(name)
+
+
+def bronze_view(df: DataFrame, name: str) -> DataFrame:
+    """A layer as a view: nothing is stored, each query reads the source."""
     df.createOrReplaceTempView(name)
-    return df
+    return df.sparkSession.table(name)

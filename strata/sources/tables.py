@@ -16,18 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when a bounded probe proves it has at most
-    ``max_rows`` rows; otherwise leave the strategy to the planner / AQE
-    (sort-merge join, or a runtime broadcast if the shuffle turns out small).
-
-    The probe reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table is huge.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """Broadcast ``df`` only when its plan's statistics (file sizes) bound it by
+    ``max_bytes``; otherwise the planner and AQE choose.  No job is run."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= max_bytes else df
