@@ -46,7 +46,7 @@ from strata.llm.common import Scratch, map_columns, mix64
 
 ROUNDS = 4
 #: text bytes for each bucket of windows, and of a task's batch; words whose hash a worker keeps
-BUCKET_BYTES, BATCH_BYTES, KEPT_WORDS = 16 << 20, 2 << 20, 250_000
+BUCKET_BYTES, BATCH_BYTES, KEPT_WORDS = 4 << 20, 1 << 20, 200_000
 _INDEX = np.uint64((1 << 28) - 1)
 _P = np.uint64(0x9E3779B97F4A7C55)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
