@@ -11,11 +11,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from strata.session import scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: bytes of text that a Python task turns into arrays at a time
 CHUNK_BYTES = 4 << 20
 
@@ -29,14 +32,18 @@ def ship(spark: SparkSession) -> None:
 
 
 @contextmanager
-def shuffle_cleanup(spark: SparkSession):
-    """Inside, the shuffle files of a written table go as soon as it is written."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+def lean_write(spark: SparkSession):
+    """Inside, the shuffle files of a written table go as soon as it is written, and
+    Python workers get their rows in small batches."""
+    wanted = {CLEANUP: "true", BATCH: str(8 << 20)}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 class Scratch:
@@ -48,7 +55,7 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"llm-{name}")
-        with shuffle_cleanup(self.spark):
+        with lean_write(self.spark):
             df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
@@ -76,11 +83,7 @@ def map_columns(df: DataFrame, fn: Callable[[dict], Iterable[dict] | dict], sche
                 chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """mapInArrow over chunks of about `chunk_bytes` of the column `text`: fn gets a
     dict of Python lists and gives a dict of lists or arrays (or several of them)."""
-    from pyspark.sql.types import StructType, _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    parsed = _parse_datatype_string(schema)
-    target = to_arrow_schema(parsed if isinstance(parsed, StructType) else StructType([parsed]))
+    target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

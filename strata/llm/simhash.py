@@ -31,8 +31,8 @@ from strata.llm.common import Scratch, forest, map_columns
 from strata.llm.components import components
 
 SEED = 42
-#: fingerprints in a tile; a tile pair compares at most the square of it
-TILE = 16_384
+#: fingerprints in a tile; a tile pair compares at most the square of it, and a tile is sent to each of its partners
+TILE = 65_536
 #: fingerprints in a block of a tile
 BLOCK = 1_024
 
