@@ -103,4 +103,28 @@ QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# the other operators are learnt, or hash and encode in ways that SQL does not offer
+ORACLE_SQL: dict[str, str] = {
+    "op6_recompression_dedup": r"""
+WITH d AS (SELECT doc_id, [w FOR w IN regexp_split_to_array(COALESCE(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS w
+           FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
+windows AS (SELECT doc_id, s, ROW_NUMBER() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) AS nth
+            FROM places),
+cut AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM windows WHERE nth > 1),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, COUNT(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+         FROM words ANTI JOIN cut USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - COALESCE(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(COALESCE(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)""",
+    "op10_rp_forest_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, to_id) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.to_id),
+component AS (SELECT vec_id, MIN(to_id) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, COUNT(*) AS n FROM links GROUP BY a)
+SELECT c.vec_id, COALESCE(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM component c LEFT JOIN n USING (vec_id)""",
+}
