@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 1. Fit, on a bounded sample of labelled rows (`positives` and `negatives`, the
-   smallest hashes of their ids): document frequencies of words and word starts per
-   label choose the vocabulary, terms whose share differs by `least_z` standard
-   errors and by the factor LIFT; examples become unit TF-IDF vectors over it. Equal vectors are kept once
-   with the weight of their labels, which also undoes the sample's label shares.
-2. The examples form an inverted index in blocks with each term's largest weight
-   per block. A query takes blocks by descending bound and stops when the bound is
-   below the neighbours found: the same neighbours as comparing all.
+   smallest hashes of their ids): all words and word starts of the sample are terms
+   (the `vocabulary` most frequent, whatever their labels). A term's weight is its
+   TF-IDF times the standard errors |z| by which its share differs between the labels,
+   LEAST_Z at least, so labels weigh terms and leave none out. Examples become unit
+   vectors. Equal vectors are kept once with the weight of their labels, which also
+   undoes the sample's label shares.
+2. A query is compared with all examples: the DENSE most frequent terms by a matrix
+   product, the others by their postings, both in single precision. What may be among
+   the nearest is compared again in double precision: the same neighbours as by
+   comparing all in double precision.
 3. The neighbours' labels vote with the fourth power of their cosine. An isotonic map,
    fitted on the examples with each left out of its own vote, calibrates the vote;
    the nearest examples' ids are the evidence.
 4. Scoring is a map over whole texts; the index is as large as the sample allows.
 
-Defined cases: a null or empty text, or one without a vocabulary term, gets the
+Defined cases: a null or empty text, or one without any term of the sample, gets the
 share of toxic rows among such examples; without labelled rows every score is 0;
 of a doc_id's labels the largest counts, null labels do not; of a doc_id's texts
 the first in order trains, all are scored; equal cosines are all kept; other
@@ -34,8 +37,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch, map_columns
 
 #: bounds of the sample, of the vocabulary, and the neighbours that vote
-POSITIVES, NEGATIVES, VOCABULARY, NEIGHBOURS = 6_000, 12_000, 8_192, 15
-LEAST_Z, LEAST_DF, LIFT, BLOCK, START, REPEATS, POWER = 5.0, 3, 3.0, 64, 4, (2, 4), 4
+POSITIVES, NEGATIVES, VOCABULARY, NEIGHBOURS = 6_000, 12_000, 1 << 21, 15
+LEAST_Z, BLOCK, START, REPEATS, POWER = 0.5, 64, 4, (2, 4), 4
+#: terms in the matrix product, what single precision may be off by, parts of texts that a worker keeps
+DENSE, OFF, KEPT_PARTS = 512, 1e-4, 200_000
 #: weight of the overall share of toxic rows in a vote
 PRIOR_WEIGHT = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -56,72 +61,132 @@ def text_terms(counts: Counter) -> dict[str, int]:
 @dataclass
 class Index:
     terms: dict[str, int] = field(default_factory=dict)
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))     # times the weight by labels
+    again: np.ndarray = field(default_factory=lambda: np.zeros((len(REPEATS), 0), np.int32))
     prior: float = 0.0
     no_term: float = 0.0
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))   # weights of each distinct vector
     clean: np.ndarray = field(default_factory=lambda: np.zeros(0))
     ids: list = field(default_factory=list)                          # example ids of each distinct vector
     size: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    blocks: list = field(default_factory=list)   # terms of a block, and their postings as rows over its vectors
-    peaks: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    rows: tuple = ()       # edges, terms and weights of the vectors
+    dense: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    column: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of a term in dense, or -1
+    postings: tuple = ()   # edges by term, vectors and weights of the other terms
     curve: tuple = ((), ())
-    memo: tuple = field(default_factory=lambda: ({}, set(), {}))     # filled in the workers
+    memo: dict = field(default_factory=dict)                         # filled in the workers
+    query: np.ndarray = field(default_factory=lambda: np.zeros(0))   # zero between uses
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         t = np.array(sorted(counts), np.int64)
-        w = (1 + np.log([counts[x] for x in t])) * self.idf[t]
+        return self.weighted(t, np.array([counts[x] for x in t], np.int64))
+
+    def weighted(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(n)) * self.idf[t]
         return t, w / np.linalg.norm(w)
 
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a text by number, and their counts."""
+        known, seen = self.memo, {}
+        for p, n in Counter((text or "").split()).items():
+            own = known.get(p)
+            if own is None:
+                if len(known) >= KEPT_PARTS:
+                    known.clear()
+                own = known[p] = tuple(self.terms[t] for t in part_terms(p) if t in self.terms)
+            for t in own:
+                seen[t] = seen.get(t, 0) + n
+        t, n = np.array(list(seen), np.int64), np.array(list(seen.values()), np.int64)
+        more = [a[t[n >= m]] for m, a in zip(REPEATS, self.again)]
+        more = np.concatenate([a[a >= 0] for a in more])
+        t, n = np.concatenate((t, more)), np.concatenate((n, np.ones(len(more), np.int64)))
+        order = np.argsort(t)
+        return t[order], n[order]
+
     def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """Postings by term in blocks of BLOCK vectors, with the largest weight in each."""
+        """The vectors by rows, the frequent terms as a matrix and the others as postings."""
         self.size = np.array([len(x) for x in self.ids], np.int64) if self.ids else np.ones(len(vectors), np.int64)
-        self.peaks = np.zeros((len(self.idf), -(-len(vectors) // BLOCK)))
-        self.blocks = []
-        for b in range(self.peaks.shape[1]):
-            own = vectors[b * BLOCK:(b + 1) * BLOCK]
-            terms = np.unique(np.concatenate([t for t, _ in own]))
-            postings = np.zeros((len(terms), len(own)))
-            for i, (t, w) in enumerate(own):
-                postings[np.searchsorted(terms, t), i] = w
-            self.blocks.append((terms, postings))
-            self.peaks[terms, b] = postings.max(axis=1)
-
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        t, w = (np.concatenate(x) for x in zip(*vectors))
+        length = np.array([len(x) for x, _ in vectors])
+        self.rows = np.concatenate(([0], np.cumsum(length))), t.astype(np.int32, copy=False), w
+        self.arrange()
+
+    def arrange(self) -> None:
+        edges, t, w = self.rows
+        row = np.repeat(np.arange(len(edges) - 1, dtype=np.int32), np.diff(edges))
+        often = np.argsort(-np.bincount(t, minlength=len(self.idf)), kind="stable")[:DENSE]
+        self.column = np.full(len(self.idf), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), len(edges) - 1), np.float32)
+        column = self.column[t]
+        often, rest = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+        self.dense[column[often], row[often]] = w[often]
+        del column, often
+        rest = rest[np.argsort(t[rest], kind="stable")]
+        edges = np.concatenate(([0], np.cumsum(np.bincount(t[rest], minlength=len(self.idf)))))
+        self.postings = edges, row[rest], w[rest].astype(np.float32)
+
+    def __getstate__(self) -> dict:
+        """What arrange() makes of the rows is made again where the index arrives, which spares disk."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "column", "postings", "query")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(**state)
+        if self.rows:
+            self.arrange()
+
+    def rough(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of the queries with all vectors in single precision."""
+        edges, row, weight = self.postings
+        q, rest = np.zeros((len(queries), len(self.dense)), np.float32), []
+        for i, (t, w) in enumerate(queries):
+            c = self.column[t]
+            q[i, c[c >= 0]] = w[c >= 0]
+            rest.append((t[c < 0], w[c < 0]))
+        out = q @ self.dense
+        for own, (t, w) in zip(out, rest):
+            low = edges[t]
+            count = edges[t + 1] - low
+            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+            own += np.bincount(row[at], weight[at] * np.repeat(w, count), minlength=len(own))
+        return out
+
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray,
+                rough: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Vectors by descending cosine that together hold at least k examples (with all of the last
-        cosine), and their cosines. Blocks are read while their bound reaches the last one's."""
-        bound = w @ self.peaks[t]
-        found, scores, last = np.zeros(0, np.int64), np.zeros(0), -1.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < last - 1e-12:
-                break
-            terms, postings = self.blocks[b]
-            at = np.minimum(np.searchsorted(terms, t), len(terms) - 1)
-            here = terms[at] == t
-            cosine = w[here] @ postings[at[here]]
-            hit = np.flatnonzero(cosine > max(0.0, last - 1e-12))
-            if not len(hit):
-                continue
-            found, scores = np.concatenate((found, hit + b * BLOCK)), np.concatenate((scores, cosine[hit]))
-            by = np.lexsort((found, -scores))
-            found, scores = found[by], scores[by]
-            reach = np.cumsum(size[found])
-            if reach[-1] >= k:
-                last = scores[np.searchsorted(reach, k)]
-                keep = scores >= last - 1e-12
-                found, scores = found[keep], scores[keep]
-        return found, scores
-
-    def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None):
+        cosine), and their cosines. Each holds an example, but for one that may be left out."""
+        rough = self.rough([(t, w)])[0] if rough is None else rough
+        last = max(0, len(rough) - k - 1)
+        near = np.flatnonzero((rough >= np.partition(rough, last)[last] - OFF) & (rough > 0))
+        edges, terms, weights = self.rows
+        cosine = np.zeros(len(near))
+        if len(self.query) != len(self.idf):
+            self.query = np.zeros(len(self.idf))
+        self.query[t] = w
+        for i, v in enumerate(near):
+            cosine[i] = self.query[terms[edges[v]:edges[v + 1]]] @ weights[edges[v]:edges[v + 1]]
+        self.query[t] = 0
+        by = np.lexsort((near, -cosine))
+        near, cosine = near[by], cosine[by]
+        reach = np.cumsum(size[near])
+        if len(near) and reach[-1] >= k:
+            keep = cosine >= cosine[np.searchsorted(reach, k)] - 1e-12
+            near, cosine = near[keep], cosine[keep]
+        return near, cosine
+
+    def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None,
+             rough: np.ndarray | None = None):
         size = self.size
         if without:
             size = size.copy()
             size[without[0]] -= 1
-        near, cosine = self.nearest(t, w, k, size)
+        near, cosine = self.nearest(t, w, k, size, rough)
+        # the prior weighs as much as half a neighbour at the largest cosine
         s, toxic, clean = cosine ** POWER, self.toxic[near], self.clean[near]
         if without:
             own = near == without[0]
             toxic, clean = toxic - own * without[1], clean - own * without[2]
+        s = s / max(s[toxic + clean > 1e-9], default=1.0)
         up, all_ = float(s @ toxic), float(s @ (toxic + clean))
         return (up + PRIOR_WEIGHT * self.prior) / (all_ + PRIOR_WEIGHT), near
 
@@ -176,62 +241,64 @@ def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, pos
     df = map_columns(sample, frequencies, "term string, toxic int, n long").groupBy("term").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("d1"),
         F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("d0"))
-    share = (F.col("d1") + F.col("d0")) / (s1 + s0)
-    a, b = F.col("d1") / s1, F.col("d0") / s0
-    z = (a - b) / F.sqrt(share * (1 - share) * (1 / s1 + 1 / s0))
-    chosen = (df.filter((F.col("d1") + F.col("d0") >= LEAST_DF) & (share < 1)).withColumn("z", z)
-              .filter((F.abs("z") >= least_z) & (F.greatest(a, b) >= LIFT * F.least(a, b))).orderBy(F.abs("z").desc(), "term").limit(vocabulary).collect())
-    index.terms = {r["term"]: i for i, r in enumerate(chosen)}
-    index.idf = np.log((s1 + s0 + 1) / (np.array([r["d1"] + r["d0"] for r in chosen]) + 1)) + 1
-    terms = index.terms
+    df = scratch.write(df, "terms")
+    if df.count() > vocabulary:
+        df = df.orderBy((F.col("d1") + F.col("d0")).desc(), "term").limit(vocabulary)
+    told = df.toArrow().sort_by("term")
+    scratch.drop(df)
+    d1, d0 = told["d1"].to_numpy(), told["d0"].to_numpy()
+    index.terms = {t: i for i, t in enumerate(told["term"].to_pylist())}
+    index.again = np.array([[index.terms.get(f"{t}#{m}", -1) for t in index.terms] for m in REPEATS], np.int32)
+    share = (d1 + d0) / (s1 + s0)
+    z = np.abs(d1 / s1 - d0 / s0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / s1 + 1 / s0))
+    index.idf = (np.log((s1 + s0 + 1) / (d1 + d0 + 1)) + 1) * np.maximum(z, least_z)
+    del told, d1, d0, share, z
+    index_b = scratch.spark.sparkContext.broadcast(index)
 
     def vectors(cols: dict) -> dict:
-        seen = [_counts(t, terms, {}, set()) for t in cols["text"]]
-        return {"doc_id": cols["doc_id"], "toxic": cols["toxic"], "t": [sorted(c) for c in seen],
-                "n": [[c[x] for x in sorted(c)] for c in seen]}
-
-    got = map_columns(sample, vectors, "doc_id long, toxic int, t array<int>, n array<int>").collect()
+        seen = [index_b.value.counts(t) for t in cols["text"]]
+        return {"doc_id": cols["doc_id"], "toxic": cols["toxic"],
+                "t": [t.astype(np.int32).tobytes() for t, _ in seen],
+                "n": [n.astype(np.int32).tobytes() for _, n in seen]}
+
+    got = map_columns(sample, vectors, "doc_id long, toxic int, t binary, n binary").collect()
+    index_b.destroy()
+    index.memo.clear()
     scratch.drop(sample)
     w1, w0 = n1 / s1, n0 / s0
-    empty = [r["toxic"] for r in got if not len(r["t"])]
-    index.no_term = (sum(empty) * w1 + PRIOR_WEIGHT * index.prior) / (
-        sum(w1 if y else w0 for y in empty) + PRIOR_WEIGHT)
+    empty: list[int] = []
     groups: dict[tuple, list] = {}
-    for r in sorted(got, key=lambda r: r["doc_id"]):
+    while got:  # the driver keeps each example once
+        r = got.pop()
         if len(r["t"]):
-            groups.setdefault((tuple(r["t"]), tuple(r["n"])), []).append(r)
+            groups.setdefault((bytes(r["t"]), bytes(r["n"])), []).append((r["doc_id"], r["toxic"]))
+        else:
+            empty.append(r["toxic"])
+    index.no_term = (sum(empty) * w1 + PRIOR_WEIGHT * index.prior) / (
+        sum(w1 if y else w0 for y in empty) + PRIOR_WEIGHT)
     if not groups:
         return index
     keys = sorted(groups)
-    index.toxic = np.array([sum(w1 for r in groups[g] if r["toxic"]) for g in keys])
-    index.clean = np.array([sum(w0 for r in groups[g] if not r["toxic"]) for g in keys])
-    index.ids = [[r["doc_id"] for r in groups[g]] for g in keys]
-    own = [index.vector(dict(zip(*g))) for g in keys]
+    members = [sorted(groups[g]) for g in keys]
+    index.toxic = np.array([sum(w1 for _, y in m if y) for m in members])
+    index.clean = np.array([sum(w0 for _, y in m if not y) for m in members])
+    index.ids = [[i for i, _ in m] for m in members]
+    own = [index.weighted(*(np.frombuffer(x, np.int32) for x in g)) for g in keys]
+    del groups, keys
     index.build(own)
-    votes = [(index.vote(*v, k, (i, w1 if y else 0.0, 0.0 if y else w0))[0], y, m * (w1 if y else w0))
-             for i, (g, v) in enumerate(zip(keys, own)) for y in (0, 1)
-             if (m := sum(r["toxic"] == y for r in groups[g]))]
+    edges, t, w = index.rows
+    own = [(t[a:b], w[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+    votes = []
+    for b in range(0, len(own), BLOCK):
+        for i, rough in enumerate(index.rough(own[b:b + BLOCK]), b):
+            for y in (0, 1):
+                if m := sum(z == y for _, z in members[i]):
+                    left = (i, w1 if y else 0.0, 0.0 if y else w0)
+                    votes.append((index.vote(*own[i], k, left, rough)[0], y, m * (w1 if y else w0)))
     index.curve = isotonic(*map(np.array, zip(*votes)))
     return index
 
 
-def _counts(text: str | None, terms: dict[str, int], hot: dict[str, list[str]], cold: set) -> dict[int, int]:
-    """Vocabulary terms of a text. hot: parts with a word or start of the vocabulary; cold: parts known to have none."""
-    parts = (text or "").split()
-    own = set(parts)
-    for p in own - cold:
-        if p not in hot:
-            found = [t for t in part_terms(p) if t in terms or any(f"{t}#{m}" in terms for m in REPEATS)]
-            if found:
-                hot[p] = found
-            else:
-                cold.add(p)
-    if own.isdisjoint(hot):
-        return {}
-    told = text_terms(Counter(t for p in parts if p in hot for t in hot[p]))
-    return {terms[t]: n for t, n in told.items() if t in terms}
-
-
 def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS, evidence: int = 3) -> DataFrame:
     """doc_id and held_out with score and the ids of the nearest examples."""
     index_b = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the vocabulary
@@ -246,23 +313,19 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS, evidence: int = 3)
 
 
 def scores(index: Index, texts: list, k: int) -> list[tuple[float, list[int]]]:
-    """Score and evidence of each text; a worker keeps what it knows of parts and vectors."""
-    hot, cold, known = index.memo
-    if len(cold) > 500_000:
-        cold.clear()
+    """Score and evidence of each text."""
     out = []
-    for text in texts:
-        c = _counts(text, index.terms, hot, cold)
-        if not c or not index.ids:
-            out.append((index.no_term, []))
-            continue
-        key = tuple(sorted(c.items()))
-        if key not in known:
-            vote, near = index.vote(*index.vector(c), k)
-            if len(known) > 100_000:
-                known.clear()
-            known[key] = index.calibrated(vote), [i for n in near[:8] for i in index.ids[n][:8]]
-        out.append(known[key])
+    for b in range(0, len(texts), BLOCK):
+        counts = [index.counts(t) for t in texts[b:b + BLOCK]] if index.ids else []
+        queries = [index.weighted(*c) for c in counts if len(c[0])]
+        rough = iter(zip(queries, index.rough(queries))) if queries else iter(())
+        for i in range(len(texts[b:b + BLOCK])):
+            if not index.ids or not len(counts[i][0]):
+                out.append((index.no_term, []))
+                continue
+            q, r = next(rough)
+            vote, near = index.vote(*q, k, rough=r)
+            out.append((index.calibrated(vote), [x for n in near[:8] for x in index.ids[n][:8]]))
     return out
 
 

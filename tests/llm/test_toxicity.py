@@ -67,3 +67,15 @@ def test_odd_rows(spark):
     assert all(len(r["evidence"]) for r in got if r["predicted"])
     assert toxicity(make([]), labels, no).collect() == []
     assert {r["score"] for r in toxicity(make(rows), labels.limit(0), no).collect()} == {0.0}
+
+
+def test_all_terms_find_neighbours(spark):
+    # no term here tells the labels apart: each text still has neighbours by the words that it shares
+    trees, birds = ("elm", "oak", "ash", "fir", "yew", "bay", "box"), ("owl", "jay", "emu", "tit", "hen")
+    rows = [(i, f"{trees[i % 7]} {birds[i % 5]}") for i in range(210)] + [(500, "fir lark")]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(210)], "doc_id long, toxic int, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["evidence"] for r in toxicity(docs, labels, F.col("doc_id") >= 200).collect()}
+    assert all(got.values())
+    assert all(j % 7 == 3 for j in got[500])
+    assert all(j % 35 == 204 % 35 for j in got[204][:3])
