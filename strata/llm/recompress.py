@@ -15,7 +15,8 @@ equal symbols wherever that stretch lies inside them.
 2. Windows travel to the bucket of their anchor's name, as packed arrays by
    anchor. Occurrences that are alike throughout inside a task's batch are settled
    there and only the earliest is sent: a passage that a third of all documents
-   hold sends one copy a batch, not one a document.
+   hold sends one copy a batch, not one a document. An anchor that by a sample's count
+   has more than HOT_WINDOWS windows has several buckets, chosen by the window's hash.
 3. In a bucket, shared names reveal repeats and the windows' own 64-bit hashes,
    together with 32 bits of the anchor's name, verify them; the earliest
    occurrence is told from later ones. A bucket packs the later ones' places by
@@ -47,6 +48,8 @@ from strata.llm.common import Scratch, map_columns, mix64
 ROUNDS = 4
 #: text bytes for each bucket of windows, and of a task's batch; words whose hash a worker keeps
 BUCKET_BYTES, BATCH_BYTES, KEPT_WORDS = 4 << 20, 1 << 20, 200_000
+#: windows of an anchor in one bucket, text bytes of the sample that counts them, least count
+HOT_WINDOWS, SAMPLE_BYTES, LEAST_COUNT = 4 << 20, 32 << 20, 16
 _INDEX = np.uint64((1 << 28) - 1)
 _P = np.uint64(0x9E3779B97F4A7C55)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
@@ -169,12 +172,12 @@ def _spans(low: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
-def _batch(ids: list, tags: list, texts: list, window: int, buckets: int) -> Iterator[dict]:
-    """Rows for the buckets, and places already known to be repeats."""
+def _anchored(texts: list, window: int) -> tuple | None:
+    """Texts that have a window, hashes and documents of their words, and all windows with their anchors."""
     words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
     use = [i for i, w in enumerate(words) if len(w) >= window]
     if not use:
-        return
+        return None
     sizes = np.array([len(words[i]) for i in use])
     end = np.cumsum(sizes)
     first = end - sizes
@@ -183,10 +186,43 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int) -> Ite
     if len(_HASHES) > KEPT_WORDS:
         _HASHES.clear()
     del words
-    doc_id, tag = np.array([ids[i] for i in use], np.int64), np.array([tags[i] for i in use], np.int32)
     doc = np.repeat(np.arange(len(use)), sizes)
     starts = _spans(first, sizes - window + 1)
     names, ident = anchors(rounds(h, doc, first, end), starts, window, n)
+    return use, h, doc, first, starts, names, ident
+
+
+def hot_anchors(docs: DataFrame, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the anchors with more than HOT_WINDOWS windows, in order, and their numbers of buckets.
+
+    Counted on about SAMPLE_BYTES of text; any answer gives the same result, as equal windows stay together."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if size // 2 <= HOT_WINDOWS:  # a word takes two bytes
+        return none
+    step = max(1, size // SAMPLE_BYTES)
+    some = docs.filter(F.pmod(F.xxhash64("_id", "_tag", F.lit("anchors")), F.lit(step)) == 0).select("text")
+
+    def run(cols: dict) -> dict:
+        got = _anchored(cols["text"], window)
+        names, n = np.unique(got[5], return_counts=True) if got else none
+        return {"name": names.view(np.int64), "n": n}
+
+    count = map_columns(some, run, "name long, n long", chunk_bytes=BATCH_BYTES).groupBy("name").agg(F.sum("n").alias("n"))
+    found = count.filter((F.col("n") >= LEAST_COUNT) & (F.col("n") * step > HOT_WINDOWS)).collect()
+    names = np.array([r["name"] for r in found], np.int64).view(np.uint64)
+    parts = np.array([-(-r["n"] * step // HOT_WINDOWS) for r in found], np.int64)
+    order = np.argsort(names)
+    return names[order], parts[order]
+
+
+def _batch(ids: list, tags: list, texts: list, window: int, buckets: int,
+           hot: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.int64))) -> Iterator[dict]:
+    """Rows for the buckets, and places already known to be repeats."""
+    got = _anchored(texts, window)
+    if not got:
+        return
+    use, h, doc, first, starts, names, ident = got
+    doc_id, tag = np.array([ids[i] for i in use], np.int64), np.array([tags[i] for i in use], np.int32)
     # runs of windows with one anchor
     own = doc[starts]
     head = np.flatnonzero(np.concatenate(([True], (ident[1:] != ident[:-1]) | (own[1:] != own[:-1]))))
@@ -204,9 +240,22 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int) -> Ite
     # the earliest of each kind goes to its bucket
     sent = order[new]
     hashes = window_hashes(h, starts, starts + window)
-    bucket = (run_name[sent] % np.uint64(buckets)).astype(np.int64)
-    sent = sent[np.argsort(bucket, kind="stable")]
-    bucket = np.sort(bucket)
+    part = np.zeros(len(sent), np.uint64)
+    if len(hot[0]):  # runs of hot anchors, in order of their windows' parts
+        place = np.minimum(np.searchsorted(hot[0], run_name[sent]), len(hot[0]) - 1)
+        parts = np.where(hot[0][place] == run_name[sent], hot[1][place], 1)
+        run = np.repeat(np.arange(len(sent)), count[sent])
+        at_window = _spans(head[sent], count[sent])
+        own_part = mix64(hashes[at_window] ^ _const(0, 8)) % parts[run].astype(np.uint64)
+        cut = np.flatnonzero(np.concatenate(([True], (run[1:] != run[:-1]) | (own_part[1:] != own_part[:-1]))))
+        length = np.diff(np.append(cut, len(run)))
+        part, head, own_run = own_part[cut], at_window[cut], sent[run[cut]]
+        d, run_name, count = d[own_run], run_name[own_run], length
+        at = starts[head] - first[d]
+        sent = np.arange(len(cut))
+    bucket = (mix64(run_name[sent] + part * _P) % np.uint64(buckets)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    sent, bucket = sent[by], bucket[by]
     edges = np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket))
     for i, j in zip(edges[:-1], edges[1:]):
         r = sent[i:j]
@@ -296,6 +345,7 @@ def repeat_places(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
     d = keyed(docs).select("_id", "_tag", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
+    hot = hot_anchors(d, size, window)
     schema = "group int, blob binary"
 
     def packed(rows: Iterator[dict]) -> dict:
@@ -303,7 +353,7 @@ def repeat_places(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
         return {"group": [r["group"] for r in rows], "blob": [r["blob"] for r in rows]}
 
     def run(cols: dict) -> dict:
-        return packed(_batch(cols["_id"], cols["_tag"], cols["text"], window, buckets))
+        return packed(_batch(cols["_id"], cols["_tag"], cols["text"], window, buckets, hot))
 
     def settle(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         if key[0] < 0:  # what a batch settled itself goes on as it is

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow.parquet as pq
 
+from strata.llm import recompress
 from strata.llm.queries import QUERIES
 from strata.llm.recompress import anchors, remove_repeats, repeats, rounds
 
@@ -84,3 +85,34 @@ def test_odd_rows(spark):
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept.collect()}
     assert texts[4] == ("tail", 4) and texts[3] == (line, 5) and texts[1] == (None, 5) and texts[6] == ("é", 1)
     assert repeats(make([])).collect() == [] and remove_repeats(make([])).collect() == []
+
+
+def test_hot_anchor_is_split(spark, monkeypatch):
+    rnd = random.Random(4)
+    docs = []
+    for i in range(60):  # one word everywhere: distinct windows around few names
+        t = [w for _ in range(40) for w in ("der", f"w{rnd.randrange(300)}")]
+        docs.append((i, " ".join(t + (docs[i - 7][1].split()[5:40] if i % 3 == 2 and i > 7 else []))))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = brute(docs)
+    assert got(repeats(df).collect()) == want
+    monkeypatch.setattr(recompress, "HOT_WINDOWS", 20)
+    monkeypatch.setattr(recompress, "LEAST_COUNT", 2)
+    size = sum(len(t) for _, t in docs)
+    hot = recompress.hot_anchors(recompress.keyed(df), size, 20)
+    assert len(hot[0]) and hot[1].max() > 2
+    assert got(repeats(df).collect()) == want
+
+    def windows(hot_):  # of the hottest anchor, by bucket
+        rows = recompress._batch([i for i, _ in docs], [0] * len(docs), [t for _, t in docs], 20, 1000, hot_)
+        name, out = hot[0][hot[1].argmax()] >> np.uint64(32), Counter()
+        for r in rows:
+            if r["group"] >= 0:
+                f = recompress._fields([r["blob"]], (8, 4, 4, 1, 4, 0))
+                n, k = (recompress._unpacked(f[j], t) for j, t in ((3, "u1"), (4, "u4")))
+                out[r["group"]] += int(n[k == name].sum())
+        return +out
+
+    whole, split = windows((hot[0][:0], hot[1][:0])), windows(hot)
+    assert len(whole) == 1 and len(split) > 2 and max(split.values()) < max(whole.values())
+    assert sum(split.values()) == sum(whole.values())
