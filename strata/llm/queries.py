@@ -1,4 +1,4 @@
-"""Registered queries of the operators: op1 to op10 over their whole tables."""
+"""Registered queries of the operators: op1 to op13 over their whole tables."""
 
 from __future__ import annotations
 
@@ -89,6 +89,12 @@ def op10_rp_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op11_quotient_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, part_of=80)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_boosted_pii": op8_boosted_pii,
     "op9_knn_toxicity": op9_knn_toxicity,
     "op10_rp_forest_dedup": op10_rp_forest_dedup,
+    "op11_quotient_collocations": op11_quotient_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -127,4 +134,25 @@ component AS (SELECT vec_id, MIN(to_id) AS component_id FROM reach GROUP BY vec_
 n AS (SELECT a AS vec_id, COUNT(*) AS n FROM links GROUP BY a)
 SELECT c.vec_id, COALESCE(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
 FROM component c LEFT JOIN n USING (vec_id)""",
+    "op11_quotient_collocations": r"""
+WITH d AS (SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(COALESCE(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS w FROM d),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (SELECT lang, w[i:i + m - 1] AS ws, m FROM places, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, ws, m, COUNT(*) AS f FROM grams GROUP BY ALL HAVING COUNT(*) >= 30),
+n AS (SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+cuts AS (SELECT lang, ws, m, f AS a, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+sides AS (SELECT c.lang, c.ws, c.m, c.a, c.k, x.f AS l, y.f AS r,
+            CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+          FROM cuts c JOIN f x ON x.lang = c.lang AND x.ws = c.ws[:k] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[k + 1:]),
+scored AS (SELECT * FROM sides QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+lengths AS (SELECT lang, ws, f, m, unnest(range(2, m)) AS m2 FROM f WHERE m > 2),
+inside AS (SELECT lang, f, ws, m2, unnest(range(1, m - m2 + 2)) AS i FROM lengths),
+longer AS (SELECT lang, ws[i:i + m2 - 1] AS ws, MAX(f) AS f FROM inside GROUP BY ALL),
+kept AS (SELECT s.lang, array_to_string(s.ws, ' ') AS phrase, s.a, s.l, s.r, s.score
+         FROM scored s LEFT JOIN longer g ON g.lang = s.lang AND g.ws = s.ws
+         WHERE g.f IS NULL OR CAST(100 AS HUGEINT) * g.f < CAST(80 AS HUGEINT) * s.a),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score FROM ranked r JOIN n USING (lang) WHERE r.rank <= 2000""",
 }
