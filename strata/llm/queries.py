@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm.common import table
+from strata.llm.oracles import kmeans_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +96,12 @@ def op11_quotient_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000, part_of=80)
 
 
+def op12_ptolemaic_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.ptolemy import cluster_digest
+
+    return cluster_digest(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed=3)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
@@ -107,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op9_knn_toxicity": op9_knn_toxicity,
     "op10_rp_forest_dedup": op10_rp_forest_dedup,
     "op11_quotient_collocations": op11_quotient_collocations,
+    "op12_ptolemaic_clustering": op12_ptolemaic_clustering,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -134,6 +142,7 @@ component AS (SELECT vec_id, MIN(to_id) AS component_id FROM reach GROUP BY vec_
 n AS (SELECT a AS vec_id, COUNT(*) AS n FROM links GROUP BY a)
 SELECT c.vec_id, COALESCE(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
 FROM component c LEFT JOIN n USING (vec_id)""",
+    "op12_ptolemaic_clustering": kmeans_sql(),
     "op11_quotient_collocations": r"""
 WITH d AS (SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(COALESCE(text, ''),
              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
