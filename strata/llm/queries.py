@@ -102,6 +102,12 @@ def op12_ptolemaic_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_digest(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed=3)
 
 
+def op13_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.htmltext import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_slack_packing": op2_slack_packing,
@@ -115,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op10_rp_forest_dedup": op10_rp_forest_dedup,
     "op11_quotient_collocations": op11_quotient_collocations,
     "op12_ptolemaic_clustering": op12_ptolemaic_clustering,
+    "op13_html_density": op13_html_density,
     "pipeline": corpus_pipeline.run,
 }
 
