@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 1. Fit, on a bounded sample of labelled rows (`positives` and `negatives`, the
-   smallest hashes of their ids): all words and word starts of the sample are terms
-   (the `vocabulary` most frequent, whatever their labels). A term's weight is its
-   TF-IDF times the standard errors |z| by which its share differs between the labels,
-   LEAST_Z at least, so labels weigh terms and leave none out. Examples become unit
-   vectors. Equal vectors are kept once with the weight of their labels, which also
-   undoes the sample's label shares.
-2. A query is compared with all examples: the DENSE most frequent terms by a matrix
-   product, the others by their postings, both in single precision. What may be among
-   the nearest is compared again in double precision: the same neighbours as by
-   comparing all in double precision.
+   smallest hashes of their ids, up to `most_bytes` of text): every word of the sample
+   is a term, its weight is (1 + ln tf) * idf, idf = 1 + ln((N + 1) / (df + 1)). With
+   `by_label` the idf is multiplied by max(1, |z|), the standard errors by which the
+   term's share differs between the labels; without it the cosine is that of plain
+   TF-IDF, which on the test data finds about half of the toxic rows (README). Examples
+   become unit vectors; equal ones are kept once with the weight of their labels, which
+   also undoes the sample's label shares.
+2. The index is a block-max inverted index made by the executors: examples are numbered
+   so that texts with the same commonest words are neighbours, a posting list is cut at
+   every `BLOCK` numbers, and each piece knows its largest weight. A query adds up the
+   largest weights by block, scores the blocks of the highest bounds in double precision
+   and stops where no bound reaches the k-th cosine: the same neighbours as by comparing
+   all. The driver passes on compressed postings, bounded by the sample.
 3. The neighbours' labels vote with the fourth power of their cosine. An isotonic map,
    fitted on the examples with each left out of its own vote, calibrates the vote;
-   the nearest examples' ids are the evidence.
+   the nearest examples' ids are the evidence (`evidence` ids, of the nearest vectors).
 4. Scoring is a map over whole texts; the index is as large as the sample allows.
 
 Defined cases: a null or empty text, or one without any term of the sample, gets the
@@ -26,161 +29,146 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strata.llm.common import Scratch, map_columns
 
-#: bounds of the sample, of the vocabulary, and the neighbours that vote
-POSITIVES, NEGATIVES, VOCABULARY, NEIGHBOURS = 6_000, 12_000, 1 << 21, 15
-LEAST_Z, BLOCK, START, REPEATS, POWER = 0.5, 64, 4, (2, 4), 4
-#: terms in the matrix product, what single precision may be off by, parts of texts that a worker keeps
-DENSE, OFF, KEPT_PARTS = 512, 1e-4, 200_000
-#: weight of the overall share of toxic rows in a vote
-PRIOR_WEIGHT = 0.5
+#: bounds of the sample, and the neighbours that vote
+POSITIVES, NEGATIVES, MOST_BYTES, NEIGHBOURS = 6_000, 12_000, 256 << 20, 15
+POWER, KEPT_PARTS, EVIDENCE = 4, 200_000, 3
+#: examples of a block of postings; blocks that a query scores first, and then at a time
+BLOCK, FIRST, NEXT = 64, 6, 24
+#: weight of the overall share of toxic rows in a vote, and what sums of doubles may be off by
+PRIOR_WEIGHT, OFF = 0.5, 1e-12
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def part_terms(part: str) -> list[str]:
-    """Words of a part of a text, and `=` with the start of the longer ones."""
-    words = _WORD.findall(part.lower())
-    return words + ["=" + w[:START] for w in words if len(w) > START]
+    """Words of a part of a text."""
+    return _WORD.findall(part.lower())
+
+
+class BlockMax:
+    """Postings by term in blocks of examples, each block with its largest weight."""
+
+    def __init__(self, df: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int):
+        """df: postings of each term; row, weight: the postings by term and row."""
+        self.rows, self.blocks = rows, -(-rows // BLOCK)
+        term = np.repeat(np.arange(len(df)), df)
+        block = row // BLOCK
+        first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(row) else row
+        self.row, self.weight = row.astype(np.int32), weight
+        self.start = np.append(first, len(row)).astype(np.int64)
+        self.block = block[first].astype(np.int32)
+        self.most = np.maximum.reduceat(weight, first) if len(row) else weight
+        self.edges = np.concatenate(([0], np.cumsum(np.bincount(term[first], minlength=len(df)))))
+        self.scored = self.seen = 0  # blocks scored, and blocks that share a term with a query
+
+    @staticmethod
+    def _spans(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows by descending cosine that together hold k examples (with all of the last cosine, and a
+        row that holds none any more), and their cosines."""
+        low, count = self.edges[t], self.edges[t + 1] - self.edges[t]
+        piece = self._spans(low, count)
+        q = np.repeat(w, count)
+        at = self.block[piece]
+        bound = np.bincount(at, self.most[piece] * q, self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        self.seen += len(order)
+        cosine, done, last = np.zeros(self.rows), 0, 0.0
+        open_ = np.zeros(self.blocks, bool)
+        while done < len(order):
+            take = order[done:done + (NEXT if done else FIRST)]
+            take = take[bound[take] * (1 + OFF) >= last - OFF]
+            if not len(take):
+                break
+            open_[take] = True
+            mine = open_[at]
+            open_[take] = False
+            own = piece[mine]
+            n = self.start[own + 1] - self.start[own]
+            post = self._spans(self.start[own], n)
+            cosine += np.bincount(self.row[post], self.weight[post] * np.repeat(q[mine], n), self.rows)
+            done += len(take)
+            self.scored += len(take)
+            last = self._kth(cosine, k, size)
+        near = np.flatnonzero(cosine > 0 if not last else cosine >= last - OFF)
+        by = np.lexsort((near, -cosine[near]))
+        return near[by], cosine[near[by]]
+
+    def _kth(self, cosine: np.ndarray, k: int, size: np.ndarray) -> float:
+        """The cosine at which the rows so far hold k examples; 0 if they do not."""
+        top = np.argpartition(-cosine, k)[:k + 1] if len(cosine) > k + 1 else np.arange(len(cosine))
+        top = top[np.argsort(-cosine[top], kind="stable")]
+        reach = np.searchsorted(np.cumsum(size[top]), k)
+        return float(cosine[top[reach]]) if reach < len(top) else 0.0
 
 
-def text_terms(counts: Counter) -> dict[str, int]:
-    """A text's terms with their counts: its words and starts, and one term more for each of REPEATS
-    that a word or start reaches, as a cosine alone does not see how often a text repeats itself."""
-    return counts | {f"{t}#{m}": 1 for t, n in counts.items() for m in REPEATS if n >= m}
+class Index:
+    """Example vectors with their labels; travels as compressed parts, unpacked where it is used."""
 
+    def __init__(self, prior: float = 0.0):
+        self.prior = self.no_term = prior
+        self.parts: list[tuple] = []     # (terms, their idf, postings of each, rows, counts) by term
+        self.toxic = self.clean = np.zeros(0)   # weights of each distinct vector
+        self.size = np.zeros(0, np.int64)
+        self.ids: list[list[int]] = []   # the first example ids of each
+        self.curve: tuple = ((), ())
+        self.ready = False
 
-@dataclass
-class Index:
-    terms: dict[str, int] = field(default_factory=dict)
-    idf: np.ndarray = field(default_factory=lambda: np.zeros(0))     # times the weight by labels
-    again: np.ndarray = field(default_factory=lambda: np.zeros((len(REPEATS), 0), np.int32))
-    prior: float = 0.0
-    no_term: float = 0.0
-    toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))   # weights of each distinct vector
-    clean: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    ids: list = field(default_factory=list)                          # example ids of each distinct vector
-    size: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    rows: tuple = ()       # edges, terms and weights of the vectors
-    dense: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
-    column: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of a term in dense, or -1
-    postings: tuple = ()   # edges by term, vectors and weights of the other terms
-    curve: tuple = ((), ())
-    memo: dict = field(default_factory=dict)                         # filled in the workers
-    query: np.ndarray = field(default_factory=lambda: np.zeros(0))   # zero between uses
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(counts), np.int64)
-        return self.weighted(t, np.array([counts[x] for x in t], np.int64))
-
-    def weighted(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(n)) * self.idf[t]
-        return t, w / np.linalg.norm(w)
-
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Terms of a text by number, and their counts."""
-        known, seen = self.memo, {}
-        for p, n in Counter((text or "").split()).items():
-            own = known.get(p)
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "idf", "postings", "memo")} | {"ready": False}
+
+    def unpack(self) -> None:
+        if self.ready:
+            return
+        whole = [[np.frombuffer(zlib.decompress(p[i]), kind) for p in self.parts]
+                 for i, kind in ((1, "<f8"), (2, "<i4"), (3, "<i4"), (4, "<i4"))]
+        idf, df, row, tf = (np.concatenate(x) if x else np.zeros(0) for x in whole)
+        df, row = df.astype(np.int64), row.astype(np.int64)
+        names = [n for p in self.parts for n in zlib.decompress(p[0]).decode().split("\n")]
+        self.terms = {n: i for i, n in enumerate(names)}
+        self.idf, self.memo, self.ready = idf, {}, True
+        weight = (1 + np.log(tf)) * np.repeat(idf, df)
+        norm = np.sqrt(np.bincount(row, weight * weight, len(self.size)))
+        self.postings = BlockMax(df, row, weight / norm[row], len(self.size))
+
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a text by number, and their weights as a unit vector."""
+        seen = {}
+        for p, n in counts.items():
+            own = self.memo.get(p)
             if own is None:
-                if len(known) >= KEPT_PARTS:
-                    known.clear()
-                own = known[p] = tuple(self.terms[t] for t in part_terms(p) if t in self.terms)
+                if len(self.memo) >= KEPT_PARTS:
+                    self.memo.clear()
+                own = self.memo[p] = tuple(self.terms[t] for t in part_terms(p) if t in self.terms)
             for t in own:
                 seen[t] = seen.get(t, 0) + n
-        t, n = np.array(list(seen), np.int64), np.array(list(seen.values()), np.int64)
-        more = [a[t[n >= m]] for m, a in zip(REPEATS, self.again)]
-        more = np.concatenate([a[a >= 0] for a in more])
-        t, n = np.concatenate((t, more)), np.concatenate((n, np.ones(len(more), np.int64)))
-        order = np.argsort(t)
-        return t[order], n[order]
-
-    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """The vectors by rows, the frequent terms as a matrix and the others as postings."""
-        self.size = np.array([len(x) for x in self.ids], np.int64) if self.ids else np.ones(len(vectors), np.int64)
-        t, w = (np.concatenate(x) for x in zip(*vectors))
-        length = np.array([len(x) for x, _ in vectors])
-        self.rows = np.concatenate(([0], np.cumsum(length))), t.astype(np.int32, copy=False), w
-        self.arrange()
-
-    def arrange(self) -> None:
-        edges, t, w = self.rows
-        row = np.repeat(np.arange(len(edges) - 1, dtype=np.int32), np.diff(edges))
-        often = np.argsort(-np.bincount(t, minlength=len(self.idf)), kind="stable")[:DENSE]
-        self.column = np.full(len(self.idf), -1, np.int32)
-        self.column[often] = np.arange(len(often))
-        self.dense = np.zeros((len(often), len(edges) - 1), np.float32)
-        column = self.column[t]
-        often, rest = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-        self.dense[column[often], row[often]] = w[often]
-        del column, often
-        rest = rest[np.argsort(t[rest], kind="stable")]
-        edges = np.concatenate(([0], np.cumsum(np.bincount(t[rest], minlength=len(self.idf)))))
-        self.postings = edges, row[rest], w[rest].astype(np.float32)
-
-    def __getstate__(self) -> dict:
-        """What arrange() makes of the rows is made again where the index arrives, which spares disk."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("dense", "column", "postings", "query")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__init__(**state)
-        if self.rows:
-            self.arrange()
-
-    def rough(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosines of the queries with all vectors in single precision."""
-        edges, row, weight = self.postings
-        q, rest = np.zeros((len(queries), len(self.dense)), np.float32), []
-        for i, (t, w) in enumerate(queries):
-            c = self.column[t]
-            q[i, c[c >= 0]] = w[c >= 0]
-            rest.append((t[c < 0], w[c < 0]))
-        out = q @ self.dense
-        for own, (t, w) in zip(out, rest):
-            low = edges[t]
-            count = edges[t + 1] - low
-            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            own += np.bincount(row[at], weight[at] * np.repeat(w, count), minlength=len(own))
-        return out
+        t = np.array(sorted(seen), np.int64)
+        w = (1 + np.log(np.array([seen[x] for x in t.tolist()], np.float64))) * self.idf[t] if len(t) else np.zeros(0)
+        return t, w / np.linalg.norm(w) if len(t) else w
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray,
-                rough: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Vectors by descending cosine that together hold at least k examples (with all of the last
-        cosine), and their cosines. Each holds an example, but for one that may be left out."""
-        rough = self.rough([(t, w)])[0] if rough is None else rough
-        last = max(0, len(rough) - k - 1)
-        near = np.flatnonzero((rough >= np.partition(rough, last)[last] - OFF) & (rough > 0))
-        edges, terms, weights = self.rows
-        cosine = np.zeros(len(near))
-        if len(self.query) != len(self.idf):
-            self.query = np.zeros(len(self.idf))
-        self.query[t] = w
-        for i, v in enumerate(near):
-            cosine[i] = self.query[terms[edges[v]:edges[v + 1]]] @ weights[edges[v]:edges[v + 1]]
-        self.query[t] = 0
-        by = np.lexsort((near, -cosine))
-        near, cosine = near[by], cosine[by]
-        reach = np.cumsum(size[near])
-        if len(near) and reach[-1] >= k:
-            keep = cosine >= cosine[np.searchsorted(reach, k)] - 1e-12
-            near, cosine = near[keep], cosine[keep]
-        return near, cosine
-
-    def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None,
-             rough: np.ndarray | None = None):
+    def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None):
+        """Vote of the neighbours in [0, 1], and their numbers; without: a vector that lacks one example, and
+        the toxic and clean weight of that example."""
         size = self.size
         if without:
             size = size.copy()
             size[without[0]] -= 1
-        near, cosine = self.nearest(t, w, k, size, rough)
+        near, cosine = self.postings.nearest(t, w, k, size)
         # the prior weighs as much as half a neighbour at the largest cosine
         s, toxic, clean = cosine ** POWER, self.toxic[near], self.clean[near]
         if without:
@@ -209,104 +197,109 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return px, np.array([v for b in blocks for v in (b[2], b[2])])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, positives: int,
-                    negatives: int) -> tuple[DataFrame, int, int]:
+def labelled_sample(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, positives: int,
+                    negatives: int, most_bytes: int) -> tuple[DataFrame, int, int]:
     """(doc_id, toxic, text) of the sample, and how many toxic and clean labels there are."""
     one = (labels.select("doc_id", "toxic").dropna().filter(train).groupBy("doc_id")
            .agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     n1, n0 = one.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     pick = lambda y, n: one.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     ids = F.broadcast(pick(1, positives).unionAll(pick(0, negatives)))  # at most positives + negatives rows
-    return (docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "toxic")
-            .agg(F.coalesce(F.min("text"), F.lit("")).alias("text")), n1, n0)
+    sample = (docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "toxic")
+              .agg(F.coalesce(F.min("text"), F.lit("")).alias("text")))
+    sample = scratch.write(sample, "labelled")
+    # at most positives + negatives rows, without their texts
+    before = F.coalesce(F.sum("b").over(W.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    fits = sample.select("doc_id", F.octet_length("text").alias("b")).withColumn("before", before).filter(
+        F.col("before") + F.col("b") <= most_bytes)
+    return sample.join(F.broadcast(fits.select("doc_id")), "doc_id", "left_semi"), n1, n0
 
 
 def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, positives: int = POSITIVES,
-        negatives: int = NEGATIVES, vocabulary: int = VOCABULARY, k: int = NEIGHBOURS,
-        least_z: float = LEAST_Z) -> Index:
-    sample, n1, n0 = labelled_sample(docs, labels, train, positives, negatives)
-    sample = scratch.write(sample, "labelled")
-    s1, s0 = sample.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
-    index = Index(prior=n1 / (n1 + n0) if n1 + n0 else 0.0)
-    index.no_term = index.prior
+        negatives: int = NEGATIVES, k: int = NEIGHBOURS, by_label: bool = True, most_bytes: int = MOST_BYTES) -> Index:
+    sample, n1, n0 = labelled_sample(scratch, docs, labels, train, positives, negatives, most_bytes)
+
+    def words(cols: dict) -> dict:
+        seen = [Counter(part_terms(text)) for text in cols["text"]]
+        order = [sorted(c) for c in seen]
+        return {"doc_id": cols["doc_id"], "toxic": cols["toxic"], "terms": order,
+                "counts": [[c[t] for t in o] for c, o in zip(seen, order)],
+                "common": [" ".join(sorted(c, key=lambda t: (-c[t], t))[:4]) for c in seen]}
+
+    told = map_columns(sample, words, "doc_id long, toxic int, terms array<string>, counts array<int>, common string")
+    told = scratch.write(told.groupBy("terms", "counts", "common").agg(
+        F.count_if(F.col("toxic") == 1).alias("n1"), F.count_if(F.col("toxic") == 0).alias("n0"),
+        F.sort_array(F.collect_list("doc_id")).alias("ids")), "vectors")
+    s1, s0, e1, e0 = told.agg(*(F.coalesce(F.sum(F.when(c, F.col(n))), F.lit(0)) for c in (F.lit(True), F.size("terms") == 0)
+                                for n in ("n1", "n0"))).first()
+    index = Index(n1 / (n1 + n0) if n1 + n0 else 0.0)
     if not s1 or not s0:
         return index
-
-    def frequencies(cols: dict) -> dict:
-        seen = Counter()
-        for text, y in zip(cols["text"], cols["toxic"]):
-            seen.update((t, y) for t in text_terms(Counter(t for p in text.split() for t in part_terms(p))))
-        return {"term": [t for t, _ in seen], "toxic": [y for _, y in seen], "n": list(seen.values())}
-
-    df = map_columns(sample, frequencies, "term string, toxic int, n long").groupBy("term").agg(
-        F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("d1"),
-        F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("d0"))
-    df = scratch.write(df, "terms")
-    if df.count() > vocabulary:
-        df = df.orderBy((F.col("d1") + F.col("d0")).desc(), "term").limit(vocabulary)
-    told = df.toArrow().sort_by("term")
-    scratch.drop(df)
-    d1, d0 = told["d1"].to_numpy(), told["d0"].to_numpy()
-    index.terms = {t: i for i, t in enumerate(told["term"].to_pylist())}
-    index.again = np.array([[index.terms.get(f"{t}#{m}", -1) for t in index.terms] for m in REPEATS], np.int32)
-    share = (d1 + d0) / (s1 + s0)
-    z = np.abs(d1 / s1 - d0 / s0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / s1 + 1 / s0))
-    index.idf = (np.log((s1 + s0 + 1) / (d1 + d0 + 1)) + 1) * np.maximum(z, least_z)
-    del told, d1, d0, share, z
+    w1, w0 = n1 / s1, n0 / s0
+    index.no_term = (e1 * w1 + PRIOR_WEIGHT * index.prior) / (e1 * w1 + e0 * w0 + PRIOR_WEIGHT)
+    # at most positives + negatives rows; texts with the same commonest words get near numbers
+    told = told.filter(F.size("terms") > 0).withColumn(
+        "row", (F.row_number().over(W.orderBy("common", F.element_at("ids", 1))) - 1).cast("int"))
+    told = scratch.write(told, "numbered")
+    post = told.select("row", "n1", "n0", F.explode(F.arrays_zip("terms", "counts")).alias("e")).select(
+        "row", "n1", "n0", F.col("e.terms").alias("term"), F.col("e.counts").alias("tf"))
+    share = (F.col("d1") + F.col("d0")) / (s1 + s0)
+    z = F.abs(F.col("d1") / s1 - F.col("d0") / s0) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / s1 + 1 / s0))
+    idf = F.log((s1 + s0 + 1) / (F.col("d1") + F.col("d0") + 1)) + 1
+    terms = post.groupBy("term").agg(F.sum("n1").alias("d1"), F.sum("n0").alias("d0"), F.count(F.lit(1)).alias("df")).select(
+        "term", "df", (idf * F.greatest(z, F.lit(1.0)) if by_label else idf).alias("idf"))
+    post = post.join(terms, "term").select("term", "df", "idf", "row", "tf")
+    index.parts = [tuple(bytes(x) for x in r) for r in post.repartition("term").sortWithinPartitions("term", "row").mapInArrow(
+        _pack, "terms binary, idf binary, df binary, row binary, tf binary").collect()]
+    rows = told.select("row", "n1", "n0", F.slice("ids", 1, EVIDENCE).alias("ids")).toArrow().sort_by("row")
+    ones, zeros = rows["n1"].to_numpy(), rows["n0"].to_numpy()
+    index.size, index.toxic, index.clean, index.ids = ones + zeros, ones * w1, zeros * w0, rows["ids"].to_pylist()
     index_b = scratch.spark.sparkContext.broadcast(index)
 
-    def vectors(cols: dict) -> dict:
-        seen = [index_b.value.counts(t) for t in cols["text"]]
-        return {"doc_id": cols["doc_id"], "toxic": cols["toxic"],
-                "t": [t.astype(np.int32).tobytes() for t, _ in seen],
-                "n": [n.astype(np.int32).tobytes() for _, n in seen]}
+    def left_out(cols: dict) -> dict:
+        own = index_b.value
+        own.unpack()
+        out = {"vote": [], "y": [], "w": []}
+        for terms, counts, row, ones, zeros in zip(*(cols[c] for c in ("terms", "counts", "row", "n1", "n0"))):
+            t = own.vector(dict(zip(terms, counts)))
+            for y, n, w in ((1, ones, w1), (0, zeros, w0)):
+                if n:
+                    out["vote"].append(own.vote(*t, k, (row, w if y else 0.0, 0.0 if y else w))[0])
+                    out["y"].append(float(y))
+                    out["w"].append(n * w)
+        return out
 
-    got = map_columns(sample, vectors, "doc_id long, toxic int, t binary, n binary").collect()
+    rows = told.select("row", "terms", "counts", "n1", "n0", F.lit("").alias("text")).repartition("row")
+    votes = map_columns(rows, left_out, "vote double, y double, w double").toArrow().sort_by(
+        [("vote", "ascending"), ("y", "ascending")])
+    index.curve = isotonic(*(votes[c].to_numpy() for c in ("vote", "y", "w")))
     index_b.destroy()
-    index.memo.clear()
-    scratch.drop(sample)
-    w1, w0 = n1 / s1, n0 / s0
-    empty: list[int] = []
-    groups: dict[tuple, list] = {}
-    while got:  # the driver keeps each example once
-        r = got.pop()
-        if len(r["t"]):
-            groups.setdefault((bytes(r["t"]), bytes(r["n"])), []).append((r["doc_id"], r["toxic"]))
-        else:
-            empty.append(r["toxic"])
-    index.no_term = (sum(empty) * w1 + PRIOR_WEIGHT * index.prior) / (
-        sum(w1 if y else w0 for y in empty) + PRIOR_WEIGHT)
-    if not groups:
-        return index
-    keys = sorted(groups)
-    members = [sorted(groups[g]) for g in keys]
-    index.toxic = np.array([sum(w1 for _, y in m if y) for m in members])
-    index.clean = np.array([sum(w0 for _, y in m if not y) for m in members])
-    index.ids = [[i for i, _ in m] for m in members]
-    own = [index.weighted(*(np.frombuffer(x, np.int32) for x in g)) for g in keys]
-    del groups, keys
-    index.build(own)
-    edges, t, w = index.rows
-    own = [(t[a:b], w[a:b]) for a, b in zip(edges[:-1], edges[1:])]
-    votes = []
-    for b in range(0, len(own), BLOCK):
-        for i, rough in enumerate(index.rough(own[b:b + BLOCK]), b):
-            for y in (0, 1):
-                if m := sum(z == y for _, z in members[i]):
-                    left = (i, w1 if y else 0.0, 0.0 if y else w0)
-                    votes.append((index.vote(*own[i], k, left, rough)[0], y, m * (w1 if y else w0)))
-    index.curve = isotonic(*map(np.array, zip(*votes)))
     return index
 
 
-def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS, evidence: int = 3) -> DataFrame:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings that come by term and row, as compressed columns; a term's postings stay in one part."""
+    table = pa.Table.from_batches(list(batches))  # a shuffle partition of the sample's postings
+    if not len(table):
+        return
+    term = table["term"].combine_chunks().dictionary_encode()
+    code = np.asarray(term.indices)
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    columns = ["\n".join(term.dictionary.to_pylist()).encode(), table["idf"].to_numpy()[first].astype("<f8"),
+               table["df"].to_numpy()[first].astype("<i4"), table["row"].to_numpy().astype("<i4"),
+               table["tf"].to_numpy().astype("<i4")]
+    yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(x, 1)], pa.binary()) for x in columns],
+                                     names=["terms", "idf", "df", "row", "tf"])
+
+
+def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     """doc_id and held_out with score and the ids of the nearest examples."""
-    index_b = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the vocabulary
+    index_b = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
 
     def run(cols: dict) -> dict:
         told = scores(index_b.value, cols["text"], k)
         return {"doc_id": cols["doc_id"], "held_out": cols["held_out"], "score": [s for s, _ in told],
-                "evidence": [e[:evidence] for _, e in told]}
+                "evidence": [e[:EVIDENCE] for _, e in told]}
 
     return map_columns(docs.select("doc_id", "held_out", "text"), run,
                        "doc_id long, held_out boolean, score double, evidence array<long>")
@@ -314,18 +307,15 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS, evidence: int = 3)
 
 def scores(index: Index, texts: list, k: int) -> list[tuple[float, list[int]]]:
     """Score and evidence of each text."""
+    index.unpack()
     out = []
-    for b in range(0, len(texts), BLOCK):
-        counts = [index.counts(t) for t in texts[b:b + BLOCK]] if index.ids else []
-        queries = [index.weighted(*c) for c in counts if len(c[0])]
-        rough = iter(zip(queries, index.rough(queries))) if queries else iter(())
-        for i in range(len(texts[b:b + BLOCK])):
-            if not index.ids or not len(counts[i][0]):
-                out.append((index.no_term, []))
-                continue
-            q, r = next(rough)
-            vote, near = index.vote(*q, k, rough=r)
-            out.append((index.calibrated(vote), [x for n in near[:8] for x in index.ids[n][:8]]))
+    for text in texts:
+        q = index.vector(Counter((text or "").split()))
+        if not len(q[0]):
+            out.append((index.no_term, []))
+            continue
+        vote, near = index.vote(*q, k)
+        out.append((index.calibrated(vote), [x for n in near[:EVIDENCE] for x in index.ids[n]]))
     return out
 
 
