@@ -222,7 +222,7 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int,
     if not got:
         return
     use, h, doc, first, starts, names, ident = got
-    doc_id, tag = np.array([ids[i] for i in use], np.int64), np.array([tags[i] for i in use], np.int32)
+    doc_id, tag = np.array([ids[i] for i in use], np.int64), np.array([tags[i] for i in use], np.int64)
     # runs of windows with one anchor
     own = doc[starts]
     head = np.flatnonzero(np.concatenate(([True], (ident[1:] != ident[:-1]) | (own[1:] != own[:-1]))))
@@ -261,7 +261,7 @@ def _batch(ids: list, tags: list, texts: list, window: int, buckets: int,
         r = sent[i:j]
         yield {"group": int(bucket[i]), "blob": b"".join((
             np.int64(len(r)).tobytes(), _packed(doc_id[d[r]]), _packed(tag[d[r]]),
-            _packed(at[r].astype(np.int32)), count[r].astype(np.uint8).tobytes(),
+            _packed(at[r].astype(np.int32)), _packed(count[r].astype(np.int32)),
             _packed((run_name[r] >> np.uint64(32)).astype(np.uint32)), hashes[_spans(head[r], count[r])].tobytes()))}
 
 
@@ -290,9 +290,9 @@ def _fields(blobs: list[bytes], widths: tuple[int, ...]) -> list[list[bytes]]:
 
 def later_windows(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """doc_id, tag and start of the windows of a bucket that an earlier one equals."""
-    cols = _fields(blobs, (8, 4, 4, 1, 4, 0))
-    doc_id, tag, start = _unpacked(cols[0], "i8"), _unpacked(cols[1], "i4"), _unpacked(cols[2], "i4")
-    count, name = _unpacked(cols[3], "u1").astype(np.int64), _unpacked(cols[4], "u4")
+    cols = _fields(blobs, (8, 8, 4, 4, 4, 0))
+    doc_id, tag, start = _unpacked(cols[0], "i8"), _unpacked(cols[1], "i8"), _unpacked(cols[2], "i4")
+    count, name = _unpacked(cols[3], "i4").astype(np.int64), _unpacked(cols[4], "u4")
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in cols[5]])
     run = np.repeat(np.arange(len(count)), count)
     pos = _spans(start.astype(np.int64), count)
@@ -327,8 +327,8 @@ def _runs(doc_id, tag, at) -> tuple[np.ndarray, ...]:
 
 def _by_document(blobs: list[bytes]) -> pd.DataFrame:
     """One row per document with its places as pairs (first, end) of window starts."""
-    cols = _fields(blobs, (8, 4, 4, 4))
-    doc_id, tag, at, count = (_unpacked(c, t) for c, t in zip(cols, ("i8", "i4", "i4", "i4")))
+    cols = _fields(blobs, (8, 8, 4, 4))
+    doc_id, tag, at, count = (_unpacked(c, t) for c, t in zip(cols, ("i8", "i8", "i4", "i4")))
     order = np.lexsort((at, tag, doc_id))
     doc_id, tag = doc_id[order], tag[order]
     pairs = np.stack((at[order], at[order] + count[order]), axis=1).astype(np.int32)
@@ -365,12 +365,12 @@ def repeat_places(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
 
     found = map_columns(d, run, schema, chunk_bytes=BATCH_BYTES).groupBy("group").applyInPandas(settle, schema)
     places = scratch.write(found, "places")
-    return places.groupBy("group").applyInPandas(unpack, "doc_id long, tag int, places binary")
+    return places.groupBy("group").applyInPandas(unpack, "doc_id long, tag long, places binary")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 63))),
-                             "_tag": F.xxhash64("text").bitwiseAND(0x7FFFFFFF).cast("int")})
+                             "_tag": F.xxhash64("text")})
 
 
 def _kept(text: str | None, places: bytes | None, window: int) -> tuple[list[bytes], int]:

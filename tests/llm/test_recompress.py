@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import pyarrow.parquet as pq
 
 from strata.llm import recompress
@@ -108,11 +109,45 @@ def test_hot_anchor_is_split(spark, monkeypatch):
         name, out = hot[0][hot[1].argmax()] >> np.uint64(32), Counter()
         for r in rows:
             if r["group"] >= 0:
-                f = recompress._fields([r["blob"]], (8, 4, 4, 1, 4, 0))
-                n, k = (recompress._unpacked(f[j], t) for j, t in ((3, "u1"), (4, "u4")))
+                f = recompress._fields([r["blob"]], (8, 8, 4, 4, 4, 0))
+                n, k = (recompress._unpacked(f[j], t) for j, t in ((3, "i4"), (4, "u4")))
                 out[r["group"]] += int(n[k == name].sum())
         return +out
 
     whole, split = windows((hot[0][:0], hot[1][:0])), windows(hot)
     assert len(whole) == 1 and len(split) > 2 and max(split.values()) < max(whole.values())
     assert sum(split.values()) == sum(whole.values())
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    import xxhash
+
+    line = " ".join(f"w{i}" for i in range(25))
+    seen, pair = {}, None
+    for i in range(400_000):  # two texts whose hashes share their low 31 bits
+        text = f"{i} {line}"
+        if (other := seen.setdefault(xxhash.xxh64_intdigest(text, 42) & 0x7FFFFFFF, text)) != text:
+            pair = other, text
+            break
+    for ident in (None, 5):
+        df = spark.createDataFrame([(ident, t) for t in pair], "doc_id long, text string")
+        assert sorted(r["n_removed"] for r in repeats(df).collect()) == [0, 25]
+
+
+@pytest.mark.parametrize("window", [300, 1000])
+def test_long_windows(spark, window):
+    rnd = random.Random(window)
+    own = lambda n: [f"v{rnd.randrange(50)}" for _ in range(n)]
+    shared = own(window + 7)
+    docs = [(i, " ".join(own(rnd.randrange(500)) + shared[:window - 1 + 4 * (i % 3)] + own(100))) for i in range(5)]
+    docs += [(8, " ".join(["a"] * 1500)), (9, " ".join(["a"] * 1500))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(repeats(df, window).collect()) == brute(docs, window)
+
+
+def test_one_passage_in_a_third_of_the_documents(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = spark.range(30_000).selectExpr("id AS doc_id", f"CASE WHEN id % 3 = 0 THEN concat('a', id, ' {passage} b', id) "
+                                          "ELSE concat('c', id, ' d', id) END AS text").repartition(8)
+    removed = {r["doc_id"]: r["n_removed"] for r in repeats(docs).collect()}
+    assert removed[0] == 0 and all(removed[i] == (30 if i and i % 3 == 0 else 0) for i in range(30_000))
