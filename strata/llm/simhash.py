@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,13 +63,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id and fp (the unsigned 64-bit fingerprint as a long)."""
+def fingerprints(docs: DataFrame, shingle: int = 4, mark: Column | None = None) -> DataFrame:
+    """doc_id, fp (the unsigned 64-bit fingerprint as a long) and `mark`, a long of the row (0 if none is given)."""
+    mark = F.lit(0).cast("long") if mark is None else mark
+
     def run(cols: dict) -> dict:
         fp = np.array([fingerprint(t, shingle) for t in cols["text"]], np.uint64).view(np.int64)
-        return {"doc_id": cols["doc_id"], "fp": fp}
+        return {"doc_id": cols["doc_id"], "fp": fp, "mark": cols["mark"]}
 
-    return map_columns(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    return map_columns(docs.select("doc_id", "text", mark.alias("mark")), run, "doc_id long, fp long, mark long")
 
 
 def _halves(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,18 +162,24 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int
 
 def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """The documents without near-duplicates: of each group the one of smallest doc_id stays.
-    Rows that share a doc_id count as one document, of which the first text stays."""
-    own = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    kept = simhash_groups(docs, shingle, radius).select(own.alias("_id"), "component_id").filter(
-        F.col("_id") == F.col("component_id"))
-    kept = kept.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+
+    Groups are those of the texts, whatever their ids: unlike texts without an id, or that
+    share one, are documents of their own. Of a group's texts of smallest doc_id (a null
+    is the smallest) one stays, and of equal rows of it one."""
     scratch = Scratch(docs.sparkSession)
-    kept = scratch.write(kept, "kept")
-    out = docs.withColumn("_id", own).join(kept.select("_id").hint("shuffle_hash"), "_id", "left_semi")
-    if kept.filter("_n > 1").limit(1).count():
-        first = Window.partitionBy("_id").orderBy(F.col("text").asc_nulls_first())
-        out = out.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
-    return out.select(*docs.columns)
+    fps = scratch.write(fingerprints(docs, shingle, F.xxhash64("text")), "simhash")
+    distinct = scratch.write(fps.select("fp", F.col("fp").alias("node")).distinct(), "distinct")
+    edges = scratch.write(links(scratch, distinct, radius), "links")
+    comp = components(scratch, edges).select(F.col("node").alias("fp"), "component")
+    # a third of all texts may be alike: each task sends one row of a group
+    first = fps.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("first")).join(comp, "fp", "left").groupBy(
+        F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+    kept = scratch.write(first.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")), "kept")
+    own = docs.withColumn("_own", F.xxhash64("text"))
+    out = own.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")),
+                   "left_semi")
+    one = Window.partitionBy("doc_id", "_own").orderBy(F.col("text").asc_nulls_first())
+    return out.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").select(*docs.columns)
 
 
 def simhash_hex(c: str = "fp"):

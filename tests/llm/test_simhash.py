@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from strata.llm.queries import QUERIES
-from strata.llm.simhash import compare, fingerprints, links, simhash_groups
+from strata.llm.simhash import compare, fingerprints, keep_one, links, simhash_groups
 
 from llm_helpers import SF_SMALL
 
@@ -79,3 +79,17 @@ def test_odd_rows(spark, schema):
     assert len(comp[4]) == 2 and comp[4][0] == comp[4][1] == comp[5][0] == comp[None][0]
     assert simhash_groups(spark.createDataFrame([], schema)).collect() == []
     assert fingerprints(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_keep_one_loses_no_unlike_text(spark):
+    schema = "doc_id long, text string, n_chars long, fp int, mark int, node int"
+    unlike = ["red apples fall in the garden at dawn", "ships sail north under a heavy sky tonight",
+              "the council voted against the new bridge plan"]
+    rows = [(None, t) for t in unlike] + [(None, unlike[0])] + [(7, t) for t in unlike[:2]]
+    rows += [(9, "one more text that nobody else has written"), (7, "a second text under seven, of its own words")] * 2
+    rows += [(4, None), (3, ""), (None, None)]
+    kept = keep_one(spark.createDataFrame([(i, t, 5, 1, 2, 3) for i, t in rows], schema))
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = [(None, t) for t in unlike] + [(9, rows[6][1]), (7, rows[7][1]), (None, None)]
+    assert got == sorted(want, key=str) and len(kept.columns) == 6
+    assert keep_one(spark.createDataFrame([], schema)).collect() == []
