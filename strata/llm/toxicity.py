@@ -43,10 +43,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch, map_columns
 
 #: bounds of the sample, and the neighbours that vote
-POSITIVES, NEGATIVES, MOST_BYTES, NEIGHBOURS = 6_000, 12_000, 256 << 20, 15
+POSITIVES, NEGATIVES, MOST_BYTES, NEIGHBOURS = 2_000, 4_000, 256 << 20, 15
 POWER, KEPT_PARTS, EVIDENCE = 4, 200_000, 3
-#: examples of a block of postings; blocks that a query scores first, and then at a time
-BLOCK, FIRST, NEXT = 64, 6, 24
+#: examples of a block of postings, and blocks that a query scores first
+BLOCK, FIRST = 64, 4
 #: weight of the overall share of toxic rows in a vote, and what sums of doubles may be off by
 PRIOR_WEIGHT, OFF = 0.5, 1e-12
 _WORD = re.compile(r"[^\W\d_]+")
@@ -91,7 +91,7 @@ class BlockMax:
         cosine, done, last = np.zeros(self.rows), 0, 0.0
         open_ = np.zeros(self.blocks, bool)
         while done < len(order):
-            take = order[done:done + (NEXT if done else FIRST)]
+            take = order[done:] if done else order[:FIRST]
             take = take[bound[take] * (1 + OFF) >= last - OFF]
             if not len(take):
                 break
