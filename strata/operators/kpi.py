@@ -2,7 +2,7 @@
 
 Scalar KPI groups are single global aggregations (partial aggregation on
 every map task, one tiny merge).  Order statistics (median, the Pareto
-head) come from distributed value counts (``strata.operators.stats``); nothing
+head) come from rank brackets (``strata.operators.stats``); nothing
 is read on the driver.
 """
 
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import AMOUNT_CANDIDATES, CUSTOMER_CANDIDATES, first_present, with_scalars
 from strata.functions.numeric import CENTS, cents, money_avg, money_sum, ratio_round
-from strata.operators.stats import MEDIAN, one_row, ranked, value_counts
+from strata.operators.stats import median_row, ranked
+from strata.session import materialize
 
 
 def _amount(df: DataFrame, amount_col: str | None) -> str:
@@ -28,7 +29,7 @@ def revenue_kpis(df: DataFrame, amount_col: str | None = None) -> DataFrame:
     a = _amount(df, amount_col)
     x = df.select(cents(F.col(a).try_cast("double")).alias("c"), F.col(a).try_cast("double").alias("v")) \
         .where(F.col("v").isNotNull())
-    middle = one_row(ranked(value_counts(x, ["c"]), MEDIAN), list(MEDIAN))
+    middle = median_row(x, "c")
     twice = F.col("low") + F.col("high")                     # twice the median, in cents
     half = F.signum(twice) * F.floor((F.abs(twice) + 1) / 2)  # half away from zero
     agg = x.agg(
@@ -55,23 +56,19 @@ def customer_kpis(df: DataFrame, customer_col: str | None = None, amount_col: st
     """Distinct customers, mean / max revenue per customer and the share of
     revenue held by the top max(1, ⌊n/10⌋) customers (denominator max(total, 1)).
 
-    Customers with equal revenue collapse into (revenue, customers) rows, which all
-    figures are read from."""
+    The customers' revenues are stored once; the head's least revenue is a rank of them."""
     cc = customer_col or first_present(df, CUSTOMER_CANDIDATES)
     a = _amount(df, amount_col)
     per = (df.where(F.col(cc).isNotNull()).groupBy(cc)
            .agg(F.coalesce(F.sum(cents(F.col(a).try_cast("double"))), F.lit(0)).cast(CENTS).alias("c")))
-    counts = value_counts(per, ["c"])
+    per = materialize(per.select("c"), "customer_revenue")
     top = lambda n: F.greatest(F.lit(1), F.floor(n * 0.1))
-    head = ranked(counts, {"least": lambda n: n - top(n) + 1}).agg(
+    head = ranked(per, ["c"], {"head": {"least": lambda n: n - top(n) + 1}}).agg(
         F.max("value").alias("least"), F.max(top(F.col("total"))).alias("k"))
-    x, n = F.col("x"), F.col("n")
-    rows = with_scalars(counts, head)
-    above = F.col("x") > F.col("least")
-    s = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(x * n), F.lit(0)).alias("total"),
-                 F.max("x").alias("most"),
-                 F.coalesce(F.sum(F.when(above, x * n)), F.lit(0)).alias("above"),
-                 F.coalesce(F.sum(F.when(above, n)), F.lit(0)).alias("m"),
+    rows = with_scalars(per, head)
+    x, above = F.col("c"), F.col("c") > F.col("least")
+    s = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(x), F.lit(0)).alias("total"), F.max(x).alias("most"),
+                 F.coalesce(F.sum(F.when(above, x)), F.lit(0)).alias("above"), F.count_if(above).alias("m"),
                  F.max("least").alias("least"), F.max("k").alias("k"))
     share = F.coalesce(F.col("above") + (F.col("k") - F.col("m")) * F.col("least"), F.lit(0))
     return s.select(

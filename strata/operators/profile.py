@@ -4,7 +4,7 @@ Per-column statistics are computed long-format: the frame is unpivoted to
 (column, value) and aggregated twice (per value, then per column) with
 partial aggregation, so distinct counts and top values never need a
 per-column in-memory set and a hot value is combined map-side.  Exact
-medians/quartiles use the value counts of ``stats``.
+medians/quartiles use the rank brackets of ``stats``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from strata.functions.columns import with_scalars
 from strata.functions.numeric import cents, money_avg, money_sum, ratio_round
-from strata.operators.stats import MEDIAN, medians, one_row, quantiles, ranked, value_counts
+from strata.operators.stats import median_row, medians, one_row, quantiles, ranked
 
 
 def _numeric(df: DataFrame, cols: list[str]) -> list[str]:
@@ -119,8 +119,8 @@ def trend(df: DataFrame, value_col: str, order_col: str) -> DataFrame:
     insufficient_data.  The split point is an exact order statistic, so no
     global sort or single-partition window is needed."""
     x = df.where(F.col(value_col).isNotNull()).select(F.col(value_col).alias("_v"), F.col(order_col).alias("_o"))
-    split = one_row(ranked(value_counts(x, ["_o"]), {"_split": lambda n: F.greatest(F.floor(n / 2), F.lit(1))}),
-                    ["_split"])
+    half = {"split": {"_split": lambda n: F.greatest(F.floor(n / 2), F.lit(1))}}
+    split = one_row(ranked(x, ["_o"], half), ["_split"])
     first = F.col("_o") <= F.col("_split")
     a = with_scalars(x, split).agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(first, F.col("_v"))).alias("f"),
                                    F.avg(F.when(~first, F.col("_v"))).alias("s"))
@@ -139,7 +139,7 @@ def business_report(df: DataFrame, amount_col: str, order_col: str, date_col: st
     s = df.agg(money_sum(amount).alias("total"), money_avg(amount).alias("average"),
                F.count(F.lit(1)).alias("records"), F.min(date_col).cast("string").alias("from_"),
                F.max(date_col).cast("string").alias("to_"))
-    middle = one_row(ranked(value_counts(df.select(cents(amount).alias("c")), ["c"]), MEDIAN), list(MEDIAN))
+    middle = median_row(df.select(cents(amount).alias("c")), "c")
     s = with_scalars(with_scalars(s, middle), trend(df, amount_col, order_col).select("trend"))
     twice = F.col("low") + F.col("high")
     median = (F.signum(twice) * F.floor((F.abs(twice) + 1) / 2)).cast("double") / 100.0

@@ -890,14 +890,14 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, COUNT(*) AS e
 
 SQL["stream_session"] = """
 WITH l AS (SELECT user_id, ts, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
-f AS (SELECT *, SUM(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+f AS (SELECT *, SUM(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
         OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM l)
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 30 MINUTE AS session_end, COUNT(*) AS events
 FROM f GROUP BY user_id, sid"""
 
 SQL["stream_reject_alarm"] = """
 WITH c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, COUNT(*) AS events
-           FROM events WHERE event_type = 'error' GROUP BY 1)
+           FROM events WHERE event_type = 'error' OR value > 400 GROUP BY 1)
 SELECT c.window_start, c.events, p.events AS prev_events
 FROM c JOIN c p ON p.window_start + INTERVAL 5 MINUTE = c.window_start
 WHERE c.events > 1 AND p.events > 1"""

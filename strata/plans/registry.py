@@ -648,16 +648,34 @@ def q_register_table(spark, sf):
 from strata.streaming import streams as ST  # noqa: E402
 
 
-def _event_files(spark, sf):
-    """Events landed as time-ordered file batches (5 days each) for the file source."""
+def _event_files(spark, sf, swapped=False, clock=False):
+    """Events landed as one batch of files for every five days, in time order or with each
+    pair of batches swapped.  ``clock`` lands a row without an id, 40 days later, behind
+    them: it moves the watermark past all events."""
     e = _table(spark, sf, "events")
-    path = scratch_path(spark, "events_landing")
-    lo = e.agg(F.min("ts"), F.max("ts")).first()
-    n_batches = (lo[1] - lo[0]).days // 5 + 1
-    day = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(lo[0]).cast("timestamp")))
-                  / (5 * 86400 * 1_000_000))
-    for b in range(n_batches):
-        e.where(day == b).write.mode("append").parquet(path)
+    stage, path = scratch_path(spark, "events_stage"), scratch_path(spark, "events_landing")
+    batch = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (5 * 86400 * 1_000_000))
+    e.withColumn("_batch", batch).write.partitionBy("_batch").parquet(stage)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(conf)
+    fs.mkdirs(hpath(path))
+    folders = sorted((st.getPath() for st in fs.listStatus(hpath(stage)) if st.isDirectory()),
+                     key=lambda p: int(p.getName().split("=")[1]))
+    if swapped:
+        folders = [f for i in range(0, len(folders), 2) for f in reversed(folders[i:i + 2])]
+    if clock:
+        late = e.agg((F.max("ts") + F.expr("INTERVAL 40 DAYS")).alias("ts"))
+        late.select(*[F.col("ts") if c == "ts" else F.lit(None).cast(e.schema[c].dataType).alias(c) for c in e.columns]) \
+            .write.parquet(f"{stage}/clock")
+        folders.append(hpath(f"{stage}/clock"))
+    now = fs.getFileStatus(hpath(path)).getModificationTime()
+    for i, folder in enumerate(folders):  # the file source takes older files first
+        for st in fs.listStatus(folder):
+            if st.getPath().getName().endswith(".parquet"):
+                to = hpath(f"{path}/{i:05d}-{st.getPath().getName()}")
+                fs.rename(st.getPath(), to)
+                fs.setTimes(to, now - (len(folders) - i) * 60_000, -1)
     return path, e.schema
 
 
@@ -672,26 +690,28 @@ def q_stream_ingest_split(spark, sf):
     return spark.read.parquet(acc).drop("batch_id")
 
 
+def _event_rules(df):
+    return V.with_errors(df, [
+        (F.col("event_type") == "error", F.concat(F.lit("Error event of user "), F.col("user_id").cast("string"))),
+        (F.col("value") > 400, F.lit("Value above 400")), (F.col("event_id").isNull(), F.lit("No event id"))])
+
+
 @register("stream_rejects")
 def q_stream_rejects(spark, sf):
-    """The rejected side of the streaming ingest; events without a value are invalid here too."""
+    """The rejected side of the streaming ingest; error events and values above 400 are invalid."""
     src, schema = _event_files(spark, sf)
     acc, rej = scratch_path(spark, "stream_acc"), scratch_path(spark, "stream_rej")
-
-    def validate(df):
-        late = F.col("event_type") == "error"
-        return V.with_errors(df, [(late, F.concat(F.lit("Error event of user "), F.col("user_id").cast("string"))),
-                                  (F.col("value") > 400, F.lit("Value above 400"))])
-    ST.ingest_split(spark, src, schema, validate, acc, rej)
+    ST.ingest_split(spark, src, schema, _event_rules, acc, rej)
     return spark.read.parquet(rej).select(
         F.get_json_object("record", "$.event_id").cast("bigint").alias("event_id"), "error")
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf):
-    src, schema = _event_files(spark, sf)
+    """Batches come swapped in pairs, so rows are up to ten days late."""
+    src, schema = _event_files(spark, sf, swapped=True, clock=True)
     out = scratch_path(spark, "stream_dedup")
-    ST.dedup_within(spark, src, schema, ["user_id", "event_type"], "ts", "event_id", 24, out, max_files=1)
+    ST.dedup_within(spark, src, schema, ["user_id", "event_type"], "ts", "event_id", 24, out, delay="10 days")
     return spark.read.parquet(out)
 
 
@@ -711,20 +731,19 @@ def q_stream_sliding(spark, sf):
 
 @register("stream_session")
 def q_stream_session(spark, sf):
-    src, schema = _event_files(spark, sf)
+    src, schema = _event_files(spark, sf, swapped=True, clock=True)
     out = scratch_path(spark, "stream_session")
-    return ST.session_counts(spark, src, schema, "ts", "30 minutes", ["user_id"], out)
+    return ST.session_counts(spark, src, schema, "ts", "30 minutes", ["user_id"], out, delay="10 days", max_files=1)
 
 
 @register("stream_reject_alarm")
 def q_stream_reject_alarm(spark, sf):
-    src, schema = _event_files(spark, sf)
-    out = scratch_path(spark, "stream_errors")
-    errors = scratch_path(spark, "stream_error_src")
-    # rejected stand-in: error events, routed by a stateless hop
-    ST.layer_hop(spark, src, schema, lambda s: s.where(F.col("event_type") == "error"), errors)
-    counts = ST.windowed_counts(spark, errors, schema, "ts", "5 minutes", None, [], None, out)
-    return ST.consecutive_alarm(counts, threshold=1, period_seconds=300)
+    """Five-minute periods with rejects in each of two that follow one another; the clock row is
+    itself a reject, far behind the others."""
+    src, schema = _event_files(spark, sf, clock=True)
+    acc, rej = scratch_path(spark, "stream_acc"), scratch_path(spark, "stream_rej")
+    ST.ingest_split(spark, src, schema, _event_rules, acc, rej)
+    return ST.reject_alarm(spark, rej, "ts", scratch_path(spark, "stream_alarms"), threshold=1, period_seconds=300)
 
 
 @register("stream_quality")
@@ -742,8 +761,8 @@ def q_stream_layers(spark, sf):
     src, schema = _event_files(spark, sf)
     silver = scratch_path(spark, "stream_silver")
     gold = scratch_path(spark, "stream_gold")
-    ST.layer_hop(spark, src, schema, lambda s: SV.transform_api(SV.clean_strings(s)), silver)
-    return ST.windowed_counts(spark, silver, schema, "ts", "1 day", None, ["event_type"], "value", gold)
+    layer = ST.silver_hop(spark, src, schema, "api", SILVER_AS_OF, "event_id", "ts", silver)
+    return ST.windowed_counts(spark, silver, layer, "ts", "1 day", None, ["event_type"], "value", gold)
 
 
 # ---- pipeline jobs ----------------------------------------------------------

@@ -21,3 +21,11 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
     ``max_bytes``; otherwise the planner and AQE choose.  No job is run."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the files that the plan of ``df`` reads, by its leaves' statistics (unknown
+    sizes count as none).  No job is run."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length())]
+    return sum(s for s in sizes if s < 1 << 62)

@@ -9,13 +9,12 @@ run in update mode: a batch writes the windows it changed, state older than the
 watermark goes, and a reader takes each window's latest version (``current``).
 
 * ingest_split        validation inside foreachBatch → accepted / rejected sinks
-* dedup_within        exact anchored N-hour dedup per key with keyed state
-                      (applyInPandasWithState keeps one timestamp per key; the
-                      group handed to pandas is one key's rows of one
-                      micro-batch, bounded by maxFilesPerTrigger)
+* dedup_within        exact anchored N-hour dedup per key, whatever the order of arrival
+                      inside the watermark (keyed lists and event-time timers)
 * windowed_counts     tumbling / sliding windows with a watermark
-* session_counts      session windows per key
-* reject_alarm        windowed reject counts; consecutive-period alarm
+* session_counts      session windows per key, each written once
+* reject_alarm        reject counts per period and, chained to it, the periods that
+                      follow one another
 * quality_stream      rule counts per micro-batch, one report over the whole stream
 * layer hops          raw → silver → gold as chained availableNow queries
 """
@@ -30,9 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from strata.functions.columns import with_scalars
+from strata.operators import silver as SV
 from strata.session import scratch_path
 
 
@@ -45,8 +43,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def run_available_now(stream: DataFrame, sink: Callable | str, checkpoint: str,
-                      mode: str = "append", fmt: str = "parquet") -> None:
-    """Run a query until everything available is processed, then stop."""
+                      mode: str = "append", fmt: str = "parquet"):
+    """Run a query until everything available is processed, then stop; the ended query."""
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if callable(sink):
         q = w.foreachBatch(sink).start()
@@ -55,6 +53,7 @@ def run_available_now(stream: DataFrame, sink: Callable | str, checkpoint: str,
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    return q
 
 
 def by_batch(path: str) -> Callable[[DataFrame, int], None]:
@@ -91,40 +90,90 @@ def ingest_split(spark: SparkSession, src: str, schema: T.StructType,
     run_available_now(file_stream(spark, src, schema), sink, checkpoint or scratch_path(spark, "ckpt-ingest"))
 
 
-def dedup_within(spark: SparkSession, src: str, schema: T.StructType, keys: list[str], ts_col: str,
-                 id_col: str, hours: float, out: str, max_files: int = 1) -> None:
-    """Exact anchored window dedup over a stream (files arrive in time order).
+#: state store of the operators that keep lists and timers per key
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
 
-    State per key = timestamp (µs) of the last kept event.  An event is kept
-    iff it is later than last_kept + N; late events behind the anchor count as
-    duplicates."""
+def dedup_within(spark: SparkSession, src: str, schema: T.StructType, keys: list[str], ts_col: str,
+                 id_col: str, hours: float, out: str, delay: str, max_files: int | None = 1,
+                 checkpoint: str | None = None) -> None:
+    """Exact anchored window dedup over a stream whose rows may come up to ``delay`` late.
+
+    A key's rows wait in its state until the watermark passes them; nothing earlier can
+    come then, so they are decided in (time, id) order: a row is kept iff it is later
+    than the last kept one + N.  Rows inside the window of a decided row are dropped as
+    they come.  Timers wake a key when its earliest waiting row is due, and once more
+    when its anchor reaches nothing any more: then its state goes.  The result does not
+    depend on the order of files or rows.  Rows without an id only move the clock."""
     win = int(hours * 3600 * 1_000_000)
-    out_schema = schema
-
-    def fold(key, pdfs, state):
-        last = state.get[0] if state.exists else None
-        pdf = pd.concat(list(pdfs))
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values([ts_col, id_col], kind="mergesort")
-        t = pdf[ts_col].to_numpy(dtype="datetime64[us]").astype(np.int64)
-        # greedy anchored walk: jump straight to the first event after anchor + N
-        keep = np.zeros(len(t), dtype=bool)
-        i = 0 if last is None else int(np.searchsorted(t, last + win, side="right"))
-        while i < len(t):
-            keep[i] = True
-            last = int(t[i])
-            i = int(np.searchsorted(t, last + win, side="right"))
-        if last is not None:
-            state.update((last,))
-        if keep.any():
-            yield pdf[keep]
+    names = schema.names
+    waiting_schema = T.StructType([T.StructField("_us", T.LongType()), *schema.fields])
+
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Anchored(StatefulProcessor):  # made here, so that workers need not import this package
+        def init(self, handle):
+            self.handle = handle
+            self.anchor = handle.getValueState("anchor", T.StructType([T.StructField("last", T.LongType())]))
+            self.waiting = handle.getListState("waiting", waiting_schema)
+
+        def wake(self, us):
+            self.handle.registerTimer(-(-int(us) // 1000))
+
+        def handleInputRows(self, key, rows, timerValues):
+            reach = self.anchor.get()[0] + win if self.anchor.exists() else None
+            for pdf in rows:
+                pdf = pdf[pdf[id_col].notna() & pdf[ts_col].notna()]
+                us = pdf[ts_col].to_numpy(dtype="datetime64[us]").astype(np.int64)
+                if reach is not None:
+                    pdf, us = pdf[us > reach], us[us > reach]
+                if len(us):
+                    values = pdf[names].astype(object).where(pdf[names].notna(), None)
+                    self.waiting.appendList([(int(t), *row) for t, row in
+                                             zip(us, values.itertuples(index=False, name=None))])
+                    self.wake(us.min())
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            now = timerValues.getCurrentWatermarkInMs() * 1000
+            last = self.anchor.get()[0] if self.anchor.exists() else None
+            at = 1 + names.index(id_col)
+            rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: (r[0], r[at]))
+            kept, rest = [], []
+            for r in rows:
+                if last is not None and r[0] <= last + win:
+                    continue
+                if r[0] <= now:
+                    kept.append(r[1:])
+                    last = r[0]
+                else:
+                    rest.append(r)
+            if rest:
+                self.waiting.put(rest)
+                self.wake(rest[0][0])
+            elif rows:
+                self.waiting.clear()
+            if last is not None and not rest and now >= last + win:
+                self.anchor.clear()
+            elif kept:
+                self.anchor.update((last,))
+                self.wake(last + win)
+            if kept:
+                yield pd.DataFrame(kept, columns=names, dtype=object)
+
+        def close(self):
+            pass
 
     s = file_stream(spark, src, schema, max_files=max_files)
-    deduped = s.groupBy(*keys).applyInPandasWithState(
-        fold, out_schema, T.StructType([T.StructField("last", T.LongType())]), "append",
-        GroupStateTimeout.NoTimeout)
-    run_available_now(deduped, out, scratch_path(spark, "ckpt-dedup"))
+    s = s.withColumn("_event_time", F.col(ts_col).cast("timestamp")).withWatermark("_event_time", delay)
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        kept = s.groupBy(*keys).transformWithStateInPandas(Anchored(), schema, "append", "eventTime")
+        return run_available_now(kept, out, checkpoint or scratch_path(spark, "ckpt-dedup"))
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 def windowed_counts(spark: SparkSession, src: str, schema: T.StructType, ts_col: str, duration: str,
@@ -146,28 +195,36 @@ def windowed_counts(spark: SparkSession, src: str, schema: T.StructType, ts_col:
 
 
 def session_counts(spark: SparkSession, src: str, schema: T.StructType, ts_col: str, gap: str,
-                   keys: list[str], out: str) -> DataFrame:
-    """Session counts.  Session windows have no update mode: each batch writes the
-    whole result as its partition, and the last one is the result."""
-    s = file_stream(spark, src, schema).withColumn("_ts", F.col(ts_col).cast("timestamp"))
-    agg = (s.withWatermark("_ts", "1 day").groupBy(F.session_window("_ts", gap).alias("s"), *keys)
+                   keys: list[str], out: str, delay: str = "1 day", max_files: int | None = None) -> DataFrame:
+    """Sessions of each key, each written once: when the watermark has passed its end."""
+    s = file_stream(spark, src, schema, max_files=max_files).withColumn("_ts", F.col(ts_col).cast("timestamp"))
+    agg = (s.withWatermark("_ts", delay).groupBy(F.session_window("_ts", gap).alias("s"), *keys)
            .agg(F.count(F.lit(1)).alias("events")))
     sel = agg.select(*keys, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
                      F.col("s.end").cast("timestamp_ntz").alias("session_end"), "events")
-    run_available_now(sel, by_batch(out), scratch_path(spark, "ckpt-session"), "complete")
-    table = spark.read.parquet(out)
-    return with_scalars(table, table.agg(F.max("batch_id").alias("_last"))).where("batch_id = _last").drop(
-        "batch_id", "_last")
-
-
-def consecutive_alarm(counts: DataFrame, threshold: int, period_seconds: int) -> DataFrame:
-    """Windows whose count exceeds ``threshold`` and whose previous period did too."""
-    prev = counts.select((F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                                                     F.lit(float(period_seconds))))
-                         .alias("window_start"), F.col("events").alias("prev_events"))
-    return (counts.join(prev, "window_start")
-            .where((F.col("events") > threshold) & (F.col("prev_events") > threshold))
-            .select("window_start", "events", "prev_events"))
+    run_available_now(sel, out, scratch_path(spark, "ckpt-session"))
+    return spark.read.schema(sel.schema).parquet(out)
+
+
+def reject_alarm(spark: SparkSession, rejected: str, ts_field: str, out: str, threshold: int = 100,
+                 period_seconds: int = 300, delay: str = "1 day") -> DataFrame:
+    """Periods with more than ``threshold`` rejects whose previous period had as many too.
+
+    One query with two stateful operators in a row: rejects (the ``rejected`` side of
+    ``ingest_split``) are counted per period, periods over the threshold are paired with
+    their neighbour by a window of two periods.  A period is judged once, when the
+    watermark has passed it; a gap between periods is no alarm."""
+    r = file_stream(spark, rejected, T.StructType.fromDDL("record string, error string, batch_id bigint"))
+    r = r.withColumn("_ts", F.get_json_object("record", f"$.{ts_field}").try_cast("timestamp"))
+    period = f"{period_seconds} seconds"
+    over = (r.withWatermark("_ts", delay).groupBy(F.window("_ts", period).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > threshold).select(F.window_time("w").alias("t"), "n"))
+    two = over.groupBy(F.window("t", f"{2 * period_seconds} seconds", period).alias("p")).agg(
+        F.count(F.lit(1)).alias("k"), F.max_by("n", "t").alias("events"), F.min_by("n", "t").alias("prev_events"))
+    alarm = two.where("k = 2").select((F.col("p.start") + F.expr(f"INTERVAL '{period_seconds}' SECOND")).cast("timestamp_ntz")
+                                      .alias("window_start"), "events", "prev_events")
+    run_available_now(alarm, out, scratch_path(spark, "ckpt-alarm"))
+    return spark.read.schema(alarm.schema).parquet(out)
 
 
 def quality_stream(spark: SparkSession, src: str, schema: T.StructType, checker, dataset: str, out: str,
@@ -185,6 +242,17 @@ def quality_stream(spark: SparkSession, src: str, schema: T.StructType, checker,
     return checker.report_of(spark.read.parquet(out).drop("batch_id"), schema.names, dataset, "stream")
 
 
+def silver_hop(spark: SparkSession, src: str, schema: T.StructType, source_type: str, as_of: _dt.datetime,
+               key: str, ts_col: str, out: str, delay: str = "1 day") -> T.StructType:
+    """Raw → silver on a stream: the whole silver chain, and of rows that come again within
+    ``delay`` the first.  Gives the silver table's schema."""
+    s = SV.transform(file_stream(spark, src, schema), source_type, as_of)
+    s = s.withColumn("_event_time", F.col(ts_col).cast("timestamp")).withWatermark("_event_time", delay)
+    once = s.dropDuplicatesWithinWatermark([key]).drop("_event_time")
+    run_available_now(once, out, scratch_path(spark, "ckpt-silver"))
+    return once.schema
+
+
 def layer_hop(spark: SparkSession, src: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame],
               out: str) -> None:
     """One raw→silver style hop: stateless transform, appended to the next layer."""
