@@ -44,26 +44,37 @@ from strata.llm.common import Scratch, map_columns
 
 #: bounds of the sample, and the neighbours that vote
 POSITIVES, NEGATIVES, MOST_BYTES, NEIGHBOURS = 2_000, 4_000, 256 << 20, 15
-POWER, KEPT_PARTS, EVIDENCE = 4, 200_000, 3
-#: examples of a block of postings, and blocks that a query scores first
-BLOCK, FIRST = 64, 4
+POWER, EVIDENCE = 4, 3
+#: examples of a block of postings, blocks that a query scores first, rows per
+#: posting of a term held in full, and queries whose shares are computed together
+BLOCK, FIRST, DENSE, TOGETHER = 64, 4, 16, 32
 #: weight of the overall share of toxic rows in a vote, and what sums of doubles may be off by
 PRIOR_WEIGHT, OFF = 0.5, 1e-12
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def part_terms(part: str) -> list[str]:
-    """Words of a part of a text."""
-    return _WORD.findall(part.lower())
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
 
 
 class BlockMax:
-    """Postings by term in blocks of examples, each block with its largest weight."""
+    """Postings by term in blocks of examples, each block with its largest weight.
+
+    Terms in at least a DENSE-th of the rows are held as full rows of a matrix: their share
+    of all cosines is one product, and a block's bound is the largest such share in it
+    plus the largest weights of the other terms."""
 
     def __init__(self, df: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int):
         """df: postings of each term; row, weight: the postings by term and row."""
         self.rows, self.blocks = rows, -(-rows // BLOCK)
         term = np.repeat(np.arange(len(df)), df)
+        often = np.flatnonzero(df * DENSE >= max(rows, DENSE * DENSE))
+        self.line = np.full(len(df), -1, np.int32)
+        self.line[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), self.blocks * BLOCK))
+        full = self.line[term] >= 0
+        self.matrix[self.line[term[full]], row[full]] = weight[full]
+        term, row, weight = term[~full], row[~full], weight[~full]
         block = row // BLOCK
         first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(row) else row
         self.row, self.weight = row.astype(np.int32), weight
@@ -77,35 +88,49 @@ class BlockMax:
     def _spans(low: np.ndarray, count: np.ndarray) -> np.ndarray:
         return np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the terms held in full give to the cosines of the queries with all rows."""
+        q = np.zeros((len(queries), len(self.matrix)))
+        for own, (t, w) in zip(q, queries):
+            line = self.line[t]
+            own[line[line >= 0]] = w[line >= 0]
+        return q @ self.matrix
+
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, size: np.ndarray,
+                share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Rows by descending cosine that together hold k examples (with all of the last cosine, and a
-        row that holds none any more), and their cosines."""
+        row that holds none any more), and their cosines; share: the query's row of `shares`."""
+        cosine = self.shares([(t, w)])[0] if share is None else share
+        rest = self.line[t] < 0
+        t, w = t[rest], w[rest]
         low, count = self.edges[t], self.edges[t + 1] - self.edges[t]
         piece = self._spans(low, count)
         q = np.repeat(w, count)
         at = self.block[piece]
-        bound = np.bincount(at, self.most[piece] * q, self.blocks)
+        bound = cosine.reshape(-1, BLOCK).max(axis=1) + np.bincount(at, self.most[piece] * q, self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         self.seen += len(order)
-        cosine, done, last = np.zeros(self.rows), 0, 0.0
-        open_ = np.zeros(self.blocks, bool)
+        cosine = cosine[:self.rows]
+        known = np.zeros(self.blocks, bool)
+        done, last = 0, 0.0
         while done < len(order):
             take = order[done:] if done else order[:FIRST]
             take = take[bound[take] * (1 + OFF) >= last - OFF]
             if not len(take):
                 break
-            open_[take] = True
-            mine = open_[at]
-            open_[take] = False
+            now = np.zeros(self.blocks, bool)
+            now[take] = True
+            known |= now
+            mine = now[at]
             own = piece[mine]
             n = self.start[own + 1] - self.start[own]
             post = self._spans(self.start[own], n)
             cosine += np.bincount(self.row[post], self.weight[post] * np.repeat(q[mine], n), self.rows)
             done += len(take)
             self.scored += len(take)
-            last = self._kth(cosine, k, size)
-        near = np.flatnonzero(cosine > 0 if not last else cosine >= last - OFF)
+            last = self._kth(np.where(np.repeat(known, BLOCK)[:self.rows], cosine, 0.0), k, size)
+        near = np.flatnonzero(np.repeat(known, BLOCK)[:self.rows] & (cosine > 0 if not last else cosine >= last - OFF))
         by = np.lexsort((near, -cosine[near]))
         return near[by], cosine[near[by]]
 
@@ -130,7 +155,7 @@ class Index:
         self.ready = False
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "idf", "postings", "memo")} | {"ready": False}
+        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "idf", "postings")} | {"ready": False}
 
     def unpack(self) -> None:
         if self.ready:
@@ -141,34 +166,31 @@ class Index:
         df, row = df.astype(np.int64), row.astype(np.int64)
         names = [n for p in self.parts for n in zlib.decompress(p[0]).decode().split("\n")]
         self.terms = {n: i for i, n in enumerate(names)}
-        self.idf, self.memo, self.ready = idf, {}, True
+        self.idf, self.ready = idf, True
         weight = (1 + np.log(tf)) * np.repeat(idf, df)
         norm = np.sqrt(np.bincount(row, weight * weight, len(self.size)))
         self.postings = BlockMax(df, row, weight / norm[row], len(self.size))
 
-    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a text by number, and their weights as a unit vector."""
-        seen = {}
-        for p, n in counts.items():
-            own = self.memo.get(p)
-            if own is None:
-                if len(self.memo) >= KEPT_PARTS:
-                    self.memo.clear()
-                own = self.memo[p] = tuple(self.terms[t] for t in part_terms(p) if t in self.terms)
-            for t in own:
-                seen[t] = seen.get(t, 0) + n
-        t = np.array(sorted(seen), np.int64)
-        w = (1 + np.log(np.array([seen[x] for x in t.tolist()], np.float64))) * self.idf[t] if len(t) else np.zeros(0)
+        counts = Counter(words_of(text or ""))
+        at = list(map(self.terms.get, counts))
+        t = np.array([x for x in at if x is not None], np.int64)
+        n = np.array([n for x, n in zip(at, counts.values()) if x is not None], np.float64)
+        order = np.argsort(t)
+        t = t[order]
+        w = (1 + np.log(n[order])) * self.idf[t]
         return t, w / np.linalg.norm(w) if len(t) else w
 
-    def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None):
+    def vote(self, t: np.ndarray, w: np.ndarray, k: int, without: tuple[int, float, float] | None = None,
+             share: np.ndarray | None = None):
         """Vote of the neighbours in [0, 1], and their numbers; without: a vector that lacks one example, and
         the toxic and clean weight of that example."""
         size = self.size
         if without:
             size = size.copy()
             size[without[0]] -= 1
-        near, cosine = self.postings.nearest(t, w, k, size)
+        near, cosine = self.postings.nearest(t, w, k, size, share)
         # the prior weighs as much as half a neighbour at the largest cosine
         s, toxic, clean = cosine ** POWER, self.toxic[near], self.clean[near]
         if without:
@@ -220,7 +242,7 @@ def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, pos
     sample, n1, n0 = labelled_sample(scratch, docs, labels, train, positives, negatives, most_bytes)
 
     def words(cols: dict) -> dict:
-        seen = [Counter(part_terms(text)) for text in cols["text"]]
+        seen = [Counter(words_of(text)) for text in cols["text"]]
         order = [sorted(c) for c in seen]
         return {"doc_id": cols["doc_id"], "toxic": cols["toxic"], "terms": order,
                 "counts": [[c[t] for t in o] for c, o in zip(seen, order)],
@@ -260,8 +282,8 @@ def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, pos
         own = index_b.value
         own.unpack()
         out = {"vote": [], "y": [], "w": []}
-        for terms, counts, row, ones, zeros in zip(*(cols[c] for c in ("terms", "counts", "row", "n1", "n0"))):
-            t = own.vector(dict(zip(terms, counts)))
+        for text, row, ones, zeros in zip(*(cols[c] for c in ("text", "row", "n1", "n0"))):
+            t = own.vector(text)
             for y, n, w in ((1, ones, w1), (0, zeros, w0)):
                 if n:
                     out["vote"].append(own.vote(*t, k, (row, w if y else 0.0, 0.0 if y else w))[0])
@@ -269,7 +291,10 @@ def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame, train: Column, pos
                     out["w"].append(n * w)
         return out
 
-    rows = told.select("row", "terms", "counts", "n1", "n0", F.lit("").alias("text")).repartition("row")
+    # a text of the same words as often stands for each example
+    again = F.array_join(F.flatten(F.transform(F.arrays_zip("terms", "counts"),
+                                               lambda e: F.array_repeat(e["terms"], e["counts"]))), " ")
+    rows = told.select("row", "n1", "n0", again.alias("text")).repartition("row")
     votes = map_columns(rows, left_out, "vote double, y double, w double").toArrow().sort_by(
         [("vote", "ascending"), ("y", "ascending")])
     index.curve = isotonic(*(votes[c].to_numpy() for c in ("vote", "y", "w")))
@@ -309,13 +334,14 @@ def scores(index: Index, texts: list, k: int) -> list[tuple[float, list[int]]]:
     """Score and evidence of each text."""
     index.unpack()
     out = []
-    for text in texts:
-        q = index.vector(Counter((text or "").split()))
-        if not len(q[0]):
-            out.append((index.no_term, []))
-            continue
-        vote, near = index.vote(*q, k)
-        out.append((index.calibrated(vote), [x for n in near[:EVIDENCE] for x in index.ids[n]]))
+    for b in range(0, len(texts), TOGETHER):
+        queries = [index.vector(text) for text in texts[b:b + TOGETHER]]
+        for q, share in zip(queries, index.postings.shares(queries)):
+            if not len(q[0]):
+                out.append((index.no_term, []))
+                continue
+            vote, near = index.vote(*q, k, share=share)
+            out.append((index.calibrated(vote), [x for n in near[:EVIDENCE] for x in index.ids[n]]))
     return out
 
 
