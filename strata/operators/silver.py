@@ -117,7 +117,10 @@ def add_processing_metadata(df: DataFrame, as_of: _dt.datetime) -> DataFrame:
 
 
 def add_ingestion_metadata(df: DataFrame, source_system: str, source_type: str, run_id: str,
-                           as_of: _dt.datetime, pipeline_version: str = "1.0.0") -> DataFrame:
+                           as_of: _dt.datetime, pipeline_version: str = "1.0.0", add_metadata: bool = True) -> DataFrame:
+    """When, from where and by which run a row came; ``add_metadata=False`` leaves rows as they are."""
+    if not add_metadata:
+        return df
     return df.withColumns({"_ingested_at": F.lit(as_of).cast("timestamp"),
                            "_source_system": F.lit(source_system), "_source_type": F.lit(source_type),
                            "_run_id": F.lit(run_id), "_pipeline_version": F.lit(pipeline_version)})

@@ -44,25 +44,30 @@ class Catalog:
 
     def list_datasets(self, layer: str | None = None, names: list[str] | None = None,
                       quality: DataFrame | None = None) -> DataFrame:
-        """layer, name, description, row_count, column_count (+ latest quality score)."""
+        """layer, name, description, row_count, column_count, last_updated, quality_score.
+
+        Counts come from Parquet footers and times from the file listing: no column is
+        scanned.  ``quality`` has (dataset_name, overall_score, run_ts)."""
         parts = []
         for (ly, nm), e in sorted(self.entries.items()):
             if (layer and ly != layer) or (names and nm not in names):
                 continue
-            parts.append(e.df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            last = F.max("_metadata.file_modification_time") if e.df.inputFiles() else F.lit(None).cast("timestamp")
+            parts.append(e.df.agg(F.count(F.lit(1)).alias("row_count"), last.alias("last_updated")).select(
                 F.lit(ly).alias("layer"), F.lit(nm).alias("name"), F.lit(e.description).alias("description"),
-                "row_count", F.lit(len(e.df.columns)).alias("column_count")))
+                "row_count", F.lit(len(e.df.columns)).alias("column_count"), "last_updated"))
         if not parts:
             return self.spark.createDataFrame([], "layer string, name string, description string, "
-                                                  "row_count bigint, column_count int")
+                                                  "row_count bigint, column_count int, last_updated timestamp, "
+                                                  "quality_score double")
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        if quality is not None:
-            latest = quality.groupBy("dataset_name").agg(
-                F.max_by("overall_score", "run_ts").alias("quality_score"))
-            out = out.join(latest.withColumnRenamed("dataset_name", "name"), "name", "left")
-        return out
+        if quality is None:
+            return out.withColumn("quality_score", F.lit(None).cast("double"))
+        latest = quality.groupBy(F.col("dataset_name").alias("name")).agg(
+            F.max_by("overall_score", "run_ts").cast("double").alias("quality_score"))
+        return out.join(latest, "name", "left").select(*out.columns, "quality_score")
 
     def get_schema(self, name: str, layer: str | None = None) -> DataFrame:
         match = [e for (ly, nm), e in self.entries.items() if nm == name and (layer is None or ly == layer)]

@@ -1,10 +1,10 @@
 """Pipeline jobs: Bronze (ingest + validate + split + metrics per source),
 Silver (schema, standardise, dedup, quality), Gold (daily rollup, KPIs, report).
 
-Each layer is a function returning DataFrames; a source that fails, while its plan
-is built or when it runs, is isolated (its metrics row says ``failed``) and the
-other sources continue.  ``Lake`` keeps the layers as tables under one folder, and
-``run_layer`` runs a single layer from the tables of the one before it.
+``Lake`` keeps the layers as tables under one folder, and ``run_layer`` runs a single
+layer from the tables of the one before it.  A source that fails, while its plan is
+built or when it runs, is isolated: its metrics row says ``failed`` and the other
+sources continue.
 """
 
 from __future__ import annotations
@@ -37,37 +37,6 @@ class SourceSpec:
     order: list[str] = field(default_factory=list)
 
 
-@dataclass
-class BronzeResult:
-    accepted: dict[str, DataFrame]
-    rejected: dict[str, DataFrame]
-    metrics: DataFrame
-
-
-def bronze(spark: SparkSession, specs: list[SourceSpec], run_id: str, as_of: _dt.datetime) -> BronzeResult:
-    acc, rej, mets = {}, {}, []
-    for s in specs:
-        try:
-            raw = s.read(spark)
-            if s.flatten:
-                raw = s.flatten(raw)
-            v = s.validate(raw)
-            a, r = V.split(v)
-            acc[s.name] = SV.add_ingestion_metadata(a, s.name, s.source_type, run_id, as_of)
-            rej[s.name] = r
-            mets.append(V.ingest_metrics(v, s.name, s.source_type))
-        except Exception as e:  # noqa: BLE001 — per-source isolation
-            mets.append(spark.createDataFrame(
-                [(s.name, s.source_type, 0, 0, 0, 0.0, "failed")],
-                "source_name string, source_type string, records_read bigint, records_accepted bigint, "
-                "records_rejected bigint, rejection_rate_pct double, status string"))
-            print(f"bronze source {s.name} failed: {e}")
-    metrics = mets[0]
-    for m in mets[1:]:
-        metrics = metrics.unionByName(m)
-    return BronzeResult(acc, rej, metrics)
-
-
 DEDUP_KEYS = ["transaction_id", "contact_id"]
 
 

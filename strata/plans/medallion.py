@@ -12,11 +12,13 @@ number of calendar days, not by the data.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import int_avg, money_avg, ratio_round
+from strata.functions.numeric import int_avg, money_avg, money_sum, ratio_round
+from strata.sources.sinks import write_partitioned
 
 DEFAULT_AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
 
@@ -117,7 +119,7 @@ def fct_daily_metrics(silver: DataFrame) -> DataFrame:
                       "total_amount", "quantity", "_is_invalid_quantity", "_amount_mismatch")
     bad = F.col("_is_invalid_quantity") | F.col("_amount_mismatch")
     daily = s.groupBy(F.col("order_date").alias("date")).agg(
-        F.round(F.sum("total_amount"), 2).alias("total_revenue_usd"),
+        money_sum(F.col("total_amount")).alias("total_revenue_usd"),
         F.count(F.lit(1)).alias("transaction_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
         money_avg(F.col("total_amount")).alias("avg_order_value_usd"),
@@ -134,7 +136,7 @@ def fct_daily_metrics(silver: DataFrame) -> DataFrame:
     daily = daily.withColumn(
         "revenue_growth_pct",
         F.round((F.col("total_revenue_usd") - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2))
-    top_cat = _top1(s, "order_date", "category", F.round(F.sum("total_amount"), 2), "top_category_revenue") \
+    top_cat = _top1(s, "order_date", "category", money_sum(F.col("total_amount")), "top_category_revenue") \
         .select(F.col("order_date").alias("date"), F.col("category").alias("top_category"), "top_category_revenue")
     top_cty = _top1(s, "order_date", "country", F.count(F.lit(1)), "_n") \
         .select(F.col("order_date").alias("date"), F.col("country").alias("top_country"))
@@ -149,10 +151,11 @@ def fct_daily_metrics(silver: DataFrame) -> DataFrame:
             .orderBy("date"))
 
 
-def silver_job(raw: DataFrame) -> DataFrame:
+def silver_job(raw: DataFrame, watch: Callable[[str, DataFrame], DataFrame] = lambda step, df: df) -> DataFrame:
     """The Spark silver job: trim + blank→null over every string column in one
     projection, typed dates/numerics, validity filter, keep first per id by
-    order date, enrichment columns and partition columns."""
+    order date, enrichment columns and partition columns.  ``watch`` sees the rows
+    read, cleaned and written."""
     def clean(c: str) -> Column:
         return F.nullif(F.trim(F.col(c)), F.lit(""))
     typed = raw.select(*[
@@ -161,14 +164,34 @@ def silver_job(raw: DataFrame) -> DataFrame:
          else clean(c).try_cast("double") if c in ("unit_price", "total_amount")
          else clean(c)).alias(c)
         for c in RAW_COLUMNS])
+    typed = watch("read", typed)
     valid = typed.where(F.col("transaction_id").isNotNull() & (F.col("transaction_id") != "")
                         & (F.col("quantity") > 0) & (F.col("total_amount") >= 0)
                         & (F.col("status") != "Error") & ~F.col("product_sku").startswith("INVALID"))
-    ranked = _first_per_key(valid, "transaction_id", _arrival_order("order_date"))
-    return (ranked.where("_dedup_rank = 1").drop("_dedup_rank")
-            .withColumns({
+    ranked = _first_per_key(watch("cleaned", valid), "transaction_id", _arrival_order("order_date"))
+    kept = watch("written", ranked.where("_dedup_rank = 1").drop("_dedup_rank"))
+    return (kept.withColumns({
                 "_layer": F.lit("silver"),
                 "_pipeline_version": F.lit(PIPELINE_VERSION),
                 "_amount_validated": F.abs(F.col("quantity") * F.col("unit_price") - F.col("total_amount")) < 0.01,
                 "year": F.year("order_date"), "month": F.month("order_date"),
                 "day": F.dayofmonth("order_date")}))
+
+
+def run_silver_job(raw: DataFrame, path: str) -> DataFrame:
+    """The silver job with its partitioned write; (step, rows): read, rejected, cleaned,
+    duplicates and written, observed by the write's own plan without a count action.
+
+    A map stage that runs again after a lost executor counts its rows twice: the table
+    is right in any case, and its own count tells."""
+    seen: dict[str, Observation] = {}
+
+    def watch(step: str, df: DataFrame) -> DataFrame:
+        seen[step] = Observation(step)
+        return df.observe(seen[step], F.count(F.lit(1)).alias("rows"))
+
+    write_partitioned(silver_job(raw, watch), path, ["year", "month", "day"])
+    n = {step: o.get["rows"] for step, o in seen.items()}
+    rows = [("read", n["read"]), ("rejected", n["read"] - n["cleaned"]), ("cleaned", n["cleaned"]),
+            ("duplicates", n["cleaned"] - n["written"]), ("written", n["written"])]
+    return raw.sparkSession.createDataFrame(rows, "step string, rows bigint")

@@ -783,9 +783,11 @@ _NCOLS = {"orders": 6, "lineitem": 11, "events": 6, "documents": 5, "pages": 3,
           "customer": 5, "supplier": 4, "part": 6, "labels": 3, "embeddings": 3, "benchmark": 2,
           "nation": 3, "region": 2}
 
-SQL["list_datasets"] = " UNION ALL ".join(
-    f"SELECT '{ly}' AS layer, '{n}' AS name, '{n} table' AS description, COUNT(*) AS row_count, "
-    f"{_NCOLS[n]} AS column_count FROM {n}" for ly, ns in _LAYERS.items() for n in ns)
+SQL["list_datasets"] = with_(DQ_REPORT, " UNION ALL ".join(
+    f"SELECT '{ly}' AS layer, '{n}' AS name, '{n} table' AS description, (SELECT COUNT(*) FROM {n}) AS row_count, "
+    f"{_NCOLS[n]} AS column_count, "
+    + ("(SELECT ROUND(AVG(_raw_score), 4) FROM report)" if n == "orders" else "CAST(NULL AS DOUBLE)")
+    + " AS quality_score, TRUE AS has_time" for ly, ns in _LAYERS.items() for n in ns))
 
 SQL["select_datasets"] = " UNION ALL ".join(
     f"SELECT 'bronze' AS layer, '{n}' AS name, '{n} table' AS description, COUNT(*) AS row_count, "
@@ -924,10 +926,12 @@ m AS (
   SELECT 'erp_transactions' AS source_name, 'erp' AS source_type, COUNT(*) AS records_read,
     COUNT(*) FILTER (WHERE _error IS NULL) AS records_accepted, COUNT(*) FILTER (WHERE _error IS NOT NULL) AS records_rejected FROM verr
   UNION ALL SELECT 'crm_contacts', 'crm', COUNT(*), COUNT(*) FILTER (WHERE NOT bad), COUNT(*) FILTER (WHERE bad) FROM cv
-  UNION ALL SELECT 'api_events', 'api', COUNT(*), COUNT(*) FILTER (WHERE NOT bad), COUNT(*) FILTER (WHERE bad) FROM ev)
+  UNION ALL SELECT 'api_events', 'api', COUNT(*), COUNT(*) FILTER (WHERE NOT bad), COUNT(*) FILTER (WHERE bad) FROM ev
+  UNION ALL SELECT 'lake_invoices', 'lake', 0, 0, 0)
 SELECT source_name, source_type, records_read, records_accepted, records_rejected,
   CASE WHEN records_read = 0 THEN 0.0 ELSE {rr("records_rejected * 100", "records_read", 2)} END AS rejection_rate_pct,
-  CASE WHEN records_rejected = 0 THEN 'success' WHEN records_accepted > 0 THEN 'partial' ELSE 'failed' END AS status
+  CASE WHEN records_read = 0 THEN 'failed' WHEN records_rejected = 0 THEN 'success'
+       WHEN records_accepted > 0 THEN 'partial' ELSE 'failed' END AS status
 FROM m""")
 
 GROUPED_KPIS = """UNION ALL SELECT 'revenue_by_category', category, ROUND(SUM(v), 2) FROM acc GROUP BY category
@@ -1115,7 +1119,34 @@ SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(s_nationkey AS BIGIN
 
 SQL["read_gzip_csv"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders"
 
-SQL["snapshot_json"] = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, '2024-01-02' AS dt FROM nation"
+SQL["snapshot_json"] = "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, '2024-01-02' AS dt FROM customer"
+
+SQL["snapshot_nested"] = ("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_totalprice, "
+                          "o_orderstatus AS status, '2024-02-01' AS snapshot FROM orders")
+
+SQL["snapshot_index"] = """
+WITH f AS (SELECT o_orderkey AS k, o_orderstatus AS status, CASE WHEN o_orderstatus = 'O' THEN 'json' ELSE 'parquet' END AS format
+           FROM orders)
+SELECT snapshot, status, format, CAST(COUNT(*) AS BIGINT) AS n
+FROM (SELECT '2024-01-01' AS snapshot, status, format FROM f WHERE k % 2 = 0
+      UNION ALL SELECT '2024-02-01', status, format FROM f
+      UNION ALL SELECT '2024-04-01', NULL, 'parquet' FROM f WHERE k % 3 = 0) GROUP BY ALL"""
+
+SQL["quarantine_files"] = """
+SELECT 'row' AS status, o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS file FROM orders
+UNION ALL SELECT 'empty', NULL, NULL, 'empty.parquet'
+UNION ALL SELECT 'unreadable', NULL, NULL, 'broken.parquet'
+UNION ALL SELECT 'empty', NULL, NULL, 'nothing.parquet'"""
+
+SQL["source_file_names"] = with_(RAW_ERP, """
+SELECT transaction_id, product_sku, TRUE AS named, TIMESTAMP '2024-01-31 12:00:00' AS _ingested_at, 'erp' AS _source_system,
+  'csv' AS _source_type, 'run-0001' AS _run_id, '1.0.0' AS _pipeline_version FROM raw_erp""")
+
+SQL["silver_job_counts"] = SQL["silver_job"].rsplit("SELECT * EXCLUDE (rk)", 1)[0].rstrip() + """,
+n AS (SELECT (SELECT COUNT(*) FROM raw_erp) AS r, (SELECT COUNT(*) FROM valid) AS c,
+        (SELECT COUNT(*) FROM ranked WHERE rk = 1) AS w)
+SELECT 'read' AS step, r AS rows FROM n UNION ALL SELECT 'rejected', r - c FROM n UNION ALL SELECT 'cleaned', c FROM n
+UNION ALL SELECT 'duplicates', c - w FROM n UNION ALL SELECT 'written', w FROM n UNION ALL SELECT 'stored', w FROM n"""
 
 SQL["schema_row_tags"] = with_(RAW_ERP, """
 SELECT *, list_filter([
@@ -1139,10 +1170,13 @@ a AS (SELECT CAST(COALESCE(SUM(CASE WHEN k > 1 THEN k ELSE 0 END), 0) AS BIGINT)
         CAST(SUM(k) AS BIGINT) AS input, COUNT(*) AS output FROM g),
 kept AS ({SQL["dedup_window"]}),
 w AS (SELECT i AS input, o AS output, i - o AS found
-      FROM (SELECT (SELECT COUNT(*) FROM events) AS i, (SELECT COUNT(*) FROM kept) AS o))
+      FROM (SELECT (SELECT COUNT(*) FROM events) AS i, (SELECT COUNT(*) FROM kept) AS o)),
+z AS (SELECT i AS input, o AS output, i - o AS found
+      FROM (SELECT (SELECT COUNT(*) FROM documents) AS i, (SELECT COUNT(*) FROM ({SQL["dedup_fuzzy"]})) AS o))
 SELECT 'exact' AS strategy, {_STRATEGY} FROM a
 UNION ALL SELECT 'window->exact', {_STRATEGY} FROM a
-UNION ALL SELECT 'window', {_STRATEGY} FROM w"""
+UNION ALL SELECT 'window', {_STRATEGY} FROM w
+UNION ALL SELECT 'fuzzy', {_STRATEGY} FROM z"""
 
 SQL["daily_quality_counts"] = with_(STG, """,
 silver AS (

@@ -53,6 +53,15 @@ def q_silver_job(spark, sf):
     return M.silver_job(B.raw_erp(spark, sf))
 
 
+@register("silver_job_counts")
+def q_silver_job_counts(spark, sf):
+    """The job's partitioned write, and the counts that its one plan observed; the table's own count stands beside."""
+    path = scratch_path(spark, "silver_job")
+    counts = M.run_silver_job(B.raw_erp(spark, sf), path)
+    stored = spark.read.parquet(path).agg(F.lit("stored").alias("step"), F.count(F.lit(1)).alias("rows"))
+    return counts.unionByName(stored)
+
+
 # ---- rollups and KPIs -------------------------------------------------------
 from strata.operators import kpi as K  # noqa: E402
 from strata.operators import rollups as R  # noqa: E402
@@ -125,7 +134,8 @@ def q_category_distribution(spark, sf):
 
 
 def _year(df, y):
-    return df.where(F.year("order_date") == y)
+    """A year's rows by a range of dates, which the scan can use."""
+    return df.where((F.col("order_date") >= F.lit(_dt.date(y, 1, 1))) & (F.col("order_date") < F.lit(_dt.date(y + 1, 1, 1))))
 
 
 @register("period_growth")
@@ -458,12 +468,16 @@ def _catalog(spark, sf):
 
 @register("list_datasets")
 def q_list_datasets(spark, sf):
-    return _catalog(spark, sf).list_datasets()
+    """Counts and times from files, with the latest quality score of the datasets that have one."""
+    quality = q_dq_summary(spark, sf).select(F.lit("orders").alias("dataset_name"), "overall_score",
+                                             F.lit(_dt.datetime(1999, 1, 1)).alias("run_ts"))
+    out = _catalog(spark, sf).list_datasets(quality=quality)
+    return out.withColumn("has_time", F.col("last_updated").isNotNull()).drop("last_updated")
 
 
 @register("select_datasets")
 def q_select_datasets(spark, sf):
-    return _catalog(spark, sf).list_datasets(layer="bronze", names=["orders", "events"])
+    return _catalog(spark, sf).list_datasets(layer="bronze", names=["orders", "events"]).drop("last_updated", "quality_score")
 
 
 @register("get_schema")
@@ -484,14 +498,33 @@ def q_adhoc_sql(spark, sf):
 from strata.session import scratch_path  # noqa: E402
 from strata.sources import files as FS  # noqa: E402
 from strata.sources import sinks as SK  # noqa: E402
+from strata.sources import snapshots as SN  # noqa: E402
 
 
 @register("read_transactions_csv")
 def q_read_transactions_csv(spark, sf):
+    """One folder with files of two delimiters; each file is read with its own."""
     path = scratch_path(spark, "erp_csv")
-    FS.write_csv(B.raw_erp(spark, sf), path, sep=";")
-    sep = FS.detect_delimiter(spark, path).select("delimiter").distinct().first()[0]
-    return FS.read_csv_raw(spark, path, M.RAW_COLUMNS, sep=sep)
+    raw = B.raw_erp(spark, sf)
+    even = F.pmod(F.xxhash64("transaction_id", "product_sku"), F.lit(2)) == 0
+    FS.write_csv(raw.where(even), f"{path}/a", sep=";")
+    FS.write_csv(raw.where(~even), f"{path}/b", sep="|")
+    return FS.read_csv_folder(spark, f"{path}/*", M.RAW_COLUMNS).drop("_source_file")
+
+
+@register("source_file_names")
+def q_source_file_names(spark, sf):
+    """Ingestion metadata, with the name of the file that the scan took a row from."""
+    path = scratch_path(spark, "erp_named")
+    raw = B.raw_erp(spark, sf)
+    FS.write_csv(raw, path)
+    rows = FS.read_csv_folder(spark, path, M.RAW_COLUMNS)
+    named = SV.add_ingestion_metadata(rows, "erp", "csv", "run-0001", SILVER_AS_OF)
+    plain = SV.add_ingestion_metadata(rows, "erp", "csv", "run-0001", SILVER_AS_OF, add_metadata=False)
+    assert "_run_id" not in plain.columns
+    return named.select("transaction_id", "product_sku", F.col("_source_file").rlike(r"^part-.*\.csv$").alias("named"),
+                        F.col("_ingested_at").cast("timestamp_ntz").alias("_ingested_at"), "_source_system", "_source_type",
+                        "_run_id", "_pipeline_version")
 
 
 EVENT_ENVELOPE = ("api_version string, request_id string, status string, "
@@ -589,12 +622,12 @@ def _snapshots(spark, sf):
 
 @register("snapshot_latest")
 def q_snapshot_latest(spark, sf):
-    return FS.read_snapshot(spark, _snapshots(spark, sf))
+    return SN.read_snapshot(spark, _snapshots(spark, sf))
 
 
 @register("list_snapshots")
 def q_list_snapshots(spark, sf):
-    return FS.list_snapshots(spark, _snapshots(spark, sf))
+    return SN.list_snapshots(spark, _snapshots(spark, sf))
 
 
 @register("sink_partitioned")
@@ -781,15 +814,24 @@ def _specs(sf):
 
 @register("bronze_metrics")
 def q_bronze_metrics(spark, sf):
-    return JB.bronze(spark, _specs(sf), "run-0001", SILVER_AS_OF).metrics
+    """Every source through its stored run; one fails while it runs and is told as failed."""
+    lake = JB.Lake(spark, scratch_path(spark, "lake"))
+    broken = JB.SourceSpec("lake_invoices", "lake", lambda s: B.raw_erp(s, sf).withColumn(
+        "quantity", F.when(F.col("transaction_id").isNotNull(), F.raise_error(F.lit("source is down"))).cast("string")),
+        lambda d: V.validate_transactions(d, _erp_arrival()))
+    out = None
+    for spec in [broken, *_specs(sf)]:
+        m = JB.run_layer(lake, "bronze", spec=spec, run_id="run-0001", as_of=SILVER_AS_OF)
+        out = m if out is None else out.unionByName(m)
+    return out
 
 
 @register("bronze_to_gold")
 def q_bronze_to_gold(spark, sf):
-    br = JB.bronze(spark, _specs(sf)[:1], "run-0001", SILVER_AS_OF)
+    lake, _ = _lake(spark, sf)
     # silver is a table: written once, read by every KPI group
-    s = materialize(JB.silver(br.accepted["erp_transactions"], "erp", SILVER_AS_OF, M.RAW_COLUMNS), "silver_erp")
-    return JB.calculate_all(s)
+    s = JB.silver(lake.read("bronze", "erp_transactions"), "erp", SILVER_AS_OF, M.RAW_COLUMNS)
+    return JB.calculate_all(lake.write("silver", "erp_transactions", s))
 
 
 @register("union_sources")
@@ -890,16 +932,16 @@ def _lake(spark, sf):
     return lake, JB.run_layer(lake, "bronze", spec=_specs(sf)[0], run_id="run-0001", as_of=SILVER_AS_OF)
 
 
-def _silver_layer(lake):
+def _silver_layer(lake, schema=None):
     return JB.run_layer(lake, "silver", name="erp_transactions", source_type="erp", as_of=SILVER_AS_OF,
-                        order=M.RAW_COLUMNS)
+                        order=M.RAW_COLUMNS, schema=schema)
 
 
 @register("silver_layer")
 def q_silver_layer(spark, sf):
-    """The silver layer alone, from the stored bronze table: rows after each step."""
+    """The silver layer alone, from the stored bronze table under its schema: rows after each step."""
     lake, _ = _lake(spark, sf)
-    return _silver_layer(lake)
+    return _silver_layer(lake, S.ERP_SCHEMA)
 
 
 @register("gold_layer_kpis")
@@ -991,11 +1033,61 @@ def q_read_gzip_csv(spark, sf):
 @register("snapshot_json")
 def q_snapshot_json(spark, sf):
     """A dataset with JSON files only and ``dt=`` folders: the latest is read as JSON lines."""
-    path = scratch_path(spark, "nations_json")
-    n = _table(spark, sf, "nation").select("n_nationkey", "n_name")
-    for day in ("2024-01-01", "2024-01-02"):
-        (n.where(F.col("n_nationkey") < (10 if day.endswith("1") else 99)).write.json(f"{path}/dt={day}"))
-    return FS.read_snapshot(spark, path).select("n_nationkey", "n_name", F.col("_dt").cast("string").alias("dt"))
+    path = scratch_path(spark, "customers_json")
+    c = _table(spark, sf, "customer").select("c_custkey", "c_name")
+    c.where("c_custkey % 2 = 0").write.json(f"{path}/dt=2024-01-01")
+    c.write.json(f"{path}/dt=2024-01-02")
+    return SN.read_snapshot(spark, path).select("c_custkey", "c_name", F.col("_dt").cast("string").alias("dt"))
+
+
+def _nested_snapshots(spark, sf):
+    """Orders below ``snapshot=…/status=…``: one status as JSON, the others as Parquet, and a
+    later snapshot without data files."""
+    path = scratch_path(spark, "orders_nested")
+    o = _table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderstatus").alias("status"))
+    for day, rows in (("2024-01-01", o.where("o_orderkey % 2 = 0")), ("2024-02-01", o)):
+        rows.where("status = 'O'").write.partitionBy("status").json(f"{path}/snapshot={day}")
+        rows.where("status <> 'O'").write.partitionBy("status").mode("append").parquet(f"{path}/snapshot={day}")
+    fs, p = SN._fs(spark, f"{path}/snapshot=2024-03-01/status=O")
+    fs.mkdirs(p)
+    return path
+
+
+@register("snapshot_nested")
+def q_snapshot_nested(spark, sf):
+    """Folders below the snapshot, of two formats; the empty latest folder is passed over."""
+    return SN.read_snapshot(spark, _nested_snapshots(spark, sf)).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "status", F.col("_snapshot").cast("string").alias("snapshot"))
+
+
+@register("snapshot_index")
+def q_snapshot_index(spark, sf):
+    """Rows by snapshot, partition value and format from the index, which a second call extends."""
+    path, store = _nested_snapshots(spark, sf), scratch_path(spark, "snapshot_index")
+    SN.snapshot_index(spark, path, store)
+    o = _table(spark, sf, "orders").select("o_orderkey")
+    o.where("o_orderkey % 3 = 0").write.parquet(f"{path}/snapshot=2024-04-01")
+    return SN.snapshot_index(spark, path, store).groupBy(
+        "snapshot", F.element_at("partitions", "status").alias("status"), "format").agg(F.sum("rows").alias("n"))
+
+
+@register("quarantine_files")
+def q_quarantine_files(spark, sf):
+    """Rows of the readable files of a folder beside its unreadable and empty ones."""
+    path, stage = scratch_path(spark, "orders_mixed"), scratch_path(spark, "orders_stage")
+    o = _table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    o.write.parquet(path)
+    o.limit(1).select(F.lit("not a table").alias("value")).write.text(f"{stage}/broken")
+    o.limit(0).write.parquet(f"{stage}/empty")
+    fs, to = SN._fs(spark, path)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    for kind in ("broken", "empty"):
+        found = [s.getPath() for s in fs.listStatus(hpath(f"{stage}/{kind}")) if s.getPath().getName().startswith("part-")]
+        fs.rename(found[0], hpath(f"{path}/{kind}.parquet"))
+    fs.create(hpath(f"{path}/nothing.parquet")).close()
+    rows, files = SN.read_quarantined(spark, path, o.schema)
+    return rows.select(F.lit("row").alias("status"), "o_orderkey", "o_totalprice", F.lit(None).cast("string").alias("file")) \
+        .unionByName(files.select("status", "file"), allowMissingColumns=True)
 
 
 @register("schema_drop")
@@ -1010,10 +1102,14 @@ def q_schema_row_tags(spark, sf):
 
 @register("dedup_dispatch")
 def q_dedup_dispatch(spark, sf):
-    """The dispatcher's metrics for all three strategies, window falling back to exact without a timestamp."""
+    """The dispatcher's metrics for all three strategies; window falls back to exact without a timestamp."""
     li = _table(spark, sf, "lineitem")
     e = _table(spark, sf, "events").withColumnRenamed("ts", "timestamp")
     parts = [D.deduplicate(li, "exact", LINE_KEYS, LINE_ORDER)[1],
              D.deduplicate(li.select(*LINE_KEYS), "window", LINE_KEYS)[1].withColumn("strategy", F.lit("window->exact")),
-             D.deduplicate(e, "window", ["user_id", "event_type"], id_col="event_id")[1]]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+             D.deduplicate(e, "window", ["user_id", "event_type"], id_col="event_id")[1],
+             D.deduplicate(_table(spark, sf, "documents").select("doc_id", "text"), "fuzzy", ["text"], id_col="doc_id")[1]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -4,8 +4,7 @@ column-type detection.
 
 Everything is a distributed read: detection aggregates all lines of every file,
 never a prefix and never on the driver; lines are numbered across the splits of a
-file; snapshots are found by listing their partition folders, and reading one is a
-partition filter (pruned at planning time).
+file.  Snapshot folders are in ``strata.sources.snapshots``.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "utf-8",
      .option("header", header).csv(path))
 
 
-def read_csv_raw(spark: SparkSession, path: str, columns: list[str], sep: str = ",", encoding: str = "utf-8",
+def read_csv_raw(spark: SparkSession, path: str | list[str], columns: list[str], sep: str = ",", encoding: str = "utf-8",
                  header: bool = True) -> DataFrame:
     """Every column as a string; rows with the wrong number of fields keep their
     raw text in ``_corrupt_record`` (route them to rejects)."""
@@ -82,6 +81,23 @@ def detect_delimiter(spark: SparkSession, path: str) -> DataFrame:
             .select("file", F.when(F.col("n") > 0, F.col("delimiter")).otherwise(F.lit(",")).alias("delimiter")))
 
 
+def read_csv_folder(spark: SparkSession, path: str, columns: list[str], encoding: str = "utf-8",
+                    header: bool = True) -> DataFrame:
+    """A folder whose CSV files may have different delimiters: each file is read with its own.
+
+    Files of one delimiter are read together (the driver learns the delimiters, at most
+    four, and the names of their files); ``_source_file`` is the scan's file name."""
+    found = detect_delimiter(spark, path).groupBy("delimiter").agg(F.collect_list("file").alias("files")).collect()
+    out = None
+    for r in found:
+        part = read_csv_raw(spark, sorted(r["files"]), columns, sep=r["delimiter"], encoding=encoding, header=header)
+        part = part.withColumn("_source_file", F.col("_metadata.file_name"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise FileNotFoundError(f"no CSV file under {path}")
+    return out
+
+
 def _re(d: str) -> str:
     return {"|": r"\|", "\t": "\t"}.get(d, d)
 
@@ -149,60 +165,3 @@ def read_envelope(spark: SparkSession, path: str, data_key: str = "data",
     others = [c for c in env.columns if c != data_key]
     meta = F.struct(*[F.col(c) for c in others]) if others else F.lit(None)
     return env.select(meta.alias("api_metadata"), F.explode(F.col(data_key)).alias("_r")).select("_r.*", "api_metadata")
-
-
-def _listing(spark: SparkSession, base: str) -> tuple[list[str], list[str]]:
-    """(partition folder names, file names) right under ``base``; file names include those of the folders."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [s for s in fs.listStatus(root) if s.isDirectory()]
-    files = [s.getPath().getName() for s in fs.listStatus(root) if s.isFile()]
-    for folder in folders:
-        files += [s.getPath().getName() for s in fs.listStatus(folder.getPath()) if s.isFile()]
-    return [s.getPath().getName() for s in folders], files
-
-
-def snapshot_names(spark: SparkSession, base: str) -> tuple[str | None, list[str]]:
-    """The snapshot partition column (``snapshot`` first, ``dt`` otherwise) and its values, from the folder names."""
-    folders, _ = _listing(spark, base)
-    for part in ("snapshot", "dt"):
-        values = sorted(f.split("=", 1)[1] for f in folders if f.startswith(f"{part}="))
-        if values:
-            return part, values
-    return None, []
-
-
-def read_snapshot(spark: SparkSession, base: str, snapshot: str | None = None, fmt: str | None = None,
-                  skip_corrupt: bool = False) -> DataFrame:
-    """Snapshot-partitioned dataset; ``snapshot=None`` selects the latest one.
-
-    The format is Parquet where the folder holds such files, else JSON lines, unless
-    given.  Any other trouble (permissions, a broken footer) raises, but with
-    ``skip_corrupt`` unreadable files are left out; ``skipped_files`` names them."""
-    part, values = snapshot_names(spark, base)
-    if fmt is None:
-        _, files = _listing(spark, base)
-        fmt = "parquet" if any(f.endswith(".parquet") for f in files) else "json"
-    r = spark.read.option("ignoreCorruptFiles", skip_corrupt)
-    df = r.option("mergeSchema", True).parquet(base) if fmt == "parquet" else r.json(base)
-    if part is None:
-        return df
-    out = df.where(F.col(part) == F.lit(snapshot or values[-1]).cast(df.schema[part].dataType))
-    return out.withColumnRenamed(part, f"_{part}")
-
-
-def skipped_files(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """(file) under ``base`` that gave no row when corrupt files are skipped: unreadable or without rows."""
-    have = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", f"*.{fmt}").load(base)
-            .where("length > 0").select(F.col("path").alias("file")))
-    r = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
-    df = r.option("pathGlobFilter", f"*.{fmt}").format(fmt).load(base)
-    name = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
-    read = df.select(name(F.col("_metadata.file_path")).alias("file")).distinct()
-    return have.select(name(F.col("file")).alias("file")).join(read, "file", "left_anti")
-
-
-def list_snapshots(spark: SparkSession, base: str) -> DataFrame:
-    """The snapshots of a dataset, from its folder names."""
-    return spark.createDataFrame([(v,) for v in snapshot_names(spark, base)[1]], "snapshot string").orderBy("snapshot")

@@ -13,6 +13,7 @@ from strata.operators import rules as V
 from strata.operators import schema as S
 from strata.operators import silver as SV
 from strata.sources import files as FS
+from strata.sources import snapshots as SN
 from strata.session import scratch_path
 
 
@@ -222,7 +223,7 @@ def test_snapshot_json_fallback_and_gzip_csv(spark):
     import os
     base = scratch_path(spark, "lake-json")
     spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.json(base)
-    assert FS.read_snapshot(spark, base).count() == 2          # no parquet → JSON lines
+    assert SN.read_snapshot(spark, base).count() == 2          # no parquet → JSON lines
     gz = scratch_path(spark, "csv-gz")
     os.makedirs(gz)
     with gzip.open(os.path.join(gz, "x.csv.gz"), "wt") as f:

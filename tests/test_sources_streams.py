@@ -2,10 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
 from strata.sources import files as FS
+from strata.sources import snapshots as SN
 from strata.streaming import streams as ST
 
 
@@ -43,13 +45,43 @@ def test_snapshots_are_listed_not_scanned(spark, tmp_path):
     base = str(tmp_path / "set")
     for d in ("2024-01-02", "2024-01-10"):
         spark.range(3).coalesce(1).write.parquet(f"{base}/snapshot={d}")
-    assert FS.snapshot_names(spark, base) == ("snapshot", ["2024-01-02", "2024-01-10"])
-    assert [r[0] for r in FS.list_snapshots(spark, base).collect()] == ["2024-01-02", "2024-01-10"]
-    assert {str(r["_snapshot"]) for r in FS.read_snapshot(spark, base).collect()} == {"2024-01-10"}
+    assert SN.snapshot_names(spark, base) == ("snapshot", ["2024-01-02", "2024-01-10"])
+    assert [r[0] for r in SN.list_snapshots(spark, base).collect()] == ["2024-01-02", "2024-01-10"]
+    assert {str(r["_snapshot"]) for r in SN.read_snapshot(spark, base).collect()} == {"2024-01-10"}
     with open(f"{base}/snapshot=2024-01-10/part-bad.parquet", "wb") as f:
         f.write(b"not a table")
-    assert FS.read_snapshot(spark, base, skip_corrupt=True).count() == 3
-    assert [os.path.basename(r[0]) for r in FS.skipped_files(spark, base).collect()] == ["part-bad.parquet"]
+    assert SN.read_snapshot(spark, base, skip_corrupt=True).count() == 3
+    rows, others = SN.read_quarantined(spark, f"{base}/snapshot=2024-01-10", spark.range(1).schema)
+    assert rows.count() == 3 and [(r["file"], r["status"]) for r in others.collect()] == [("part-bad.parquet", "unreadable")]
+
+
+def test_nested_mixed_and_empty_snapshots(spark, tmp_path):
+    base, store = str(tmp_path / "set"), str(tmp_path / "index")
+    for region, n in (("eu", 4), ("us", 6)):
+        spark.range(n).write.parquet(f"{base}/snapshot=2024-01-01/region={region}")
+    spark.range(2).write.json(f"{base}/snapshot=2024-01-02/region=eu/part=a")
+    os.makedirs(f"{base}/snapshot=2024-01-03/region=eu")
+    df = SN.read_snapshot(spark, base, "2024-01-01")
+    assert sorted((r["id"], r["region"]) for r in df.collect()) == sorted([(i, "eu") for i in range(4)] + [(i, "us") for i in range(6)])
+    assert "2024-01-02" not in "".join(df.inputFiles()) and len(df.inputFiles()) > 0
+    latest = SN.read_snapshot(spark, base).collect()
+    assert {(r["id"], r["region"], r["part"], str(r["_snapshot"])) for r in latest} == {(0, "eu", "a", "2024-01-02"), (1, "eu", "a", "2024-01-02")}
+    index = SN.snapshot_index(spark, base, store)
+    count = lambda: {(r["snapshot"], r["format"]): r["n"] for r in
+                     SN.snapshot_index(spark, base, store).groupBy("snapshot", "format").agg(F.sum("rows").alias("n")).collect()}
+    assert count() == {("2024-01-01", "parquet"): 10, ("2024-01-02", "json"): 2}
+    assert {tuple(sorted(r["partitions"].items())) for r in index.collect()} >= {(("region", "eu"), ("snapshot", "2024-01-01"))}
+    spark.range(5).write.parquet(f"{base}/snapshot=2024-01-04")
+    assert count()[("2024-01-04", "parquet")] == 5 and len(count()) == 3
+    with pytest.raises(FileNotFoundError):
+        SN.read_snapshot(spark, base, "2024-01-03")
+
+
+def test_each_file_has_its_own_delimiter(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x;y\n1;2,5\n3;4,5\n")
+    (tmp_path / "b.csv").write_text("x,y\n5,6\n")
+    got = {(r["x"], r["y"], r["_source_file"]) for r in FS.read_csv_folder(spark, str(tmp_path), ["x", "y"]).collect()}
+    assert got == {("1", "2,5", "a.csv"), ("3", "4,5", "a.csv"), ("5", "6", "b.csv")}
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
