@@ -8,7 +8,7 @@ is read on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import AMOUNT_CANDIDATES, CUSTOMER_CANDIDATES, first_present, with_scalars
@@ -17,7 +17,7 @@ from strata.operators.stats import median_row, ranked
 from strata.session import materialize
 
 
-def _amount(df: DataFrame, amount_col: str | None) -> str:
+def amount_column(df: DataFrame, amount_col: str | None = None) -> str:
     col = amount_col or first_present(df, AMOUNT_CANDIDATES)
     if col is None:
         raise ValueError("no amount column found")
@@ -26,27 +26,33 @@ def _amount(df: DataFrame, amount_col: str | None) -> str:
 
 def revenue_kpis(df: DataFrame, amount_col: str | None = None) -> DataFrame:
     """total/avg/median/max/min/std (0 when n ≤ 1)/count of non-null amounts."""
-    a = _amount(df, amount_col)
+    a = amount_column(df, amount_col)
     x = df.select(cents(F.col(a).try_cast("double")).alias("c"), F.col(a).try_cast("double").alias("v")) \
         .where(F.col("v").isNotNull())
-    middle = median_row(x, "c")
+    return revenue_figures(x.agg(*revenue_aggregates(F.col("v"))), x)
+
+
+def revenue_aggregates(v: Column) -> list[Column]:
+    """The revenue figures of a double column but for its median (aggregates)."""
+    n = F.count(v)
+    return [money_sum(v).alias("total_revenue"), money_avg(v).alias("avg_order_value"),
+            F.round(F.max(v), 2).alias("max_order_value"), F.round(F.min(v), 2).alias("min_order_value"),
+            F.when(n > 1, F.round(F.stddev_samp(v), 2)).otherwise(F.lit(0.0)).alias("std_dev"),
+            n.alias("total_transactions")]
+
+
+def revenue_figures(agg: DataFrame, amounts: DataFrame) -> DataFrame:
+    """The one row of ``revenue_aggregates`` with the median of the cents ``c`` of ``amounts``."""
     twice = F.col("low") + F.col("high")                     # twice the median, in cents
     half = F.signum(twice) * F.floor((F.abs(twice) + 1) / 2)  # half away from zero
-    agg = x.agg(
-        money_sum(F.col("v")).alias("total_revenue"),
-        money_avg(F.col("v")).alias("avg_order_value"),
-        F.round(F.max("v"), 2).alias("max_order_value"),
-        F.round(F.min("v"), 2).alias("min_order_value"),
-        F.when(F.count(F.lit(1)) > 1, F.round(F.stddev_samp("v"), 2)).otherwise(F.lit(0.0)).alias("std_dev"),
-        F.count(F.lit(1)).alias("total_transactions"))
-    return with_scalars(agg, middle).select(
+    return with_scalars(agg, median_row(amounts, "c")).select(
         "total_revenue", "avg_order_value", (half.cast("double") / 100.0).alias("median_order_value"),
         "max_order_value", "min_order_value", "std_dev", "total_transactions")
 
 
 def revenue_by(df: DataFrame, dim: str, amount_col: str | None = None, top: int | None = None) -> DataFrame:
     """Revenue per ``dim`` sorted descending (ties by name); ``top`` keeps the head."""
-    a = _amount(df, amount_col)
+    a = amount_column(df, amount_col)
     out = (df.groupBy(dim).agg(money_sum(F.col(a).try_cast("double")).alias("revenue"))
            .orderBy(F.col("revenue").desc_nulls_last(), F.col(dim).asc_nulls_first()))
     return out.limit(top) if top else out
@@ -58,10 +64,14 @@ def customer_kpis(df: DataFrame, customer_col: str | None = None, amount_col: st
 
     The customers' revenues are stored once; the head's least revenue is a rank of them."""
     cc = customer_col or first_present(df, CUSTOMER_CANDIDATES)
-    a = _amount(df, amount_col)
+    a = amount_column(df, amount_col)
     per = (df.where(F.col(cc).isNotNull()).groupBy(cc)
            .agg(F.coalesce(F.sum(cents(F.col(a).try_cast("double"))), F.lit(0)).cast(CENTS).alias("c")))
-    per = materialize(per.select("c"), "customer_revenue")
+    return customer_figures(materialize(per.select("c"), "customer_revenue"))
+
+
+def customer_figures(per: DataFrame) -> DataFrame:
+    """The customer KPIs from one row per customer with its revenue ``c`` in cents."""
     top = lambda n: F.greatest(F.lit(1), F.floor(n * 0.1))
     head = ranked(per, ["c"], {"head": {"least": lambda n: n - top(n) + 1}}).agg(
         F.max("value").alias("least"), F.max(top(F.col("total"))).alias("k"))
@@ -106,7 +116,7 @@ def distribution(df: DataFrame, col: str, pct: bool = False) -> DataFrame:
 
 def growth(current: DataFrame, previous: DataFrame, amount_col: str | None = None) -> DataFrame:
     """Revenue and transaction-count growth between two periods (one pass each)."""
-    a = _amount(current, amount_col)
+    a = amount_column(current, amount_col)
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         return df.agg(F.coalesce(F.sum(cents(F.col(a).try_cast("double"))), F.lit(0)).alias(f"{tag}_c"),

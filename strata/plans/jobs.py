@@ -16,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import CUSTOMER_CANDIDATES, first_present
+from strata.functions.numeric import CENTS, cents, ratio_round
 from strata.operators import kpi as K
 from strata.operators import rules as V
 from strata.operators import silver as SV
@@ -24,6 +26,7 @@ from strata.operators.profile import business_report
 from strata.operators.quality import QualityChecker
 from strata.operators.rollups import aggregate_daily
 from strata.operators.schema import TableSchema, enforce
+from strata.session import materialize
 
 
 @dataclass
@@ -55,29 +58,58 @@ def silver_quality(df: DataFrame, dataset: str, as_of: _dt.datetime) -> DataFram
 
 def calculate_all(df: DataFrame) -> DataFrame:
     """Every KPI group as one long table (kpi_group, kpi, value); grouped figures
-    (revenue and customers by dimension, products, status) name the member in kpi."""
+    (revenue and customers by dimension, products, status) name the member in kpi.
+
+    One pass over ``df`` takes the aggregates of all groups as grouping sets, which are
+    combined before the shuffle and stored (a row per member, customer, and customer of a
+    country); every group is read from there.  The median alone reads the amounts again."""
+    cols = df.columns
+    customer = first_present(df, CUSTOMER_CANDIDATES)
+    amount = K.amount_column(df)
+    dims = [c for c in ("category", "country", "product_sku", "status") if c in cols]
+    v, q = F.col(amount).try_cast("double"), F.col("quantity").try_cast("double") if "quantity" in cols else F.lit(None).cast("double")
+    d = df.select(v.alias("v"), q.alias("q"), F.col(customer).cast("string").alias("customer"), *[
+        F.col(c).cast("string").alias(c) for c in dims])
+    sets = [[], ["customer"], *[[c] for c in dims]] + ([["country", "customer"]] if "country" in dims else [])
+    keys = ["customer", *dims]
+    found = d.groupingSets([[F.col(c) for c in s] for s in sets], *keys).agg(
+        F.grouping_id(*keys).alias("id"), *K.revenue_aggregates(F.col("v")), F.count(F.lit(1)).alias("rows"),
+        F.sum(cents(F.col("v"))).cast(CENTS).alias("c"), F.sum(cents(F.col("q"))).cast(CENTS).alias("qc"),
+        F.count("q").alias("qn"), F.sum("q").alias("qs"))
+    found = materialize(found, "kpi_sets")
+
+    def of(*used: str) -> DataFrame:  # the bit of a key is set where the key is not in the set
+        return found.where(F.col("id") == sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in used))
+
     def long(group: str, wide: DataFrame) -> DataFrame:
-        cols = [c for c in wide.columns]
-        return wide.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
-            .unpivot([], cols, "kpi", "value").select(F.lit(group).alias("kpi_group"), "kpi", "value")
+        names = list(wide.columns)
+        return wide.select(*[F.col(c).cast("double").alias(c) for c in names]) \
+            .unpivot([], names, "kpi", "value").select(F.lit(group).alias("kpi_group"), "kpi", "value")
 
     def by_member(group: str, frame: DataFrame, member: str, value: str) -> DataFrame:
-        return frame.select(F.lit(group).alias("kpi_group"), F.col(member).cast("string").alias("kpi"),
+        return frame.select(F.lit(group).alias("kpi_group"), F.col(member).alias("kpi"),
                             F.col(value).cast("double").alias("value"))
-    parts = [long("revenue", K.revenue_kpis(df)), long("customer", K.customer_kpis(df))]
-    if "quantity" in df.columns:
-        parts.append(long("operational", K.operational_kpis(df)))
+
+    amounts = d.select(cents(F.col("v")).alias("c")).where("c IS NOT NULL")
+    per = of("customer").where("customer IS NOT NULL").select(F.coalesce("c", F.lit(0).cast(CENTS)).alias("c"))
+    parts = [long("revenue", K.revenue_figures(of(), amounts)), long("customer", K.customer_figures(per))]
+    if "quantity" in cols:
+        parts.append(long("operational", of().select(
+            ratio_round(F.col("qc"), F.col("qn") * 100, 2).alias("avg_quantity_per_order"),
+            F.col("qs").cast("bigint").alias("total_units_sold"))))
     for dim in ("category", "country"):
-        if dim in df.columns:
-            parts.append(by_member(f"revenue_by_{dim}", K.revenue_by(df, dim), dim, "revenue"))
-    if "country" in df.columns:
-        parts.append(by_member("customers_by_country", K.customers_by(df, "country"), "country", "customers"))
-    if "product_sku" in df.columns:
-        parts.append(by_member("top_products", K.top_products(df), "product_sku", "count"))
-    if "status" in df.columns:
-        parts.append(by_member("status_distribution", K.distribution(df, "status"), "status", "count"))
-    parts.append(df.agg(F.count(F.lit(1)).cast("double").alias("value"))
-                 .select(F.lit("summary").alias("kpi_group"), F.lit("record_count").alias("kpi"), "value"))
+        if dim in dims:
+            parts.append(by_member(f"revenue_by_{dim}", of(dim), dim, "total_revenue"))
+    if "country" in dims:
+        parts.append(by_member("customers_by_country", of("country", "customer").groupBy("country").agg(
+            F.count("customer").alias("customers")), "country", "customers"))
+    if "product_sku" in dims:
+        parts.append(by_member("top_products", of("product_sku").where("product_sku IS NOT NULL").orderBy(
+            F.col("rows").desc(), "product_sku").limit(5), "product_sku", "rows"))
+    if "status" in dims:
+        parts.append(by_member("status_distribution", of("status").where("status IS NOT NULL"), "status", "rows"))
+    parts.append(of().select(F.lit("summary").alias("kpi_group"), F.lit("record_count").alias("kpi"),
+                             F.col("rows").cast("double").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
