@@ -99,9 +99,11 @@ def aggregate_by_dimension(df: DataFrame, dimension_col: str, amount_col: str =
 
 def interaction_daily(events: DataFrame, ts_col: str = "ts", customer_col: str = "user_id",
                       type_col: str = "event_type", response_col: str = "value",
-                      conversion_type: str = "purchase") -> DataFrame:
+                      conversion_type: str = "purchase", contacts: DataFrame | None = None,
+                      created_col: str = "created_at", stage_col: str = "lifecycle_stage") -> DataFrame:
     """Per day: interactions, active customers, new customers (first touch that
-    day), conversions and conversion rate (%), mean response time in minutes.
+    day), conversions and conversion rate (%), mean response time in minutes, and
+    with ``contacts`` the leads created that day (days without interactions too).
 
     First touch is a per-customer minimum (partial aggregation), joined back on
     the day — no per-customer sort."""
@@ -115,7 +117,14 @@ def interaction_daily(events: DataFrame, ts_col: str = "ts", customer_col: str =
         conv.alias("conversions"),
         ratio_round(conv * 100, F.count(F.lit(1)), 2).alias("conversion_rate"),
         (money_avg(F.col(response_col), 4) / 60.0).alias("_resp"))
-    return (daily.join(first, "date", "left")
-            .select("date", "customer_interactions", "active_customers",
-                    F.coalesce("new_customers", F.lit(0)).alias("new_customers"), "conversions",
-                    "conversion_rate", F.round("_resp", 2).alias("avg_response_time_minutes")))
+    out = (daily.join(first, "date", "left")
+           .select("date", "customer_interactions", "active_customers",
+                   F.coalesce("new_customers", F.lit(0)).alias("new_customers"), "conversions",
+                   "conversion_rate", F.round("_resp", 2).alias("avg_response_time_minutes")))
+    if contacts is None:
+        return out
+    leads = contacts.where(F.lower(stage_col) == "lead").groupBy(F.to_date(F.col(created_col)).alias("date")).agg(
+        F.count(F.lit(1)).alias("new_leads"))
+    counts = ["customer_interactions", "active_customers", "new_customers", "conversions", "new_leads"]
+    return out.join(leads.where("date IS NOT NULL"), "date", "full_outer").select(
+        "date", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], "conversion_rate", "avg_response_time_minutes")

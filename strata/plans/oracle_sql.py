@@ -845,6 +845,8 @@ SELECT transaction_id, _error AS error, DATE '2024-01-31' AS reject_date FROM ve
 
 SQL["quality_history"] = with_(DQ_REPORT.replace("1998-05-31", "1998-12-31"), "SELECT * EXCLUDE (_raw_score) FROM report")
 
+SQL["quality_reports"] = with_(DQ_REPORT, "SELECT * EXCLUDE (_raw_score), TIMESTAMP '1998-06-01' AS run_ts FROM report")
+
 SQL["run_metrics_json"] = SQL["ingest_metrics"]
 
 SQL["register_table"] = """
@@ -985,6 +987,16 @@ SELECT g.date, customer_interactions, active_customers, COALESCE(new_customers,
   conversion_rate, ROUND(resp, 2) AS avg_response_time_minutes
 FROM g LEFT JOIN f ON g.date = f.date"""
 
+SQL["interaction_leads"] = f"""
+WITH i AS ({SQL["interaction_daily"]}),
+c AS (SELECT o_custkey AS k, CAST(MIN(o_orderdate) AS DATE) AS date FROM orders GROUP BY 1),
+l AS (SELECT date, COUNT(*) AS new_leads FROM customer JOIN c ON c.k = c_custkey
+      WHERE c_custkey % 4 = 0 AND c_custkey % 59 <> 0 GROUP BY 1)
+SELECT COALESCE(i.date, l.date) AS date, COALESCE(customer_interactions, 0) AS customer_interactions,
+  COALESCE(active_customers, 0) AS active_customers, COALESCE(new_customers, 0) AS new_customers,
+  COALESCE(conversions, 0) AS conversions, COALESCE(new_leads, 0) AS new_leads, conversion_rate, avg_response_time_minutes
+FROM i FULL JOIN l ON i.date = l.date"""
+
 SQL["dedup_sample_groups"] = """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS count, LEAST(COUNT(*), 2) AS sample_rows
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1

@@ -657,6 +657,19 @@ def q_quality_history(spark, sf):
     return SK.latest_quality(spark, path).drop("run_ts")
 
 
+@register("quality_reports")
+def q_quality_reports(spark, sf):
+    """Stored reports of one of two datasets, runs inside a range of dates."""
+    path = scratch_path(spark, "quality_reports")
+    stg = _stg(spark, sf)
+    for as_of in (_dt.datetime(1998, 6, 1), _dt.datetime(1999, 1, 1)):
+        for name in ("erp_transactions", "other"):
+            rep = _dq_checker().check(stg, name, "bronze", as_of=as_of).drop("_raw_score")
+            SK.append_quality_report(rep, path, as_of)
+    return SK.quality_reports(spark, path, ["erp_transactions"], until=_dt.datetime(1998, 12, 31)).withColumn(
+        "run_ts", F.col("run_ts").cast("timestamp_ntz"))
+
+
 @register("run_metrics_json")
 def q_run_metrics_json(spark, sf):
     v = V.validate_transactions(B.raw_erp(spark, sf), _erp_arrival())
@@ -850,6 +863,15 @@ def q_interaction_daily(spark, sf):
     return R.interaction_daily(_table(spark, sf, "events"))
 
 
+@register("interaction_leads")
+def q_interaction_leads(spark, sf):
+    """Interactions and new leads per day; a contact's date is the day of its customer's first order."""
+    o = _table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderdate").alias("created_at"))
+    contacts = B.contacts(spark, sf).where("_seq = 0").join(
+        o, F.expr("contact_id = concat('CRM-', k)")).select("created_at", "lifecycle_stage")
+    return R.interaction_daily(_table(spark, sf, "events"), contacts=contacts)
+
+
 @register("dedup_sample_groups")
 def q_dedup_sample_groups(spark, sf):
     return D.dedup_samples(_table(spark, sf, "lineitem"), LINE_KEYS, 3)

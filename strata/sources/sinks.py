@@ -42,6 +42,21 @@ def latest_quality(spark: SparkSession, path: str) -> DataFrame:
     return h.join(last, ["dataset_name", "run_ts"])
 
 
+def quality_reports(spark: SparkSession, path: str, datasets: list[str] | None = None, since: _dt.datetime | None = None,
+                    until: _dt.datetime | None = None) -> DataFrame:
+    """The stored report rows of the named datasets (all if none) with since <= run_ts <= until.
+
+    Datasets are partitions, so only their folders are read."""
+    h = spark.read.parquet(path)
+    if datasets is not None:
+        h = h.where(F.col("dataset_name").isin(datasets))
+    if since is not None:
+        h = h.where(F.col("run_ts") >= F.lit(since))
+    if until is not None:
+        h = h.where(F.col("run_ts") <= F.lit(until))
+    return h
+
+
 def write_run_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("append").json(path)
 
