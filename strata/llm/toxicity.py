@@ -43,13 +43,13 @@ from pyspark.sql import functions as F
 from strata.llm.common import Scratch, map_columns
 
 #: bounds of the sample, and the neighbours that vote
-POSITIVES, NEGATIVES, MOST_BYTES, NEIGHBOURS = 2_000, 4_000, 256 << 20, 15
+POSITIVES, NEGATIVES, MOST_BYTES, NEIGHBOURS = 2_000, 4_000, 256 << 20, 20
 POWER, EVIDENCE = 4, 3
 #: examples of a block of postings, blocks that a query scores first, rows per
 #: posting of a term held in full, and queries whose shares are computed together
 BLOCK, FIRST, DENSE, TOGETHER = 64, 4, 16, 32
 #: weight of the overall share of toxic rows in a vote, and what sums of doubles may be off by
-PRIOR_WEIGHT, OFF = 0.5, 1e-12
+PRIOR_WEIGHT, OFF = 0.05, 1e-12
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -191,7 +191,7 @@ class Index:
             size = size.copy()
             size[without[0]] -= 1
         near, cosine = self.postings.nearest(t, w, k, size, share)
-        # the prior weighs as much as half a neighbour at the largest cosine
+        # the prior weighs as PRIOR_WEIGHT neighbours at the largest cosine
         s, toxic, clean = cosine ** POWER, self.toxic[near], self.clean[near]
         if without:
             own = near == without[0]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm.queries import QUERIES
-from strata.llm.toxicity import BLOCK, BlockMax, isotonic, toxicity
+from strata.llm.toxicity import BLOCK, PRIOR_WEIGHT, BlockMax, isotonic, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -109,14 +109,14 @@ def test_query_against_all_cosines(spark, by_label):
         most = max((c ** 4 for c, _, ys, _ in near if ys), default=1.0)
         up = sum(c ** 4 / most * sum(ys) for c, _, ys, _ in near)
         total = sum(c ** 4 / most * len(ys) for c, _, ys, _ in near)
-        return (up + 0.5 * prior) / (total + 0.5), near
+        return (up + PRIOR_WEIGHT * prior) / (total + PRIOR_WEIGHT), near
 
     told = [(vote(v, i)[0], float(y), 1.0) for v, m in vectors for i, y in m]
     curve = isotonic(*map(np.array, zip(*sorted(told))))
     for i, text in docs:
         q = unit(Counter((text or "").split()).items()) if set((text or "").split()) & set(idf) else None
         if q is None:
-            want = (sum(y for _, y in empty) + 0.5 * prior) / (len(empty) + 0.5)
+            want = (sum(y for _, y in empty) + PRIOR_WEIGHT * prior) / (len(empty) + PRIOR_WEIGHT)
         else:
             want, near = vote(q)
             want = float(np.interp(want, *curve))
