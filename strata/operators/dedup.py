@@ -22,14 +22,16 @@ row is removed iff an earlier *kept* row of its block is similar (mean over
 key columns of bigram Jaccard ≥ t).  Identical normalised keys collapse first
 (only the first copy can ever survive).  Candidate pairs come from an exact
 prefix filter per key column (two sets with Jaccard ≥ t share a token among
-the |x|-⌈t|x|⌉+1 rarest), are verified with the full similarity, and the
-greedy order is resolved in rounds: a row with no undecided or kept earlier
-neighbour is kept, a row with a kept earlier neighbour is removed.
+the |x|-⌈t|x|⌉+1 rarest), pass a positional bound on the overlap, are verified
+with the full similarity, and the greedy order is resolved in rounds: a row with
+no undecided or kept earlier neighbour is kept, a row with a kept earlier
+neighbour is removed, and chains are followed by pointer doubling.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -189,11 +191,14 @@ def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float) -> Data
         w = Window.partitionBy("_blk", "_pos").orderBy(F.col("_f"), F.col("_tok"))
         pref = (toks.join(freq, "_tok").withColumn("_r", F.row_number().over(w))
                 .where(F.col("_r") <= F.col("_sz") - F.ceil(F.col("_sz") * threshold - 1e-9) + 1)
-                .select("_blk", "_pos", "_tok", "_sz"))
-        # sets of similarity t differ in size by a factor of t at most
+                .select("_blk", "_pos", "_tok", "_sz", (F.col("_sz") - F.col("_r")).alias("_rest")))
+        # sets of similarity t differ in size by a factor of t at most, and what follows their
+        # first common token must hold the rest of the overlap that t asks for
         p = (pref.alias("a").join(pref.alias("b"), ["_blk", "_tok"])
              .where((F.col("a._pos") < F.col("b._pos"))
-                    & (F.least("a._sz", "b._sz") >= F.greatest("a._sz", "b._sz") * threshold - 1e-9))
+                    & (F.least("a._sz", "b._sz") >= F.greatest("a._sz", "b._sz") * threshold - 1e-9)
+                    & (F.least("a._rest", "b._rest") + 1
+                       >= (F.col("a._sz") + F.col("b._sz")) * (threshold / (1 + threshold)) - 1e-9))
              .select("_blk", F.col("a._pos").alias("_a"), F.col("b._pos").alias("_b")))
         pairs = p if pairs is None else pairs.unionByName(p)
     pairs = pairs.distinct()
@@ -234,33 +239,59 @@ def _settle_alone(edges: DataFrame) -> DataFrame:
     return edges.coalesce(1).mapInPandas(run, f"_b {edges.schema['_b'].dataType.simpleString()}")
 
 
-def dedup_fuzzy(df: DataFrame, keys: list[str], order_col: str, threshold: float = 0.85,
-                alone: int = 100_000) -> DataFrame:
-    """Greedy fuzzy dedup; returns the kept rows of ``df``.
-
-    Rows without an earlier similar row are kept, which removes their neighbours,
-    and so on until no edge between undecided rows is left; each round decides the
-    earliest rows of every group, so none is left over.  A remainder of at most
-    ``alone`` edges (long chains decide one link a round) is settled in one task."""
-    reps = fuzzy_reps(df, keys, order_col)
-    edges = cut_lineage(fuzzy_candidates(reps, keys, threshold).select("_a", "_b"))
+def _chain_kept(edges: DataFrame, heads: DataFrame) -> DataFrame:
+    """Nodes (_a) that chains from ``heads`` decide to keep.
+
+    A node with one earlier neighbour is the opposite of it.  Pointer doubling finds the
+    node where each run of such opposites starts, and whether its length is odd: runs that
+    start at a head are decided at once, in rounds that grow with the logarithm of a run."""
+    ptr = cut_lineage(edges.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_a").alias("_up"))
+                      .where("_n = 1").select(F.col("_b").alias("_a"), "_up", F.lit(1).alias("_odd")))
+    while True:
+        nxt = ptr.select(F.col("_a").alias("_up"), F.col("_up").alias("_far"), F.col("_odd").alias("_o"))
+        moved = cut_lineage(ptr.join(nxt, "_up", "left").select(
+            "_a", F.coalesce("_far", "_up").alias("_up"),
+            F.col("_odd").bitwiseXOR(F.coalesce("_o", F.lit(0))).alias("_odd"),
+            F.col("_far").isNotNull().alias("_moved")))
+        drop_table(ptr)
+        ptr = moved.drop("_moved")
+        if moved.where("_moved").isEmpty():
+            return ptr.where("_odd = 0").join(heads.withColumnRenamed("_a", "_up"), "_up", "left_semi").select("_a")
+
+
+def settle_greedily(edges: DataFrame, alone: int = 100_000) -> DataFrame:
+    """Nodes (_b) that a greedy pass in order removes, from distinct edges (_a before _b).
+
+    Nodes without an earlier neighbour are kept, which removes their later neighbours, and
+    so on until no edge between undecided nodes is left.  A round that decides less than
+    half of the edges lets the next one follow chains to their ends.  A remainder of at
+    most ``alone`` edges is settled in one task; that changes the plan, not the result."""
     removed = []
-    left = edges.count()
+    left, chains = edges.count(), False
     while left > alone:
         later = edges.select(F.col("_b").alias("_a")).distinct()
-        heads = edges.select("_a").distinct().join(later, "_a", "left_anti")
-        gone = cut_lineage(edges.join(heads, "_a", "left_semi").select("_b").distinct())
+        kept = cut_lineage(edges.select("_a").distinct().join(later, "_a", "left_anti"))
+        if chains:
+            kept = cut_lineage(kept.unionByName(_chain_kept(edges, kept)))
+        gone = cut_lineage(edges.join(kept, "_a", "left_semi").select("_b").distinct())
         removed.append(gone)
-        rest = cut_lineage(edges.join(heads, "_a", "left_anti").join(gone, "_b", "left_anti")
+        rest = cut_lineage(edges.join(kept, "_a", "left_anti").join(gone, "_b", "left_anti")
                            .join(gone.select(F.col("_b").alias("_a")), "_a", "left_anti"))
         drop_table(edges)
         before, left, edges = left, rest.count(), rest
         if left >= before:
             raise RuntimeError("fuzzy dedup made no progress")
+        chains = left > before / 2
     removed.append(_settle_alone(edges))
-    gone = removed[0]
-    for r in removed[1:]:
-        gone = gone.unionByName(r)
+    return reduce(DataFrame.unionByName, removed)
+
+
+def dedup_fuzzy(df: DataFrame, keys: list[str], order_col: str, threshold: float = 0.85,
+                alone: int = 100_000) -> DataFrame:
+    """Greedy fuzzy dedup; returns the kept rows of ``df`` (see ``settle_greedily``)."""
+    reps = fuzzy_reps(df, keys, order_col)
+    edges = cut_lineage(fuzzy_candidates(reps, keys, threshold).select("_a", "_b"))
+    gone = settle_greedily(edges, alone)
     keep = reps.select(F.col("_pos").alias(order_col)).join(
         gone.select(F.col("_b").alias(order_col)), order_col, "left_anti")
     return df.join(keep, order_col, "left_semi")

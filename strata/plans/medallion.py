@@ -1,10 +1,10 @@
 """Bronze → Silver → Gold transaction models (staging view, cleaned silver,
 daily gold fact) and the standalone Spark silver job.
 
-All three models are single lazy plans.  Shuffles: one for the key dedup
-(row_number()=1 becomes a WindowGroupLimit with a map-side partial limit, so a
-hot transaction id is reduced before the exchange), one for the daily
-aggregate (partial aggregation map-side).  The top-1 and day-over-day steps
+Shuffles: one for the key dedup (row_number()=1 becomes a WindowGroupLimit with a
+map-side partial limit, so a hot transaction id is reduced before the exchange), one
+for the cells of the daily fact and one for each of its two distinct counts (partial
+aggregation map-side).  The top-1 and day-over-day steps
 run on the already aggregated per-day frames, whose size is bounded by the
 number of calendar days, not by the data.
 """
@@ -17,7 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import int_avg, money_avg, money_sum, ratio_round
+from strata.functions.numeric import cents, ratio_round
+from strata.session import cut_lineage
 from strata.sources.sinks import write_partitioned
 
 DEFAULT_AS_OF = _dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -107,39 +108,58 @@ def int_cleaned(stg: DataFrame) -> DataFrame:
                           "day": F.dayofmonth("order_date")}))
 
 
-def _top1(df: DataFrame, part: str, value: str, metric: Column, metric_name: str) -> DataFrame:
-    agg = df.groupBy(part, value).agg(metric.alias(metric_name))
-    w = Window.partitionBy(part).orderBy(F.col(metric_name).desc(), F.col(value).asc_nulls_last())
+def _top1(cells: DataFrame, value: str, metric: Column, metric_name: str) -> DataFrame:
+    agg = cells.groupBy("date", value).agg(metric.alias(metric_name))
+    w = Window.partitionBy("date").orderBy(F.col(metric_name).desc(), F.col(value).asc_nulls_last())
     return agg.withColumn("_rk", F.row_number().over(w)).where("_rk = 1").drop("_rk")
 
 
+def _distinct_per_day(silver: DataFrame, column: str, name: str) -> DataFrame:
+    """The one distinct count of its aggregate, so rows are not expanded and only distinct
+    (day, value) pairs are shuffled."""
+    return silver.groupBy(F.col("order_date").alias("date")).agg(F.count_distinct(column).alias(name))
+
+
 def fct_daily_metrics(silver: DataFrame) -> DataFrame:
-    """Gold daily fact over the silver transactions (flagship)."""
-    s = silver.select("order_date", "customer_id", "product_sku", "country", "category",
-                      "total_amount", "quantity", "_is_invalid_quantity", "_amount_mismatch")
+    """Gold daily fact over the silver transactions (flagship).
+
+    One pass aggregates cells of (day, category, country), stored: days times a few hundred.
+    The day's measures, both top values and the countries are rolled up from them.  The two
+    counts of unbounded columns are aggregates of their own; each column but the day is read once."""
     bad = F.col("_is_invalid_quantity") | F.col("_amount_mismatch")
-    daily = s.groupBy(F.col("order_date").alias("date")).agg(
-        money_sum(F.col("total_amount")).alias("total_revenue_usd"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        money_avg(F.col("total_amount")).alias("avg_order_value_usd"),
-        F.max("total_amount").alias("max_order_value_usd"),
-        F.min("total_amount").alias("min_order_value_usd"),
-        F.sum("quantity").cast("bigint").alias("total_units_sold"),
-        int_avg(F.col("quantity"), 1).alias("avg_units_per_order"),
-        F.count_distinct("product_sku").alias("unique_products_sold"),
+    amount = F.col("total_amount")
+    cells = cut_lineage(
+        silver.groupBy(F.col("order_date").alias("date"), "category", "country").agg(
+            F.sum(cents(amount)).alias("_cents"), F.count(amount).alias("_amounts"),
+            F.count(F.lit(1)).alias("_rows"), F.max(amount).alias("_max"), F.min(amount).alias("_min"),
+            F.sum(F.col("quantity").cast("bigint")).alias("_units"), F.count("quantity").alias("_quantities"),
+            F.sum(bad.cast("int")).alias("_bad")))
+    revenue = F.sum("_cents").cast("double") / F.lit(100.0)
+    daily = cells.groupBy("date").agg(
+        revenue.alias("total_revenue_usd"),
+        F.sum("_rows").alias("transaction_count"),
+        ratio_round(F.sum("_cents"), F.sum("_amounts") * 100, 2).alias("avg_order_value_usd"),
+        F.max("_max").alias("max_order_value_usd"),
+        F.min("_min").alias("min_order_value_usd"),
+        F.sum("_units").alias("total_units_sold"),
+        ratio_round(F.sum("_units"), F.sum("_quantities"), 1).alias("avg_units_per_order"),
         F.count_distinct("country").alias("countries_served"),
-        ratio_round(F.count(F.lit(1)) - F.sum(bad.cast("int")), F.count(F.lit(1)), 4)
-         .alias("data_quality_score"),
+        ratio_round(F.sum("_rows") - F.sum("_bad"), F.sum("_rows"), 4).alias("data_quality_score"),
     )
     prev = F.lag("total_revenue_usd").over(Window.orderBy("date"))
     daily = daily.withColumn(
         "revenue_growth_pct",
         F.round((F.col("total_revenue_usd") - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2))
-    top_cat = _top1(s, "order_date", "category", money_sum(F.col("total_amount")), "top_category_revenue") \
-        .select(F.col("order_date").alias("date"), F.col("category").alias("top_category"), "top_category_revenue")
-    top_cty = _top1(s, "order_date", "country", F.count(F.lit(1)), "_n") \
-        .select(F.col("order_date").alias("date"), F.col("country").alias("top_country"))
+    top_cat = _top1(cells, "category", revenue, "top_category_revenue") \
+        .select("date", F.col("category").alias("top_category"), "top_category_revenue")
+    top_cty = _top1(cells, "country", F.sum("_rows"), "_n") \
+        .select("date", F.col("country").alias("top_country"))
+    customers = _distinct_per_day(silver, "customer_id", "unique_customers")
+    products = _distinct_per_day(silver, "product_sku", "unique_products_sold")
+    # a null day (an unparseable date) keeps its row without top values, as a join on it finds none
+    same_day = lambda d: daily["date"].eqNullSafe(d["date"])
+    daily = (daily.join(customers, same_day(customers)).drop(customers["date"])
+             .join(products, same_day(products)).drop(products["date"]))
     return (daily.join(top_cat, "date", "left").join(top_cty, "date", "left")
             .select("date", "total_revenue_usd", "transaction_count", "unique_customers",
                     "avg_order_value_usd", "max_order_value_usd", "min_order_value_usd",
