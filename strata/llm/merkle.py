@@ -8,6 +8,12 @@ each paragraph and section, so two fingerprints tell whether texts are equal
 (roots), which sections and paragraphs differ (branches), and how alike the texts
 are (the shared part of their leaves' tags, Dice's coefficient of the sets).
 
+`differences` descends two trees: equal roots end it, then only sections with unequal
+hashes are opened, of these only paragraphs with unequal hashes, of these the leaves up
+to the first unequal one. Branches are compared by their place, so text that shifts the
+later paragraphs makes all of them differ, and a paragraph that one text lacks differs
+from leaf 0.
+
 Defined cases: a null text counts as empty; two empty texts are alike (1.0);
 repeated rows each come back and follow one another; a null doc_id sorts first;
 other columns are ignored; an empty table gives an empty result.
@@ -15,6 +21,8 @@ other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,11 +40,52 @@ def paragraphs(text: Column) -> Column:
     return F.transform(F.split(text, "\n", -1), leaves)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once a row: an expression inside a lambda is
+    computed for every element, which is quadratic in a text with many paragraphs."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _section(hashes: Column, i: Column) -> Column:
+    return F.xxhash64(F.slice(hashes, i * SECTION + 1, SECTION))
+
+
+def _last_section(n: Column) -> Column:
+    return F.floor((n - 1) / SECTION).cast("int")
+
+
+def paragraph_hashes(paras: Column) -> Column:
+    return F.transform(paras, lambda p: F.xxhash64(p))
+
+
 def sections(paras: Column) -> Column:
     """A hash for each section: of its paragraphs' hashes."""
-    n = F.floor((F.size(paras) - 1) / SECTION).cast("int")
-    hashes = F.transform(paras, lambda p: F.xxhash64(p))
-    return F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(hashes, i * SECTION + 1, SECTION)))
+    return _let(paragraph_hashes(paras), lambda h: F.transform(
+        F.sequence(F.lit(0), _last_section(F.size(h))), lambda i: _section(h, i)))
+
+
+def differences(a_root: Column, a: Column, b_root: Column, b: Column) -> Column:
+    """Where two trees differ (roots and `paragraphs`), as an array of (section, paragraph,
+    leaf): numbers from 0, the leaf the first unequal one of its paragraph."""
+    def first_leaf(x: Column, y: Column) -> Column:
+        shorter = F.least(F.size(x), F.size(y))
+        at = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), F.lit(False)).cast("int") - 1
+        return F.when(x.isNull() | y.isNull(), F.lit(0)).when(at < 0, shorter).otherwise(at)
+
+    def descend(t: Column) -> Column:
+        n = F.greatest(F.size(t["ha"]), F.size(t["hb"]))
+        unequal = F.filter(F.sequence(F.lit(0), _last_section(n)),
+                           lambda s: _section(t["ha"], s) != _section(t["hb"], s))
+        opened = F.flatten(F.transform(unequal, lambda s: F.filter(
+            F.sequence(s * SECTION, F.least(s * SECTION + SECTION, n) - 1),
+            lambda i: ~F.get(t["ha"], i).eqNullSafe(F.get(t["hb"], i)))))
+        return F.transform(opened, lambda i: F.struct(
+            F.floor(i / SECTION).cast("int").alias("section"), i.alias("paragraph"),
+            first_leaf(F.get(t["a"], i), F.get(t["b"], i)).alias("leaf")))
+
+    trees = F.struct(a.alias("a"), b.alias("b"), paragraph_hashes(a).alias("ha"), paragraph_hashes(b).alias("hb"))
+    nowhere = F.array().cast("array<struct<section:int,paragraph:int,leaf:int>>")
+    return F.when(a_root == b_root, nowhere).otherwise(_let(trees, descend))
 
 
 def root(text: Column, paras: Column) -> Column:
@@ -121,7 +170,8 @@ def with_next(docs: DataFrame, cols: list[str], target_bytes: int = 8 << 20) ->
 
 def compare_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of its edited form (its last quarter replaced by
-    the start of the next document) and how alike they and the next text's are."""
+    the start of the next document), how alike they and the next text's are, and the
+    places (`edited_at`) where the edited text's tree differs."""
     d = docs.select("doc_id", text_or_empty().alias("text"))
     d = d.withColumn("paras", paragraphs(F.col("text")))
     d = d.select("doc_id", "text", "paras", root(F.col("text"), F.col("paras")).alias("root"))
@@ -136,4 +186,5 @@ def compare_edits(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("text"), F.col("paras")).alias("fingerprint"),
         fingerprint(F.col("edited"), F.col("edited_paras")).alias("edited_fingerprint"),
-        near("edited_root", "edited_paras").alias("near_edited"), near("next_root", "next_paras").alias("near_next"))
+        near("edited_root", "edited_paras").alias("near_edited"), near("next_root", "next_paras").alias("near_next"),
+        differences(F.col("root"), F.col("paras"), F.col("edited_root"), F.col("edited_paras")).alias("edited_at"))

@@ -5,8 +5,9 @@ import random
 import re
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
-from strata.llm.merkle import compare_edits, fingerprints
+from strata.llm.merkle import compare_edits, differences, fingerprints, paragraphs, root
 from strata.llm.queries import QUERIES
 
 from llm_helpers import SF_SMALL
@@ -23,6 +24,21 @@ def like(a, b):
     return 2 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
 
 
+def places(a, b):
+    """(section, paragraph, first unequal leaf) by comparing every paragraph of two fingerprints."""
+    if a.split(":")[0] == b.split(":")[0]:
+        return []
+    x, y = ([re.findall("[0-9A-F]{8}", p) for p in re.split("[,;]", f.split(":")[1])[:-1]] for f in (a, b))
+    out = []
+    for i in range(max(len(x), len(y))):
+        if i >= min(len(x), len(y)):
+            out.append((i // 8, i, 0))
+        elif x[i] != y[i]:
+            same = [p == q for p, q in zip(x[i], y[i])]
+            out.append((i // 8, i, same.index(False) if False in same else len(same)))
+    return out
+
+
 def check(rows, docs):
     """docs: (doc_id, text) with unique ids."""
     docs = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
@@ -36,6 +52,7 @@ def check(rows, docs):
         assert r["near_next"] == like(r["fingerprint"], got[j]["fingerprint"])
         assert r["near_edited"] == like(r["fingerprint"], r["edited_fingerprint"])
         assert (r["fingerprint"] == r["edited_fingerprint"]) == (t == edited)
+        assert [tuple(x) for x in r["edited_at"]] == places(r["fingerprint"], r["edited_fingerprint"])
     by = {}
     for i, t in docs:
         assert by.setdefault(got[i]["fingerprint"], t or "") == (t or "")
@@ -75,3 +92,21 @@ def test_odd_rows(spark):
     assert compare_edits(make([])).collect() == []
     assert compare_edits(make([(None, "abc"), (None, None)])).count() == 2
     assert fingerprints(make([(1, None)])).columns == [c.split()[0] for c in schema.split(", ")] + ["fingerprint"]
+
+
+def test_differences_locate_edits(spark):
+    lines = [f"line {i} holds some words. And another sentence." for i in range(40_000)]
+    edited = list(lines)
+    edited[3] = "line 3 holds some words. But another sentence."
+    edited[20_001] = "gone"
+    short = lines[:17]
+    texts = [("\n".join(lines), "\n".join(edited)), ("\n".join(lines[:20]), "\n".join(short)),
+             ("a. b. ", "a. b. c."), ("", ""), ("", "x"), ("x\n", "x")]
+    df = spark.createDataFrame(texts, "a string, b string")
+    for c in "ab":
+        df = df.withColumn(c + "p", paragraphs(F.col(c))).withColumn(c + "r", root(F.col(c), F.col(c + "p")))
+    got = [[tuple(x) for x in r[0]] for r in df.select(
+        differences(F.col("ar"), F.col("ap"), F.col("br"), F.col("bp"))).collect()]
+    assert got[0] == [(0, 3, 1), (2500, 20_001, 0)]
+    assert got[1] == [(2, 17, 0), (2, 18, 0), (2, 19, 0)]
+    assert got[2:] == [[(0, 0, 2)], [], [(0, 0, 0)], [(0, 1, 0)]]
