@@ -227,6 +227,24 @@ def fuzzy_reps(df: DataFrame, keys: list[str], order_col: str, collapse: bool =
     return cut_lineage(reps)
 
 
+def fuzzy_links(df: DataFrame, key: str, id_col: str, threshold: float) -> DataFrame:
+    """Rows that share a normalised key form a class, whose id is its smallest ``id_col``.
+
+    One ``member`` row tells each row's class (a: class, b: row), one ``link`` row each pair
+    of classes of the same block with similarity ≥ t.  Copies are not expanded into pairs, so
+    the result grows with the rows and the links of unlike keys."""
+    rows = df.select(F.col(id_col).alias("_id"), norm_key(F.col(key)).alias("_name"))
+    classes = cut_lineage(rows.groupBy("_name").agg(F.min("_id").alias("_class")))
+    links = fuzzy_candidates(fuzzy_reps(classes, ["_name"], "_name", collapse=False), ["_name"], threshold)
+    side = lambda n: classes.select(F.col("_class").alias(f"{n}_id"), F.col("_name").alias(f"_{n}"))
+    member = rows.join(classes, "_name").select(
+        F.lit("member").alias("kind"), F.col("_class").alias("a_id"), F.col("_id").alias("b_id"),
+        F.col("_name").alias("a_name"), F.col("_name").alias("b_name"), F.lit(1.0).alias("similarity"))
+    link = links.join(side("a"), "_a").join(side("b"), "_b").select(
+        F.lit("link").alias("kind"), "a_id", "b_id", F.col("_a").alias("a_name"), F.col("_b").alias("b_name"), "similarity")
+    return member.unionByName(link)
+
+
 def _settle_alone(edges: DataFrame) -> DataFrame:
     """Removed rows of a small graph, decided one after the other in one task."""
     def run(batches):

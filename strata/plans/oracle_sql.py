@@ -568,10 +568,13 @@ def _sim(a: str, b: str) -> str:
 
 SQL["fuzzy_pairs"] = f"""
 WITH p AS (SELECT p_partkey AS id, lower(regexp_replace(COALESCE(p_name, ''), '^\\s+|\\s+$', '', 'g')) AS s FROM part),
-b AS (SELECT *, substr(s, 1, 5) AS blk FROM p),
-pairs AS (SELECT x.id AS a_partkey, y.id AS b_partkey, {_sim("x.s", "y.s")} AS similarity
-          FROM b x JOIN b y ON x.blk = y.blk AND x.id < y.id)
-SELECT * FROM pairs WHERE similarity >= 0.5"""
+c AS (SELECT s, MIN(id) AS id, substr(s, 1, 5) AS blk FROM p GROUP BY s),
+pairs AS (SELECT 'link' AS kind, x.id AS a_partkey, y.id AS b_partkey, x.s AS a_name, y.s AS b_name,
+            {_sim("x.s", "y.s")} AS similarity
+          FROM c x JOIN c y ON x.blk = y.blk AND x.s < y.s)
+SELECT 'member' AS kind, c.id AS a_partkey, p.id AS b_partkey, s AS a_name, s AS b_name, CAST(1.0 AS DOUBLE) AS similarity
+FROM p JOIN c USING (s)
+UNION ALL SELECT * FROM pairs WHERE similarity >= 0.5"""
 
 
 # ---- silver transforms, flattening, joins -----------------------------------

@@ -56,6 +56,16 @@ def test_positional_bound_loses_no_pair(spark):
         assert got == want and want
 
 
+def test_copies_are_members_and_not_pairs(spark):
+    """Two classes of 300 copies each and a third name: 601 members and 1 link, not the 179,700 pairs of rows."""
+    names = ["large ring", " Large RING", "large rings", "small bolt"]
+    rows = [(i, names[i % 2]) for i in range(300)] + [(300 + i, names[2]) for i in range(300)] + [(600, names[3])]
+    got = D.fuzzy_links(spark.createDataFrame(rows, "id long, name string"), "name", "id", 0.5).collect()
+    assert sorted((r["a_id"], r["b_id"]) for r in got if r["kind"] == "member") == sorted(
+        (0 if i < 300 else 300 if i < 600 else 600, i) for i, _ in rows)
+    assert [(r["a_id"], r["b_id"], round(r["similarity"], 4)) for r in got if r["kind"] == "link"] == [(0, 300, 0.9)]
+
+
 def test_daily_fact_expands_no_rows(spark):
     plan = QUERIES["fct_daily_metrics"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
