@@ -3,15 +3,15 @@
 A source's rules become ``_errors array<string>`` (messages of the rules that
 fail, in a fixed rule order), so accept/reject is a single projection: no
 per-row Python, one pass, and the rejected side keeps its reasons for the
-dead-letter table.  The only shuffle is the duplicate-id rule: the first
-arrival per id is a partially aggregated ``min`` joined back on the id.
+dead-letter table.  The only shuffle is the duplicate-id rule, which ranks the ids with
+a few columns and brings the flags back as bitmaps of row numbers.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,25 +52,61 @@ def truthy(df: DataFrame, name: str) -> Column:
     return c.isNotNull()
 
 
-def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_dup") -> DataFrame:
+#: rows that a bitmap of ``with_duplicate_flag`` stands for (4 KB), and bitmaps that may be broadcast (64 MB)
+_BITS, _BROADCAST_BITMAPS = 32768, 16384
+
+
+def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_dup", hot_rows: int = 200_000) -> DataFrame:
     """``out`` is true for every arrival of a non-empty key after its first one
     — also when the first arrival is itself rejected for other reasons.
 
-    The rows are written once with a row number, and both branches read that
+    The rows are written once with a row number, and all branches read that
     table, so the source plan runs once and the flag depends on no later plan.
-    The first arrival per key is a ``min`` over the order columns, then all other
+    The first arrival per key is the least by the order columns, then all other
     columns, then the row number, which so only tells identical rows apart: of n
-    copies exactly n - 1 are flagged.  It is partially aggregated and joined back
-    on the key (AQE splits a hot key); no window holds all rows of one key."""
+    copies exactly n - 1 are flagged.
+
+    Only the key, the first columns of that order and the row number are shuffled; rows
+    that tie there are told apart by the others in a second, small pass.  Keys that a sample
+    finds in more than about ``hot_rows`` rows take a partially aggregated ``min`` instead, so
+    no window holds them; that changes the plan, not the flags.  The numbers of the
+    flagged rows come back as bitmaps, so the rows themselves stay where they are."""
     tag = "_row_tag"
     d = materialize(df.withColumn(tag, F.monotonically_increasing_id()), "arrivals")
     rest = [f.name for f in df.schema.fields if f.name not in order
             and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    probe = F.struct(*[F.col(c) for c in [*order, *rest]], F.col(tag))
-    named = F.col(key).isNotNull() & (_s(F.col(key)) != "")
-    firsts = d.where(named).groupBy(key).agg(F.min(probe).getField(tag).alias("_first"))
-    return (d.join(firsts, key, "left")
-            .withColumn(out, F.coalesce(F.col(tag) != F.col("_first"), F.lit(False)))
+    by = [c for c in [*order, *rest] if c != key]  # a key's rows have the key in common
+    named = d.where(F.col(key).isNotNull() & (_s(F.col(key)) != ""))
+    hot = [r[0] for r in named.select(key).sample(min(1.0, 200 / hot_rows), 1).groupBy(key).count()
+           .where("count > 200").orderBy(F.col("count").desc()).limit(1000).collect()]
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+
+    first = Window.partitionBy(key).orderBy(*(by[:3] or [key]))
+    nth = Window.partitionBy(key).orderBy(*by[:3], tag)
+    marks = named.where(~is_hot).select(key, *by[:3], tag) \
+        .withColumn("_n", F.row_number().over(nth)).withColumn("_rank", F.rank().over(first)) \
+        .withColumn("_next", F.lead("_rank").over(nth))
+    later, tied = F.col("_rank") > 1, (F.col("_n") > 1) | (F.col("_next") == 1)
+    marks = materialize(marks.where(later | tied).select(tag, later.alias("_later")), "later_arrivals")
+    flagged = marks.where("_later").select(tag)
+    ties = marks.where("NOT _later")
+    if not ties.isEmpty():
+        nth = Window.partitionBy(key, *by[:3]).orderBy(*by[3:], tag)
+        flagged = flagged.unionByName(d.join(ties, tag, "left_semi").withColumn("_n", F.row_number().over(nth))
+                                      .where("_n > 1").select(tag))
+    if hot:
+        heads = named.where(is_hot).groupBy(F.col(key).alias("_key")).agg(
+            F.min(F.struct(*[F.col(c) for c in by], F.col(tag))).getField(tag).alias("_first"))
+        flagged = flagged.unionByName(named.where(is_hot).join(F.broadcast(heads), F.col(key) == F.col("_key"))
+                                      .where(F.col(tag) != F.col("_first")).select(tag))
+    bitmaps = materialize(flagged.select(F.floor(F.col(tag) / _BITS).alias("_at"), (F.col(tag) % _BITS).alias("_bit"))
+                          .repartition("_at").groupBy("_at").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "flags")
+    few = bitmaps.limit(_BROADCAST_BITMAPS + 1).count() <= _BROADCAST_BITMAPS
+    bit = (F.col(tag) % _BITS).cast("int")
+    byte = F.conv(F.hex(F.col("_bits").substr(F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (d.withColumn("_at", F.floor(F.col(tag) / _BITS))
+            .join(F.broadcast(bitmaps) if few else bitmaps, "_at", "left")
+            .withColumn(out, F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False)))
             .select(*df.columns, out))
 
 

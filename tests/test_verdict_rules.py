@@ -60,6 +60,27 @@ def test_fuzzy_chain_is_decided_to_its_end(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("hot_rows", [200_000, 1])
+def test_duplicate_flag_shuffles_no_whole_rows(spark, hot_rows):
+    """Ties on the first columns, copies, null and blank keys, and (hot_rows=1) keys as hot ones."""
+    rnd = random.Random(3)
+    pick = lambda *v: rnd.choice(v)
+    rows = [(pick("k1", "k2", "k3", None, "", f"u{i}"), pick(1, 2, None), pick("x", None), pick("y", "z"),
+             pick(0.5, 1.5), pick("p", "q", None), i % 7) for i in range(1500)]
+    if hot_rows == 1:
+        rows += [("k1", 1, "x", "y", 0.5, "p", 1)] * 300
+    df = spark.createDataFrame(rows, "k string, a int, b string, c string, d double, e string, f int").repartition(5)
+    got = with_duplicate_flag(df, "k", ["k", "a", "b", "c", "d"], hot_rows=hot_rows)
+    least = lambda r: tuple((v is not None, v) for v in r[1:])
+    want, seen = [], set()
+    for r in sorted(rows, key=lambda r: (r[0] or "", least(r))):
+        want.append((*r, bool(r[0]) and r[0] in seen))
+        seen.add(r[0])
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    wide = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if " Exchange " in line]
+    assert not wide
+
+
 def test_white_space_only_strings_are_blank(spark):
     df = spark.createDataFrame([("\t\n",), ("N/A\t",), (" x\t",)], "a string")
     assert [tuple(r) for r in df.select(blank(F.col("a")), blank_str(F.col("a"))).collect()] == [
