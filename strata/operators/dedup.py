@@ -20,10 +20,10 @@ of the same key lies in the previous N hours.  Exact and distributed:
 Fuzzy (greedy in input order inside blocks of equal 5-char key prefixes): a
 row is removed iff an earlier *kept* row of its block is similar (mean over
 key columns of bigram Jaccard ≥ t).  Identical normalised keys collapse first
-(only the first copy can ever survive).  Candidate pairs come from an exact
-prefix filter per key column (two sets with Jaccard ≥ t share a token among
-the |x|-⌈t|x|⌉+1 rarest), pass a positional bound on the overlap, are verified
-with the full similarity, and the greedy order is resolved in rounds: a row with
+(only the first copy can ever survive).  A block is cut into chunks by set size;
+pairs of chunks whose sizes allow a similarity of t are dealt over the tasks, which
+take all overlaps of two chunks at once from the packed token sets.  The greedy
+order is resolved in rounds: a row with
 no undecided or kept earlier neighbour is kept, a row with a kept earlier
 neighbour is removed, and chains are followed by pointer doubling.
 """
@@ -31,13 +31,16 @@ neighbour is removed, and chains are followed by pointer doubling.
 from __future__ import annotations
 
 import math
+import zlib
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import bigram_jaccard, char_bigrams, norm_key, with_scalars
+from strata.functions.columns import bigram_jaccard, norm_key, with_scalars
 from strata.session import cut_lineage, drop_table
 
 
@@ -171,60 +174,146 @@ def dedup_window(df: DataFrame, keys: list[str], ts_col: str, id_col: str, hours
 # fuzzy dedup
 # --------------------------------------------------------------------------
 
-def _token_set(c: Column) -> Column:
-    """Bigram set with stand-ins so that Jaccard on it equals the per-column
-    similarity rule for short strings: '' → {'\\u0001'}, one char → {'\\u0000'+c}."""
-    return (F.when(c == "", F.array(F.lit("\u0001")))
-            .when(F.length(c) == 1, F.array(F.concat(F.lit("\u0000"), c)))
-            .otherwise(char_bigrams(c)))
-
-
-def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+def _tokens(text: str) -> np.ndarray:
+    """Bigram set of a string as sorted numbers (two code points each), with stand-ins so that Jaccard on
+    it equals the per-column similarity rule for short strings: '' → {-1}, one char → {that char}."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    if len(points) < 2:
+        return points if len(points) else np.array([-1], np.int64)
+    return np.unique((points[:-1] << 21) | points[1:])
+
+
+def _pack(tokens: np.ndarray) -> bytes:
+    """Sorted numbers as bytes: their differences, the bytes of equal weight together, deflated."""
+    return zlib.compress(np.diff(tokens, prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+
+def _token_array(packed: pd.Series) -> pd.Series:
+    return packed.map(_unpack)
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set: a product of incidence matrices,
+    taken over ``columns`` tokens at a time.  Whole numbers below 2**24 are exact in it."""
+    sets = left + right
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = np.bincount(token) > 1
+    row, token = row[shared[token]], (np.cumsum(shared) - 1)[token[shared[token]]]
+    order = np.argsort(token, kind="stable")
+    row, token = row[order], token[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(shared.sum()), columns):
+        lo, hi = np.searchsorted(token, [start, start + columns])
+        hits = np.zeros((len(sets), min(columns, int(shared.sum()) - start)), np.float32)
+        hits[row[lo:hi], token[lo:hi] - start] = 1
+        out += hits[:len(left)] @ hits[len(left):].T
+    return out
+
+
+#: rows of a block's chunk (twice as many at most): a pair of chunks is matched at once, in matrices of about 50 MB
+_CHUNK = 1000
+
+
+def _chunk_plan(reps: DataFrame, threshold: float, bounded: bool, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Where the rows of a block go: (_blk, _sz) → first chunk number and parts; (_blk, chunk) → pairs of chunks.
+
+    Chunks hold rows of like set size, about ``chunk`` of them; a size that more rows have is dealt over
+    parts.  Where ``bounded``, pairs of chunks whose sizes differ by more than the threshold are left out."""
+    sizes = reps.groupBy("_blk", "_sz").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_blk").orderBy("_sz").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = cut_lineage(sizes.withColumn("_all", F.sum("_n").over(Window.partitionBy("_blk"))).select(
+        "_blk", "_sz", "_n", "_all", F.floor(F.coalesce(before, F.lit(0)) / chunk).alias("_base"),
+        F.ceil(F.col("_n") / chunk).alias("_parts")).where("_all > 1").drop("_all"))
+    number = F.when(F.col("_parts") == 1, F.struct("_base", F.lit(-1).cast("bigint").alias("_part"))) \
+        .otherwise(F.struct("_base", F.col("_part")))
+    chunks = cut_lineage(sizes.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+                         .groupBy("_blk", number.alias("_chunk")).agg(F.min("_sz").alias("_lo"), F.max("_sz").alias("_hi")))
+    a, b = chunks.alias("a"), chunks.alias("b")
+    near = F.least("a._hi", "b._hi") >= F.greatest("a._lo", "b._lo") * threshold - 1e-9
+    pairs = a.join(b, "_blk").where((F.col("a._chunk") <= F.col("b._chunk")) & (near if bounded else F.lit(True))).select(
+        "_blk", F.col("a._chunk").alias("_ca"), F.col("b._chunk").alias("_cb"))
+    sides = pairs.select("_blk", F.col("_ca").alias("_chunk"), "_ca", "_cb", F.lit(0).alias("_side")).unionByName(
+        pairs.where("_ca != _cb").select("_blk", F.col("_cb").alias("_chunk"), "_ca", "_cb", F.lit(1).alias("_side")))
+    return sizes.select("_blk", "_sz", "_base", "_parts"), cut_lineage(sides)
+
+
+def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float, chunk: int = _CHUNK) -> DataFrame:
     """Exact set of pairs (a before b, same block) with mean similarity ≥ t.
 
-    ``reps`` has one row per distinct normalised key tuple: ``_pos`` (order),
-    ``_blk`` (block key) and ``_tk_<k>`` (token set per key column)."""
-    pairs = None
-    for k in keys:
-        toks = reps.select("_blk", "_pos", F.size(f"_tk_{k}").alias("_sz"), F.explode(f"_tk_{k}").alias("_tok"))
-        freq = toks.groupBy("_tok").agg(F.count(F.lit(1)).alias("_f"))
-        w = Window.partitionBy("_blk", "_pos").orderBy(F.col("_f"), F.col("_tok"))
-        pref = (toks.join(freq, "_tok").withColumn("_r", F.row_number().over(w))
-                .where(F.col("_r") <= F.col("_sz") - F.ceil(F.col("_sz") * threshold - 1e-9) + 1)
-                .select("_blk", "_pos", "_tok", "_sz", (F.col("_sz") - F.col("_r")).alias("_rest")))
-        # sets of similarity t differ in size by a factor of t at most, and what follows their
-        # first common token must hold the rest of the overlap that t asks for
-        p = (pref.alias("a").join(pref.alias("b"), ["_blk", "_tok"])
-             .where((F.col("a._pos") < F.col("b._pos"))
-                    & (F.least("a._sz", "b._sz") >= F.greatest("a._sz", "b._sz") * threshold - 1e-9)
-                    & (F.least("a._rest", "b._rest") + 1
-                       >= (F.col("a._sz") + F.col("b._sz")) * (threshold / (1 + threshold)) - 1e-9))
-             .select("_blk", F.col("a._pos").alias("_a"), F.col("b._pos").alias("_b")))
-        pairs = p if pairs is None else pairs.unionByName(p)
-    pairs = pairs.distinct()
-    tk = [f"_tk_{k}" for k in keys]
-    a = reps.select(F.col("_pos").alias("_a"), *[F.col(c).alias("a" + c) for c in tk])
-    b = reps.select(F.col("_pos").alias("_b"), *[F.col(c).alias("b" + c) for c in tk])
-    j = pairs.join(a, "_a").join(b, "_b")
-
-    def jac(x: Column, y: Column) -> Column:
-        inter = F.size(F.array_intersect(x, y))
-        return inter / (F.size(x) + F.size(y) - inter)
-    sim = sum((jac(F.col("a" + c), F.col("b" + c)) for c in tk), F.lit(0.0)) / len(keys)
-    return j.select("_blk", "_a", "_b", sim.alias("similarity")).where(F.col("similarity") >= threshold)
+    ``reps`` comes from ``fuzzy_reps``: ``_pos`` (order), ``_blk`` (block key) and the packed token
+    set per key column.  A block is cut into chunks of rows of like set size; each pair of chunks
+    is one group, which finds all overlaps by a product of matrices, so no token and no pair below
+    the threshold is ever shuffled or stored."""
+    packed = [f"_pk_{k}" for k in keys]
+    rows = reps.where(F.col("_pos").isNotNull()).select("_pos", "_blk", "_sz", *packed)
+    where, sides = _chunk_plan(rows, threshold, len(keys) == 1, chunk)
+    part = F.when(F.col("_parts") == 1, F.lit(-1).cast("bigint")).otherwise(F.pmod(F.xxhash64("_pos"), "_parts"))
+    tiles = (rows.join(where, ["_blk", "_sz"]).withColumn("_chunk", F.struct("_base", part.alias("_part")))
+             .join(sides, ["_blk", "_chunk"]).select("_blk", "_ca", "_cb", "_side", "_pos", *packed))
+    n_keys = len(keys)
+    pos_type = rows.schema["_pos"].dataType.simpleString()
+
+    def links(table: pa.Table) -> pa.Table:
+        pos, side = table["_pos"].to_numpy(), table["_side"].to_numpy()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        alone = table["_ca"][0].as_py() == table["_cb"][0].as_py()  # a chunk with itself
+        right = left if alone else right
+        if not len(left) or not len(right):  # a part that no row was dealt to
+            return table.slice(0, 0).select(["_blk", "_pos", "_pos"]).rename_columns(["_blk", "_a", "_b"]).append_column(
+                "similarity", pa.array([], pa.float64()))
+        sim = np.zeros((len(left), len(right)))
+        for c in packed:
+            sets = [_unpack(x.as_py()) for x in table[c]]
+            sizes = np.array([len(s) for s in sets])
+            inter = _overlaps([sets[i] for i in left], [sets[i] for i in right]).astype(np.float64)
+            sim += inter / (sizes[left][:, None] + sizes[right][None, :] - inter)
+        i, j = np.nonzero(sim / n_keys >= threshold)
+        value = sim[i, j] / n_keys
+        i, j = left[i], right[j]
+        if not alone:  # either may come first
+            i, j = np.where(pos[i] < pos[j], i, j), np.where(pos[i] < pos[j], j, i)
+        first = pos[i] < pos[j]
+        i, j, value = i[first], j[first], value[first]
+        return pa.table({"_blk": table["_blk"].take(pa.array(i)), "_a": table["_pos"].take(pa.array(i)),
+                         "_b": table["_pos"].take(pa.array(j)), "similarity": value})
+
+    return tiles.groupBy("_blk", "_ca", "_cb").applyInArrow(
+        links, f"_blk string, _a {pos_type}, _b {pos_type}, similarity double")
 
 
 def fuzzy_reps(df: DataFrame, keys: list[str], order_col: str, collapse: bool = True) -> DataFrame:
-    """Rows prepared for matching: block key and token sets per key column,
-    checkpointed for reuse.  ``collapse`` keeps one row per distinct normalised
-    key tuple (its first arrival)."""
-    norm = df.select(F.col(order_col).alias("_pos"), *[norm_key(F.col(k)).alias(f"_n_{k}") for k in keys])
+    """Rows prepared for matching: block key and packed token sets per key column, stored for
+    reuse (``_pk_<k>``; ``_tk_<k>`` shows them as arrays).  ``collapse`` keeps one row per distinct
+    normalised key tuple (its first arrival), told by a digest, so no text is shuffled."""
+    names = [f"_n_{k}" for k in keys]
+    packed = [f"_pk_{k}" for k in keys]
+    norm = df.select(F.col(order_col).alias("_pos"), *[norm_key(F.col(k)).alias(n) for k, n in zip(keys, names)])
+    norm = norm.select("_pos", F.concat_ws("|", *[F.substring(n, 1, 5) for n in names]).alias("_blk"), *names,
+                       F.sha2(F.concat_ws("|", *[F.sha2(n, 256) for n in names]), 256).alias("_key"))
+
+    def pack(batches):
+        for batch in batches:
+            sets = [[_tokens(x.as_py()) for x in batch.column(n)] for n in names]
+            size = pa.array([len(s) for s in sets[0]], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("_pos", "_blk", "_key")], size,
+                 *[pa.array([_pack(s) for s in one], pa.binary()) for one in sets]],
+                ["_pos", "_blk", "_key", "_sz", *packed])
+
+    pos_type = norm.schema["_pos"].dataType.simpleString()
+    reps = norm.mapInArrow(pack, f"_pos {pos_type}, _blk string, _key string, _sz bigint, "
+                           + ", ".join(f"{p} binary" for p in packed))
     if collapse:
-        norm = norm.groupBy(*[f"_n_{k}" for k in keys]).agg(F.min("_pos").alias("_pos"))
-    blk = F.concat_ws("|", *[F.substring(F.col(f"_n_{k}"), 1, 5) for k in keys])
-    reps = norm.select("_pos", blk.alias("_blk"),
-                       *[_token_set(F.col(f"_n_{k}")).alias(f"_tk_{k}") for k in keys])
-    return cut_lineage(reps)
+        reps = reps.groupBy("_key", "_blk", "_sz", *packed).agg(F.min("_pos").alias("_pos"))
+    reps = cut_lineage(reps.select("_pos", "_blk", "_sz", *packed))
+    tokens = F.pandas_udf(_token_array, "array<bigint>")
+    return reps.withColumns({f"_tk_{k}": tokens(F.col(p)) for k, p in zip(keys, packed)})
 
 
 def fuzzy_links(df: DataFrame, key: str, id_col: str, threshold: float) -> DataFrame:
