@@ -213,12 +213,14 @@ class QualityChecker:
                     .orderBy("key").limit(k))
         return out
 
-    def row_failures(self, df: DataFrame, as_of: _dt.datetime, arrival: list[str] | None = None) -> DataFrame:
+    def row_failures(self, df: DataFrame, as_of: _dt.datetime, arrival: list[str] | None = None,
+                     within: list[str] | None = None) -> DataFrame:
         """Row-level routing for the layer gate: ``_dq_failures`` lists the rules a
         row fails (rule order), ``_dq_passed`` is true when it fails none.
 
         The same predicates as ``check``; a uniqueness rule fails every arrival
-        of a key after the first (``arrival`` orders them, skew-safe flag);
+        of a key after the first (``arrival`` orders them, skew-safe flag; ``within`` names
+        columns that the keys of every such rule determine, see ``with_duplicate_flag``);
         a rule on a missing column fails every row."""
         from strata.operators.rules import with_duplicate_flag
         cols = set(df.columns)
@@ -233,7 +235,8 @@ class QualityChecker:
                 flag = f"_uq{i}"
                 key_col = f"_uqk{i}"
                 out = out.withColumn(key_col, F.to_json(F.struct(*[F.col(k) for k in keys])))
-                out = with_duplicate_flag(out, key_col, arrival or list(df.columns), out=flag).drop(key_col)
+                out = with_duplicate_flag(out, key_col, arrival or list(df.columns), out=flag,
+                                          within=within).drop(key_col)
                 checks.append((F.col(flag), r.name))
                 continue
             checks.append((self._predicate(df, r, as_of)[0], r.name))

@@ -10,6 +10,7 @@ a few columns and brings the flags back as bitmaps of row numbers.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,11 +53,19 @@ def truthy(df: DataFrame, name: str) -> Column:
     return c.isNotNull()
 
 
+def _arrival(df: DataFrame, key: str, order: list[str], within: list[str] | None = None) -> list[str]:
+    """The order columns, then all others that can be ordered; a key's rows have the key in common."""
+    rest = [f.name for f in df.schema.fields if f.name not in order
+            and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return [c for c in [*order, *rest] if c != key and c not in (within or [])]
+
+
 #: rows that a bitmap of ``with_duplicate_flag`` stands for (4 KB), and bitmaps that may be broadcast (64 MB)
 _BITS, _BROADCAST_BITMAPS = 32768, 16384
 
 
-def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_dup", hot_rows: int = 200_000) -> DataFrame:
+def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_dup", hot_rows: int = 200_000,
+                        within: list[str] | None = None) -> DataFrame:
     """``out`` is true for every arrival of a non-empty key after its first one
     — also when the first arrival is itself rejected for other reasons.
 
@@ -70,12 +79,18 @@ def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_
     that tie there are told apart by the others in a second, small pass.  Keys that a sample
     finds in more than about ``hot_rows`` rows take a partially aggregated ``min`` instead, so
     no window holds them; that changes the plan, not the flags.  The numbers of the
-    flagged rows come back as bitmaps, so the rows themselves stay where they are."""
+    flagged rows come back as bitmaps, so the rows themselves stay where they are.
+
+    ``within`` names columns that the key determines and by which the rows already lie
+    together, with no hot key among them.  Then one window ranks the rows where they are, and
+    nothing is written or shuffled."""
     tag = "_row_tag"
+    if within:
+        by = _arrival(df, key, order, within)
+        nth = F.row_number().over(Window.partitionBy(*within, key).orderBy(*(by or [key])))
+        return df.withColumn(out, F.coalesce(_s(F.col(key)) != "", F.lit(False)) & (nth > 1))
     d = materialize(df.withColumn(tag, F.monotonically_increasing_id()), "arrivals")
-    rest = [f.name for f in df.schema.fields if f.name not in order
-            and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    by = [c for c in [*order, *rest] if c != key]  # a key's rows have the key in common
+    by = _arrival(df, key, order)
     named = d.where(F.col(key).isNotNull() & (_s(F.col(key)) != ""))
     hot = [r[0] for r in named.select(key).sample(min(1.0, 200 / hot_rows), 1).groupBy(key).count()
            .where("count > 200").orderBy(F.col("count").desc()).limit(1000).collect()]
@@ -111,7 +126,9 @@ def with_duplicate_flag(df: DataFrame, key: str, order: list[str], out: str = "_
 
 
 def with_errors(df: DataFrame, checks: list[tuple[Column, Column]]) -> DataFrame:
-    errs = error_list(checks)
+    # the list is built only for the rows that fail a rule
+    errs = F.when(reduce(Column.__or__, [F.coalesce(c, F.lit(False)) for c, _ in checks]), error_list(checks)) \
+        .otherwise(F.array().cast("array<string>"))
     return df.withColumns({"_errors": errs,
                            "_error": F.when(F.size(errs) > 0, F.array_join(errs, "; ")),
                            "_is_valid": F.size(errs) == 0})
@@ -123,7 +140,8 @@ def normalize_erp(raw: DataFrame) -> DataFrame:
                         for c, t in raw.dtypes])
 
 
-def validate_transactions(raw: DataFrame, arrival: list[str]) -> DataFrame:
+def validate_transactions(raw: DataFrame, arrival: list[str], within: list[str] | None = None) -> DataFrame:
+    """The transaction rules; ``within`` as in ``with_duplicate_flag`` (these columns are dropped)."""
     d = normalize_erp(raw)
     q_int = F.col("quantity").try_cast("int")
     amt = F.col("total_amount").try_cast("double")
@@ -142,8 +160,8 @@ def validate_transactions(raw: DataFrame, arrival: list[str]) -> DataFrame:
         (blank_str(F.col("customer_id")), F.lit("Missing customer_id")),
         (F.col("product_sku").startswith("INVALID"), F.concat(F.lit("Invalid SKU format: "), F.col("product_sku"))),
     ]
-    d = with_duplicate_flag(d, "transaction_id", arrival)
-    return with_errors(d, checks).drop("_dup")
+    d = with_duplicate_flag(d, "transaction_id", arrival, within=within)
+    return with_errors(d, checks).drop("_dup", *(within or []))
 
 
 def validate_contacts(df: DataFrame, arrival: list[str]) -> DataFrame:
