@@ -19,15 +19,16 @@ from strata.operators.rules import dead_letter
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
-                      max_records_per_file: int = 5_000_000, fmt: str = "parquet") -> None:
-    (df.hint("rebalance", *partition_cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+                      max_records_per_file: int = 5_000_000, fmt: str = "parquet", gather: bool = True) -> None:
+    """``gather=False`` for rows of one partition value: each task's rows are in one folder already."""
+    ((df.hint("rebalance", *partition_cols) if gather else df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file).option("compression", "snappy")
      .partitionBy(*partition_cols).format(fmt).save(path))
 
 
 def write_dead_letter(rejected: DataFrame, path: str, as_of: _dt.datetime) -> None:
     """Append rejected rows (record JSON, error, timestamp) under reject_date=…"""
-    write_partitioned(dead_letter(rejected, as_of), path, ["reject_date"], mode="append")
+    write_partitioned(dead_letter(rejected, as_of), path, ["reject_date"], mode="append", gather=False)
 
 
 def append_quality_report(report: DataFrame, path: str, run_ts: _dt.datetime) -> None:

@@ -49,3 +49,18 @@ def test_hot_join_keys_keep_the_way_for_hot_keys(spark):
     li.withColumn("l_orderkey", F.lit(1).cast("bigint")).write.parquet(f"{to}/lineitem.parquet")
     raw, within = B.raw_erp_by_order(spark, to, hot_rows=200)
     assert within == [] and B.ORDER not in raw.columns
+
+
+def test_dead_letters_of_one_date_are_written_where_they_are(spark, monkeypatch):
+    import datetime as dt
+
+    from pyspark.sql import DataFrame
+
+    from strata.session import scratch_path
+    from strata.sources import sinks as SK
+    monkeypatch.setattr(DataFrame, "hint", lambda *a: (_ for _ in ()).throw(AssertionError("rows are shuffled")))
+    rows = spark.createDataFrame([(str(i), "bad") for i in range(50)], "transaction_id string, _error string").repartition(3)
+    path = scratch_path(spark, "rejected")
+    SK.write_dead_letter(rows, path, dt.datetime(2024, 1, 31, 12))
+    back = spark.read.parquet(path)
+    assert back.count() == 50 and [str(r[0]) for r in back.select("reject_date").distinct().collect()] == ["2024-01-31"]
