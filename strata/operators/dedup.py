@@ -49,10 +49,20 @@ def _default_keys(df: DataFrame, keys: list[str] | None) -> list[str]:
     return ks or [c for c in df.columns if not c.startswith("_")]
 
 
-def dedup_exact(df: DataFrame, keys: list[str] | None, order: list[str], keep: str = "first") -> DataFrame:
+#: hashes of repeated keys that may be broadcast
+_FEW_MARKS = 1_000_000
+
+
+def dedup_exact(df: DataFrame, keys: list[str] | None, order: list[str], keep: str = "first",
+                probe: bool = True, few: int = _FEW_MARKS) -> DataFrame:
     """One row per key (nulls compare equal).  ``order`` names the arrival-order
     columns (a total order gives reproducible results); keep the first, the
-    last, or the row with the fewest nulls (ties → arrival order)."""
+    last, or the row with the fewest nulls (ties → arrival order).
+
+    With ``probe`` a first pass shuffles a 64-bit hash of each key alone.  Rows whose hash no other
+    row has stay where they are; only the others are ranked, by their true keys.  Where more than
+    ``few`` hashes repeat, all rows are ranked.  ``df`` is read again after that pass and must
+    give the same rows; leave the probe out where that costs more than to shuffle the rows."""
     ks = _default_keys(df, keys)
     asc = [F.col(c).asc_nulls_first() for c in order]
     if keep == "first":
@@ -65,7 +75,20 @@ def dedup_exact(df: DataFrame, keys: list[str] | None, order: list[str], keep: s
     else:
         raise ValueError(keep)
     w = Window.partitionBy(*ks).orderBy(*o)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    ranked = lambda rows: rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    if not probe or not ks:
+        return ranked(df)
+    mark = F.xxhash64(*ks).alias("_mark")
+    repeated = cut_lineage(df.groupBy(mark).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_mark"),
+                           "repeated_keys")
+    n = repeated.limit(few + 1).count()
+    if n == 0:
+        return df
+    if n > few:
+        return ranked(df)
+    same = F.xxhash64(*[df[k] for k in ks]) == repeated["_mark"]
+    return df.join(F.broadcast(repeated), same, "left_anti").unionByName(
+        ranked(df.join(F.broadcast(repeated), same, "left_semi")))
 
 
 def dedup_metrics(df: DataFrame, deduped: DataFrame, keys: list[str] | None, strategy: str = "exact") -> DataFrame:
@@ -161,7 +184,9 @@ def dedup_window(df: DataFrame, keys: list[str], ts_col: str, id_col: str, hours
         kept = kept.unionByName(step).distinct()
         if i % 4 == 3:
             kept = cut_lineage(kept)
-    kept_ids = kept.join(nodes, ["_key", "_t"]).select("_id")
+    kept_ids = cut_lineage(kept.join(nodes, ["_key", "_t"]).select("_id"))
+    for table in {id(t): t for t in (nodes, *tables)}.values():
+        drop_table(table)
     # null timestamps: kept only when the key has no timestamped event, and only the first
     first = base.withColumn("_r", F.row_number().over(
         Window.partitionBy("_key").orderBy(F.col("_t").asc_nulls_last(), F.col("_id"))))
