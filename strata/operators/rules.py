@@ -129,9 +129,10 @@ def with_errors(df: DataFrame, checks: list[tuple[Column, Column]]) -> DataFrame
     # the list is built only for the rows that fail a rule
     errs = F.when(reduce(Column.__or__, [F.coalesce(c, F.lit(False)) for c, _ in checks]), error_list(checks)) \
         .otherwise(F.array().cast("array<string>"))
-    return df.withColumns({"_errors": errs,
-                           "_error": F.when(F.size(errs) > 0, F.array_join(errs, "; ")),
-                           "_is_valid": F.size(errs) == 0})
+    # a step of its own, so the rules are not run again for each column made of the list
+    errors = F.col("_errors")
+    return df.withColumn("_errors", errs).withColumns({
+        "_error": F.when(F.size(errors) > 0, F.array_join(errors, "; ")), "_is_valid": F.size(errors) == 0})
 
 
 def normalize_erp(raw: DataFrame) -> DataFrame:
