@@ -385,8 +385,7 @@ def _kept(text: str | None, places: bytes | None, window: int) -> tuple[list[byt
     return [words[i] for i in np.flatnonzero(keep)], int((~keep).sum())
 
 
-def _joined(docs: DataFrame, window: int) -> DataFrame:
-    scratch = Scratch(docs.sparkSession)
+def _joined(scratch: Scratch, docs: DataFrame, window: int) -> DataFrame:
     places = repeat_places(scratch, docs, window).select(F.col("doc_id").alias("_pid"), F.col("tag").alias("_ptag"),
                                                          F.col("places").alias("_places"))
     d = keyed(docs)
@@ -395,14 +394,19 @@ def _joined(docs: DataFrame, window: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = 20) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of every document."""
+    """doc_id, n_words, n_removed and kept_sha256 of every document.
+
+    The figures are stored, so the texts reach the Python workers in small batches whatever
+    the caller's session says, and the shuffled texts go before the caller reads."""
     def run(cols: dict) -> dict:
         got = [_kept(t, p, window) for t, p in zip(cols["text"], cols["_places"])]
         return {"doc_id": cols["doc_id"], "n_words": [len(w) + k for w, k in got], "n_removed": [k for _, k in got],
                 "kept_sha256": [hashlib.sha256(b" ".join(w)).hexdigest() for w, _ in got]}
 
-    return map_columns(_joined(docs.select("doc_id", "text"), window), run,
-                       "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    scratch = Scratch(docs.sparkSession)
+    return scratch.write(map_columns(_joined(scratch, docs.select("doc_id", "text"), window), run,
+                                     "doc_id long, n_words long, n_removed long, kept_sha256 string",
+                                     chunk_bytes=BATCH_BYTES), "figures")
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -411,7 +415,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     cut = F.pandas_udf(lambda t, p: pd.Series([
         x if p_ is None else b" ".join(_kept(x, p_, window)[0]).decode("utf-8", "surrogatepass")
         for x, p_ in zip(t, p)], dtype=object), "string")
-    joined = _joined(docs, window)
+    joined = _joined(Scratch(docs.sparkSession), docs, window)
     out = joined.withColumn("text", F.when(F.col("_places").isNull(), F.col("text")).otherwise(
         cut(F.col("text"), F.col("_places"))))
     if "n_chars" in docs.columns:

@@ -151,3 +151,11 @@ def test_one_passage_in_a_third_of_the_documents(spark):
                                           "ELSE concat('c', id, ' d', id) END AS text").repartition(8)
     removed = {r["doc_id"]: r["n_removed"] for r in repeats(docs).collect()}
     assert removed[0] == 0 and all(removed[i] == (30 if i and i % 3 == 0 else 0) for i in range(30_000))
+
+
+def test_texts_reach_the_workers_by_the_operators_own_batches(spark, capsys):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40))), (2, None)], "doc_id long, text string")
+    out = recompress.repeats(docs)
+    out.explain()
+    assert "MapInArrow" not in capsys.readouterr().out  # done before the caller's settings matter
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in out.collect()) == [(1, 40, 0), (2, 0, 0)]
