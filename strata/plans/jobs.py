@@ -26,7 +26,7 @@ from strata.operators.profile import business_report
 from strata.operators.quality import QualityChecker
 from strata.operators.rollups import aggregate_daily
 from strata.operators.schema import TableSchema, enforce
-from strata.session import materialize, swept_shuffles
+from strata.session import materialize, small_tasks, swept_shuffles
 
 
 @dataclass
@@ -123,8 +123,8 @@ class Lake:
     root: str
 
     def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        with swept_shuffles(self.spark):
-            df.write.mode("overwrite").parquet(f"{self.root}/{layer}/{name}")
+        with swept_shuffles(self.spark), small_tasks(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{layer}/{name}")
         return self.read(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
