@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -243,6 +244,8 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 20
 
 #: rows of a block's chunk (twice as many at most): a pair of chunks is matched at once, in matrices of about 50 MB
 _CHUNK = 1000
+#: pairs of rows that are compared with the threshold and given on at a time
+_CELLS = 1 << 18
 
 
 def _chunk_plan(reps: DataFrame, threshold: float, bounded: bool, chunk: int) -> tuple[DataFrame, DataFrame]:
@@ -274,7 +277,8 @@ def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float, chunk:
     ``reps`` comes from ``fuzzy_reps``: ``_pos`` (order), ``_blk`` (block key) and the packed token
     set per key column.  A block is cut into chunks of rows of like set size; each pair of chunks
     is one group, which finds all overlaps by a product of matrices, so no token and no pair below
-    the threshold is ever shuffled or stored."""
+    the threshold is ever shuffled or stored.  Rows with the same set share their overlaps, and
+    pairs leave a group some at a time, as copies make most of them."""
     packed = [f"_pk_{k}" for k in keys]
     rows = reps.where(F.col("_pos").isNotNull()).select("_pos", "_blk", "_sz", *packed)
     where, sides = _chunk_plan(rows, threshold, len(keys) == 1, chunk)
@@ -284,32 +288,34 @@ def fuzzy_candidates(reps: DataFrame, keys: list[str], threshold: float, chunk:
     n_keys = len(keys)
     pos_type = rows.schema["_pos"].dataType.simpleString()
 
-    def links(table: pa.Table) -> pa.Table:
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         pos, side = table["_pos"].to_numpy(), table["_side"].to_numpy()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         alone = table["_ca"][0].as_py() == table["_cb"][0].as_py()  # a chunk with itself
         right = left if alone else right
         if not len(left) or not len(right):  # a part that no row was dealt to
-            return table.slice(0, 0).select(["_blk", "_pos", "_pos"]).rename_columns(["_blk", "_a", "_b"]).append_column(
-                "similarity", pa.array([], pa.float64()))
-        sim = np.zeros((len(left), len(right)))
+            return
+        alike = []  # by key column: similarity of each pair of distinct sets, and the sets of the rows
         for c in packed:
-            sets = [_unpack(x.as_py()) for x in table[c]]
+            coded = table[c].combine_chunks().dictionary_encode()
+            sets, of = [_unpack(x.as_py()) for x in coded.dictionary], coded.indices.to_numpy()
+            (ours, at), (theirs, to) = np.unique(of[left], return_inverse=True), np.unique(of[right], return_inverse=True)
             sizes = np.array([len(s) for s in sets])
-            inter = _overlaps([sets[i] for i in left], [sets[i] for i in right]).astype(np.float64)
-            sim += inter / (sizes[left][:, None] + sizes[right][None, :] - inter)
-        i, j = np.nonzero(sim / n_keys >= threshold)
-        value = sim[i, j] / n_keys
-        i, j = left[i], right[j]
-        if not alone:  # either may come first
-            i, j = np.where(pos[i] < pos[j], i, j), np.where(pos[i] < pos[j], j, i)
-        first = pos[i] < pos[j]
-        i, j, value = i[first], j[first], value[first]
-        return pa.table({"_blk": table["_blk"].take(pa.array(i)), "_a": table["_pos"].take(pa.array(i)),
-                         "_b": table["_pos"].take(pa.array(j)), "similarity": value})
-
-    return tiles.groupBy("_blk", "_ca", "_cb").applyInArrow(
-        links, f"_blk string, _a {pos_type}, _b {pos_type}, similarity double")
+            inter = _overlaps([sets[i] for i in ours], [sets[i] for i in theirs]).astype(np.float64)
+            alike.append((inter / (sizes[ours][:, None] + sizes[theirs][None, :] - inter), at, to))
+        step = max(1, _CELLS // len(right))
+        for start in range(0, len(left), step):
+            sim = sum(m[at[start:start + step]][:, to] for m, at, to in alike) / n_keys
+            i, j = np.nonzero(sim >= threshold)
+            value, i, j = sim[i, j], pos[left[start + i]], pos[right[j]]
+            if not alone:  # either may come first
+                i, j = np.where(i < j, i, j), np.where(i < j, j, i)
+            first = i < j
+            yield pa.RecordBatch.from_arrays([pa.array(i[first], table["_pos"].type), pa.array(j[first], table["_pos"].type),
+                                              pa.array(value[first])], ["_a", "_b", "similarity"])
+
+    return tiles.groupBy("_blk", "_ca", "_cb").applyInArrow(links, f"_a {pos_type}, _b {pos_type}, similarity double")
 
 
 def fuzzy_reps(df: DataFrame, keys: list[str], order_col: str, collapse: bool = True) -> DataFrame:

@@ -1,10 +1,12 @@
 """Fuzzy links by pairs of chunks: every chunk size finds the same pairs, and no token is shuffled."""
 
 import random
+import tempfile
 
 import numpy as np
 
 from strata.operators import dedup as D
+from strata.plans.registry import QUERIES
 
 
 def sets(text):
@@ -52,3 +54,25 @@ def test_tokens_are_packed_and_stay_where_they_are(spark):
     df = spark.createDataFrame(rows(), "id long, name string, kind string")
     plan = D.fuzzy_candidates(D.fuzzy_reps(df, ["name"], "id"), ["name"], 0.85)._jdf.queryExecution().optimizedPlan().toString()
     assert "explode" not in plan.lower() and "_tk_name" not in plan
+
+
+def test_query_lists_every_pair_of_rows_with_copies(spark):
+    names = ["large ring", " Large RING", "large rings", "large bolt", "small bolt", None, "", "b"]
+    data = [(i % 90 if i % 30 else None, names[i % len(names)]) for i in range(120)]  # ids repeat or are null
+    where = tempfile.mkdtemp(prefix="strata-parts-", dir="/tmp")
+    spark.createDataFrame(data, "p_partkey long, p_name string").write.parquet(f"{where}/part.parquet")
+    plain = [(i, (x or "").strip().lower()) for i, x in data if i is not None]
+    want = sorted((a, b, alike(x, y)) for a, x in plain for b, y in plain
+                  if a < b and x[:5] == y[:5] and alike(x, y) >= 0.5)
+    df = QUERIES["fuzzy_pairs"](spark, where)
+    assert df.columns == ["a_partkey", "b_partkey", "similarity"]
+    assert sorted(tuple(r) for r in df.collect()) == want and len(want) > 1000
+
+
+def test_pairs_leave_a_group_some_at_a_time(spark, monkeypatch):
+    data = [(i, f"large {'ab'[i % 2]}") for i in range(60)]
+    reps = D.fuzzy_reps(spark.createDataFrame(data, "id long, name string"), ["name"], "id", collapse=False)
+    found = lambda: sorted(tuple(r) for r in D.fuzzy_candidates(reps, ["name"], 0.6, 16).collect())
+    whole = found()
+    monkeypatch.setattr(D, "_CELLS", 50)
+    assert found() == whole == [(a, b, 1.0 if (b - a) % 2 == 0 else 5 / 7) for a in range(60) for b in range(a + 1, 60)]
